@@ -1,0 +1,13 @@
+"""Size-checked broadcast: a side is broadcast only after its row count is
+proven to be under a bound; otherwise the caller takes a shuffle join."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame | None:
+    """``df`` when it has at most ``max_rows`` rows, else None. The count
+    stops after ``max_rows + 1`` rows, so the check itself is bounded."""
+    n = df.limit(max_rows + 1).count()
+    return df if n <= max_rows else None
