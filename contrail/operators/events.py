@@ -48,14 +48,17 @@ def with_previous_state(pos: DataFrame, split_unit: str | None = "day") -> DataF
         })
 
     pos = pos.withColumn("_bucket", _bucket(F.col("snapshot_time"), split_unit))
+    # scalar max / max_by keep fixed-width buffers: hash aggregation with a
+    # map-side combine (a struct value would force a sort aggregate)
     tails = pos.groupBy("icao24", "_bucket").agg(
-        F.max_by(F.struct("snapshot_time", "on_ground"), "snapshot_time").alias("_tail"))
+        F.max("snapshot_time").alias("_tail_time"),
+        F.max_by("on_ground", "snapshot_time").alias("_tail_ground"))
     next_bucket = F.lead("_bucket", 1).over(Window.partitionBy("icao24").orderBy("_bucket"))
     ghosts = (tails.withColumn("_next", next_bucket)
                    .filter(F.col("_next").isNotNull())
                    .select("icao24",
-                           F.col("_tail.snapshot_time").alias("snapshot_time"),
-                           F.col("_tail.on_ground").alias("on_ground"),
+                           F.col("_tail_time").alias("snapshot_time"),
+                           F.col("_tail_ground").alias("on_ground"),
                            F.lit(None).cast("double").alias("latitude"),
                            F.lit(None).cast("double").alias("longitude"),
                            F.col("_next").alias("_bucket"),

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from contrail.constants import NEAR_DIST_DECIMALS, NEAR_RADIUS_KM
 from contrail.functions.geo import haversine_km, radius_key, radius_keys_reached
+from contrail.functions.labels import time_string
 
 NEAR_COLUMNS = ["icao24_a", "icao24_b", "snapshot_time", "snapshot_time_str", "dist_km"]
 
@@ -65,10 +66,13 @@ def near_pairs(clean: DataFrame, radius_km: float = NEAR_RADIUS_KM, grain: str =
         return obs
     if grain != "pair":
         raise ValueError(f"grain must be 'pair' or 'observation', got {grain!r}")
-    latest = F.max_by(F.struct("snapshot_time", "snapshot_time_str", "dist_km"), "snapshot_time")
-    return (obs.groupBy("icao24_a", "icao24_b").agg(latest.alias("_l"))
-               .select("icao24_a", "icao24_b", "_l.snapshot_time", "_l.snapshot_time_str",
-                       "_l.dist_km"))
+    # scalar max / max_by: fixed-width buffers, so a hash aggregate with a
+    # map-side combine; the time string is re-derived from the latest time
+    return (obs.groupBy("icao24_a", "icao24_b")
+               .agg(F.max("snapshot_time").alias("snapshot_time"),
+                    F.max_by("dist_km", "snapshot_time").alias("dist_km"))
+               .select("icao24_a", "icao24_b", "snapshot_time",
+                       time_string(F.col("snapshot_time")).alias("snapshot_time_str"), "dist_km"))
 
 
 def both_orientations(near: DataFrame) -> DataFrame:
