@@ -135,7 +135,9 @@ def radius_key(lat: ColumnOrName, lon: ColumnOrName, radius_km: float) -> Column
 
 def radius_keys_reached(lat: ColumnOrName, lon: ColumnOrName, radius_km: float) -> Column:
     """Build-side keys of a point: every key whose probe points may lie
-    within ``radius_km``, as ``array<struct(gy, gx)>`` without duplicates."""
+    within ``radius_km``, as ``array<struct(gy, gx)>`` without duplicates.
+    (Array form, for small inputs; :func:`explode_radius_keys` is the
+    generator form used on large inputs.)"""
     lat, lon = _c(lat), _c(lon)
     dlat = _lat_half_width_deg(radius_km)
     h = radius_band_height(radius_km)
@@ -143,11 +145,34 @@ def radius_keys_reached(lat: ColumnOrName, lon: ColumnOrName, radius_km: float)
 
     def cells_for(band: Column) -> Column:
         n, dlon = _band_lon_cells(band, radius_km)
-        width = F.lit(360.0) / n
-        first = F.floor((lon - dlon + 180.0) / width).cast("int")
-        last = F.floor((lon + dlon + 180.0) / width).cast("int")
-        raw = F.sequence(first, F.greatest(first, last))
-        cells = F.array_distinct(F.transform(raw, lambda c: F.pmod(c, n)))
+        first, last = _cell_range(lon, n, dlon)
+        cells = F.transform(F.sequence(first, last), lambda c: F.pmod(c, n))
         return F.transform(cells, lambda c: F.struct(band.alias("gy"), c.cast("long").alias("gx")))
 
     return F.flatten(F.transform(bands, cells_for))
+
+
+def _cell_range(lon: Column, n: Column, dlon: Column) -> tuple[Column, Column]:
+    """Unwrapped cell indexes first..last covering [lon - dlon, lon + dlon].
+    The cell width is >= 2 * dlon, so the range spans at most 2 cells, and
+    for n >= 2 they stay distinct modulo n; n == 1 is a single cell."""
+    width = F.lit(360.0) / n
+    first = F.floor((lon - dlon + 180.0) / width).cast("int")
+    last = F.floor((lon + dlon + 180.0) / width).cast("int")
+    return first, F.when(n == 1, first).otherwise(F.greatest(first, last))
+
+
+def explode_radius_keys(df, lat: str, lon: str, radius_km: float, gy: str = "gy", gx: str = "gx"):
+    """``df`` with one row per build-side key of (lat, lon) in columns
+    ``gy`` / ``gx`` (1-4 rows per input row). Two plain generators and
+    arithmetic, so everything outside the generators is code-generated."""
+    dlat = _lat_half_width_deg(radius_km)
+    h = radius_band_height(radius_km)
+    la, lo = F.col(lat), F.col(lon)
+    with_band = df.withColumn(gy, F.explode(F.sequence(F.floor((la - dlat) / h), F.floor((la + dlat) / h))))
+    n, dlon = _band_lon_cells(F.col(gy), radius_km)
+    with_n = with_band.withColumns({"_n": n, "_dlon": dlon})
+    first, last = _cell_range(lo, F.col("_n"), F.col("_dlon"))
+    return (with_n.withColumn(gx, F.explode(F.sequence(first, last)))
+                  .withColumn(gx, F.pmod(F.col(gx), F.col("_n")).cast("long"))
+                  .drop("_n", "_dlon"))

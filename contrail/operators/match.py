@@ -81,33 +81,49 @@ def _finish(df: DataFrame) -> DataFrame:
     )
 
 
-def _match_broadcast(events: DataFrame, ap: DataFrame, mode: str, radius_km: float,
-                     ties: str) -> DataFrame:
+def airport_choices(events: DataFrame, airports: DataFrame, mode: str, radius_km: float) -> DataFrame:
+    """Broadcast path: each event with ``_choices``, the array of its
+    nearest airports (empty = the event is dropped; one null entry = no
+    candidate, confidence NONE). Row-local, no shuffle of the events.
+
+    The arrays are built in separate projections: Spark keeps a projection
+    of a non-trivial expression that is referenced more than once, so each
+    candidate's distance is computed once."""
     probe_key, build_keys = _keys(mode, radius_km)
-    by_cell = (ap.select("*", F.explode(build_keys(F.col("ap_lat"), F.col("ap_lon"))).alias("_k"))
-                 .groupBy(F.col("_k.gy").alias("_gy"), F.col("_k.gx").alias("_gx"))
-                 .agg(F.collect_list(F.struct("ap_icao", "ap_name", "ap_lat", "ap_lon")).alias("_cands")))
+    by_cell = (airports.select("*", F.explode(build_keys(F.col("ap_lat"), F.col("ap_lon"))).alias("_k"))
+                       .groupBy(F.col("_k.gy").alias("_gy"), F.col("_k.gx").alias("_gx"))
+                       .agg(F.collect_list(F.struct("ap_icao", "ap_name", "ap_lat", "ap_lon")).alias("_cands")))
     key = probe_key(F.col("latitude"), F.col("longitude"))
     ev = events.withColumns({"_gy": key["gy"], "_gx": key["gx"]})
-    joined = ev.join(F.broadcast(by_cell), ["_gy", "_gx"], "left")
+    joined = ev.join(F.broadcast(by_cell), ["_gy", "_gx"], "left").drop("_gy", "_gx")
 
     cands = F.coalesce(F.col("_cands"), F.array())
     if mode == "reference":
         m = box_margin_deg(radius_km)
         cands = F.filter(cands, lambda a: in_box(a["ap_lat"], a["ap_lon"],
                                                  F.col("latitude"), F.col("longitude"), m))
-    scored = F.transform(cands, lambda a: F.struct(_dist(a["ap_lat"], a["ap_lon"]).alias("dist_km"),
-                                                   a["ap_icao"].alias("ap_icao"),
-                                                   a["ap_name"].alias("ap_name")))
-    within = F.filter(scored, lambda x: x["dist_km"] <= radius_km)
-    nearest = F.array_min(F.transform(within, lambda x: x["dist_km"]))
-    best = F.filter(within, lambda x: x["dist_km"] == nearest)
-    if ties == "lowest_icao":
-        best = F.when(F.size(best) > 0, F.array(F.array_min(best))).otherwise(best)
+    staged = joined.withColumn("_cands", cands)
+    scored = F.transform(F.col("_cands"), lambda a: F.struct(
+        _dist(a["ap_lat"], a["ap_lon"]).alias("dist_km"), a["ap_icao"].alias("ap_icao"),
+        a["ap_name"].alias("ap_name")))
+    staged = staged.withColumn("_within", F.filter(scored, lambda x: x["dist_km"] <= radius_km))
+    staged = staged.withColumn("_nearest", F.array_min(F.transform(F.col("_within"), lambda x: x["dist_km"])))
+    best = F.filter(F.col("_within"), lambda x: x["dist_km"] == F.col("_nearest"))
     # reference: no box candidate -> NONE; candidates all beyond radius -> dropped
-    empty_test = F.size(cands) == 0 if mode == "reference" else F.size(within) == 0
-    chosen = F.when(empty_test, _null_choice()).otherwise(best)
-    return _finish(joined.withColumn("_m", F.explode(chosen)))
+    empty_test = F.size(F.col("_cands")) == 0 if mode == "reference" else F.size(F.col("_within")) == 0
+    return (staged.withColumn("_choices", F.when(empty_test, _null_choice()).otherwise(best))
+                  .drop("_cands", "_within", "_nearest"))
+
+
+def explode_choices(choices: DataFrame) -> DataFrame:
+    """All nearest airports of each event (rank = 1 semantics)."""
+    return _finish(choices.withColumn("_m", F.explode("_choices")))
+
+
+def lowest_choice(choices: DataFrame) -> DataFrame:
+    """One row per event: the nearest airport with the lowest code."""
+    return _finish(choices.filter(F.size("_choices") > 0)
+                          .withColumn("_m", F.array_min("_choices")))
 
 
 def _match_shuffle(events: DataFrame, ap: DataFrame, mode: str, radius_km: float,
@@ -151,10 +167,35 @@ def match_airports(events: DataFrame, airports: DataFrame, radius_km: float = AI
     ap = _airport_points(airports)
     small = broadcast_if_small(ap, broadcast_rows)
     if small is not None:
-        return _match_broadcast(events, small, mode, radius_km, ties)
+        choices = airport_choices(events, small, mode, radius_km)
+        return explode_choices(choices) if ties == "all" else lowest_choice(choices)
     return _match_shuffle(events, ap, mode, radius_km, ties)
 
 
+def match_both(events: DataFrame, airports: DataFrame, radius_km: float = AIRPORT_RADIUS_KM,
+               mode: str = "reference", broadcast_rows: int = DEFAULT_AIRPORT_BROADCAST_ROWS,
+               materialize=None) -> tuple[DataFrame, DataFrame]:
+    """(matched rows with all ties, keyed flight-event rows) from one
+    candidate computation; ``materialize`` (e.g. a checkpoint) is applied
+    to the shared per-event choices."""
+    _keys(mode, radius_km)
+    ap = _airport_points(airports)
+    small = broadcast_if_small(ap, broadcast_rows)
+    if small is None:
+        return (_match_shuffle(events, ap, mode, radius_km, "all"),
+                _keyed(_match_shuffle(events, ap, mode, radius_km, "lowest_icao")))
+    choices = airport_choices(events, small, mode, radius_km)
+    if materialize is not None:
+        choices = materialize(choices)
+    return explode_choices(choices), _keyed(lowest_choice(choices))
+
+
+def _keyed(m: DataFrame) -> DataFrame:
+    return m.select("icao24", "event_time", "event_type", "latitude", "longitude",
+                    "airport_icao", "airport_name", "confidence", "gap_seconds", "batch_id",
+                    "dist_km")
+
+
 def confidence_counts(matched: DataFrame) -> DataFrame:
     """A-6: matched rows by confidence."""
     return matched.groupBy("confidence").agg(F.count(F.lit(1)).alias("n"))
@@ -164,7 +205,4 @@ def flight_events_table(events: DataFrame, airports: DataFrame, radius_km: float
                         mode: str = "reference", **kw) -> DataFrame:
     """SNK-2 rows: one per (icao24, event_time, event_type); equidistant
     airports resolved to the lowest code; dist_km kept as an extra column."""
-    m = match_airports(events, airports, radius_km, mode, ties="lowest_icao", **kw)
-    return m.select("icao24", "event_time", "event_type", "latitude", "longitude",
-                    "airport_icao", "airport_name", "confidence", "gap_seconds", "batch_id",
-                    "dist_km")
+    return _keyed(match_airports(events, airports, radius_km, mode, ties="lowest_icao", **kw))

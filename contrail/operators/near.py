@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.constants import NEAR_DIST_DECIMALS, NEAR_RADIUS_KM
-from contrail.functions.geo import haversine_km, radius_key, radius_keys_reached
+from contrail.functions.geo import explode_radius_keys, haversine_km, radius_key
 from contrail.functions.labels import time_string
 
 NEAR_COLUMNS = ["icao24_a", "icao24_b", "snapshot_time", "snapshot_time_str", "dist_km"]
@@ -42,12 +42,10 @@ def near_observations(clean: DataFrame, radius_km: float = NEAR_RADIUS_KM) -> Da
     probe = air.select(F.col("icao24").alias("icao24_a"), "snapshot_time", "snapshot_time_str",
                        F.col("latitude").alias("lat_a"), F.col("longitude").alias("lon_a"),
                        key["gy"].alias("gy"), key["gx"].alias("gx"))
-    build = (air.select(F.col("icao24").alias("icao24_b"), F.col("snapshot_time").alias("t_b"),
-                        F.col("latitude").alias("lat_b"), F.col("longitude").alias("lon_b"),
-                        F.explode(radius_keys_reached(F.col("latitude"), F.col("longitude"),
-                                                      radius_km)).alias("_k"))
-                .select("icao24_b", "t_b", "lat_b", "lon_b",
-                        F.col("_k.gy").alias("gy_b"), F.col("_k.gx").alias("gx_b")))
+    build = explode_radius_keys(
+        air.select(F.col("icao24").alias("icao24_b"), F.col("snapshot_time").alias("t_b"),
+                   F.col("latitude").alias("lat_b"), F.col("longitude").alias("lon_b")),
+        "lat_b", "lon_b", radius_km, "gy_b", "gx_b")
     cond = ((probe["snapshot_time"] == build["t_b"]) & (probe["gy"] == build["gy_b"])
             & (probe["gx"] == build["gx_b"]) & (probe["icao24_a"] < build["icao24_b"]))
     dist = haversine_km(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b"),

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from contrail.constants import AIRPORT_RADIUS_KM, BATCH_ID_FORMAT, NEAR_RADIUS_KM
 from contrail.operators.clean import clean_and_enrich
 from contrail.operators.events import detect_flight_events
-from contrail.operators.graph import Graph, build_graph
-from contrail.operators.match import flight_events_table, match_airports
+from contrail.operators.graph import Graph, build_graph, operates_edges
+from contrail.operators.match import flight_events_table, match_airports, match_both
 from contrail.operators.near import near_pairs
 from contrail.session import cut_lineage
 from contrail.sources.fixtures import fixture_tables
@@ -67,21 +67,29 @@ _WRITE_LAYOUT = {
 }
 
 
+def _write(df: DataFrame, path: str, mode: str, part: tuple | None) -> None:
+    if part is None:
+        df.write.mode(mode).parquet(path)
+        return
+    col, expr = part
+    if expr is not None:
+        df = df.withColumn(col, expr())
+    df.write.mode(mode).partitionBy(col).parquet(path)
+
+
 def write_graph(graph: Graph, out_dir: str, mode: str = "overwrite") -> dict[str, str]:
-    """SNK-4..9: every node / edge table as parquet under ``out_dir``."""
-    paths = {}
-    for name, df in graph.tables().items():
-        path = os.path.join(out_dir, name)
-        writer_df = df
-        part = _WRITE_LAYOUT.get(name)
-        if part is not None:
-            col, expr = part
-            if expr is not None:
-                writer_df = df.withColumn(col, expr())
-            writer_df.write.mode(mode).partitionBy(col).parquet(path)
-        else:
-            writer_df.write.mode(mode).parquet(path)
-        paths[name] = path
+    """SNK-4..9: every node / edge table as parquet under ``out_dir``.
+    Aircraft nodes are written first and OPERATES is derived from the
+    written table, so the latest-row window runs once."""
+    spark = graph.aircraft.sparkSession
+    paths = {name: os.path.join(out_dir, name) for name in graph.tables()}
+    _write(graph.aircraft, paths["aircraft"], mode, None)
+    aircraft = spark.read.parquet(paths["aircraft"])
+    tables = graph.tables()
+    tables["operates"] = operates_edges(aircraft)
+    for name, df in tables.items():
+        if name != "aircraft":
+            _write(df, paths[name], mode, _WRITE_LAYOUT.get(name))
     return paths
 
 
@@ -94,30 +102,39 @@ def read_graph(spark: SparkSession, out_dir: str) -> Graph:
 
 def run_batch(spark: SparkSession, raw: DataFrame, airports: DataFrame, out_dir: str,
               batch_id: str | None = None, near_grain: str = "pair",
-              match_mode: str = "reference") -> dict:
-    """Run the whole job once and write its tables. ``clean`` is cut from its
-    lineage with a reliable checkpoint (it feeds five outputs); the matched
-    events are written once and re-read by the edge writer."""
+              match_mode: str = "reference", timings: dict | None = None) -> dict:
+    """PL-8: run the whole job once and write its tables under ``out_dir``.
+
+    ``clean`` feeds five outputs and the events feed two, so both are cut
+    from their lineage with reliable checkpoints (into the shared
+    checkpoint folder; they survive executor loss). The matched events are
+    written once and the edge writer re-reads them.
+    """
     batch_id = batch_id or new_batch_id(spark)
-    timings = {}
-    t0 = time.perf_counter()
-    clean = cut_lineage(clean_and_enrich(raw))
-    timings["clean"] = time.perf_counter() - t0
+    timings = {} if timings is None else timings
 
-    t0 = time.perf_counter()
-    events = detect_flight_events(clean, batch_id)
+    def stage(name, fn):
+        t0 = time.perf_counter()
+        out = fn()
+        timings[name] = round(time.perf_counter() - t0, 3)
+        return out
+
+    airports = cut_lineage(airports)  # small; reused by the match, nodes and edge checks
+    clean = stage("clean", lambda: cut_lineage(clean_and_enrich(raw)))
+    events = stage("events", lambda: cut_lineage(detect_flight_events(clean, batch_id)))
     matched_path = os.path.join(out_dir, "matched_events")
-    match_airports(events, airports, mode=match_mode).write.mode("overwrite").parquet(matched_path)
+    matched_all, keyed = stage("airport_match_plan", lambda: match_both(
+        events, airports, mode=match_mode, materialize=cut_lineage))
+    stage("airport_match", lambda: matched_all.write.mode("overwrite").parquet(matched_path))
+    stage("flight_events_table", lambda: keyed.withColumn("event_date", F.to_date("event_time"))
+          .write.mode("overwrite").partitionBy("event_date")
+          .parquet(os.path.join(out_dir, "flight_events")))
     matched = spark.read.parquet(matched_path)
-    _write_events(events, airports, match_mode, out_dir)
-    timings["events_match"] = time.perf_counter() - t0
-
-    t0 = time.perf_counter()
     near = near_pairs(clean, grain=near_grain)
     graph = build_graph(clean, matched, airports, near)
-    paths = write_graph(graph, os.path.join(out_dir, "graph"))
-    timings["graph"] = time.perf_counter() - t0
-    return {"batch_id": batch_id, "paths": paths, "timings": timings}
+    paths = stage("graph_write", lambda: write_graph(graph, os.path.join(out_dir, "graph")))
+    return {"batch_id": batch_id, "paths": paths, "timings": timings,
+            "graph_dir": os.path.join(out_dir, "graph")}
 
 
 def _write_events(events: DataFrame, airports: DataFrame, mode: str, out_dir: str) -> None:
