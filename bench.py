@@ -25,6 +25,7 @@ sys.path.insert(0, ROOT)
 from pyspark.sql import functions as F  # noqa: E402
 
 from contrail.plans import queries as Q  # noqa: E402
+from contrail.plans.loadtest import load_test  # noqa: E402
 from contrail.plans.pipeline import FIXED_BATCH_ID, read_graph, run_batch  # noqa: E402
 from contrail.session import local_session  # noqa: E402
 from contrail.sinks.tables import upsert_state_vectors  # noqa: E402
@@ -63,6 +64,8 @@ def main() -> None:
         return upsert_state_vectors(rows, sv_path)
     timed(res, "ingest_upsert", ingest)
 
+    load = load_test(spark, os.path.join(work, "load_test"))
+
     out = run_batch(spark, raw, airports, os.path.join(work, "job"), batch_id=FIXED_BATCH_ID,
                     timings=res)
     graph_dir = out["graph_dir"]
@@ -92,6 +95,7 @@ def main() -> None:
         "metric": "total_sec", "value": total, "unit": "sec", "queries": res, "sf": sf,
         "rows": {"state_vectors_raw": n_raw},
         "ingest_rows_per_sec": round(n_raw / res["ingest_upsert"], 1) if res["ingest_upsert"] else None,
+        "load_test": load,
     }))
     spark.stop()
 

@@ -65,9 +65,20 @@ _WRITE_LAYOUT = {
     "snapshot_edge": ("snapshot_date", lambda: F.to_date("snapshot_time")),
     "flight_edge": ("rel_type", None),
 }
+# Rows sorted by aircraft inside each written file (a local sort, no
+# shuffle): parquet min/max statistics then let a lookup by icao24 skip
+# row groups (point read, trajectory, history).
+_SORT_WITHIN = {
+    "snapshot_edge": ["icao24", "snapshot_time"],
+    "flight_edge": ["icao24", "event_time"],
+    "aircraft": ["icao24"],
+}
 
 
-def _write(df: DataFrame, path: str, mode: str, part: tuple | None) -> None:
+def _write(df: DataFrame, path: str, mode: str, part: tuple | None,
+           sort_within: list[str] | None = None) -> None:
+    if sort_within:
+        df = df.sortWithinPartitions(*sort_within)
     if part is None:
         df.write.mode(mode).parquet(path)
         return
@@ -83,13 +94,13 @@ def write_graph(graph: Graph, out_dir: str, mode: str = "overwrite") -> dict[str
     written table, so the latest-row window runs once."""
     spark = graph.aircraft.sparkSession
     paths = {name: os.path.join(out_dir, name) for name in graph.tables()}
-    _write(graph.aircraft, paths["aircraft"], mode, None)
+    _write(graph.aircraft, paths["aircraft"], mode, None, _SORT_WITHIN["aircraft"])
     aircraft = spark.read.parquet(paths["aircraft"])
     tables = graph.tables()
     tables["operates"] = operates_edges(aircraft)
     for name, df in tables.items():
         if name != "aircraft":
-            _write(df, paths[name], mode, _WRITE_LAYOUT.get(name))
+            _write(df, paths[name], mode, _WRITE_LAYOUT.get(name), _SORT_WITHIN.get(name))
     return paths
 
 

@@ -43,7 +43,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     only read here. Only when it is unset (local tests) a scratch folder is
     created and set.
     """
-    current = spark.conf.get(CHECKPOINT_CONF, None)
+    current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:

@@ -15,8 +15,9 @@ def synthetic_state_vectors(spark: SparkSession, n: int = K.LOAD_TEST_ROWS, seed
     'stress-' + 6 hex characters, snapshot_time is ``at`` (or now)."""
     ts = F.to_timestamp(F.lit(at)) if at else F.current_timestamp()
     return (spark.range(n).select(
+        # 6 hex characters, unique per row (ids beyond 16^6 wrap)
         F.concat(F.lit(K.LOAD_TEST_ICAO_PREFIX),
-                 F.substring(F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("id").cast("string"))), 1, 6)
+                 F.lpad(F.lower(F.hex(F.pmod(F.pmod(F.col("id"), F.lit(1 << 24)) * 2654435761 + seed, F.lit(1 << 24)))), 6, "0")
                  ).alias("icao24"),
         ts.alias("snapshot_time"),
         F.lit(K.LOAD_TEST_CALLSIGN).alias("callsign"),

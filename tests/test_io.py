@@ -178,3 +178,10 @@ def test_stream_transitions_equal_batch_on_in_order_input(spark):
     want = detect_flight_events(clean, "b")
     cols = ["icao24", "event_time", "event_type", "latitude", "longitude", "gap_seconds", "batch_id"]
     assert rows(got, *cols) == rows(want, *cols)
+
+
+def test_load_test_report(spark):
+    from contrail.plans.loadtest import load_test
+    rep = load_test(spark, os.path.join(scratch(), "lt"), total=2000)
+    assert rep["inserted"] == 2000 and rep["errors"] == 0 and rep["loss_pct"] == 0.0
+    assert rep["rows_per_sec"] > 0 and rep["point_read_ms"] > 0
