@@ -321,6 +321,19 @@ UNION ALL SELECT 'country', name, count(*) FROM f_country GROUP BY name HAVING c
 UNION ALL SELECT 'airport', icao, count(*) FROM f_airport GROUP BY icao HAVING count(*) > 1
 UNION ALL SELECT 'airport_catalogue', icao_code, count(*) FROM f_airports WHERE icao_code IS NOT NULL
           GROUP BY icao_code HAVING count(*) > 1""",
+    "snapshot_parse": """
+SELECT icao24, snapshot_time, callsign, origin_country, time_position, last_contact, longitude, latitude,
+       baro_altitude, on_ground, velocity, true_track, vertical_rate, geo_altitude, squawk, spi,
+       position_source, category FROM f_raw""",
+    "stream_ingest": """
+SELECT icao24, snapshot_time, callsign, origin_country, time_position, last_contact, longitude, latitude,
+       baro_altitude, on_ground, velocity, true_track, vertical_rate, geo_altitude, squawk, spi,
+       position_source, category FROM f_sv""",
+    "airport_catalogue_csv": """
+SELECT a.icao_code, a.iata_code, a.name, a.city, a.country, a.latitude, a.longitude,
+       CAST(trunc(s.s_acctbal) AS INT) AS altitude_ft, a.type
+FROM f_airports a JOIN supplier s ON a.icao_code = concat('A', lpad(CAST(s.s_suppkey AS VARCHAR), 3, '0'))""",
+    "stream_flight_events": "SELECT * FROM f_events",
     "latest_state_point_read": f"""
 SELECT * FROM f_clean WHERE icao24 = (SELECT icao24 FROM ({_MOST_TRACKED}) t)
 ORDER BY snapshot_time DESC LIMIT 1""",

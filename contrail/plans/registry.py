@@ -19,7 +19,8 @@ from contrail.operators.graph import snapshot_nodes
 from contrail.operators.match import confidence_counts, flight_events_table, match_airports
 from contrail.operators.near import near_pairs
 from contrail.plans import queries as Q
-from contrail.plans.pipeline import pipeline_from_dir
+from contrail.plans import roundtrips as R
+from contrail.plans.pipeline import FIXED_BATCH_ID, pipeline_from_dir
 from contrail.sources.fixtures import fixture_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,4 +91,9 @@ QUERIES: dict[str, Query] = {
     "graph_stats": _g(Q.graph_stats),
     "key_uniqueness": _p(lambda p: Q.key_uniqueness(p.graph, p.airports)),
     "latest_state_point_read": _p(_point_read),
+    # ingest side, end to end on data derived from the tables
+    "snapshot_parse": R.snapshot_parse,
+    "airport_catalogue_csv": R.airport_catalogue_csv,
+    "stream_ingest": R.stream_ingest,
+    "stream_flight_events": lambda spark, sf_dir: R.stream_transitions(spark, sf_dir, FIXED_BATCH_ID),
 }

@@ -59,3 +59,13 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     unlike a local checkpoint or a cache)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def ship_code() -> None:
+    """Pickle this package's functions by value, so Python workers run them
+    without having the package installed (on a cluster or when the driver
+    was started from elsewhere)."""
+    import contrail
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(contrail)

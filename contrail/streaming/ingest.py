@@ -22,10 +22,6 @@ from contrail.schema import SNAPSHOT_JSON
 from contrail.sinks.tables import upsert_state_vectors
 from contrail.sources.snapshots import parse_snapshots
 
-# Bits of ingest_seq reserved for the row position inside a micro-batch.
-_SEQ_SHIFT = 40
-
-
 def snapshot_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(SNAPSHOT_JSON)
     if max_files_per_trigger:
@@ -35,11 +31,11 @@ def snapshot_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger
 
 def ingest_batch(batch: DataFrame, epoch_id: int, table_path: str,
                  bbox: tuple[float, float, float, float] | None = None) -> dict:
-    """Parse and upsert one micro-batch. Later micro-batches win over
-    earlier ones for the same key (``ingest_seq`` starts with the epoch)."""
+    """Parse and upsert one micro-batch. For one key a later micro-batch
+    wins (``ingest_seq`` = epoch); inside one micro-batch the newer report
+    (higher ``last_contact``) wins."""
     t0 = time.perf_counter()
-    seq = F.lit(int(epoch_id)) * F.lit(1 << _SEQ_SHIFT) + F.monotonically_increasing_id() % F.lit(1 << _SEQ_SHIFT)
-    rows = parse_snapshots(batch, bbox, seq=seq)
+    rows = parse_snapshots(batch, bbox, seq=F.lit(int(epoch_id)).cast("long"))
     obs = Observation(f"ingest_{epoch_id}")
     observed = rows.observe(obs, F.count(F.lit(1)).alias("rows"))
     touched = upsert_state_vectors(observed, table_path)

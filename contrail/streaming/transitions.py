@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from contrail.constants import LANDING, STATE_VECTOR_TTL_DAYS, TAKEOFF
+from contrail.session import ship_code
 
 EVENT_SCHEMA = ("icao24 STRING, event_time TIMESTAMP, event_type STRING, latitude DOUBLE, "
                 "longitude DOUBLE, gap_seconds INT, batch_id STRING")
@@ -85,6 +86,7 @@ def detect_transitions_stream(positions: DataFrame, batch_id: str = "stream",
     """``positions``: a streaming DataFrame with icao24, snapshot_time
     (TIMESTAMP), on_ground, latitude, longitude (+ optional ingest_seq).
     Returns the streaming events (append mode)."""
+    ship_code()
     cols = ["icao24", "snapshot_time", "on_ground", "latitude", "longitude"]
     if "ingest_seq" in positions.columns:
         cols.append("ingest_seq")
