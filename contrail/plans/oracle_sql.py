@@ -334,6 +334,16 @@ SELECT a.icao_code, a.iata_code, a.name, a.city, a.country, a.latitude, a.longit
        CAST(trunc(s.s_acctbal) AS INT) AS altitude_ft, a.type
 FROM f_airports a JOIN supplier s ON a.icao_code = concat('A', lpad(CAST(s.s_suppkey AS VARCHAR), 3, '0'))""",
     "stream_flight_events": "SELECT * FROM f_events",
+    "edge_integrity": """
+SELECT 'operates.country' AS edge_end, count(*) AS missing FROM f_operates o WHERE o.country NOT IN (SELECT name FROM f_country)
+UNION ALL SELECT 'operates.aircraft', count(*) FROM f_operates o WHERE o.icao24 NOT IN (SELECT icao24 FROM f_aircraft)
+UNION ALL SELECT 'snapshot_edge.aircraft', count(*) FROM f_snapshot_edge e WHERE e.icao24 NOT IN (SELECT icao24 FROM f_aircraft)
+UNION ALL SELECT 'snapshot_edge.snapshot', count(*) FROM f_snapshot_edge e
+          WHERE e.snapshot_id NOT IN (SELECT concat_ws('_', icao24, snapshot_time_str) FROM f_clean)
+UNION ALL SELECT 'near.a', count(*) FROM f_near n WHERE n.icao24_a NOT IN (SELECT icao24 FROM f_aircraft)
+UNION ALL SELECT 'near.b', count(*) FROM f_near n WHERE n.icao24_b NOT IN (SELECT icao24 FROM f_aircraft)
+UNION ALL SELECT 'flight_edge.aircraft', count(*) FROM f_flight_edge f WHERE f.icao24 NOT IN (SELECT icao24 FROM f_aircraft)
+UNION ALL SELECT 'flight_edge.airport', count(*) FROM f_flight_edge f WHERE f.airport_icao NOT IN (SELECT icao FROM f_airport)""",
     "latest_state_point_read": f"""
 SELECT * FROM f_clean WHERE icao24 = (SELECT icao24 FROM ({_MOST_TRACKED}) t)
 ORDER BY snapshot_time DESC LIMIT 1""",

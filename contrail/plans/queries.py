@@ -360,3 +360,26 @@ def key_uniqueness(g: Graph, airports: DataFrame | None = None) -> DataFrame:
         out = out.unionByName(dups(airports.filter(F.col("icao_code").isNotNull()), "icao_code",
                                    "airport_catalogue"))
     return out
+
+
+def edge_integrity(g: Graph) -> DataFrame:
+    """SNK-9 / J-6 as a check: per edge table, the edges whose endpoint is
+    missing from its node table (left anti joins; expected 0 everywhere).
+    Node key sides are projected to the key only."""
+    aircraft = g.aircraft.select("icao24")
+    checks = [
+        ("operates.country", g.operates.select(F.col("country").alias("k")), g.country.select(F.col("name").alias("k"))),
+        ("operates.aircraft", g.operates.select(F.col("icao24").alias("k")), aircraft.withColumnRenamed("icao24", "k")),
+        ("snapshot_edge.aircraft", g.snapshot_edge.select(F.col("icao24").alias("k")), aircraft.withColumnRenamed("icao24", "k")),
+        ("snapshot_edge.snapshot", g.snapshot_edge.select(F.col("snapshot_id").alias("k")), g.snapshot.select(F.col("id").alias("k"))),
+        ("near.a", g.near.select(F.col("icao24_a").alias("k")), aircraft.withColumnRenamed("icao24", "k")),
+        ("near.b", g.near.select(F.col("icao24_b").alias("k")), aircraft.withColumnRenamed("icao24", "k")),
+        ("flight_edge.aircraft", g.flight_edge.select(F.col("icao24").alias("k")), aircraft.withColumnRenamed("icao24", "k")),
+        ("flight_edge.airport", g.flight_edge.select(F.col("airport_icao").alias("k")), g.airport.select(F.col("icao").alias("k"))),
+    ]
+    out = None
+    for name, edges, nodes in checks:
+        part = (edges.join(nodes, "k", "left_anti").agg(F.count(F.lit(1)).alias("missing"))
+                     .select(F.lit(name).alias("edge_end"), "missing"))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -90,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "q11_aircraft_history": _g(Q.q11_history_of_most_events),
     "graph_stats": _g(Q.graph_stats),
     "key_uniqueness": _p(lambda p: Q.key_uniqueness(p.graph, p.airports)),
+    "edge_integrity": _g(Q.edge_integrity),
     "latest_state_point_read": _p(_point_read),
     # ingest side, end to end on data derived from the tables
     "snapshot_parse": R.snapshot_parse,

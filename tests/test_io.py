@@ -185,3 +185,20 @@ def test_load_test_report(spark):
     rep = load_test(spark, os.path.join(scratch(), "lt"), total=2000)
     assert rep["inserted"] == 2000 and rep["errors"] == 0 and rep["loss_pct"] == 0.0
     assert rep["rows_per_sec"] > 0 and rep["point_read_ms"] > 0
+
+
+def test_run_cycle_ingests_then_recomputes(spark):
+    import datetime as dt
+    from contrail.plans.pipeline import read_graph, run_cycle
+    from contrail.plans import queries as Q
+    root = scratch()
+    raw, airports = fixture_tables(spark, SF0001)
+    snapshots_from_state_vectors(raw).write.json(os.path.join(root, "landing"))
+    out = run_cycle(spark, os.path.join(root, "landing"), os.path.join(root, "sv"), airports,
+                    os.path.join(root, "job"), os.path.join(root, "ck"), retention_days=40,
+                    now=dt.datetime(2024, 2, 1), batch_id="cycle")
+    g = read_graph(spark, out["graph_dir"])
+    stats = {r.entity: r.n for r in Q.graph_stats(g).collect()}
+    assert stats["snapshots"] == dedup_latest_write(raw).count()
+    assert stats["departed_from"] > 0 and stats["near"] >= 0
+    assert all(r.missing == 0 for r in Q.edge_integrity(g).collect())
