@@ -29,8 +29,16 @@ def dedup_latest_write(raw: DataFrame, order_col: str = "event_id") -> DataFrame
     """U-2: one row per (icao24, snapshot_time); the highest ingest order
     wins (the upsert's last write). Rows with a null key are dropped (F-1)."""
     keyed = raw.filter(F.col("icao24").isNotNull() & F.col("snapshot_time").isNotNull())
-    order = [F.col(order_col).desc()] if order_col in raw.columns else [F.col("last_contact").desc_nulls_last()]
-    return keep_top_per_key(keyed, ["icao24", "snapshot_time"], order)
+    return keep_top_per_key(keyed, ["icao24", "snapshot_time"], ingest_order(raw, order_col))
+
+
+def ingest_order(df: DataFrame, order_col: str = "event_id") -> list[Column]:
+    """Newest write first: ``order_col`` if present, else the ingest
+    sequence of the stream (micro-batch) and then the newer report."""
+    if order_col in df.columns:
+        return [F.col(order_col).desc()]
+    order = [F.col(c).desc_nulls_last() for c in ("ingest_seq", "last_contact") if c in df.columns]
+    return order or [F.col("snapshot_time")]  # no ingest order known: any row of the key
 
 
 def _try_cast(c: str, dtype: str) -> Column:

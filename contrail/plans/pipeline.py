@@ -170,5 +170,6 @@ def run_cycle(spark: SparkSession, landing_dir: str, state_vectors_path: str, ai
     q = start_ingest(spark, landing_dir, state_vectors_path, checkpoint_location, trigger="availableNow")
     q.awaitTermination()
     days = STATE_VECTOR_TTL_DAYS if retention_days is None else retention_days
+    # append-only table: clean_and_enrich keeps the newest write per key
     sv = retained(spark.read.parquet(state_vectors_path).drop("snapshot_date"), "snapshot_time", days, now)
     return run_batch(spark, sv, airports, out_dir, batch_id=batch_id)

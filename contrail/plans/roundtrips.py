@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.operators.clean import clean_and_enrich
+from contrail.operators.clean import clean_and_enrich, dedup_latest_write
 from contrail.session import cut_lineage, ensure_checkpoint_dir
 from contrail.sources.airports_csv import load_airports
 from contrail.sources.fixtures import fixture_tables
@@ -58,15 +58,16 @@ def airport_catalogue_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST-1/ST-2: snapshot documents landed as files, ingested by the
-    streaming query (availableNow) into the upserted state-vector table."""
+    streaming query (availableNow, append-only micro-batches) and read back
+    with the newest write per key, as the batch job reads it."""
     raw, _ = fixture_tables(spark, sf_dir)
     root = scratch_dir(spark, "stream-ingest")
     snapshots_from_state_vectors(raw).write.json(os.path.join(root, "landing"))
     q = start_ingest(spark, os.path.join(root, "landing"), os.path.join(root, "table"),
                      os.path.join(root, "checkpoint"), trigger="availableNow")
     q.awaitTermination(STREAM_TIMEOUT_SEC)
-    table = spark.read.parquet(os.path.join(root, "table")).drop("snapshot_date", "ingest_seq")
-    return _ntz(table, "snapshot_time")
+    table = spark.read.parquet(os.path.join(root, "table")).drop("snapshot_date")
+    return _ntz(dedup_latest_write(table).drop("ingest_seq"), "snapshot_time")
 
 
 def stream_transitions(spark: SparkSession, sf_dir: str, batch_id: str, chunks: int = 4) -> DataFrame:

@@ -55,6 +55,37 @@ def upsert(new_rows: DataFrame, path: str, keys: list[str], time_col: str,
     return len(touched)
 
 
+def append_partitions(rows: DataFrame, path: str, time_col: str, part_col: str) -> None:
+    """Append-only write into date partitions: O(rows written), whatever
+    the table size. Duplicates of a key are resolved when read (the batch
+    job keeps the newest write per key) and by :func:`compact`."""
+    (rows.withColumn(part_col, F.to_date(time_col)).write.mode("append")
+         .partitionBy(part_col).parquet(path))
+
+
+def compact(spark: SparkSession, path: str, keys: list[str], part_col: str,
+            values: list, order: list[Column]) -> int:
+    """Rewrite the given partitions with one row per key (newest write
+    wins), e.g. once a day for closed days of an append-only table."""
+    if not values or not _exists(spark, path):
+        return 0
+    stored = spark.read.parquet(path).filter(F.col(part_col).isin(values))
+    merged = cut_lineage(keep_top_per_key(stored, keys, order))
+    (merged.repartitionByRange(part_col, *keys).sortWithinPartitions(part_col, *keys)
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(part_col).parquet(path))
+    return len(values)
+
+
+def compact_state_vectors(spark: SparkSession, path: str, days: list) -> int:
+    """Compact closed days of the append-only state-vector table."""
+    from contrail.operators.clean import ingest_order
+    if not _exists(spark, path):
+        return 0
+    order = ingest_order(spark.read.parquet(path))
+    return compact(spark, path, STATE_VECTOR_KEYS, "snapshot_date", days, order)
+
+
 def upsert_state_vectors(rows: DataFrame, path: str) -> int:
     """SNK-1: key (icao24, snapshot_time), partitioned by snapshot date."""
     order = [F.col(c).desc_nulls_last() for c in ("ingest_seq", "last_contact") if c in rows.columns]

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from contrail.constants import POLL_PERIOD_SECONDS
 from contrail.schema import SNAPSHOT_JSON
-from contrail.sinks.tables import upsert_state_vectors
+from contrail.sinks.tables import append_partitions, upsert_state_vectors
 from contrail.sources.snapshots import parse_snapshots
 
 def snapshot_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -30,28 +30,44 @@ def snapshot_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger
 
 
 def ingest_batch(batch: DataFrame, epoch_id: int, table_path: str,
-                 bbox: tuple[float, float, float, float] | None = None) -> dict:
-    """Parse and upsert one micro-batch. For one key a later micro-batch
-    wins (``ingest_seq`` = epoch); inside one micro-batch the newer report
-    (higher ``last_contact``) wins."""
+                 bbox: tuple[float, float, float, float] | None = None, mode: str = "append") -> dict:
+    """Parse and store one micro-batch. ``ingest_seq`` = epoch, so for one
+    key a later micro-batch wins; inside one micro-batch the newer report
+    (higher ``last_contact``) wins.
+
+    ``mode="append"`` (default) writes the rows into their date partitions
+    and leaves duplicates of a key to the reader (the batch job keeps the
+    newest write) and to :func:`~contrail.sinks.tables.compact`: the cost of
+    a micro-batch is its own size. A replayed micro-batch appends identical
+    rows, which the same rule removes. ``mode="upsert"`` rewrites the touched
+    date partitions (a keyed table at every moment, at the cost of
+    rewriting a day per micro-batch)."""
     t0 = time.perf_counter()
     rows = parse_snapshots(batch, bbox, seq=F.lit(int(epoch_id)).cast("long"))
     obs = Observation(f"ingest_{epoch_id}")
     observed = rows.observe(obs, F.count(F.lit(1)).alias("rows"))
-    touched = upsert_state_vectors(observed, table_path)
-    # A-10: the count is collected by the first action of the upsert
+    if mode == "upsert":
+        touched = upsert_state_vectors(observed, table_path)
+    elif mode == "append":
+        append_partitions(observed.filter(F.col("icao24").isNotNull() & F.col("snapshot_time").isNotNull()),
+                          table_path, "snapshot_time", "snapshot_date")
+        touched = None
+    else:
+        raise ValueError(f"mode must be 'append' or 'upsert', got {mode!r}")
+    # A-10: the count is collected by the first action on the batch
     return {"epoch": int(epoch_id), "rows": int(obs.get["rows"]), "partitions": touched,
             "seconds": time.perf_counter() - t0}
 
 
 def start_ingest(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_location: str,
                  bbox: tuple[float, float, float, float] | None = None,
-                 trigger: str = "poll", on_batch: Callable[[dict], None] | None = None):
+                 trigger: str = "poll", on_batch: Callable[[dict], None] | None = None,
+                 mode: str = "append"):
     """Start the ingest query. ``trigger``: "poll" (every 20 s),
     "availableNow" (process what has landed, then stop) or a processing
     time like "5 seconds"."""
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        stats = ingest_batch(batch, epoch_id, table_path, bbox)
+        stats = ingest_batch(batch, epoch_id, table_path, bbox, mode)
         if on_batch is not None:
             on_batch(stats)
 
