@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.operators.clean import clean_and_enrich, dedup_latest_write
-from contrail.session import cut_lineage, ensure_checkpoint_dir
+from contrail.session import (
+    cut_lineage, ensure_checkpoint_dir, input_bytes, session_conf, stateful_settings,
+)
 from contrail.sources.airports_csv import load_airports
 from contrail.sources.fixtures import fixture_tables
 from contrail.sources.snapshots import parse_snapshots, snapshots_from_state_vectors
@@ -86,6 +88,7 @@ def stream_transitions(spark: SparkSession, sf_dir: str, batch_id: str, chunks:
         return spark.createDataFrame([], EVENT_SCHEMA)
     step = (hi - lo) / chunks
     bounds = [lo + step * i for i in range(1, chunks)]
+    settings = stateful_settings(spark, input_bytes(spark, [os.path.join(sf_dir, "events.parquet")]))
     for i in range(chunks):
         part = pos
         if i > 0:
@@ -95,8 +98,9 @@ def stream_transitions(spark: SparkSession, sf_dir: str, batch_id: str, chunks:
         part.write.parquet(os.path.join(landing, f"chunk={i:04d}"))
         stream = (spark.readStream.schema(pos.schema).option("recursiveFileLookup", True)
                        .parquet(landing))
-        q = (detect_transitions_stream(stream, batch_id).writeStream.format("parquet")
-             .option("path", out).option("checkpointLocation", ckpt)
-             .trigger(availableNow=True).start())
+        with session_conf(spark, settings):  # captured by the query at its first start
+            q = (detect_transitions_stream(stream, batch_id).writeStream.format("parquet")
+                 .option("path", out).option("checkpointLocation", ckpt)
+                 .trigger(availableNow=True).start())
         q.awaitTermination(STREAM_TIMEOUT_SEC)
     return _ntz(spark.read.schema(EVENT_SCHEMA).parquet(out), "event_time")

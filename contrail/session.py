@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
+        # keyed streaming state (one row per aircraft) off the JVM heap
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -69,3 +73,74 @@ def ship_code() -> None:
     from pyspark import cloudpickle
 
     cloudpickle.register_pickle_by_value(contrail)
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (Hadoop file system summary;
+    no data is read)."""
+    jvm = spark._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return int(total)
+
+
+def scale_settings(total_input_bytes: int, total_cores: int,
+                   target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Runtime SQL settings sized to the input: shuffle partitions so that a
+    partition holds about ``target_partition_bytes`` (at least 2 per core;
+    AQE coalesces small ones and splits skewed ones at run time), scan
+    splits of the same size, and skew thresholds relative to it."""
+    parts = max(2 * total_cores, -(-total_input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def apply_scale_settings(spark: SparkSession, paths: list[str], total_cores: int | None = None) -> dict[str, str]:
+    """Size the session for the inputs under ``paths`` (see :func:`scale_settings`)."""
+    cores = total_cores or spark.sparkContext.defaultParallelism
+    settings = scale_settings(input_bytes(spark, paths), cores)
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    return settings
+
+
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]):
+    """Set runtime SQL settings for a block and restore the caller's values."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def stateful_settings(spark: SparkSession, total_input_bytes: int) -> dict[str, str]:
+    """Settings a stateful stream fixes at its first start: state partitions
+    sized to the input (>= 2 per core, ~128 MB each) and the RocksDB state
+    store (state off the JVM heap)."""
+    cores = spark.sparkContext.defaultParallelism
+    parts = max(2 * cores, -(-total_input_bytes // (128 << 20)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }

@@ -62,16 +62,17 @@ def ingest_batch(batch: DataFrame, epoch_id: int, table_path: str,
 def start_ingest(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_location: str,
                  bbox: tuple[float, float, float, float] | None = None,
                  trigger: str = "poll", on_batch: Callable[[dict], None] | None = None,
-                 mode: str = "append"):
+                 mode: str = "append", max_files_per_trigger: int | None = None):
     """Start the ingest query. ``trigger``: "poll" (every 20 s),
     "availableNow" (process what has landed, then stop) or a processing
-    time like "5 seconds"."""
+    time like "5 seconds". ``max_files_per_trigger`` bounds a micro-batch
+    when a backlog has built up."""
     def handle(batch: DataFrame, epoch_id: int) -> None:
         stats = ingest_batch(batch, epoch_id, table_path, bbox, mode)
         if on_batch is not None:
             on_batch(stats)
 
-    writer = (snapshot_stream(spark, landing_dir).writeStream
+    writer = (snapshot_stream(spark, landing_dir, max_files_per_trigger).writeStream
               .foreachBatch(handle)
               .option("checkpointLocation", checkpoint_location))
     if trigger == "availableNow":

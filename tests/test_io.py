@@ -228,3 +228,11 @@ def test_compaction_and_upsert_mode(spark):
     assert compacted.count() == n and upserted.count() == n
     cols = ["icao24", "snapshot_time", "velocity", "last_contact"]
     assert rows(compacted, *cols) == rows(upserted, *cols)
+
+
+def test_scale_settings():
+    from contrail.session import scale_settings
+    small = scale_settings(10 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    big = scale_settings(100 << 40, 8000)          # 100 TB on 8000 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
