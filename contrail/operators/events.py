@@ -21,12 +21,17 @@ EVENT_COLUMNS = ["icao24", "event_time", "event_type", "latitude", "longitude",
                  "gap_seconds", "batch_id"]
 
 
+_SPLIT_UNITS = ("day", "hour", "minute")
+
+
 def _bucket(ts: Column, unit: str) -> Column:
+    """Time bucket of the split lag window; finer units bound the rows per
+    (aircraft, bucket) further when snapshots are very dense."""
     if unit == "day":
         return F.to_date(ts)
-    if unit == "hour":
-        return F.date_trunc("hour", ts)
-    raise ValueError(f"unknown split unit {unit!r} (use 'day', 'hour' or None)")
+    if unit in _SPLIT_UNITS:
+        return F.date_trunc(unit, ts)
+    raise ValueError(f"unknown split unit {unit!r} (use one of {_SPLIT_UNITS} or None)")
 
 
 def positioned_snapshots(clean: DataFrame) -> DataFrame:
