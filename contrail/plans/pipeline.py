@@ -116,9 +116,11 @@ def run_batch(spark: SparkSession, raw: DataFrame, airports: DataFrame, out_dir:
               match_mode: str = "reference", timings: dict | None = None) -> dict:
     """PL-8: run the whole job once and write its tables under ``out_dir``.
 
-    ``clean`` feeds five outputs and the events feed two, so both are cut
-    from their lineage with reliable checkpoints (into the shared
-    checkpoint folder; they survive executor loss). The matched events are
+    ``clean`` feeds five outputs that each read a few of its columns, so it
+    is written once as parquet into the shared checkpoint folder and read
+    back (lineage cut, survives executor loss, consumers prune columns).
+    The much smaller events and match candidates are read whole by two
+    consumers each and get a reliable checkpoint. The matched events are
     written once and the edge writer re-reads them.
     """
     batch_id = batch_id or new_batch_id(spark)
@@ -130,12 +132,13 @@ def run_batch(spark: SparkSession, raw: DataFrame, airports: DataFrame, out_dir:
         timings[name] = round(time.perf_counter() - t0, 3)
         return out
 
-    airports = cut_lineage(airports)  # small; reused by the match, nodes and edge checks
-    clean = stage("clean", lambda: cut_lineage(clean_and_enrich(raw)))
-    events = stage("events", lambda: cut_lineage(detect_flight_events(clean, batch_id)))
+    airports = cut_lineage(airports, "airports", columnar=False)  # small; match, nodes, edge checks
+    clean = stage("clean", lambda: cut_lineage(clean_and_enrich(raw), "clean"))
+    events = stage("events", lambda: cut_lineage(detect_flight_events(clean, batch_id), "events",
+                                                 columnar=False))
     matched_path = os.path.join(out_dir, "matched_events")
     matched_all, keyed = stage("airport_match_plan", lambda: match_both(
-        events, airports, mode=match_mode, materialize=cut_lineage))
+        events, airports, mode=match_mode, materialize=lambda d: cut_lineage(d, "match", columnar=False)))
     stage("airport_match", lambda: matched_all.write.mode("overwrite").parquet(matched_path))
     stage("flight_events_table", lambda: keyed.withColumn("event_date", F.to_date("event_time"))
           .write.mode("overwrite").partitionBy("event_date")

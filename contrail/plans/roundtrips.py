@@ -80,7 +80,7 @@ def stream_transitions(spark: SparkSession, sf_dir: str, batch_id: str, chunks:
     micro-batches and restarts. The appended events are read back."""
     raw, _ = fixture_tables(spark, sf_dir)
     clean = clean_and_enrich(raw).withColumn("snapshot_time", F.col("snapshot_time").cast("timestamp"))
-    pos = cut_lineage(clean.select("icao24", "snapshot_time", "on_ground", "latitude", "longitude"))
+    pos = cut_lineage(clean.select("icao24", "snapshot_time", "on_ground", "latitude", "longitude"), "positions")
     root = scratch_dir(spark, "stream-events")
     landing, out, ckpt = (os.path.join(root, x) for x in ("landing", "events", "checkpoint"))
     lo, hi = pos.agg(F.min("snapshot_time"), F.max("snapshot_time")).first()

@@ -58,11 +58,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss,
-    unlike a local checkpoint or a cache)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df: DataFrame, name: str = "stage", columnar: bool = True) -> DataFrame:
+    """End the lineage of ``df`` with data in the shared checkpoint folder
+    (it survives executor loss, unlike a cache or a local checkpoint).
+
+    ``columnar=True``: written as parquet and read back with the known
+    schema, so later readers prune columns and push filters into the files;
+    for large intermediates that several consumers read in part.
+    ``columnar=False``: a reliable RDD checkpoint; cheaper for small
+    intermediates that are always read whole."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    if not columnar:
+        return df.checkpoint(eager=True)
+    import uuid
+
+    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ship_code() -> None:

@@ -45,7 +45,7 @@ def upsert(new_rows: DataFrame, path: str, keys: list[str], time_col: str,
                        .withColumn("_src", F.lit(0)))
         fresh = fresh.unionByName(stored, allowMissingColumns=True)
     merged = keep_top_per_key(fresh, keys, [F.col("_src").desc(), *order]).drop("_src")
-    merged = cut_lineage(merged)  # we overwrite what we read
+    merged = cut_lineage(merged, "upsert")  # we overwrite what we read
     # range-partitioned on (date, keys): sampled boundaries split a hot date
     # over many tasks, and every file holds a narrow sorted key range, so a
     # lookup by icao24 skips files and row groups by their min/max stats
@@ -70,7 +70,7 @@ def compact(spark: SparkSession, path: str, keys: list[str], part_col: str,
     if not values or not _exists(spark, path):
         return 0
     stored = spark.read.parquet(path).filter(F.col(part_col).isin(values))
-    merged = cut_lineage(keep_top_per_key(stored, keys, order))
+    merged = cut_lineage(keep_top_per_key(stored, keys, order), "compact")
     (merged.repartitionByRange(part_col, *keys).sortWithinPartitions(part_col, *keys)
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(part_col).parquet(path))
