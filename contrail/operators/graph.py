@@ -31,6 +31,15 @@ class Graph:
     def tables(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every node / edge table as a temporary view, so the graph
+        can also be queried with ``spark.sql``."""
+        names = []
+        for name, df in self.tables().items():
+            df.createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
 
 def country_nodes(clean: DataFrame) -> DataFrame:
     """U-1: distinct countries over all snapshots; a null country is not a
