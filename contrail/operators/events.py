@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 
 from contrail.functions.labels import event_type_of
 
-EVENT_COLUMNS = ["icao24", "event_time", "event_type", "latitude", "longitude",
-                 "gap_seconds", "batch_id"]
 
 
 _SPLIT_UNITS = ("day", "hour", "minute")

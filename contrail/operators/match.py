@@ -35,9 +35,6 @@ from contrail.functions.geo import (
 from contrail.functions.labels import confidence_band
 from contrail.plans.broadcast import broadcast_if_small
 
-MATCH_COLUMNS = ["icao24", "event_time", "event_type", "latitude", "longitude",
-                 "airport_icao", "airport_name", "dist_km", "confidence", "gap_seconds",
-                 "batch_id"]
 
 DEFAULT_AIRPORT_BROADCAST_ROWS = 2_000_000
 
@@ -155,7 +152,8 @@ def _match_shuffle(events: DataFrame, ap: DataFrame, mode: str, radius_km: float
 def match_airports(events: DataFrame, airports: DataFrame, radius_km: float = AIRPORT_RADIUS_KM,
                    mode: str = "reference", ties: str = "all",
                    broadcast_rows: int = DEFAULT_AIRPORT_BROADCAST_ROWS) -> DataFrame:
-    """Events x airports -> matched events (``MATCH_COLUMNS``).
+    """Events x airports -> matched events: the event columns plus
+    airport_icao, airport_name, dist_km and confidence.
 
     ``ties="all"`` keeps every equidistant nearest airport (an event may
     yield two rows); ``ties="lowest_icao"`` keeps one row per event, the

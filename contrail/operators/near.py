@@ -25,7 +25,6 @@ from contrail.constants import NEAR_DIST_DECIMALS, NEAR_RADIUS_KM
 from contrail.functions.geo import explode_radius_keys, haversine_km, radius_key
 from contrail.functions.labels import time_string
 
-NEAR_COLUMNS = ["icao24_a", "icao24_b", "snapshot_time", "snapshot_time_str", "dist_km"]
 
 
 def airborne_positions(clean: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from contrail.constants import AIRPORT_RADIUS_KM, BATCH_ID_FORMAT, NEAR_RADIUS_K
 from contrail.operators.clean import clean_and_enrich
 from contrail.operators.events import detect_flight_events
 from contrail.operators.graph import Graph, build_graph, operates_edges
-from contrail.operators.match import flight_events_table, match_airports, match_both
+from contrail.operators.match import match_airports, match_both
 from contrail.operators.near import near_pairs
 from contrail.session import cut_lineage
 from contrail.sources.fixtures import fixture_tables
@@ -151,13 +151,6 @@ def run_batch(spark: SparkSession, raw: DataFrame, airports: DataFrame, out_dir:
             "graph_dir": os.path.join(out_dir, "graph")}
 
 
-def _write_events(events: DataFrame, airports: DataFrame, mode: str, out_dir: str) -> None:
-    (flight_events_table(events, airports, mode=mode)
-        .withColumn("event_date", F.to_date("event_time"))
-        .write.mode("overwrite").partitionBy("event_date")
-        .parquet(os.path.join(out_dir, "flight_events")))
-
-
 def run_cycle(spark: SparkSession, landing_dir: str, state_vectors_path: str, airports: DataFrame,
               out_dir: str, checkpoint_location: str, retention_days: int | None = None,
               now=None, batch_id: str | None = None) -> dict:
