@@ -276,17 +276,15 @@ def q9_top_routes_pairwise(g: Graph, limit: int | None = None) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def q10_net_traffic(g: Graph, limit: int | None = None) -> DataFrame:
-    """Departures and arrivals per airport, each pre-aggregated on its own
-    (never the cross product that count(DISTINCT) would undo)."""
+    """Departures and arrivals per airport in one conditional aggregate
+    over the good-confidence edges (one scan, one map-side-combined
+    shuffle; never the cross product that count(DISTINCT) would undo)."""
     n = _lim(limit, "q10")
-    dep = _good(g.flight_edge, K.DEPARTED_FROM).groupBy(F.col("airport_icao").alias("icao")).agg(
-        F.count(F.lit(1)).alias("departures"))
-    arr = _good(g.flight_edge, K.ARRIVED_AT).groupBy(F.col("airport_icao").alias("icao")).agg(
-        F.count(F.lit(1)).alias("arrivals"))
-    both = (dep.join(arr, "icao", "full")
-               .select("icao", F.coalesce("departures", F.lit(0)).alias("departures"),
-                       F.coalesce("arrivals", F.lit(0)).alias("arrivals"))
-               .filter(F.col("departures") + F.col("arrivals") > 0))
+    good = g.flight_edge.filter(F.col("confidence").isin(*K.GOOD_CONFIDENCES)
+                                & F.col("rel_type").isin(K.DEPARTED_FROM, K.ARRIVED_AT))
+    both = good.groupBy(F.col("airport_icao").alias("icao")).agg(
+        F.count_if(F.col("rel_type") == K.DEPARTED_FROM).alias("departures"),
+        F.count_if(F.col("rel_type") == K.ARRIVED_AT).alias("arrivals"))
     order = [(F.col("departures") + F.col("arrivals")).desc(), F.col("icao").asc()]
     top = both.orderBy(*order).limit(n)
     return (F.broadcast(top).join(g.airport.select("icao", "iata", "name", "country"), "icao")
@@ -338,9 +336,13 @@ def graph_stats(g: Graph) -> DataFrame:
         cnt(g.aircraft, "aircraft"), cnt(g.country, "countries"), cnt(g.airport, "airports"),
         cnt(g.snapshot, "snapshots"), cnt(g.operates, "operates"),
         cnt(g.snapshot_edge, "snapshot_edges"), cnt(g.near, "near"),
-        cnt(g.flight_edge.filter(F.col("rel_type") == K.DEPARTED_FROM), "departed_from"),
-        cnt(g.flight_edge.filter(F.col("rel_type") == K.ARRIVED_AT), "arrived_at"),
     ]
+    # both flight-edge types from one pass
+    by_type = g.flight_edge.agg(
+        F.count_if(F.col("rel_type") == K.DEPARTED_FROM).alias("departed_from"),
+        F.count_if(F.col("rel_type") == K.ARRIVED_AT).alias("arrived_at"))
+    parts.append(by_type.select(F.lit("departed_from").alias("entity"), F.col("departed_from").alias("n")))
+    parts.append(by_type.select(F.lit("arrived_at").alias("entity"), F.col("arrived_at").alias("n")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
