@@ -77,14 +77,18 @@ _SORT_WITHIN = {
 
 def _write(df: DataFrame, path: str, mode: str, part: tuple | None,
            sort_within: list[str] | None = None) -> None:
-    if sort_within:
-        df = df.sortWithinPartitions(*sort_within)
+    """Write ``df``; partitioned tables are sorted by (partition column,
+    ``sort_within``) so the ordering the partitioned writer needs is already
+    there and the key order inside each file survives."""
     if part is None:
+        if sort_within:
+            df = df.sortWithinPartitions(*sort_within)
         df.write.mode(mode).parquet(path)
         return
     col, expr = part
     if expr is not None:
         df = df.withColumn(col, expr())
+    df = df.sortWithinPartitions(col, *(sort_within or []))
     df.write.mode(mode).partitionBy(col).parquet(path)
 
 
