@@ -1,20 +1,23 @@
 """ST-6: incremental take-off / landing detection on a stream.
 
-Keyed state per aircraft = its last positioned snapshot (time, on_ground).
-Each micro-batch's rows of one aircraft are sorted by time and compared
-with the previous row, starting from the state; the state then moves to
-the newest row. Rows not newer than the state (late or replayed) are
-skipped. The watermark of ``ttl`` (the 7-day retention of state vectors)
-drives an event-time timeout that drops the state of aircraft not seen
-for that long. On in-order input the output equals the batch
-``detect_flight_events``.
-
-The per-key work of one micro-batch is bounded by the rows that arrived
-for that aircraft in that micro-batch (one per poll); the state is one row.
+Keyed state per aircraft: its last processed positioned snapshot (time,
+on_ground) and the rows that arrived but are not final yet. A row becomes
+final once the watermark (max event time seen minus ``lateness``) passes
+it; final rows are processed in event-time order against the previous row,
+exactly as the batch ``lag`` does, and then leave the pending set. So rows
+that arrive out of order, but within ``lateness``, give the batch result.
+A row older than the last processed one is too late and is skipped.
+Event-time timeouts flush pending rows when the watermark passes them
+without new input, and drop the state of an aircraft unseen for ``ttl``
+(the 7-day retention of state vectors).
+
+The per-key work of one micro-batch is bounded by the rows of that aircraft
+inside the lateness window; the state is one row plus those pending rows.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -27,65 +30,79 @@ from contrail.session import ship_code
 
 EVENT_SCHEMA = ("icao24 STRING, event_time TIMESTAMP, event_type STRING, latitude DOUBLE, "
                 "longitude DOUBLE, gap_seconds INT, batch_id STRING")
-STATE_SCHEMA = "last_time TIMESTAMP, last_ground BOOLEAN"
+STATE_SCHEMA = "last_us LONG, last_ground BOOLEAN, pending STRING"  # times as epoch microseconds
+_EVENT_COLS = ["icao24", "event_time", "event_type", "latitude", "longitude", "gap_seconds", "batch_id"]
 
 
-def _seconds(ts: pd.Series) -> pd.Series:
-    """Whole epoch seconds (each side truncated, as the batch rule)."""
-    return (ts.astype("int64") // 1_000_000_000)
+def _us(ts) -> int:
+    """Epoch microseconds of a timestamp-like value."""
+    return int(pd.Timestamp(ts).value // 1000)
 
 
 def _make_step(batch_id: str, ttl_ms: int):
-    cols = ["icao24", "event_time", "event_type", "latitude", "longitude", "gap_seconds", "batch_id"]
-
     def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        last_t, last_g, pending = None, None, []
+        if state.exists:
+            lt, lg, pend = state.get
+            last_t = int(lt) if lt is not None else None
+            last_g = lg
+            pending = json.loads(pend) if pend else []
+        # rows: [time_us, ground, lat, lon, seq]
+        if not state.hasTimedOut:
+            for pdf in pdfs:
+                if pdf.empty:
+                    continue
+                seq = pdf["ingest_seq"] if "ingest_seq" in pdf.columns else pd.Series(0, index=pdf.index)
+                for t, g, la, lo, s in zip(pdf["snapshot_time"], pdf["on_ground"], pdf["latitude"],
+                                           pdf["longitude"], seq):
+                    pending.append([_us(t), bool(g), float(la), float(lo), int(s)])
+        if last_t is not None:
+            pending = [r for r in pending if r[0] > last_t]  # too late
+        # one row per time: the highest ingest order
+        best: dict[int, list] = {}
+        for r in pending:
+            if r[0] not in best or r[4] >= best[r[0]][4]:
+                best[r[0]] = r
+        rows = sorted(best.values())
+        wm_us = state.getCurrentWatermarkMs() * 1000
+        ready = [r for r in rows if r[0] <= wm_us]
+        waiting = [r for r in rows if r[0] > wm_us]
+
+        out = []
+        for t, g, la, lo, _ in ready:
+            if last_t is not None and last_g != g:
+                out.append((key[0], t, TAKEOFF if last_g else LANDING, la, lo,
+                            t // 1_000_000 - last_t // 1_000_000))
+            last_t, last_g = t, g
+        if out:
+            pdf = pd.DataFrame(out, columns=["icao24", "t", "event_type", "latitude", "longitude", "gap_seconds"])
+            pdf["event_time"] = pd.to_datetime(pdf["t"], unit="us")
+            pdf["gap_seconds"] = pdf["gap_seconds"].astype("int32")
+            pdf["batch_id"] = batch_id
+            yield pdf[_EVENT_COLS]
+
+        expired = not waiting and last_t is not None and last_t // 1000 + ttl_ms < state.getCurrentWatermarkMs()
+        if (last_t is None and not waiting) or expired:
             state.remove()
             return
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        if pdf.empty:
-            return
-        sort_cols = ["snapshot_time"] + (["ingest_seq"] if "ingest_seq" in pdf.columns else [])
-        pdf = pdf.sort_values(sort_cols, kind="mergesort")
-        pdf = pdf.drop_duplicates("snapshot_time", keep="last")
-        prev_t, prev_g = (state.get if state.exists else (None, None))
-        if prev_t is not None:
-            pdf = pdf[pdf["snapshot_time"] > pd.Timestamp(prev_t)]
-            if pdf.empty:
-                return
-        times = pdf["snapshot_time"].reset_index(drop=True)
-        ground = pdf["on_ground"].astype(bool).reset_index(drop=True)
-        p_g = ground.shift(1)
-        p_t = times.shift(1)
-        if prev_t is not None:
-            p_g.iloc[0] = bool(prev_g)
-            p_t.iloc[0] = pd.Timestamp(prev_t)
-        changed = p_g.notna() & (p_g.astype("boolean") != ground)
-        if changed.any():
-            cur = pdf.reset_index(drop=True)[changed]
-            pg = p_g[changed].astype(bool)
-            out = pd.DataFrame({
-                "icao24": key[0],
-                "event_time": cur["snapshot_time"],
-                "event_type": [TAKEOFF if g else LANDING for g in pg],
-                "latitude": cur["latitude"],
-                "longitude": cur["longitude"],
-                "gap_seconds": (_seconds(cur["snapshot_time"]) - _seconds(p_t[changed].astype("datetime64[ns]"))).astype("int32"),
-                "batch_id": batch_id,
-            })[cols]
-            yield out
-        last_t = times.iloc[-1]
-        state.update((last_t.to_pydatetime(), bool(ground.iloc[-1])))
-        state.setTimeoutTimestamp(int(last_t.value // 1_000_000) + ttl_ms)
+        state.update((last_t, last_g, json.dumps(waiting)))
+        # wake up when the watermark reaches the oldest waiting row (a timeout
+        # fires once the watermark is strictly past it), or at expiry
+        wake = [waiting[0][0] // 1000 - 1] if waiting else []
+        if last_t is not None:
+            wake.append(last_t // 1000 + ttl_ms)
+        state.setTimeoutTimestamp(max(min(wake), state.getCurrentWatermarkMs() + 1))
 
     return step
 
 
 def detect_transitions_stream(positions: DataFrame, batch_id: str = "stream",
+                              lateness: str = "0 seconds",
                               ttl_days: int = STATE_VECTOR_TTL_DAYS) -> DataFrame:
     """``positions``: a streaming DataFrame with icao24, snapshot_time
     (TIMESTAMP), on_ground, latitude, longitude (+ optional ingest_seq).
-    Returns the streaming events (append mode)."""
+    ``lateness``: how far behind the newest event time a row may arrive and
+    still be put in order. Returns the streaming events (append mode)."""
     ship_code()
     cols = ["icao24", "snapshot_time", "on_ground", "latitude", "longitude"]
     if "ingest_seq" in positions.columns:
@@ -94,7 +111,7 @@ def detect_transitions_stream(positions: DataFrame, batch_id: str = "stream",
                             & F.col("on_ground").isNotNull() & F.col("latitude").isNotNull()
                             & F.col("longitude").isNotNull())
                     .select(*cols)
-                    .withWatermark("snapshot_time", f"{int(ttl_days)} days"))
+                    .withWatermark("snapshot_time", lateness))
     return pos.groupBy("icao24").applyInPandasWithState(
         _make_step(batch_id, int(ttl_days) * 86_400_000),
         outputStructType=EVENT_SCHEMA,
