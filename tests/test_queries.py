@@ -54,23 +54,36 @@ def test_near_grains_in_queries(pipe001):
     assert pair.filter(F.col("icao24_a") >= F.col("icao24_b")).count() == 0
 
 
-def test_registered_queries_match_oracle_sf0001(spark):
-    import __spark_entry__ as E
+@pytest.fixture(scope="module")
+def duck():
     con = duckdb.connect()
     for t in ("events", "supplier", "nation"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF0001, t + '.parquet')}')")
-    qs, sqls = E.queries(), E.oracle_sql()
-    assert set(sqls) <= set(qs)
-    for name in ["q1_top_countries", "q3_proximity_hubs", "q7_departure_hotspots", "q9_top_routes",
-                 "q10_net_traffic", "airport_match", "near_pairs", "graph_stats"]:
-        s = qs[name](spark, SF0001)
-        got = sorted(tuple(str(v) for v in r) for r in s.select(*sorted(s.columns)).collect())
-        res = con.execute(sqls[name])
-        cols = [c[0] for c in res.description]
-        order = sorted(range(len(cols)), key=lambda i: cols[i])
-        want = sorted(tuple(str(r[i]) for i in order) for r in res.fetchall())
-        assert sorted(s.columns) == sorted(cols), name
-        assert got == want, name
+    return con
+
+
+def _registered():
+    import __spark_entry__ as E
+    return E.queries(), E.oracle_sql()
+
+
+def test_every_query_has_an_oracle():
+    qs, sqls = _registered()
+    assert set(qs) == set(sqls)
+
+
+@pytest.mark.parametrize("name", sorted(n for n in _registered()[0]
+                                        if n not in ("stream_ingest", "stream_flight_events")))
+def test_registered_query_matches_oracle_sf0001(spark, duck, name):
+    qs, sqls = _registered()
+    s = qs[name](spark, SF0001)
+    got = sorted(tuple(str(v) for v in r) for r in s.select(*sorted(s.columns)).collect())
+    res = duck.execute(sqls[name])
+    cols = [c[0] for c in res.description]
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    want = sorted(tuple(str(r[i]) for i in order) for r in res.fetchall())
+    assert sorted(s.columns) == sorted(cols)
+    assert got == want
 
 
 def test_entry_smoke(spark):
