@@ -34,64 +34,72 @@ STATE_SCHEMA = "last_us LONG, last_ground BOOLEAN, pending STRING"  # times as e
 _EVENT_COLS = ["icao24", "event_time", "event_type", "latitude", "longitude", "gap_seconds", "batch_id"]
 
 
-def _us(ts) -> int:
-    """Epoch microseconds of a timestamp-like value."""
-    return int(pd.Timestamp(ts).value // 1000)
+_ROW_COLS = ["t", "g", "la", "lo", "s"]  # time (epoch us), on_ground, lat, lon, ingest order
 
 
 def _make_step(batch_id: str, ttl_ms: int):
     def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last_t, last_g, pending = None, None, []
+        last_t, last_g, parts = None, None, []
         if state.exists:
             lt, lg, pend = state.get
             last_t = int(lt) if lt is not None else None
-            last_g = lg
-            pending = json.loads(pend) if pend else []
-        # rows: [time_us, ground, lat, lon, seq]
+            last_g = bool(lg) if lg is not None else None
+            if pend:
+                parts.append(pd.DataFrame(json.loads(pend), columns=_ROW_COLS))
         if not state.hasTimedOut:
             for pdf in pdfs:
                 if pdf.empty:
                     continue
-                seq = pdf["ingest_seq"] if "ingest_seq" in pdf.columns else pd.Series(0, index=pdf.index)
-                for t, g, la, lo, s in zip(pdf["snapshot_time"], pdf["on_ground"], pdf["latitude"],
-                                           pdf["longitude"], seq):
-                    pending.append([_us(t), bool(g), float(la), float(lo), int(s)])
+                parts.append(pd.DataFrame({
+                    "t": pdf["snapshot_time"].astype("datetime64[us]").astype("int64"),
+                    "g": pdf["on_ground"].astype(bool),
+                    "la": pdf["latitude"].astype(float),
+                    "lo": pdf["longitude"].astype(float),
+                    "s": pdf["ingest_seq"].astype("int64") if "ingest_seq" in pdf.columns else 0,
+                }))
+        rows = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=_ROW_COLS)
         if last_t is not None:
-            pending = [r for r in pending if r[0] > last_t]  # too late
-        # one row per time: the highest ingest order
-        best: dict[int, list] = {}
-        for r in pending:
-            if r[0] not in best or r[4] >= best[r[0]][4]:
-                best[r[0]] = r
-        rows = sorted(best.values())
-        wm_us = state.getCurrentWatermarkMs() * 1000
-        ready = [r for r in rows if r[0] <= wm_us]
-        waiting = [r for r in rows if r[0] > wm_us]
-
-        out = []
-        for t, g, la, lo, _ in ready:
-            if last_t is not None and last_g != g:
-                out.append((key[0], t, TAKEOFF if last_g else LANDING, la, lo,
-                            t // 1_000_000 - last_t // 1_000_000))
-            last_t, last_g = t, g
-        if out:
-            pdf = pd.DataFrame(out, columns=["icao24", "t", "event_type", "latitude", "longitude", "gap_seconds"])
-            pdf["event_time"] = pd.to_datetime(pdf["t"], unit="us")
-            pdf["gap_seconds"] = pdf["gap_seconds"].astype("int32")
-            pdf["batch_id"] = batch_id
-            yield pdf[_EVENT_COLS]
-
-        expired = not waiting and last_t is not None and last_t // 1000 + ttl_ms < state.getCurrentWatermarkMs()
-        if (last_t is None and not waiting) or expired:
+            rows = rows[rows["t"] > last_t]  # older than the last processed row: too late
+        # one row per time (the highest ingest order), in event-time order
+        rows = rows.sort_values(["t", "s"], kind="mergesort").drop_duplicates("t", keep="last")
+        wm_ms = state.getCurrentWatermarkMs()
+        final = rows["t"] <= wm_ms * 1000
+        ready, waiting = rows[final], rows[~final]
+
+        if not ready.empty:
+            prev_g = ready["g"].shift(1)
+            prev_t = ready["t"].shift(1)
+            if last_t is not None:
+                prev_g.iloc[0], prev_t.iloc[0] = last_g, last_t
+            changed = prev_g.notna() & (prev_g.astype("boolean") != ready["g"].astype("boolean"))
+            if changed.any():
+                cur = ready[changed]
+                was_ground = prev_g[changed].astype(bool)
+                out = pd.DataFrame({
+                    "icao24": key[0],
+                    "event_time": pd.to_datetime(cur["t"], unit="us"),
+                    "event_type": was_ground.map({True: TAKEOFF, False: LANDING}),
+                    "latitude": cur["la"],
+                    "longitude": cur["lo"],
+                    # whole seconds of each side, then the difference
+                    "gap_seconds": (cur["t"] // 1_000_000 - prev_t[changed].astype("int64") // 1_000_000)
+                    .astype("int32"),
+                    "batch_id": batch_id,
+                })
+                yield out[_EVENT_COLS]
+            last_t, last_g = int(ready["t"].iloc[-1]), bool(ready["g"].iloc[-1])
+
+        expired = waiting.empty and last_t is not None and last_t // 1000 + ttl_ms < wm_ms
+        if (last_t is None and waiting.empty) or expired:
             state.remove()
             return
-        state.update((last_t, last_g, json.dumps(waiting)))
+        state.update((last_t, last_g, json.dumps(waiting[_ROW_COLS].values.tolist())))
         # wake up when the watermark reaches the oldest waiting row (a timeout
         # fires once the watermark is strictly past it), or at expiry
-        wake = [waiting[0][0] // 1000 - 1] if waiting else []
+        wake = [int(waiting["t"].iloc[0]) // 1000 - 1] if not waiting.empty else []
         if last_t is not None:
             wake.append(last_t // 1000 + ttl_ms)
-        state.setTimeoutTimestamp(max(min(wake), state.getCurrentWatermarkMs() + 1))
+        state.setTimeoutTimestamp(max(min(wake), wm_ms + 1))
 
     return step
 
