@@ -31,14 +31,15 @@ def airborne_positions(clean: DataFrame) -> DataFrame:
     """F-5: airborne and positioned rows, narrow projection."""
     return (clean.filter((F.col("on_ground") == F.lit(False)) & F.col("latitude").isNotNull()
                          & F.col("longitude").isNotNull())
-                 .select("icao24", "snapshot_time", "snapshot_time_str", "latitude", "longitude"))
+                 .select("icao24", "snapshot_time", "latitude", "longitude"))
 
 
 def near_observations(clean: DataFrame, radius_km: float = NEAR_RADIUS_KM) -> DataFrame:
     """One row per (pair, snapshot_time) within ``radius_km``."""
     air = airborne_positions(clean)
     key = radius_key(F.col("latitude"), F.col("longitude"), radius_km)
-    probe = air.select(F.col("icao24").alias("icao24_a"), "snapshot_time", "snapshot_time_str",
+    # narrow shuffle rows: the time string is derived after the join
+    probe = air.select(F.col("icao24").alias("icao24_a"), "snapshot_time",
                        F.col("latitude").alias("lat_a"), F.col("longitude").alias("lon_a"),
                        key["gy"].alias("gy"), key["gx"].alias("gx"))
     build = explode_radius_keys(
@@ -50,7 +51,8 @@ def near_observations(clean: DataFrame, radius_km: float = NEAR_RADIUS_KM) -> Da
     dist = haversine_km(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b"),
                         NEAR_DIST_DECIMALS)
     return (probe.join(build, cond, "inner")
-                 .select("icao24_a", "icao24_b", "snapshot_time", "snapshot_time_str",
+                 .select("icao24_a", "icao24_b", "snapshot_time",
+                         time_string(F.col("snapshot_time")).alias("snapshot_time_str"),
                          dist.alias("dist_km"))
                  .filter(F.col("dist_km") <= radius_km))
 
