@@ -16,7 +16,7 @@ from contrail.operators.events import detect_flight_events
 from contrail.operators.graph import Graph, build_graph, operates_edges
 from contrail.operators.match import match_airports, match_both
 from contrail.operators.near import near_pairs
-from contrail.session import cut_lineage
+from contrail.session import apply_scale_settings, cut_lineage
 from contrail.sources.fixtures import fixture_tables
 
 # Batch id used by the registered queries, so results are repeatable.
@@ -157,18 +157,22 @@ def run_batch(spark: SparkSession, raw: DataFrame, airports: DataFrame, out_dir:
 
 def run_cycle(spark: SparkSession, landing_dir: str, state_vectors_path: str, airports: DataFrame,
               out_dir: str, checkpoint_location: str, retention_days: int | None = None,
-              now=None, batch_id: str | None = None) -> dict:
+              now=None, batch_id: str | None = None, size_session: bool = False) -> dict:
     """ST-3 / ST-4: one scheduled cycle. Ingest whatever snapshots have
     landed (availableNow, idempotent upsert), then recompute everything
     over the retained window of state vectors (7 days by default; any row
     inside it is seen by the next cycle). Scheduling every 5 minutes is the
-    caller's (cron, workflow tool, or a streaming trigger)."""
+    caller's (cron, workflow tool, or a streaming trigger). With
+    ``size_session`` the shuffle partitions, scan splits and skew thresholds
+    are sized from the bytes of the state-vector table first."""
     from contrail.constants import STATE_VECTOR_TTL_DAYS
     from contrail.sinks.tables import retained
     from contrail.streaming.ingest import start_ingest
 
     q = start_ingest(spark, landing_dir, state_vectors_path, checkpoint_location, trigger="availableNow")
     q.awaitTermination()
+    if size_session:
+        apply_scale_settings(spark, [state_vectors_path])
     days = STATE_VECTOR_TTL_DAYS if retention_days is None else retention_days
     # append-only table: clean_and_enrich keeps the newest write per key
     sv = retained(spark.read.parquet(state_vectors_path).drop("snapshot_date"), "snapshot_time", days, now)
