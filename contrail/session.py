@@ -44,13 +44,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared, fault-tolerant folder and is
-    only read here. Only when it is unset (local tests) a scratch folder is
-    created and set.
+    only read here (unset on a cluster is an error: a machine-local folder
+    would not survive executor loss). Only in local mode, when it is unset,
+    a scratch folder is created and set.
     """
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError(
+                f"{CHECKPOINT_CONF} is not set: on a cluster it must name a shared folder "
+                "(HDFS / object store) that every executor can read")
         current = tempfile.mkdtemp(prefix="contrail-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set(CHECKPOINT_CONF, current)
     if not spark.sparkContext.getCheckpointDir():
