@@ -53,3 +53,18 @@ def test_scan_prunes_columns(spark):
     p = plan(raw.select("icao24", "snapshot_time"))
     scan = [line for line in p.splitlines() if "FileScan parquet" in line][0]
     assert "value" not in scan.split("ReadSchema")[-1]
+
+
+def test_at_scale_plans_without_broadcast(spark, pipe001):
+    """With broadcasting disabled (as when the inputs are large) the joins
+    become shuffle joins on the grid keys, never nested loops."""
+    from contrail.session import session_conf
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                              "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        near = plan(near_pairs(pipe001.clean))
+        assert "SortMergeJoin" in near or "ShuffledHashJoin" in near
+        assert "BroadcastNestedLoopJoin" not in near and "CartesianProduct" not in near
+        assert "hashpartitioning(snapshot_time" in near
+        m = plan(match_airports(pipe001.events, pipe001.airports, broadcast_rows=0))
+        assert ("SortMergeJoin" in m or "ShuffledHashJoin" in m) and "rank(" in m
+        assert "BroadcastNestedLoopJoin" not in m and "CartesianProduct" not in m

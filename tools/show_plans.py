@@ -18,7 +18,7 @@ from contrail.operators.match import match_airports  # noqa: E402
 from contrail.operators.near import near_pairs  # noqa: E402
 from contrail.plans import queries as Q  # noqa: E402
 from contrail.plans.pipeline import pipeline_from_dir  # noqa: E402
-from contrail.session import cut_lineage, local_session  # noqa: E402
+from contrail.session import cut_lineage, local_session, session_conf  # noqa: E402
 
 KEEP = re.compile(r"(Exchange|Aggregate|Join|Window|WindowGroupLimit|Generate|Scan|TakeOrdered|Union|"
                   r"Sort |Expand|Cartesian|BroadcastNestedLoop)")
@@ -51,6 +51,15 @@ def main() -> None:
         "Q9 top routes (counted, no pair listing)": Q.q9_top_routes(p.graph),
         "Q10 net traffic": Q.q10_net_traffic(p.graph),
     }
+    # the same stages when nothing is small enough to broadcast (large inputs)
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                              "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        at_scale = {
+            "near pairs, no broadcast (the plan at scale)": condensed(near_pairs(clean)),
+            "airport match, catalogue above the broadcast bound (shuffle + rank fallback)":
+                condensed(match_airports(events, p.airports, broadcast_rows=0)),
+            "Q5 country interactions, no broadcast": condensed(Q.q5_country_interactions(p.graph)),
+        }
     print(f"# Physical plans ({os.path.basename(sf_dir)}, local[8], AQE on)\n")
     print("Condensed `executedPlan` operator lines (before AQE re-planning) of the\n"
           "scale-relevant stages; produced by `python tools/show_plans.py`.\n")
@@ -58,6 +67,10 @@ def main() -> None:
         print(f"## {title}\n\n```")
         print("\n".join(condensed(df)))
         print("```\n")
+    for title, lines in at_scale.items():
+        print(f"## {title}\n\n```")
+        print("\n".join(lines))
+        print("```\n")
     spark.stop()
 
 
