@@ -42,14 +42,43 @@ def timed(results: dict, name: str, fn):
     return out
 
 
+def shuffle_totals(events_dir: str) -> dict:
+    """Shuffle and scan volume of the whole run, summed from the task-end
+    records of Spark's event log (written to the bench's scratch folder)."""
+    tot = {"shuffle_write": 0, "shuffle_read": 0, "scan_input": 0}
+    files = [os.path.join(d, f) for d, _, fs in os.walk(events_dir) for f in fs
+             if f.startswith(("events_", "local-", "app-")) and not f.endswith(".inprogress")]
+    for path in files:
+        if path.endswith(".zstd"):
+            import io
+            import zstandard
+            raw = zstandard.ZstdDecompressor().stream_reader(open(path, "rb"))
+            lines = io.TextIOWrapper(raw, encoding="utf-8")
+        else:
+            lines = open(path, encoding="utf-8")
+        with lines as f:
+            for line in f:
+                if '"SparkListenerTaskEnd"' not in line:
+                    continue
+                m = json.loads(line).get("Task Metrics") or {}
+                tot["shuffle_write"] += (m.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                r = m.get("Shuffle Read Metrics") or {}
+                tot["shuffle_read"] += r.get("Remote Bytes Read", 0) + r.get("Local Bytes Read", 0)
+                tot["scan_input"] += (m.get("Input Metrics") or {}).get("Bytes Read", 0)
+    return {k: round(v / (1 << 20), 1) for k, v in tot.items()}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
-    spark = local_session(cpus, shuffle_partitions=max(8, int(cpus) * 2) if cpus.isdigit() else 16,
-                          app_name="contrail-bench")
     work = tempfile.mkdtemp(prefix="contrail-bench-", dir=os.environ.get("TMPDIR", "/tmp"))
+    events_dir = os.path.join(work, "eventlog")
+    os.makedirs(events_dir)
+    spark = local_session(cpus, shuffle_partitions=max(8, int(cpus) * 2) if cpus.isdigit() else 16,
+                          app_name="contrail-bench",
+                          extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": events_dir})
     res: dict[str, float] = {}
 
     raw, airports = fixture_tables(spark, sf_dir)
@@ -97,13 +126,15 @@ def main() -> None:
         timed(res, name, lambda fn=fn: fn().collect())
 
     total = round(sum(res.values()), 3)
+    spark.stop()  # flushes the event log
+    io = shuffle_totals(events_dir)
     print(json.dumps({
         "metric": "total_sec", "value": total, "unit": "sec", "queries": res, "sf": sf,
         "rows": {"state_vectors_raw": n_raw},
         "ingest_rows_per_sec": round(n_raw / res["ingest"], 1) if res["ingest"] else None,
         "load_test": load,
+        "io_mb": io,
     }))
-    spark.stop()
 
 
 if __name__ == "__main__":
