@@ -36,6 +36,10 @@ from contrail.sources.snapshots import parse_snapshots, snapshots_from_state_vec
 
 
 def timed(results: dict, name: str, fn):
+    from pyspark import SparkContext
+    sc = SparkContext._active_spark_context
+    if sc is not None:
+        sc.setJobGroup(name, name)  # lets the event log attribute stages to this step
     t0 = time.perf_counter()
     out = fn()
     results[name] = round(time.perf_counter() - t0, 3)
@@ -46,6 +50,8 @@ def shuffle_totals(events_dir: str) -> dict:
     """Shuffle and scan volume of the whole run, summed from the task-end
     records of Spark's event log (written to the bench's scratch folder)."""
     tot = {"shuffle_write": 0, "shuffle_read": 0, "scan_input": 0}
+    stage_group: dict[int, str] = {}
+    by_group: dict[str, list] = {}
     files = [os.path.join(d, f) for d, _, fs in os.walk(events_dir) for f in fs
              if f.startswith(("events_", "local-", "app-")) and not f.endswith(".inprogress")]
     for path in files:
@@ -58,14 +64,29 @@ def shuffle_totals(events_dir: str) -> dict:
             lines = open(path, encoding="utf-8")
         with lines as f:
             for line in f:
+                if '"SparkListenerJobStart"' in line:
+                    ev = json.loads(line)
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    for sid in ev.get("Stage IDs", []):
+                        stage_group[sid] = group or "other"
+                    continue
                 if '"SparkListenerTaskEnd"' not in line:
                     continue
-                m = json.loads(line).get("Task Metrics") or {}
-                tot["shuffle_write"] += (m.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                ev = json.loads(line)
+                m = ev.get("Task Metrics") or {}
+                w = (m.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
                 r = m.get("Shuffle Read Metrics") or {}
-                tot["shuffle_read"] += r.get("Remote Bytes Read", 0) + r.get("Local Bytes Read", 0)
+                rd = r.get("Remote Bytes Read", 0) + r.get("Local Bytes Read", 0)
+                tot["shuffle_write"] += w
+                tot["shuffle_read"] += rd
                 tot["scan_input"] += (m.get("Input Metrics") or {}).get("Bytes Read", 0)
-    return {k: round(v / (1 << 20), 1) for k, v in tot.items()}
+                g = by_group.setdefault(stage_group.get(ev.get("Stage ID"), "other"), [0, 0])
+                g[0] += w
+                g[1] += rd
+    out = {k: round(v / (1 << 20), 1) for k, v in tot.items()}
+    out["shuffle_write_by_step"] = {k: round(v[0] / (1 << 20), 2) for k, v in sorted(by_group.items())
+                                    if v[0] or v[1]}
+    return out
 
 
 def main() -> None:
@@ -97,6 +118,7 @@ def main() -> None:
         append_partitions(rows, sv_path, "snapshot_time", "snapshot_date")
     timed(res, "ingest", ingest)
 
+    spark.sparkContext.setJobGroup("load_test", "load_test")
     load = load_test(spark, os.path.join(work, "load_test"))
 
     # the batch job over the ingested table

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.constants import LOAD_TEST_BATCH, LOAD_TEST_ROWS
+from contrail.session import session_conf
 from contrail.sinks.tables import upsert_state_vectors
 from contrail.sources.synthetic import synthetic_state_vectors
 
@@ -41,14 +42,16 @@ def load_test(spark: SparkSession, table_path: str, total: int = LOAD_TEST_ROWS,
     n = table.filter(F.col("icao24").startswith("stress-")).count()
     key = rows.select("icao24").first()[0]
     lookup = point_read(table, key)
-    t1 = time.perf_counter()
-    lookup.collect()
-    first_ms = (time.perf_counter() - t1) * 1000.0
-    reads = []
-    for _ in range(max(1, point_reads)):
+    # a single-stage lookup: nothing for adaptive execution to re-plan
+    with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
         t1 = time.perf_counter()
         lookup.collect()
-        reads.append((time.perf_counter() - t1) * 1000.0)
+        first_ms = (time.perf_counter() - t1) * 1000.0
+        reads = []
+        for _ in range(max(1, point_reads)):
+            t1 = time.perf_counter()
+            lookup.collect()
+            reads.append((time.perf_counter() - t1) * 1000.0)
     reads.sort()
     return {
         "inserted": total - errors, "errors": errors, "batch_size": batch_size,

@@ -131,6 +131,7 @@ def run_batch(spark: SparkSession, raw: DataFrame, airports: DataFrame, out_dir:
     timings = {} if timings is None else timings
 
     def stage(name, fn):
+        spark.sparkContext.setJobGroup(f"contrail:{name}", f"batch job stage {name}")
         t0 = time.perf_counter()
         out = fn()
         timings[name] = round(time.perf_counter() - t0, 3)
