@@ -271,3 +271,13 @@ def test_stream_transitions_reorder_within_lateness(spark):
     got = got.filter(F.col("event_time") <= F.lit(final_wm))
     assert rows(got, *cols) == rows(want, *cols)
     assert got.count() > 0
+
+
+def test_input_bytes_and_session_sizing(spark):
+    from contrail.session import apply_scale_settings, input_bytes, session_conf
+    paths = [os.path.join(SF0001, "events.parquet"), os.path.join(SF0001, "missing.parquet")]
+    assert input_bytes(spark, paths) == os.path.getsize(paths[0])
+    with session_conf(spark, {"spark.sql.shuffle.partitions": "8"}):
+        got = apply_scale_settings(spark, paths[:1], total_cores=4)
+        assert got["spark.sql.shuffle.partitions"] == "8"  # 2 per core for tiny inputs
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(128 << 20)
