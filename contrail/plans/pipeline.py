@@ -16,7 +16,7 @@ from contrail.operators.events import detect_flight_events
 from contrail.operators.graph import Graph, build_graph, operates_edges
 from contrail.operators.match import match_airports, match_both
 from contrail.operators.near import near_pairs
-from contrail.session import apply_scale_settings, cut_lineage
+from contrail.session import apply_scale_settings, cut_lineage, delete_path, scratch_path
 from contrail.sources.fixtures import fixture_tables
 
 # Batch id used by the registered queries, so results are repeatable.
@@ -138,7 +138,8 @@ def run_batch(spark: SparkSession, raw: DataFrame, airports: DataFrame, out_dir:
         return out
 
     airports = cut_lineage(airports, "airports", columnar=False)  # small; match, nodes, edge checks
-    clean = stage("clean", lambda: cut_lineage(clean_and_enrich(raw), "clean"))
+    run_dir = scratch_path(spark, "run")  # this run's intermediates, deleted at the end
+    clean = stage("clean", lambda: cut_lineage(clean_and_enrich(raw), "clean", base=run_dir))
     events = stage("events", lambda: cut_lineage(detect_flight_events(clean, batch_id), "events",
                                                  columnar=False))
     matched_path = os.path.join(out_dir, "matched_events")
@@ -151,7 +152,10 @@ def run_batch(spark: SparkSession, raw: DataFrame, airports: DataFrame, out_dir:
     matched = spark.read.parquet(matched_path)
     near = near_pairs(clean, grain=near_grain)
     graph = build_graph(clean, matched, airports, near)
-    paths = stage("graph_write", lambda: write_graph(graph, os.path.join(out_dir, "graph")))
+    try:
+        paths = stage("graph_write", lambda: write_graph(graph, os.path.join(out_dir, "graph")))
+    finally:
+        delete_path(spark, run_dir)
     return {"batch_id": batch_id, "paths": paths, "timings": timings,
             "graph_dir": os.path.join(out_dir, "graph")}
 

@@ -28,6 +28,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # keyed streaming state (one row per aircraft) off the JVM heap
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
@@ -64,7 +65,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def cut_lineage(df: DataFrame, name: str = "stage", columnar: bool = True) -> DataFrame:
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name under the shared checkpoint folder."""
+    import uuid
+
+    return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursively delete ``path`` on its file system (scratch clean-up)."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(jvm_path):
+        fs.delete(jvm_path, True)
+
+
+def cut_lineage(df: DataFrame, name: str = "stage", columnar: bool = True,
+                base: str | None = None) -> DataFrame:
     """End the lineage of ``df`` with data in the shared checkpoint folder
     (it survives executor loss, unlike a cache or a local checkpoint).
 
@@ -77,9 +94,7 @@ def cut_lineage(df: DataFrame, name: str = "stage", columnar: bool = True) -> Da
     ensure_checkpoint_dir(spark)
     if not columnar:
         return df.checkpoint(eager=True)
-    import uuid
-
-    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    path = scratch_path(spark, name) if base is None else os.path.join(base, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

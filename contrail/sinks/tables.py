@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from contrail import constants as K
 from contrail.operators.clean import keep_top_per_key
-from contrail.session import cut_lineage
+from contrail.session import cut_lineage, delete_path, scratch_path
 
 STATE_VECTOR_KEYS = ["icao24", "snapshot_time"]
 FLIGHT_EVENT_KEYS = ["icao24", "event_time", "event_type"]
@@ -45,16 +45,27 @@ def upsert(new_rows: DataFrame, path: str, keys: list[str], time_col: str,
                        .withColumn("_src", F.lit(0)))
         fresh = fresh.unionByName(stored, allowMissingColumns=True)
     merged = keep_top_per_key(fresh, keys, [F.col("_src").desc(), *order]).drop("_src")
-    merged = cut_lineage(merged, "upsert")  # we overwrite what we read
-    # range-partitioned on (date, keys): sampled boundaries split a hot date
-    # over many tasks, and every file holds a narrow sorted key range, so a
-    # lookup by icao24 skips files and row groups by their min/max stats
-    (merged.repartitionByRange(part_col, *keys).sortWithinPartitions(part_col, *keys)
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(part_col).parquet(path))
+    _overwrite_partitions(merged, path, keys, part_col, "upsert")
     return len(touched)
 
 
+def _overwrite_partitions(merged: DataFrame, path: str, keys: list[str], part_col: str, name: str) -> None:
+    """Materialize ``merged`` (we overwrite what we read), rewrite its
+    partitions, then drop the scratch copy. Range-partitioned on (date,
+    keys): sampled boundaries split a hot date over many tasks, and every
+    file holds a narrow sorted key range, so a lookup by icao24 skips files
+    and row groups by their min/max statistics."""
+    spark = merged.sparkSession
+    scratch = scratch_path(spark, name)
+    try:
+        staged = cut_lineage(merged, "rows", base=scratch)
+        (staged.repartitionByRange(part_col, *keys).sortWithinPartitions(part_col, *keys)
+               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy(part_col).parquet(path))
+    finally:
+        delete_path(spark, scratch)
+
+
 def append_partitions(rows: DataFrame, path: str, time_col: str, part_col: str) -> None:
     """Append-only write into date partitions: O(rows written), whatever
     the table size. Duplicates of a key are resolved when read (the batch
@@ -70,10 +81,7 @@ def compact(spark: SparkSession, path: str, keys: list[str], part_col: str,
     if not values or not _exists(spark, path):
         return 0
     stored = spark.read.parquet(path).filter(F.col(part_col).isin(values))
-    merged = cut_lineage(keep_top_per_key(stored, keys, order), "compact")
-    (merged.repartitionByRange(part_col, *keys).sortWithinPartitions(part_col, *keys)
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(part_col).parquet(path))
+    _overwrite_partitions(keep_top_per_key(stored, keys, order), path, keys, part_col, "compact")
     return len(values)
 
 
