@@ -281,3 +281,14 @@ def test_input_bytes_and_session_sizing(spark):
         got = apply_scale_settings(spark, paths[:1], total_cores=4)
         assert got["spark.sql.shuffle.partitions"] == "8"  # 2 per core for tiny inputs
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(128 << 20)
+
+
+def test_flight_event_retention(spark):
+    from contrail.sinks.tables import expire_flight_events
+    path = os.path.join(scratch(), "fe")
+    ev = spark.createDataFrame(
+        [("a", dt.datetime(2024, 1, 1), "TAKEOFF", "b"), ("a", dt.datetime(2024, 2, 10), "LANDING", "b")],
+        "icao24 string, event_time timestamp, event_type string, batch_id string")
+    upsert_flight_events(ev, path)
+    assert expire_flight_events(spark, path, today=dt.date(2024, 2, 15)) == ["2024-01-01"]
+    assert [r.event_type for r in spark.read.parquet(path).collect()] == ["LANDING"]
