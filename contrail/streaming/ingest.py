@@ -1,12 +1,14 @@
 """ST-1..ST-5: snapshot ingest as a Structured Streaming query.
 
 Landed snapshot files (one JSON document per line) are the stream source;
-every micro-batch is parsed (PL-1) and upserted into the state-vector
-table (SNK-1) inside ``foreachBatch``. The upsert is idempotent, so a
-micro-batch replayed after a failure leaves the same table (exactly-once
-result with the checkpointed source offsets). An empty micro-batch is a
-no-op. ``trigger`` is the poll period ("20 seconds") or ``availableNow``
-for a catch-up run before the batch job (ST-3).
+every micro-batch is parsed (PL-1) and stored in the date-partitioned
+state-vector table (SNK-1) inside ``foreachBatch``: appended by default
+(cost = the micro-batch; the newest write per key wins when the table is
+read, and closed days are compacted), or upserted with ``mode="upsert"``.
+Either way a micro-batch replayed after a failure leaves the same result
+(with the checkpointed source offsets). An empty micro-batch is a no-op.
+``trigger`` is the poll period ("20 seconds") or ``availableNow`` for a
+catch-up run before the batch job (ST-3).
 """
 
 from __future__ import annotations
