@@ -2,10 +2,11 @@
 catalogue overwrite (SNK-3), retention (SNK-10) and reset (SNK-11).
 
 The upsert reads only the partitions the new rows touch, keeps the newest
-row per key (new rows beat stored rows, then the higher ingest order), cuts
-the lineage with a reliable checkpoint and rewrites just those partitions
-(dynamic partition overwrite). Re-running the same batch gives the same
-table, so a retried micro-batch is harmless.
+row per key (new rows beat stored rows, then the higher ingest order),
+materializes the merge in a scratch folder under the shared checkpoint
+folder (deleted afterwards) and rewrites just those partitions (dynamic
+partition overwrite). Re-running the same batch gives the same table, so a
+retried micro-batch is harmless. The append path writes only new rows.
 """
 
 from __future__ import annotations
