@@ -73,3 +73,53 @@ def test_graph_views(pipe0001, spark):
     assert "g_flight_edge" in names
     n = spark.sql("SELECT count(*) FROM g_flight_edge WHERE rel_type = 'DEPARTED_FROM'").first()[0]
     assert n == pipe0001.graph.flight_edge.filter("rel_type = 'DEPARTED_FROM'").count()
+
+
+AP_SCHEMA = ("icao_code STRING, iata_code STRING, name STRING, city STRING, country STRING, "
+             "latitude DOUBLE, longitude DOUBLE, altitude_ft INT, type STRING")
+EV_SCHEMA = ("icao24 STRING, event_time TIMESTAMP, event_type STRING, latitude DOUBLE, "
+             "longitude DOUBLE, gap_seconds INT, batch_id STRING")
+
+
+def brute_match(events, airports, radius=15.0, mode="reference"):
+    m = radius / 111.0
+    out = set()
+    for ev in events:
+        _, _, _, lat, lon, _, _ = ev
+        cands = []
+        for ap in airports:
+            alat, alon = ap[5], ap[6]
+            if mode == "reference":
+                if not (lat - m <= alat <= lat + m and lon - m <= alon <= lon + m):
+                    continue
+            d = round(py_hav(lat, lon, alat, alon), 3)
+            if mode == "geodesic" and d > radius:
+                continue
+            cands.append((d, ap[0]))
+        if not cands:
+            out.add((ev[0], None))
+            continue
+        within = [c for c in cands if c[0] <= radius]
+        if not within:
+            continue  # reference: the event vanishes
+        best = min(c[0] for c in within)
+        out.update((ev[0], c[1]) for c in within if c[0] == best)
+    return out
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.floats(-1, 1), st.floats(-1, 1)), min_size=1, max_size=12),
+       st.lists(st.tuples(st.floats(-1, 1), st.floats(-1, 1)), min_size=0, max_size=8),
+       st.floats(-60, 60), st.sampled_from(["reference", "geodesic"]), st.sampled_from([10_000, 0]))
+def test_match_equals_brute_force(spark, evs, aps, lat0, mode, rows_limit):
+    from contrail.operators.match import match_airports
+    lon0 = 10.0
+    events = [(f"e{i}", T0, "TAKEOFF", lat0 + dy * 0.3, lon0 + dx * 0.3, 1, "b") for i, (dy, dx) in enumerate(evs)]
+    airports = [(f"A{i}", None, f"n{i}", None, None, lat0 + dy * 0.3, lon0 + dx * 0.3, 0, "large_airport")
+                for i, (dy, dx) in enumerate(aps)]
+    got = match_airports(spark.createDataFrame(events, EV_SCHEMA), spark.createDataFrame(airports, AP_SCHEMA),
+                         mode=mode, broadcast_rows=rows_limit)
+    got = {(r.icao24, r.airport_icao) for r in got.collect()}
+    want = brute_match(events, airports, mode=mode)
+    # a distance within float noise of a rounding or radius boundary may differ (JVM vs Python)
+    assert len(got ^ want) <= 1, (got ^ want)
