@@ -123,3 +123,30 @@ def test_match_equals_brute_force(spark, evs, aps, lat0, mode, rows_limit):
     want = brute_match(events, airports, mode=mode)
     # a distance within float noise of a rounding or radius boundary may differ (JVM vs Python)
     assert len(got ^ want) <= 1, (got ^ want)
+
+
+FE_SCHEMA = ("icao24 STRING, airport_icao STRING, rel_type STRING, event_time TIMESTAMP, "
+             "confidence STRING, gap_seconds INT, dist_km DOUBLE")
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["x", "y"]), st.sampled_from(["A", "B", "C"]),
+                          st.sampled_from(["DEPARTED_FROM", "ARRIVED_AT"]),
+                          st.integers(0, 60 * 24 * 5),            # minute within 5 days
+                          st.sampled_from(["HIGH", "MEDIUM", "LOW"])), min_size=1, max_size=40, unique_by=lambda r: (r[0], r[3], r[2])),
+       st.sampled_from(["day", "hour"]))
+def test_route_counts_equal_pairwise(spark, edges, unit):
+    from contrail.operators.graph import Graph
+    from contrail.plans.queries import route_counts
+    rows_ = [(a, ap, rel, T0 + dt.timedelta(minutes=m), conf, 1, 1.0) for a, ap, rel, m, conf in edges]
+    g = Graph(**{f: None for f in Graph.__dataclass_fields__ if f != "flight_edge"},
+              flight_edge=spark.createDataFrame(rows_, FE_SCHEMA))
+    got = {(r.origin, r.dest): r.flights for r in route_counts(g, unit).collect()}
+    want: dict = {}
+    good = [r for r in rows_ if r[4] in ("HIGH", "MEDIUM")]
+    for d in good:
+        for a in good:
+            if (d[0] == a[0] and d[2] == "DEPARTED_FROM" and a[2] == "ARRIVED_AT"
+                    and d[3] < a[3] and d[1] != a[1]):
+                want[(d[1], a[1])] = want.get((d[1], a[1]), 0) + 1
+    assert got == want
