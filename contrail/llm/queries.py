@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from contrail.llm.common import table
+from contrail.llm.ngram_join import ngram_groups
 from contrail.llm.substring_dedup import substring_dedup_digest
 from contrail.llm.suffix_dedup import suffix_dedup
 
@@ -11,9 +12,13 @@ def op1_substring_dedup(spark, sf_dir):
     return substring_dedup_digest(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_jaccard_join(spark, sf_dir):
+    return ngram_groups(table(spark, sf_dir, "documents"))
+
+
 def op6_suffix_dedup(spark, sf_dir):
     return suffix_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES = {q.__name__: q for q in (op1_substring_dedup, op6_suffix_dedup)}
+QUERIES = {q.__name__: q for q in (op1_substring_dedup, op4_ngram_jaccard_join, op6_suffix_dedup)}
 ORACLE_SQL: dict[str, str] = {}

@@ -14,7 +14,6 @@ several such tasks and what they leave open is merged by window hash.
 
 from __future__ import annotations
 
-
 import gc
 
 import numpy as np
