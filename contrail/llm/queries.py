@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from contrail.llm.common import table
+from contrail.llm.decontaminate import contaminated
+from contrail.llm.mixing import mix_sizes
 from contrail.llm.ngram_join import ngram_groups
 from contrail.llm.substring_dedup import substring_dedup_digest
 from contrail.llm.suffix_dedup import suffix_dedup
@@ -16,9 +18,18 @@ def op4_ngram_jaccard_join(spark, sf_dir):
     return ngram_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark, sf_dir):
+    return mix_sizes(table(spark, sf_dir, "documents"))
+
+
 def op6_suffix_dedup(spark, sf_dir):
     return suffix_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES = {q.__name__: q for q in (op1_substring_dedup, op4_ngram_jaccard_join, op6_suffix_dedup)}
+def op9_decontamination(spark, sf_dir):
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {q.__name__: q for q in (op1_substring_dedup, op4_ngram_jaccard_join, op5_mixing,
+                                      op6_suffix_dedup, op9_decontamination)}
 ORACLE_SQL: dict[str, str] = {}
