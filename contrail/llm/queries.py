@@ -6,6 +6,7 @@ from contrail.llm.common import table
 from contrail.llm.decontaminate import contaminated
 from contrail.llm.mixing import mix_sizes
 from contrail.llm.ngram_join import ngram_groups
+from contrail.llm.quality import quality_scores
 from contrail.llm.substring_dedup import substring_dedup_digest
 from contrail.llm.suffix_dedup import suffix_dedup
 
@@ -26,10 +27,14 @@ def op6_suffix_dedup(spark, sf_dir):
     return suffix_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op7_quality(spark, sf_dir):
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_decontamination(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {q.__name__: q for q in (op1_substring_dedup, op4_ngram_jaccard_join, op5_mixing,
-                                      op6_suffix_dedup, op9_decontamination)}
+                                      op6_suffix_dedup, op7_quality, op9_decontamination)}
 ORACLE_SQL: dict[str, str] = {}
