@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from contrail.llm.common import table
 from contrail.llm.decontaminate import contaminated
+from contrail.llm.licenses import license_scan
 from contrail.llm.mixing import mix_sizes
 from contrail.llm.ngram_join import ngram_groups
 from contrail.llm.quality import quality_scores
 from contrail.llm.substring_dedup import substring_dedup_digest
 from contrail.llm.suffix_dedup import suffix_dedup
+from contrail.llm.token_counts import token_counts
 
 
 def op1_substring_dedup(spark, sf_dir):
@@ -31,10 +33,19 @@ def op7_quality(spark, sf_dir):
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_token_counts(spark, sf_dir):
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_license_scan(spark, sf_dir):
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {q.__name__: q for q in (op1_substring_dedup, op4_ngram_jaccard_join, op5_mixing,
-                                      op6_suffix_dedup, op7_quality, op9_decontamination)}
+                                      op6_suffix_dedup, op7_quality, op8_token_counts, op9_decontamination,
+                                      op10_license_scan)}
 ORACLE_SQL: dict[str, str] = {}
