@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from contrail.llm.ann import nearest_neighbours
 from contrail.llm.common import table
 from contrail.llm.decontaminate import contaminated
 from contrail.llm.licenses import license_scan
+from contrail.llm.lm_score import cross_entropy_difference
 from contrail.llm.mixing import mix_sizes
 from contrail.llm.ngram_join import ngram_groups
 from contrail.llm.quality import quality_scores
@@ -17,6 +19,14 @@ def op1_substring_dedup(spark, sf_dir):
     return substring_dedup_digest(table(spark, sf_dir, "documents"))
 
 
+def op2_lm_score(spark, sf_dir):
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_nearest_neighbours(spark, sf_dir):
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op4_ngram_jaccard_join(spark, sf_dir):
     return ngram_groups(table(spark, sf_dir, "documents"))
 
@@ -45,7 +55,7 @@ def op10_license_scan(spark, sf_dir):
     return license_scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_substring_dedup, op4_ngram_jaccard_join, op5_mixing,
+QUERIES = {q.__name__: q for q in (op1_substring_dedup, op2_lm_score, op3_nearest_neighbours, op4_ngram_jaccard_join, op5_mixing,
                                       op6_suffix_dedup, op7_quality, op8_token_counts, op9_decontamination,
                                       op10_license_scan)}
 ORACLE_SQL: dict[str, str] = {}
