@@ -10,9 +10,10 @@ their sets' Jaccard similarity reaches 0.8 (exact integer test). Steps:
 2. Equal sets become one set (128-bit content hash); the rest works on one
    document of each.
 3. Prefix filter: two linked sets share a shingle among the first
-   ``n - ceil(0.8 n) + 1`` of each in the global order. All sets that share
-   such a shingle meet in the block named by the least of them, so each
-   linked pair meets in a block, and no pair is ever listed.
+   ``n - ceil(0.8 n) + 1`` of each in the global order. The sets that share
+   such a shingle are taken by size and cut where the next size is too large
+   for the one before; each run meets in the block named by its first set, so
+   each linked pair meets in a block, and no pair is ever listed.
 4. In a block the ordered sets are stored in a path-compressed trie. Each
    set walks it with the overlap gathered so far; a subtree is left when the
    lengths that remain cannot reach the needed overlap, or when all its sets
@@ -131,30 +132,29 @@ def _prefixes(setting: Setting, cells):
     return run
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (token, set): each set of a shared token meets the
-    first one; streams, so a popular token needs no memory."""
-    token = first = None
-    for b in batches:
-        t, d = b.column("token").to_numpy(), b.column("sid").to_numpy()
-        if not len(t):
-            continue
-        new = np.ones(len(t), dtype=bool)
-        new[1:] = t[1:] != t[:-1]
-        new[0] = t[0] != token if token is not None else True
-        head = np.maximum.accumulate(np.where(new, np.arange(len(t)), -1))
-        pivot = np.where(head >= 0, d[np.maximum(head, 0)], first if first is not None else 0)
-        follow = ~new
-        # the pivot itself joins its block once it has company
-        out_p, out_d = [pivot[follow]], [d[follow]]
-        heads = np.unique(pivot[follow])
-        out_p.append(heads)
-        out_d.append(heads)
-        p, m = np.concatenate(out_p), np.concatenate(out_d)
-        if len(p):
-            pair = np.unique(np.stack([p, m]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["pivot", "sid"])
-        token, first = t[-1], pivot[-1]
+def _meet(percent: int):
+    """Rows sorted by (token, size, set). The sets of a token are cut where
+    a size is too large for the one before it; each set of a stretch meets
+    the first one. Streams, so a popular token needs no memory."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token = size = pivot = 0
+        begun = False
+        for b in batches:
+            t, n, d = (b.column(c).to_numpy() for c in ("token", "n", "sid"))
+            if not len(t):
+                continue
+            new = np.ones(len(t), dtype=bool)
+            new[1:] = (t[1:] != t[:-1]) | (100 * n[:-1] < percent * n[1:])
+            new[0] = not begun or t[0] != token or 100 * size < percent * n[0]
+            head = np.maximum.accumulate(np.where(new, np.arange(len(t)), -1))
+            first = np.where(head >= 0, d[np.maximum(head, 0)], pivot)
+            company = first[~new]
+            # the pivot itself joins its block once it has company
+            pair = np.unique(np.stack([np.concatenate([company, company]), np.concatenate([d[~new], company])]), axis=1)
+            if pair.shape[1]:
+                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["pivot", "sid"])
+            token, size, pivot, begun = t[-1], n[-1], first[-1], True
+    return run
 
 
 class Trie:
@@ -317,10 +317,10 @@ def set_links(docs: DataFrame, setting: Setting = Setting()) -> tuple[DataFrame,
         reps.select("s1", "s2", "n", F.col("s1").alias("sid"), F.col("r._id").alias("rep")),
         ["s1", "s2", "n"], "left").select("_id", "_th", "n", "sid", "rep")
     chosen = reps.select(F.col("s1").alias("sid"), "r._id", "r._th")
-    tokens = (made.select("_id", "_th", "prefix").join(chosen, ["_id", "_th"])
-              .select("sid", F.explode("prefix").alias("token"))
-              .repartition("token").sortWithinPartitions("token", "sid"))
-    members = stored(tokens.mapInArrow(_meet, "pivot long, sid long").distinct(), "members")
+    tokens = (made.select("_id", "_th", "n", "prefix").join(chosen, ["_id", "_th"])
+              .select("sid", "n", F.explode("prefix").alias("token"))
+              .repartition("token").sortWithinPartitions("token", "n", "sid"))
+    members = stored(tokens.mapInArrow(_meet(setting.percent), "pivot long, sid long").distinct(), "members")
     size = members.groupBy("pivot").agg(F.count(F.lit(1)).alias("c"))
     dealt = members.join(size, "pivot").withColumn("parts", F.ceil(F.col("c") / setting.block_limit))
     hot = F.col("parts") > 1
@@ -328,10 +328,10 @@ def set_links(docs: DataFrame, setting: Setting = Setting()) -> tuple[DataFrame,
              .otherwise(F.array(F.pmod(F.xxhash64("sid"), F.col("parts"))))
     where = dealt.select("sid", F.struct("pivot", "parts", hot.alias("hot"), salts.alias("salts")).alias("x"))
     lists = where.groupBy("sid").agg(F.collect_list("x").alias("xs")).join(chosen, "sid")
-    texts = rows.join(lists, ["_id", "_th"]).dropDuplicates(["_id", "_th"])
+    texts = stored(rows.join(lists, ["_id", "_th"]).dropDuplicates(["_id", "_th"]).select("sid", "text", "xs"), "blocks")
     blocks = (texts.select("sid", "text", F.explode("xs").alias("x"))
-              .select("sid", "text", "x.pivot", "x.parts", "x.hot", F.explode("x.salts").alias("salt")))
-    blocks = stored(blocks.withColumn("must", F.lit(False)), "blocks")
+              .select("sid", "text", "x.pivot", "x.parts", "x.hot", F.explode("x.salts").alias("salt"))
+              .withColumn("must", F.lit(False)))
 
     def joined(part: DataFrame) -> DataFrame:
         return (part.repartition(F.col("pivot"), F.col("salt")).sortWithinPartitions("pivot", "salt", "sid")
