@@ -19,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import Words, batch_of, text_chunks
+from contrail.llm.common import Words, batch_of, stored, text_chunks
 from contrail.session import ship_code
 
 VOCABULARY = 16_384
-BIGRAMS = 500_000
+BIGRAMS = 300_000
 WEIGHT = 0.7          # of the bigram estimate
 FLUSH = 4_000_000     # words whose counts are combined before they leave a task
 
@@ -123,7 +123,16 @@ def _losses(model):
 
 
 def _top(counts: DataFrame, n: int):
-    return counts.orderBy(F.desc("c"), "key").limit(n).toPandas()
+    """The commonest keys, at most ``n``: all with more than the least count
+    that lets them fit. The driver gets the spread of counts, then the keys."""
+    spread = sorted(((r["c"], r["n"]) for r in counts.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()),
+                    reverse=True)
+    least, kept = None, 0
+    for c, m in spread:
+        if kept + m > n:
+            break
+        least, kept = c, kept + m
+    return counts.filter(F.col("c") >= (least if least is not None else (1 << 62))).toPandas()
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, vocabulary: int = VOCABULARY,
@@ -148,13 +157,12 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, vocabulary: int
         return marked.select("text", "good").mapInArrow(fn, _COUNT_DDL).groupBy("key").agg(
             F.sum("c").alias("c"), F.sum("g").alias("g"))
 
-    words = counted(_words)
-    words.persist()
+    words = stored(counted(_words), "words")
     top = _top(words, vocabulary).sort_values("key")
     total = words.agg(F.sum("c"), F.sum("g")).first()
-    words.unpersist()
     shared = spark.sparkContext.broadcast(top["key"].to_numpy(dtype=np.int64))
-    pairs = _top(counted(_bigrams(shared)), bigrams).sort_values("key")
+    both = stored(counted(_bigrams(shared)), "bigrams")
+    pairs = _top(both, bigrams).sort_values("key")
     size = len(top) + 1
     unigram, bigram = [], []
     codes = pairs["key"].to_numpy(dtype=np.int64)
