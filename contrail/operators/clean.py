@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from contrail.session import in_utc
 from contrail.functions.labels import (
     blank_to_null, country_label, position_source_label, time_string,
 )
@@ -45,6 +46,7 @@ def _try_cast(c: str, dtype: str) -> Column:
     return F.col(c).try_cast(dtype)
 
 
+@in_utc
 def clean_and_enrich(raw: DataFrame, order_col: str = "event_id") -> DataFrame:
     """PL-3: dedup, normalise callsign and country, cast, add km/h, the
     position-source label and the ISO time string."""

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.functions.labels import event_type_of
+from contrail.session import in_utc
 
 
 
@@ -76,6 +77,7 @@ def with_previous_state(pos: DataFrame, split_unit: str | None = "day") -> DataF
             .drop("_ghost", "_bucket"))
 
 
+@in_utc
 def detect_flight_events(clean: DataFrame, batch_id: str = "manual",
                          split_unit: str | None = "day") -> DataFrame:
     """TAKEOFF (True -> False) / LANDING (False -> True); position and time

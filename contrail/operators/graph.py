@@ -12,6 +12,7 @@ from contrail.constants import CONF_NONE
 from contrail.functions.labels import rel_type_of
 from contrail.operators.clean import keep_top_per_key, latest_per_aircraft
 from contrail.plans.broadcast import broadcast_if_small
+from contrail.session import in_utc
 from contrail.schema import AIRCRAFT_PROPS, SNAPSHOT_EDGE_PROPS
 
 AIRPORT_NODE_BROADCAST_ROWS = 2_000_000
@@ -74,11 +75,13 @@ def snapshot_id(clean: DataFrame):
     return F.concat_ws("_", F.col("icao24"), F.col("snapshot_time_str"))
 
 
+@in_utc
 def snapshot_nodes(clean: DataFrame) -> DataFrame:
     """Snapshot nodes carry only their id (P-7)."""
     return clean.select(snapshot_id(clean).alias("id"))
 
 
+@in_utc
 def snapshot_edges(clean: DataFrame) -> DataFrame:
     """Aircraft -> Snapshot; the observation values live on the edge."""
     return clean.select("icao24", snapshot_id(clean).alias("snapshot_id"), *SNAPSHOT_EDGE_PROPS)

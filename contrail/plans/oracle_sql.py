@@ -26,9 +26,9 @@ _M = "(15e0 / 111e0)"
 
 CTES = {
     "f_airports": """
-SELECT concat('A', lpad(CAST(s_suppkey AS VARCHAR), 3, '0')) AS icao_code,
+SELECT concat('A', lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(3, length(CAST(s_suppkey AS VARCHAR))) AS INT), '0')) AS icao_code,
        CASE WHEN s_suppkey % 7 = 0 THEN NULL
-            ELSE concat('I', lpad(CAST(s_suppkey AS VARCHAR), 3, '0')) END AS iata_code,
+            ELSE concat('I', lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(3, length(CAST(s_suppkey AS VARCHAR))) AS INT), '0')) END AS iata_code,
        s_name AS name,
        concat('City ', CAST(s_suppkey % 13 AS VARCHAR)) AS city,
        n_name AS country,
@@ -39,7 +39,7 @@ SELECT concat('A', lpad(CAST(s_suppkey AS VARCHAR), 3, '0')) AS icao_code,
 FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "f_raw": """
 SELECT event_id,
-       lpad(lower(hex(user_id + 4096)), 6, '0') AS icao24,
+       lpad(lower(hex(user_id + 4096)), CAST(greatest(6, length(hex(user_id + 4096))) AS INT), '0') AS icao24,
        CAST(concat('2024-01-', lpad(CAST(day(ts) AS VARCHAR), 2, '0'), ' ',
                    lpad(CAST(CAST(floor(hour(ts) / 6e0) AS INT) * 6 AS VARCHAR), 2, '0'), ':00:00') AS TIMESTAMP) AS snapshot_time,
        CASE WHEN event_id % 11 = 0 THEN '   ' ELSE concat(' FL', CAST(user_id AS VARCHAR), ' ') END AS callsign,
@@ -332,7 +332,8 @@ SELECT icao24, snapshot_time, callsign, origin_country, time_position, last_cont
     "airport_catalogue_csv": """
 SELECT a.icao_code, a.iata_code, a.name, a.city, a.country, a.latitude, a.longitude,
        CAST(trunc(s.s_acctbal) AS INT) AS altitude_ft, a.type
-FROM f_airports a JOIN supplier s ON a.icao_code = concat('A', lpad(CAST(s.s_suppkey AS VARCHAR), 3, '0'))""",
+FROM f_airports a JOIN supplier s ON a.icao_code = concat('A', lpad(CAST(s.s_suppkey AS VARCHAR), CAST(greatest(3, length(CAST(s.s_suppkey AS VARCHAR))) AS INT), '0'))
+WHERE length(a.icao_code) = 4""",
     "stream_flight_events": "SELECT * FROM f_events",
     "edge_integrity": """
 SELECT 'operates.country' AS edge_end, count(*) AS missing FROM f_operates o WHERE o.country NOT IN (SELECT name FROM f_country)

@@ -10,13 +10,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.constants import AIRPORT_RADIUS_KM, BATCH_ID_FORMAT, NEAR_RADIUS_KM
+from contrail.constants import AIRPORT_RADIUS_KM, BATCH_ID_FORMAT, FLIGHT_EVENT_TTL_DAYS, NEAR_RADIUS_KM
 from contrail.operators.clean import clean_and_enrich
 from contrail.operators.events import detect_flight_events
 from contrail.operators.graph import Graph, build_graph, operates_edges
 from contrail.operators.match import match_airports, match_both
 from contrail.operators.near import near_pairs
-from contrail.session import apply_scale_settings, cut_lineage, delete_path, scratch_path
+from contrail.session import apply_scale_settings, cut_lineage, delete_path, in_utc, scratch_path
+from contrail.sinks.tables import expire_partitions, merge_table, retained, upsert, upsert_flight_events
 from contrail.sources.fixtures import fixture_tables
 
 # Batch id used by the registered queries, so results are repeatable.
@@ -32,11 +33,13 @@ class Pipeline:
     airports: DataFrame
 
 
+@in_utc
 def new_batch_id(spark: SparkSession) -> str:
     """P-12: UTC yyyyMMddTHHmmssZ of now (the session zone is UTC)."""
     return spark.range(1).select(F.date_format(F.current_timestamp(), BATCH_ID_FORMAT)).first()[0]
 
 
+@in_utc
 def build_pipeline(raw: DataFrame, airports: DataFrame, batch_id: str = FIXED_BATCH_ID,
                    near_grain: str = "pair", match_mode: str = "reference",
                    airport_radius_km: float = AIRPORT_RADIUS_KM,
@@ -59,62 +62,55 @@ def graph_from_dir(spark: SparkSession, sf_dir: str, **kw) -> Graph:
     return pipeline_from_dir(spark, sf_dir, **kw).graph
 
 
-# Partitioning of the written tables: date partitions for time-sliced
-# tables (retention drops whole partitions, queries prune them).
-_WRITE_LAYOUT = {
-    "snapshot_edge": ("snapshot_date", lambda: F.to_date("snapshot_time")),
-    "flight_edge": ("rel_type", None),
-}
-# Rows sorted by aircraft inside each written file (a local sort, no
-# shuffle): parquet min/max statistics then let a lookup by icao24 skip
-# row groups (point read, trajectory, history).
-_SORT_WITHIN = {
-    "snapshot_edge": ["icao24", "snapshot_time"],
-    "flight_edge": ["icao24", "event_time"],
+# Keys of the written tables. Tables with a time are kept in date partitions
+# and only the dates of the new rows are rewritten, ordered by (date, keys)
+# over all files; node tables and pairs are merged as a whole. Earlier
+# cycles' rows stay.
+_KEYS = {
+    "country": ["name"],
     "aircraft": ["icao24"],
+    "airport": ["icao"],
+    "snapshot": ["id"],
+    "operates": ["country", "icao24"],
+    "snapshot_edge": ["icao24", "snapshot_id"],
+    "flight_edge": ["icao24", "event_time", "rel_type", "airport_icao"],
 }
+_DATED = {"snapshot": ("snapshot_time", "snapshot_date"), "snapshot_edge": ("snapshot_time", "snapshot_date"),
+          "flight_edge": ("event_time", "event_date")}
 
 
-def _write(df: DataFrame, path: str, mode: str, part: tuple | None,
-           sort_within: list[str] | None = None) -> None:
-    """Write ``df``; partitioned tables are sorted by (partition column,
-    ``sort_within``) so the ordering the partitioned writer needs is already
-    there and the key order inside each file survives."""
-    if part is None:
-        if sort_within:
-            df = df.sortWithinPartitions(*sort_within)
-        df.write.mode(mode).parquet(path)
-        return
-    col, expr = part
-    if expr is not None:
-        df = df.withColumn(col, expr())
-    df = df.sortWithinPartitions(col, *(sort_within or []))
-    df.write.mode(mode).partitionBy(col).parquet(path)
-
-
-def write_graph(graph: Graph, out_dir: str, mode: str = "overwrite") -> dict[str, str]:
-    """SNK-4..9: every node / edge table as parquet under ``out_dir``.
-    Aircraft nodes are written first and OPERATES is derived from the
-    written table, so the latest-row window runs once."""
+@in_utc
+def write_graph(graph: Graph, out_dir: str, near_grain: str = "pair") -> dict[str, str]:
+    """SNK-4..9: every node / edge table as parquet under ``out_dir``, merged
+    by key with what is there. Aircraft nodes are written first and OPERATES
+    is derived from the written table."""
     spark = graph.aircraft.sparkSession
     paths = {name: os.path.join(out_dir, name) for name in graph.tables()}
-    _write(graph.aircraft, paths["aircraft"], mode, None, _SORT_WITHIN["aircraft"])
-    aircraft = spark.read.parquet(paths["aircraft"])
-    tables = graph.tables()
-    tables["operates"] = operates_edges(aircraft)
+    keys = _KEYS | {"near": ["icao24_a", "icao24_b"] + (["snapshot_time"] if near_grain == "observation" else [])}
+    merge_table(graph.aircraft, paths["aircraft"], keys["aircraft"])
+    tables = graph.tables() | {
+        "operates": operates_edges(spark.read.parquet(paths["aircraft"])),
+        "snapshot": graph.snapshot_edge.select(F.col("snapshot_id").alias("id"), "snapshot_time"),
+    }
     for name, df in tables.items():
-        if name != "aircraft":
-            _write(df, paths[name], mode, _WRITE_LAYOUT.get(name), _SORT_WITHIN.get(name))
+        if name == "operates":  # a function of the merged aircraft
+            df.write.mode("overwrite").parquet(paths[name])
+        elif name in _DATED:
+            time_col, part_col = _DATED[name]
+            upsert(df, paths[name], keys[name], time_col, part_col)
+        elif name != "aircraft":
+            merge_table(df, paths[name], keys[name])
     return paths
 
 
 def read_graph(spark: SparkSession, out_dir: str) -> Graph:
     def rd(name):
-        df = spark.read.parquet(os.path.join(out_dir, name))
-        return df.drop("snapshot_date") if name == "snapshot_edge" else df
+        df = spark.read.parquet(os.path.join(out_dir, name)).drop("snapshot_date", "event_date")
+        return df.select("id") if name == "snapshot" else df
     return Graph(**{name: rd(name) for name in Graph.__dataclass_fields__})
 
 
+@in_utc
 def run_batch(spark: SparkSession, raw: DataFrame, airports: DataFrame, out_dir: str,
               batch_id: str | None = None, near_grain: str = "pair",
               match_mode: str = "reference", timings: dict | None = None) -> dict:
@@ -124,8 +120,9 @@ def run_batch(spark: SparkSession, raw: DataFrame, airports: DataFrame, out_dir:
     is written once as parquet into the shared checkpoint folder and read
     back (lineage cut, survives executor loss, consumers prune columns).
     The much smaller events and match candidates are read whole by two
-    consumers each and get a reliable checkpoint. The matched events are
-    written once and the edge writer re-reads them.
+    consumers each and get a reliable checkpoint. Events and graph tables are
+    merged by key into what earlier runs wrote: nothing of theirs is lost,
+    and running a batch again changes nothing.
     """
     batch_id = batch_id or new_batch_id(spark)
     timings = {} if timings is None else timings
@@ -145,21 +142,21 @@ def run_batch(spark: SparkSession, raw: DataFrame, airports: DataFrame, out_dir:
     matched_path = os.path.join(out_dir, "matched_events")
     matched_all, keyed = stage("airport_match_plan", lambda: match_both(
         events, airports, mode=match_mode, materialize=lambda d: cut_lineage(d, "match", columnar=False)))
-    stage("airport_match", lambda: matched_all.write.mode("overwrite").parquet(matched_path))
-    stage("flight_events_table", lambda: keyed.withColumn("event_date", F.to_date("event_time"))
-          .write.mode("overwrite").partitionBy("event_date")
-          .parquet(os.path.join(out_dir, "flight_events")))
-    matched = spark.read.parquet(matched_path)
+    stage("airport_match", lambda: upsert(
+        matched_all, matched_path, ["icao24", "event_time", "event_type", "airport_icao"], "event_time", "event_date"))
+    stage("flight_events_table", lambda: upsert_flight_events(keyed, os.path.join(out_dir, "flight_events")))
+    matched = matched_all
     near = near_pairs(clean, grain=near_grain)
     graph = build_graph(clean, matched, airports, near)
     try:
-        paths = stage("graph_write", lambda: write_graph(graph, os.path.join(out_dir, "graph")))
+        paths = stage("graph_write", lambda: write_graph(graph, os.path.join(out_dir, "graph"), near_grain))
     finally:
         delete_path(spark, run_dir)
     return {"batch_id": batch_id, "paths": paths, "timings": timings,
             "graph_dir": os.path.join(out_dir, "graph")}
 
 
+@in_utc
 def run_cycle(spark: SparkSession, landing_dir: str, state_vectors_path: str, airports: DataFrame,
               out_dir: str, checkpoint_location: str, retention_days: int | None = None,
               now=None, batch_id: str | None = None, size_session: bool = False) -> dict:
@@ -171,7 +168,6 @@ def run_cycle(spark: SparkSession, landing_dir: str, state_vectors_path: str, ai
     ``size_session`` the shuffle partitions, scan splits and skew thresholds
     are sized from the bytes of the state-vector table first."""
     from contrail.constants import STATE_VECTOR_TTL_DAYS
-    from contrail.sinks.tables import retained
     from contrail.streaming.ingest import start_ingest
 
     q = start_ingest(spark, landing_dir, state_vectors_path, checkpoint_location, trigger="availableNow")
@@ -180,5 +176,11 @@ def run_cycle(spark: SparkSession, landing_dir: str, state_vectors_path: str, ai
         apply_scale_settings(spark, [state_vectors_path])
     days = STATE_VECTOR_TTL_DAYS if retention_days is None else retention_days
     # append-only table: clean_and_enrich keeps the newest write per key
-    sv = retained(spark.read.parquet(state_vectors_path).drop("snapshot_date"), "snapshot_time", days, now)
-    return run_batch(spark, sv, airports, out_dir, batch_id=batch_id)
+    sv = retained(spark.read.parquet(state_vectors_path), "snapshot_time", days, now, "snapshot_date").drop("snapshot_date")
+    result = run_batch(spark, sv, airports, out_dir, batch_id=batch_id)
+    # SNK-10: whole days beyond their retention go
+    today = now.date() if now is not None else None
+    expire_partitions(spark, state_vectors_path, "snapshot_date", days, today)
+    expire_partitions(spark, os.path.join(out_dir, "flight_events"), "event_date",
+                      max(days, FLIGHT_EVENT_TTL_DAYS), today)
+    return result

@@ -16,6 +16,7 @@ from contrail import constants as K
 from contrail.functions.labels import check_limit, check_min_snapshots, normalize_icao
 from contrail.operators.graph import Graph
 from contrail.plans.broadcast import broadcast_if_small
+from contrail.session import in_utc
 
 LOOKUP_BROADCAST_ROWS = 2_000_000
 
@@ -66,7 +67,7 @@ def q2_top_speed(g: Graph, limit: int | None = None,
     top = (agg.select("icao24", _round2(F.col("_avg")).alias("avg_velocity_ms"),
                       _round2(F.col("_avg") * 3.6).alias("avg_velocity_kmh"), "snapshots")
               .orderBy(*order).limit(n))
-    return (F.broadcast(top).join(g.aircraft.select("icao24", "callsign"), "icao24", "left")
+    return (g.aircraft.select("icao24", "callsign").join(F.broadcast(top), "icao24", "right")
              .select("icao24", "callsign", "avg_velocity_ms", "avg_velocity_kmh", "snapshots")
              .orderBy(*order))
 
@@ -93,7 +94,7 @@ def q3_proximity_hubs(g: Graph, limit: int | None = None) -> DataFrame:
     top = (_near_by_aircraft(g.near)
            .select("icao24", "near_count", _round2(F.col("_s") / F.col("_c")).alias("avg_dist_km"))
            .orderBy(*order).limit(n))
-    return (F.broadcast(top).join(g.aircraft.select("icao24", "callsign"), "icao24", "left")
+    return (g.aircraft.select("icao24", "callsign").join(F.broadcast(top), "icao24", "right")
              .select("icao24", "callsign", "near_count", "avg_dist_km").orderBy(*order))
 
 
@@ -111,6 +112,7 @@ def _trajectory_rows(edges: DataFrame) -> DataFrame:
                          "latitude", "longitude", "on_ground", "snapshot_time"))
 
 
+@in_utc
 def q4_trajectory(g: Graph, icao24: str) -> DataFrame:
     """Snapshots of one aircraft with a known altitude, in time order
     (empty result = unknown aircraft; the caller decides)."""
@@ -125,6 +127,7 @@ def q4_most_tracked(g: Graph) -> DataFrame:
              .orderBy(F.col("snapshots").desc(), F.col("icao24").asc()).limit(1))
 
 
+@in_utc
 def q4_trajectory_of_most_tracked(g: Graph) -> DataFrame:
     """Q4 for the aircraft Q4h picks, as one plan (no driver round trip)."""
     who = F.broadcast(q4_most_tracked(g).select("icao24"))
@@ -195,6 +198,7 @@ def q8_arrival_hotspots(g: Graph, limit: int | None = None) -> DataFrame:
 # Q9 top routes
 # --------------------------------------------------------------------------
 
+@in_utc
 def route_counts(g: Graph, split_unit: str = "day") -> DataFrame:
     """flights(origin, dest) = number of (departure, arrival) pairs of the
     same aircraft with departure time < arrival time and origin <> dest
@@ -242,6 +246,7 @@ def route_counts(g: Graph, split_unit: str = "day") -> DataFrame:
                   .agg(F.sum("flights").alias("flights")))
 
 
+@in_utc
 def q9_top_routes(g: Graph, limit: int | None = None) -> DataFrame:
     n = _lim(limit, "q9")
     order = [F.col("flights").desc(), F.col("origin_icao").asc(), F.col("dest_icao").asc()]
@@ -252,7 +257,7 @@ def q9_top_routes(g: Graph, limit: int | None = None) -> DataFrame:
                          F.col("city").alias("origin_city"))
     d = g.airport.select(F.col("icao").alias("dest_icao"), F.col("iata").alias("dest_iata"),
                          F.col("city").alias("dest_city"))
-    return (F.broadcast(top).join(o, "origin_icao").join(d, "dest_icao")
+    return (F.broadcast(F.broadcast(top).join(o, "origin_icao")).join(d, "dest_icao")
              .select("origin_icao", "origin_iata", "origin_city", "dest_icao", "dest_iata",
                      "dest_city", "flights").orderBy(*order))
 

@@ -17,13 +17,11 @@ from contrail.session import (
     cut_lineage, ensure_checkpoint_dir, input_bytes, session_conf, stateful_settings,
 )
 from contrail.sources.airports_csv import load_airports
-from contrail.sources.fixtures import fixture_tables
+from contrail.sources.fixtures import fixture_tables, padded
 from contrail.sources.snapshots import parse_snapshots, snapshots_from_state_vectors
 from contrail.streaming.ingest import start_ingest
 from contrail.streaming.transitions import EVENT_SCHEMA, detect_transitions_stream
 
-STREAM_TIMEOUT_SEC = 3600
-
 
 def scratch_dir(spark: SparkSession, what: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), f"{what}-{uuid.uuid4().hex}")
@@ -45,7 +43,7 @@ def airport_catalogue_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     and normalisation rules."""
     _, airports = fixture_tables(spark, sf_dir)
     supplier = spark.read.parquet(os.path.join(sf_dir, "supplier.parquet"))
-    csv_rows = (airports.join(supplier.select(F.concat(F.lit("A"), F.lpad(F.col("s_suppkey").cast("string"), 3, "0"))
+    csv_rows = (airports.join(supplier.select(F.concat(F.lit("A"), padded(F.col("s_suppkey"), 3))
                                               .alias("icao_code"), "s_suppkey", "s_acctbal"), "icao_code")
                 .select(F.col("icao_code").alias("ident"), "type", "name",
                         F.col("latitude").cast("string").alias("latitude_deg"),
@@ -67,7 +65,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     snapshots_from_state_vectors(raw).write.json(os.path.join(root, "landing"))
     q = start_ingest(spark, os.path.join(root, "landing"), os.path.join(root, "table"),
                      os.path.join(root, "checkpoint"), trigger="availableNow")
-    q.awaitTermination(STREAM_TIMEOUT_SEC)
+    q.awaitTermination()  # to the end of what has landed, or its error
     table = spark.read.parquet(os.path.join(root, "table")).drop("snapshot_date")
     return _ntz(dedup_latest_write(table).drop("ingest_seq"), "snapshot_time")
 
@@ -99,8 +97,8 @@ def stream_transitions(spark: SparkSession, sf_dir: str, batch_id: str, chunks:
         stream = (spark.readStream.schema(pos.schema).option("recursiveFileLookup", True)
                        .parquet(landing))
         with session_conf(spark, settings):  # captured by the query at its first start
-            q = (detect_transitions_stream(stream, batch_id).writeStream.format("parquet")
+            q = (detect_transitions_stream(stream, batch_id, lateness="0 seconds").writeStream.format("parquet")
                  .option("path", out).option("checkpointLocation", ckpt)
                  .trigger(availableNow=True).start())
-        q.awaitTermination(STREAM_TIMEOUT_SEC)
+        q.awaitTermination()  # to the end of what has landed, or its error
     return _ntz(spark.read.schema(EVENT_SCHEMA).parquet(out), "event_time")

@@ -3,6 +3,7 @@ checkpoint folder used to cut lineage."""
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 from contextlib import contextmanager
@@ -167,6 +168,23 @@ def session_conf(spark: SparkSession, settings: dict[str, str]):
                 spark.conf.set(k, v)
 
 
+def in_utc(fn):
+    """Run ``fn`` with the session time zone of its first DataFrame or
+    session set to UTC. Time-zone-dependent expressions take the zone when
+    their plan is made, so frames that ``fn`` returns keep UTC whatever the
+    caller's zone is."""
+    @functools.wraps(fn)
+    def run(*args, **kw):
+        for a in (*args, *kw.values()):
+            spark = a if hasattr(a, "newSession") else getattr(a, "sparkSession", None) \
+                or getattr(getattr(a, "aircraft", None), "sparkSession", None)
+            if spark is not None:
+                with session_conf(spark, {"spark.sql.session.timeZone": "UTC"}):
+                    return fn(*args, **kw)
+        return fn(*args, **kw)
+    return run
+
+
 def stateful_settings(spark: SparkSession, total_input_bytes: int) -> dict[str, str]:
     """Settings a stateful stream fixes at its first start: state partitions
     sized to the input (>= 2 per core, ~128 MB each) and the RocksDB state

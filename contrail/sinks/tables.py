@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from contrail import constants as K
 from contrail.operators.clean import keep_top_per_key
-from contrail.session import cut_lineage, delete_path, scratch_path
+from contrail.session import cut_lineage, delete_path, in_utc, scratch_path
 
 STATE_VECTOR_KEYS = ["icao24", "snapshot_time"]
 FLIGHT_EVENT_KEYS = ["icao24", "event_time", "event_type"]
@@ -30,6 +30,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
+@in_utc
 def upsert(new_rows: DataFrame, path: str, keys: list[str], time_col: str,
            part_col: str = "part_date", order: list[Column] | None = None) -> int:
     """Insert-or-replace ``new_rows`` by ``keys`` into parquet at ``path``
@@ -67,6 +68,7 @@ def _overwrite_partitions(merged: DataFrame, path: str, keys: list[str], part_co
         delete_path(spark, scratch)
 
 
+@in_utc
 def append_partitions(rows: DataFrame, path: str, time_col: str, part_col: str) -> None:
     """Append-only write into date partitions: O(rows written), whatever
     the table size. Duplicates of a key are resolved when read (the batch
@@ -75,6 +77,7 @@ def append_partitions(rows: DataFrame, path: str, time_col: str, part_col: str)
          .partitionBy(part_col).parquet(path))
 
 
+@in_utc
 def compact(spark: SparkSession, path: str, keys: list[str], part_col: str,
             values: list, order: list[Column]) -> int:
     """Rewrite the given partitions with one row per key (newest write
@@ -114,11 +117,33 @@ def write_airports(airports: DataFrame, path: str) -> None:
     airports.write.mode("overwrite").parquet(path)
 
 
-def retained(df: DataFrame, time_col: str, days: int, now: dt.datetime | None = None) -> DataFrame:
-    """Rows younger than ``days`` (SNK-10 as a read filter; on partitioned
-    tables Catalyst prunes the date partitions)."""
-    now_col = F.lit(now) if now is not None else F.current_timestamp()
-    return df.filter(F.col(time_col) >= now_col - F.expr(f"INTERVAL {int(days)} DAYS"))
+@in_utc
+def retained(df: DataFrame, time_col: str, days: int, now: dt.datetime | None = None,
+             part_col: str | None = None) -> DataFrame:
+    """Rows younger than ``days`` (SNK-10 as a read filter). ``part_col``:
+    the date partition of ``time_col``; the same bound on it keeps older
+    partitions from being listed."""
+    oldest = (F.lit(now) if now is not None else F.current_timestamp()) - F.expr(f"INTERVAL {int(days)} DAYS")
+    if part_col is not None:
+        df = df.filter(F.col(part_col) >= F.to_date(oldest))
+    return df.filter(F.col(time_col) >= oldest)
+
+
+@in_utc
+def merge_table(new_rows: DataFrame, path: str, keys: list[str]) -> None:
+    """Insert-or-replace by ``keys`` into an unpartitioned table (node
+    tables, one row per entity); new rows beat stored ones."""
+    spark = new_rows.sparkSession
+    rows = new_rows.withColumn("_src", F.lit(1))
+    if _exists(spark, path):
+        rows = rows.unionByName(spark.read.parquet(path).withColumn("_src", F.lit(0)), allowMissingColumns=True)
+    merged = keep_top_per_key(rows, keys, [F.col("_src").desc()]).drop("_src")
+    scratch = scratch_path(spark, "merge")
+    try:
+        staged = cut_lineage(merged, "rows", base=scratch)
+        staged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+    finally:
+        delete_path(spark, scratch)
 
 
 def expire_partitions(spark: SparkSession, path: str, part_col: str, days: int,
@@ -127,7 +152,7 @@ def expire_partitions(spark: SparkSession, path: str, part_col: str, days: int,
     vectors 7, flight events 30). Returns the deleted partition values."""
     if not _exists(spark, path):
         return []
-    cutoff = (today or dt.date.today()) - dt.timedelta(days=days)
+    cutoff = (today or dt.datetime.now(dt.timezone.utc).date()) - dt.timedelta(days=days)
     jvm = spark._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

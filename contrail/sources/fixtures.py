@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 from contrail.sources.tables import read_table
 
 
-def _pad3(c):
-    return F.lpad(c.cast("string"), 3, "0")
+def padded(c, width: int):
+    """``c`` as a string of at least ``width`` digits; longer values keep
+    all their digits."""
+    s = c.cast("string")
+    return F.lpad(s, F.greatest(F.lit(width), F.length(s)), F.lit("0"))
 
 
 def airports_from_suppliers(supplier: DataFrame, nation: DataFrame) -> DataFrame:
@@ -25,9 +28,9 @@ def airports_from_suppliers(supplier: DataFrame, nation: DataFrame) -> DataFrame
     return (
         supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
         .select(
-            F.concat(F.lit("A"), _pad3(k)).alias("icao_code"),
+            F.concat(F.lit("A"), padded(k, 3)).alias("icao_code"),
             F.when(k % 7 == 0, F.lit(None).cast("string"))
-             .otherwise(F.concat(F.lit("I"), _pad3(k))).alias("iata_code"),
+             .otherwise(F.concat(F.lit("I"), padded(k, 3))).alias("iata_code"),
             F.col("s_name").alias("name"),
             F.concat(F.lit("City "), (k % 13).cast("string")).alias("city"),
             F.col("n_name").alias("country"),
@@ -50,7 +53,7 @@ def state_vectors_from_events(events: DataFrame) -> DataFrame:
     return (
         events.select(
             eid.alias("event_id"),
-            F.lpad(F.lower(F.hex(uid + 4096)), 6, "0").alias("icao24"),
+            padded(F.lower(F.hex(uid + 4096)), 6).alias("icao24"),
             F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.dayofmonth("ts"),
                                  (slot * 6).cast("int"), F.lit(0), F.lit(0)).alias("snapshot_time"),
             F.when(eid % 11 == 0, F.lit("   "))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from contrail.constants import POLL_PERIOD_SECONDS
 from contrail.schema import SNAPSHOT_JSON
+from contrail.session import in_utc
 from contrail.sinks.tables import append_partitions, upsert_state_vectors
 from contrail.sources.snapshots import parse_snapshots
 
@@ -31,6 +32,7 @@ def snapshot_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger
     return reader.json(landing_dir)
 
 
+@in_utc
 def ingest_batch(batch: DataFrame, epoch_id: int, table_path: str,
                  bbox: tuple[float, float, float, float] | None = None, mode: str = "append") -> dict:
     """Parse and store one micro-batch. ``ingest_seq`` = epoch, so for one

@@ -105,12 +105,14 @@ def _make_step(batch_id: str, ttl_ms: int):
 
 
 def detect_transitions_stream(positions: DataFrame, batch_id: str = "stream",
-                              lateness: str = "0 seconds",
+                              lateness: str = f"{STATE_VECTOR_TTL_DAYS} days",
                               ttl_days: int = STATE_VECTOR_TTL_DAYS) -> DataFrame:
     """``positions``: a streaming DataFrame with icao24, snapshot_time
     (TIMESTAMP), on_ground, latitude, longitude (+ optional ingest_seq).
-    ``lateness``: how far behind the newest event time a row may arrive and
-    still be put in order. Returns the streaming events (append mode)."""
+    ``lateness``: how far behind the newest event time, over all aircraft, a
+    row may arrive and still be put in order; by default the time state
+    vectors are kept. Events wait that long; a caller whose rows are known to
+    arrive in order may pass "0 seconds". Returns the streaming events (append mode)."""
     ship_code()
     cols = ["icao24", "snapshot_time", "on_ground", "latitude", "longitude"]
     if "ingest_seq" in positions.columns:

@@ -171,7 +171,7 @@ def test_stream_transitions_equal_batch_on_in_order_input(spark):
             .write.parquet(os.path.join(src, f"part={i:03d}")))
     stream = spark.readStream.schema(pos.schema).option("maxFilesPerTrigger", 1).parquet(
         os.path.join(src, "part=*"))
-    ev = detect_transitions_stream(stream, batch_id="b")
+    ev = detect_transitions_stream(stream, batch_id="b", lateness="0 seconds")
     out = os.path.join(root, "out")
     q = (ev.writeStream.format("parquet").option("path", out)
            .option("checkpointLocation", os.path.join(root, "ck")).trigger(availableNow=True).start())
