@@ -150,7 +150,8 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, vocabulary: int
     good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(
         labels["doc_id"].alias("__id")).distinct().withColumn("good", F.lit(True))
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    marked = rows.join(good, rows["doc_id"] == good["__id"], "left").select(
+    # labels grow with the documents: never broadcast, one plan at every size
+    marked = rows.join(good.hint("merge"), rows["doc_id"] == good["__id"], "left").select(
         "doc_id", "text", F.coalesce("good", F.lit(False)).alias("good"))
 
     def counted(fn) -> DataFrame:
