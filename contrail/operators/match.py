@@ -33,6 +33,7 @@ from contrail.functions.geo import (
     radius_key, radius_keys_reached,
 )
 from contrail.functions.labels import confidence_band
+from contrail.operators.clean import keep_top_per_key
 from contrail.plans.broadcast import broadcast_if_small
 
 
@@ -40,7 +41,12 @@ DEFAULT_AIRPORT_BROADCAST_ROWS = 2_000_000
 
 
 def _airport_points(airports: DataFrame) -> DataFrame:
-    return (airports.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    """One point per airport code, the row the airport node keeps; so the
+    order by distance and code has no ties and both paths agree."""
+    order = [F.col(c).asc_nulls_last() for c in ("name", "iata_code") if c in airports.columns]
+    one = keep_top_per_key(airports.filter(F.col("icao_code").isNotNull()), ["icao_code"],
+                           [*order, F.col("latitude"), F.col("longitude")])
+    return (one.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
                     .select(F.col("icao_code").alias("ap_icao"), F.col("name").alias("ap_name"),
                             F.col("latitude").alias("ap_lat"), F.col("longitude").alias("ap_lon")))
 
@@ -175,13 +181,17 @@ def match_both(events: DataFrame, airports: DataFrame, radius_km: float = AIRPOR
                materialize=None) -> tuple[DataFrame, DataFrame]:
     """(matched rows with all ties, keyed flight-event rows) from one
     candidate computation; ``materialize`` (e.g. a checkpoint) is applied
-    to the shared per-event choices."""
+    to the shared per-event choices, or to the matched rows of the shuffle
+    join."""
     _keys(mode, radius_km)
     ap = _airport_points(airports)
     small = broadcast_if_small(ap, broadcast_rows)
     if small is None:
-        return (_match_shuffle(events, ap, mode, radius_km, "all"),
-                _keyed(_match_shuffle(events, ap, mode, radius_km, "lowest_icao")))
+        matched = _match_shuffle(events, ap, mode, radius_km, "all")
+        if materialize is not None:
+            matched = materialize(matched)
+        return matched, _keyed(keep_top_per_key(matched, ["icao24", "event_time", "event_type"],
+                                                [F.col("airport_icao").asc_nulls_last()]))
     choices = airport_choices(events, small, mode, radius_km)
     if materialize is not None:
         choices = materialize(choices)

@@ -350,6 +350,10 @@ SELECT * FROM f_clean WHERE icao24 = (SELECT icao24 FROM ({_MOST_TRACKED}) t)
 ORDER BY snapshot_time DESC LIMIT 1""",
 }
 
+# what was written must read back as the stage gives it
+BODIES |= {"cycle_flight_events": BODIES["flight_events_table"], "cycle_flight_edges": BODIES["flight_edges"],
+           "cycle_graph_stats": BODIES["graph_stats"], "reset_state_vectors": BODIES["dedup_latest"]}
+
 
 def oracle_queries() -> dict[str, str]:
     return {name: with_ctes(body) for name, body in BODIES.items()}

@@ -15,11 +15,8 @@ from pyspark.sql import functions as F
 from contrail import constants as K
 from contrail.functions.labels import check_limit, check_min_snapshots, normalize_icao
 from contrail.operators.graph import Graph
-from contrail.plans.broadcast import broadcast_if_small
 from contrail.session import in_utc
 
-LOOKUP_BROADCAST_ROWS = 2_000_000
-
 
 def _lim(limit: int | None, q: str) -> int:
     return check_limit(K.DEFAULT_LIMITS[q] if limit is None else limit)
@@ -30,12 +27,6 @@ def _round2(x: Column) -> Column:
     return F.round(x + F.lit(1e-9), 2)
 
 
-def _lookup(df: DataFrame) -> DataFrame:
-    """Broadcast a lookup table only after its size is checked."""
-    small = broadcast_if_small(df, LOOKUP_BROADCAST_ROWS)
-    return F.broadcast(small) if small is not None else df
-
-
 def _good(edges: DataFrame, rel_type: str) -> DataFrame:
     """F-12: edges of one type with confidence HIGH or MEDIUM."""
     return edges.filter((F.col("rel_type") == rel_type) & F.col("confidence").isin(*K.GOOD_CONFIDENCES))
@@ -143,9 +134,10 @@ def q4_trajectory_of_most_tracked(g: Graph) -> DataFrame:
 def q5_country_interactions(g: Graph, limit: int | None = None) -> DataFrame:
     """Country pairs of aircraft joined by NEAR, both orientations, c1 <> c2.
     Each edge is mapped to its two countries once, counted per (ca, cb),
-    and the small result is mirrored."""
+    and the small result is mirrored. OPERATES grows with the fleet, so it is
+    broadcast only if Spark finds its bytes small enough."""
     n = _lim(limit, "q5")
-    ops = _lookup(g.operates)
+    ops = g.operates
     ca = ops.select(F.col("icao24").alias("icao24_a"), F.col("country").alias("ca"))
     cb = ops.select(F.col("icao24").alias("icao24_b"), F.col("country").alias("cb"))
     per = (g.near.select("icao24_a", "icao24_b").join(ca, "icao24_a").join(cb, "icao24_b")
@@ -305,7 +297,7 @@ def q10_net_traffic(g: Graph, limit: int | None = None) -> DataFrame:
 def _history(edges: DataFrame, g: Graph) -> DataFrame:
     ap = g.airport.select(F.col("icao").alias("airport_icao"), F.col("iata").alias("airport_iata"),
                           F.col("name").alias("airport_name"), "city", "country")
-    return (edges.join(_lookup(ap), "airport_icao")
+    return (edges.join(ap, "airport_icao")
                  .select(F.col("rel_type").alias("event_type"), "event_time", "airport_icao",
                          "airport_iata", "airport_name", "city", "country", "confidence", "dist_km")
                  .orderBy("event_time", "event_type", "airport_icao"))

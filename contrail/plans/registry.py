@@ -96,5 +96,10 @@ QUERIES: dict[str, Query] = {
     "snapshot_parse": R.snapshot_parse,
     "airport_catalogue_csv": R.airport_catalogue_csv,
     "stream_ingest": R.stream_ingest,
+    "reset_state_vectors": R.reset_state_vectors,
+    # tables the batch job has written in two cycles
+    "cycle_flight_events": R.cycle_flight_events,
+    "cycle_flight_edges": R.cycle_flight_edges,
+    "cycle_graph_stats": R.cycle_graph_stats,
     "stream_flight_events": lambda spark, sf_dir: R.stream_transitions(spark, sf_dir, FIXED_BATCH_ID),
 }

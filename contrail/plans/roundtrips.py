@@ -13,9 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.operators.clean import clean_and_enrich, dedup_latest_write
+from contrail.plans.pipeline import FIXED_BATCH_ID, read_graph, run_batch
+from contrail.plans.queries import graph_stats
 from contrail.session import (
     cut_lineage, ensure_checkpoint_dir, input_bytes, session_conf, stateful_settings,
 )
+from contrail.sinks.tables import reset_derived, upsert_state_vectors
 from contrail.sources.airports_csv import load_airports
 from contrail.sources.fixtures import fixture_tables, padded
 from contrail.sources.snapshots import parse_snapshots, snapshots_from_state_vectors
@@ -56,6 +59,47 @@ def airport_catalogue_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_airports(spark, path)
 
 
+def cycle_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the tables two cycles of the batch job have written: one
+    over all days and, after it, one that sees the second half only. The
+    second must keep what the first wrote."""
+    raw, airports = fixture_tables(spark, sf_dir)
+    out = scratch_dir(spark, "cycles")
+    second = raw.filter(F.col("snapshot_time") >= F.lit("2024-01-15").cast("timestamp_ntz"))
+    for days in (raw, second):
+        run_batch(spark, days, airports, out, batch_id=FIXED_BATCH_ID)
+    return out
+
+
+def cycle_flight_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-2, ST-3: the flight events table as two cycles have left it."""
+    return spark.read.parquet(os.path.join(cycle_dir(spark, sf_dir), "flight_events")).drop("event_date")
+
+
+def cycle_flight_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-8: the flight edges as two cycles have left them."""
+    return read_graph(spark, os.path.join(cycle_dir(spark, sf_dir), "graph")).flight_edge
+
+
+def cycle_graph_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-4..8: row counts of the graph tables two cycles have left."""
+    return graph_stats(read_graph(spark, os.path.join(cycle_dir(spark, sf_dir), "graph")))
+
+
+def reset_state_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-1, SNK-11: state vectors written, reset, and written again by two
+    upserts that overlap: the table holds each key once, with its newest
+    write, and nothing of before the reset is counted twice."""
+    raw, _ = fixture_tables(spark, sf_dir)
+    path = scratch_dir(spark, "reset")
+    rows = raw.withColumnRenamed("event_id", "ingest_seq")
+    upsert_state_vectors(rows, path)
+    reset_derived(spark, {"state_vectors": path})
+    upsert_state_vectors(rows.filter(F.col("ingest_seq") % 2 == 0), path)
+    upsert_state_vectors(rows, path)
+    return spark.read.parquet(path).drop("snapshot_date").withColumnRenamed("ingest_seq", "event_id")
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST-1/ST-2: snapshot documents landed as files, ingested by the
     streaming query (availableNow, append-only micro-batches) and read back

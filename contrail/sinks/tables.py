@@ -15,6 +15,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contrail import constants as K
 from contrail.operators.clean import keep_top_per_key
@@ -171,6 +172,14 @@ def expire_partitions(spark: SparkSession, path: str, part_col: str, days: int,
     return sorted(dropped)
 
 
+def _partitions(spark: SparkSession, path: str) -> list[str]:
+    """Names of the ``column=value`` folders of a table, in order."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
+    return sorted(n for n in found if "=" in n)
+
+
 def expire_state_vectors(spark: SparkSession, path: str, today: dt.date | None = None) -> list[str]:
     return expire_partitions(spark, path, "snapshot_date", K.STATE_VECTOR_TTL_DAYS, today)
 
@@ -181,12 +190,20 @@ def expire_flight_events(spark: SparkSession, path: str, today: dt.date | None =
 
 def reset_derived(spark: SparkSession, paths: dict[str, str], keep: tuple[str, ...] = ("airports",)) -> list[str]:
     """SNK-11: empty every derived table (same schema, zero rows); the
-    airport catalogue is kept."""
+    airport catalogue is kept. A partitioned table keeps its layout: its
+    newest partition stays, with an empty file that holds the schema."""
     done = []
     for name, path in paths.items():
         if name in keep or not _exists(spark, path):
             continue
         schema = spark.read.parquet(path).schema
+        parts = _partitions(spark, path)
+        for part in parts[:-1]:
+            delete_path(spark, f"{path}/{part}")
+        if parts:
+            part_col = parts[-1].split("=", 1)[0]
+            schema = T.StructType([f for f in schema if f.name != part_col])
+            path = f"{path}/{parts[-1]}"
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
         done.append(name)
     return done

@@ -1,9 +1,13 @@
 """Runs of the batch job one after another, and under another time zone."""
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from conftest import SF0001, rows
+from contrail.operators.match import match_both
 from contrail.plans.pipeline import read_graph, run_batch
 from contrail.session import session_conf
+from contrail.sinks.tables import reset_derived, upsert
 from contrail.sources.fixtures import airports_from_suppliers, fixture_tables, padded
 
 
@@ -54,3 +58,28 @@ def test_long_keys_keep_their_digits(spark):
     got = {r["icao_code"] for r in airports_from_suppliers(s, n).collect()}
     assert got == {"A007", "A1000", "A10001"}
     assert spark.range(1).select(padded(F.lit("abcdef1"), 6)).first()[0] == "abcdef1"
+
+
+def test_repeated_airport_codes_match_alike_on_both_paths(spark):
+    ap = spark.createDataFrame([("AAAA", "z", 40.0, 2.0), ("AAAA", "a", 40.0, 2.0), ("BBBB", "b", 40.0, 2.0)],
+                               "icao_code string, name string, latitude double, longitude double")
+    ev = spark.createDataFrame([("x", dt.datetime(2024, 1, 1), "TAKEOFF", 40.01, 2.0, 60, "b")],
+                               "icao24 string, event_time timestamp_ntz, event_type string, latitude double, "
+                               "longitude double, gap_seconds int, batch_id string")
+    for n in (0, 100):
+        both = match_both(ev, ap, broadcast_rows=n)
+        assert sorted((r["airport_icao"], r["airport_name"]) for r in both[0].collect()) == [("AAAA", "a"), ("BBBB", "b")]
+        assert [(r["airport_icao"], r["airport_name"]) for r in both[1].collect()] == [("AAAA", "a")]
+
+
+def test_reset_keeps_the_partition_layout(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows_ = spark.createDataFrame([("x", dt.datetime(2024, 1, d), "TAKEOFF") for d in (1, 2)],
+                                  "icao24 string, event_time timestamp_ntz, event_type string")
+    upsert(rows_, path, ["icao24", "event_time"], "event_time", "event_date")
+    schema = spark.read.parquet(path).schema
+    reset_derived(spark, {"t": path})
+    assert spark.read.parquet(path).count() == 0 and spark.read.parquet(path).schema == schema
+    assert not [p for p in (tmp_path / "t").iterdir() if p.suffix == ".parquet"]
+    upsert(rows_, path, ["icao24", "event_time"], "event_time", "event_date")
+    assert spark.read.parquet(path).count() == 2
