@@ -2,12 +2,15 @@
 
 The target model is counted over the documents labelled good, the
 background model over all documents. Both are interpolated bigram models
-over one vocabulary: the ``vocabulary`` commonest words of the corpus, all
-others are one unknown word; and over one table of bigrams, the
-``bigrams`` commonest. Counts are taken over all documents, combined in
-numpy inside the tasks and added up in Spark; only the tables of stated
-size are broadcast. The score of a document is the mean over its tokens of
-(target loss - background loss): lower is closer to the target.
+over every word and every bigram of the corpus. Counts are taken over all
+documents, combined in numpy inside the tasks and added up in Spark; the
+counts and the losses made of them are Spark tables of whatever size the
+corpus asks for. The losses of the ``vocabulary`` commonest words and the
+``bigrams`` commonest bigrams are broadcast and save a shuffle of the tokens
+that have them; all other tokens are counted by document and joined with the
+table of losses. Which tier a token takes does not change its loss. The score
+of a document is the mean over its tokens of (target loss - background
+loss): lower is closer to the target.
 """
 
 from __future__ import annotations
@@ -19,37 +22,60 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import Words, batch_of, stored, text_chunks
+from contrail.llm.common import Words, batch_of, doc_id_of, identity, stored, text_chunks
 from contrail.session import ship_code
 
-VOCABULARY = 16_384
-BIGRAMS = 300_000
+VOCABULARY = 16_384   # words whose losses tasks hold; the join decides the rest
+BIGRAMS = 300_000     # bigrams, likewise
 WEIGHT = 0.7          # of the bigram estimate
 FLUSH = 4_000_000     # words whose counts are combined before they leave a task
 
-_COUNT = pa.schema([("key", pa.int64()), ("c", pa.int64()), ("g", pa.int64())])
-_COUNT_DDL = "key long, c long, g long"
+_COUNT = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("g", pa.int64())])
+_COUNT_DDL = "a long, b long, c long, g long"
+
+
+def _codes(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of each word, of the word before it, whether that is one of the
+    same text)."""
+    before = np.zeros_like(w.hash)
+    before[1:] = w.hash[:-1]
+    second = np.zeros(len(w.hash), dtype=bool)
+    second[1:] = w.doc[1:] == w.doc[:-1]
+    return w.hash, before, second
+
+
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Key of the bigram of two word hashes; as :func:`_pair_col`. A word by
+    itself has its hash as the key."""
+    return ((a << np.uint64(1)) | (a >> np.uint64(63))) ^ b
+
+
+def _pair_col(a: str, b: str):
+    return F.shiftleft(a, 1).bitwiseOR(F.shiftrightunsigned(a, 63)).bitwiseXOR(F.col(b))
 
 
 class _Sums:
-    """Counts by key, all and good, combined in a task."""
+    """Counts by word (a = 0) or by bigram, all and good, combined in a task."""
 
     def __init__(self):
         self.parts, self.size = [], 0
 
-    def add(self, keys: np.ndarray, good: np.ndarray):
-        self.parts.append((keys, good))
-        self.size += len(keys)
+    def add(self, a: np.ndarray, b: np.ndarray, good: np.ndarray):
+        self.parts.append((a, b, good))
+        self.size += len(b)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.size:
-            keys = np.concatenate([k for k, _ in self.parts])
-            good = np.concatenate([g for _, g in self.parts])
+            a, b, good = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+            keys = _pair(a, b)
             order = np.argsort(keys)
-            keys, good = keys[order], good[order]
-            at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            a, b, good, keys = a[order], b[order], good[order], keys[order]
+            # bigrams of one key may mix; a row more for a pair does no harm
+            new = (keys[1:] != keys[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            at = np.flatnonzero(np.concatenate([[True], new]))
             counts = np.diff(np.concatenate([at, [len(keys)]]))
-            out = batch_of(_COUNT, key=keys[at], c=counts, g=np.add.reduceat(good.astype(np.int64), at))
+            out = batch_of(_COUNT, a=a[at].view(np.int64), b=b[at].view(np.int64), c=counts,
+                           g=np.add.reduceat(good.astype(np.int64), at))
             yield from (out.slice(i, 50_000) for i in range(0, out.num_rows, 50_000))
         self.parts, self.size = [], 0
 
@@ -58,67 +84,58 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums = _Sums()
     for batch, texts in text_chunks(batches):
         w = Words(texts)
-        sums.add(w.hash.view(np.int64), batch.column("good").to_numpy(zero_copy_only=False)[w.doc])
+        sums.add(np.zeros_like(w.hash), w.hash, batch.column("good").to_numpy(zero_copy_only=False)[w.doc])
         if sums.size >= FLUSH:
             yield from sums.flush()
     yield from sums.flush()
 
 
-def _ids(hashes: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
-    """Number of each word, from 1; 0 is the unknown word."""
-    if not len(vocabulary):
-        return np.zeros(len(hashes), dtype=np.int64)
-    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == hashes, at + 1, 0)
-
-
-def _pairs(w: Words, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word ids, bigram code of each word with the one before, whether it
-    has one)."""
-    ids = _ids(w.hash.view(np.int64), vocabulary)
-    code = np.zeros(len(ids), dtype=np.int64)
-    code[1:] = ids[:-1] * (len(vocabulary) + 1) + ids[1:]
-    second = np.zeros(len(ids), dtype=bool)
-    second[1:] = w.doc[1:] == w.doc[:-1]
-    return ids, code, second
-
-
-def _bigrams(vocabulary):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = _Sums()
-        for batch, texts in text_chunks(batches):
-            w = Words(texts)
-            _, code, second = _pairs(w, vocabulary.value)
-            good = batch.column("good").to_numpy(zero_copy_only=False)[w.doc]
-            sums.add(code[second], good[second])
-            if sums.size >= FLUSH:
-                yield from sums.flush()
-        yield from sums.flush()
-    return run
+def _bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums = _Sums()
+    for batch, texts in text_chunks(batches):
+        w = Words(texts)
+        word, before, second = _codes(w)
+        good = batch.column("good").to_numpy(zero_copy_only=False)[w.doc]
+        sums.add(before[second], word[second], good[second])
+        if sums.size >= FLUSH:
+            yield from sums.flush()
+    yield from sums.flush()
 
 
-_SCORE = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("target_loss", pa.float64()),
-                    ("background_loss", pa.float64()), ("score", pa.float64())])
-_SCORE_DDL = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
+#: Of a row: its tokens and the losses of those in the first tier (key null);
+#: and the count n of each other key in it.
+_PART = pa.schema([("_id", pa.int64()), ("_th", pa.int64()), ("key", pa.int64()), ("n", pa.int32()),
+                   ("bg", pa.float64()), ("tg", pa.float64())])
+_PART_DDL = "_id long, _th long, key long, n int, bg double, tg double"
 
 
-def _losses(model):
+def _parts(tier):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, unigram, bigram_codes, bigram = model.value
+        keys, losses = tier.value
         for batch, texts in text_chunks(batches):
             w = Words(texts)
-            ids, code, second = _pairs(w, vocabulary)
-            at = np.minimum(np.searchsorted(bigram_codes, code), max(len(bigram_codes) - 1, 0))
-            known = second & (bigram_codes[at] == code) if len(bigram_codes) else np.zeros(len(ids), bool)
-            loss = []
+            word, before, second = _codes(w)
+            key = np.where(second, _pair(before, word), word).view(np.int64)
+            at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+            known = keys[at] == key if len(keys) else np.zeros(len(key), dtype=bool)
+            sums = []
             for side in (0, 1):
-                p = unigram[side][ids]
-                two = np.where(known, bigram[side][at], 0.0) if len(bigram_codes) else np.zeros(len(ids))
-                token = -np.log(np.where(second, (1 - WEIGHT) * p + WEIGHT * two, p))
+                token = np.where(known, losses[side][at], 0.0) if len(keys) else np.zeros(len(key))
                 total = np.concatenate([[0.0], np.cumsum(token)])
-                loss.append(np.round((total[w.first[1:]] - total[w.first[:-1]]) / np.maximum(w.counts, 1), 6))
-            yield batch_of(_SCORE, doc_id=batch.column("doc_id"), n_tokens=w.counts, target_loss=loss[1],
-                           background_loss=loss[0], score=np.round(loss[1] - loss[0], 6))
+                sums.append(total[w.first[1:]] - total[w.first[:-1]])
+            ids, ths = batch.column("_id").to_numpy(), batch.column("_th").to_numpy()
+            yield batch_of(_PART, _id=ids, _th=ths, key=pa.nulls(len(ids), pa.int64()), n=w.counts.astype(np.int32),
+                           bg=sums[0], tg=sums[1])
+            doc, rest = w.doc[~known], key[~known]
+            if not len(rest):
+                continue
+            order = np.lexsort((rest, doc))
+            doc, rest = doc[order], rest[order]
+            at = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (rest[1:] != rest[:-1])]))
+            out = batch_of(_PART, _id=ids[doc[at]], _th=ths[doc[at]], key=rest[at],
+                           n=np.diff(np.concatenate([at, [len(rest)]])).astype(np.int32),
+                           bg=pa.nulls(len(at), pa.float64()), tg=pa.nulls(len(at), pa.float64()))
+            yield from (out.slice(i, 50_000) for i in range(0, out.num_rows, 50_000))
     return run
 
 
@@ -149,29 +166,46 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, vocabulary: int
     spark = docs.sparkSession
     good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(
         labels["doc_id"].alias("__id")).distinct().withColumn("good", F.lit(True))
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    rows = docs.select(*identity(docs), docs["doc_id"].cast("long").alias("doc_id"),
+                       docs["text"].cast("string").alias("text"))
     # labels grow with the documents: never broadcast, one plan at every size
     marked = rows.join(good.hint("merge"), rows["doc_id"] == good["__id"], "left").select(
-        "doc_id", "text", F.coalesce("good", F.lit(False)).alias("good"))
-
-    def counted(fn) -> DataFrame:
-        return marked.select("text", "good").mapInArrow(fn, _COUNT_DDL).groupBy("key").agg(
-            F.sum("c").alias("c"), F.sum("g").alias("g"))
-
-    words = stored(counted(_words), "words")
-    top = _top(words, vocabulary).sort_values("key")
-    total = words.agg(F.sum("c"), F.sum("g")).first()
-    shared = spark.sparkContext.broadcast(top["key"].to_numpy(dtype=np.int64))
-    both = stored(counted(_bigrams(shared)), "bigrams")
-    pairs = _top(both, bigrams).sort_values("key")
-    size = len(top) + 1
-    unigram, bigram = [], []
-    codes = pairs["key"].to_numpy(dtype=np.int64)
-    for side, col in enumerate(("c", "g")):
-        c = np.concatenate([[0], top[col].to_numpy(dtype=np.float64)])
-        c[0] = float(total[side] or 0) - c.sum()
-        unigram.append((c + 0.5) / (c.sum() + 0.5 * size))
-        # words seen first in a bigram: their count bounds the context's
-        bigram.append(pairs[col].to_numpy(dtype=np.float64) / np.maximum(c[codes // size], 1.0))
-    model = spark.sparkContext.broadcast((shared.value, unigram, codes, bigram))
-    return rows.mapInArrow(_losses(model), _SCORE_DDL)
+        "text", F.coalesce("good", F.lit(False)).alias("good"))
+
+    words = stored(marked.mapInArrow(_words, _COUNT_DDL).groupBy("b").agg(
+        F.sum("c").alias("c"), F.sum("g").alias("g")), "words")
+    total = words.agg(F.sum("c"), F.sum("g"), F.count(F.lit(1))).first()
+    size = total[2] + 1  # the unknown word counts as one
+    sides = (("c", float(total[0] or 0)), ("g", float(total[1] or 0)))
+    one = [((F.col(x) + 0.5) / F.lit(n + 0.5 * size)) for x, n in sides]
+    unigram = words.select("b", "c", "g", one[0].alias("p"), one[1].alias("q"))
+    alone = stored(unigram.select(F.col("b").alias("key"), "c", (-F.log("p")).alias("bg"), (-F.log("q")).alias("tg")),
+                   "word-losses")
+    pairs = marked.mapInArrow(_bigrams, _COUNT_DDL).groupBy("a", "b").agg(F.sum("c").alias("c"), F.sum("g").alias("g"))
+    # types, not tokens: a word has at most one row by each other word
+    met = (pairs.join(words.select(F.col("b").alias("a"), F.col("c").alias("ca"), F.col("g").alias("ga")), "a")
+           .join(unigram.select("b", "p", "q"), "b"))
+    two = [(1 - WEIGHT) * F.col(p) + WEIGHT * F.col(x) / F.greatest(F.col(n), F.lit(1))
+           for p, x, n in (("p", "c", "ca"), ("q", "g", "ga"))]
+    paired = stored(met.select(_pair_col("a", "b").alias("key"), "c", (-F.log(two[0])).alias("bg"),
+                               (-F.log(two[1])).alias("tg")), "bigram-losses")
+
+    tops = [_top(alone, vocabulary), _top(paired, bigrams)]
+    key, bg, tg = (np.concatenate([t[x].to_numpy(dtype=d) for t in tops])
+                   for x, d in (("key", np.int64), ("bg", np.float64), ("tg", np.float64)))
+    order = np.argsort(key)
+    tier = spark.sparkContext.broadcast((key[order], (bg[order], tg[order])))
+    parts = stored(rows.select("_id", "_th", "text").mapInArrow(_parts(tier), _PART_DDL), "parts")
+    known = parts.filter("key IS NULL").select("_id", "_th", "n", "bg", "tg", F.lit(1).alias("m"))
+    losses = alone.unionByName(paired).select("key", F.col("bg").alias("b"), F.col("tg").alias("t"))
+    joined = parts.filter("key IS NOT NULL").select("_id", "_th", "key", "n").join(losses.hint("merge"), "key").select(
+        "_id", "_th", F.lit(0).alias("n"), (F.col("n") * F.col("b")).alias("bg"),
+        (F.col("n") * F.col("t")).alias("tg"), F.lit(0).alias("m"))
+    # m equal rows share the identity: m times the sums of one
+    sums = known.unionByName(joined).groupBy("_id", "_th").agg(
+        F.sum("n").alias("n"), F.sum("bg").alias("bg"), F.sum("tg").alias("tg"), F.sum("m").alias("m"))
+    mean = [F.round(F.col(x) / F.greatest(F.col("n"), F.lit(1)), 6) for x in ("tg", "bg")]
+    return (sums.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))))
+            .select(doc_id_of(), (F.col("n") / F.col("m")).cast("long").alias("n_tokens"),
+                    mean[0].alias("target_loss"), mean[1].alias("background_loss"),
+                    F.round(mean[0] - mean[1], 6).alias("score")))

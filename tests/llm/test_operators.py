@@ -190,3 +190,21 @@ def test_pipeline_on_a_small_corpus(spark):
     out = P.run(spark, "/root/testdata/sf0.001").toPandas()
     assert len(P.STAGES) == 5 and {"doc_id", "text", "lang", "source", "n_chars", "copy", "shard"} <= set(out.columns)
     assert len(out) and (out["text"].str.split().str.len() == out["words"]).all()
+
+
+def test_lm_scores_do_not_depend_on_the_broadcast_tier(spark):
+    r = np.random.default_rng(11)
+    rows = [(i, " ".join(f"w{x}" for x in r.zipf(1.3, 60) % 500)) for i in range(80)] + [(3, "w1 w2"), (3, "w1 w2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    lab = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(80)], "doc_id long, quality int")
+    got = [sorted(map(tuple, cross_entropy_difference(docs, lab, vocabulary=v, bigrams=b).collect()))
+           for v, b in ((10**6, 10**6), (40, 60), (0, 0))]
+    assert len(got[0]) == len(rows)
+    for other in got[1:]:
+        assert [x[:2] for x in other] == [x[:2] for x in got[0]]
+        assert np.allclose([x[2:] for x in other], [x[2:] for x in got[0]], atol=3e-6)
+    # words of one count each, more than the tier holds: all are still told apart
+    even = spark.createDataFrame([(1, "a b c d"), (2, "e f g h")], "doc_id long, text string")
+    lab = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    score = {x["doc_id"]: x["score"] for x in cross_entropy_difference(even, lab, vocabulary=3, bigrams=3).collect()}
+    assert score[1] < 0 < score[2]
