@@ -208,3 +208,14 @@ def test_lm_scores_do_not_depend_on_the_broadcast_tier(spark):
     lab = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
     score = {x["doc_id"]: x["score"] for x in cross_entropy_difference(even, lab, vocabulary=3, bigrams=3).collect()}
     assert score[1] < 0 < score[2]
+
+
+def test_decontamination_finds_copies_in_other_case(spark):
+    item = "Where did Élodie Marchand of Lyon hide the letter. She gave Paul Durand and Anne Petit one key each"
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, "before it " + item.upper() + " AFTER IT"), (2, item.lower()), (3, item.replace(".", "")), (4, item.title()),
+        (5, item.replace("Élodie", "Ángela")), (6, "Where did the letter of the town go that nobody gave to anyone at all"),
+    ], "doc_id long, text string")
+    got = {r["doc_id"]: r["share"] for r in contaminated(docs, bench).collect()}
+    assert set(got) == {1, 2, 3, 4, 5} and got[1] == got[2] == got[3] == 1.0
