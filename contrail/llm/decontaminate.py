@@ -12,7 +12,7 @@ text that merely looks alike is not. Every window is also looked for by its
 folded words alone, whatever their capitals and the punctuation around them,
 and is seen if either form joins. A document is reported when the windows
 seen cover at least ``coverage`` of an item's windows with enough literal
-words.
+words, or those seen word by word as much of all its windows.
 """
 
 from __future__ import annotations
@@ -145,12 +145,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literals:
     theirs = stored(items.mapInArrow(_windows(window, literals, None), _HIT_DDL).select(
         "h", F.col("_id").alias("item_id"), F.col("_th").alias("item_th"), F.col("at").alias("item_at"),
         "windows", "size", "plain", "enough", F.col("slots").alias("theirs")), "items")
+    short = sorted(r["size"] for r in theirs.filter(F.col("size") < window).select("size").distinct().collect())
     # a prefilter only: the join below decides either way
     few = theirs.select("h").distinct().limit(PREFILTER_KEYS + 1).toPandas()["h"].to_numpy()
     keys = None
     if len(few) <= PREFILTER_KEYS:
         keys = docs.sparkSession.sparkContext.broadcast(np.sort(few.astype(np.int64)))
-    ours = identified(docs).mapInArrow(_windows(window, literals, keys), _HIT_DDL).select(
+    ours = identified(docs).mapInArrow(_windows(window, literals, keys, short), _HIT_DDL).select(
         "h", "_id", "_th", F.col("slots").alias("ours"))
     # windows of items as counted: those with enough literal words, and all
     counted = theirs.groupBy("item_id", "item_th").agg(
@@ -162,9 +163,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literals:
     item = ["_id", "_th", "item_id", "item_th"]
     found = (same.groupBy(*item, "item_at").agg(F.max("plain").alias("plain"), F.max("enough").alias("enough"))
              .groupBy(*item).agg(F.count_if("enough").alias("seen"), F.count_if("plain").alias("worded")))
+    # without usable windows the first share is null, and the other decides
     first = F.when(F.col("usable") > 0, F.col("seen") / F.col("usable"))
     return (found.join(counted, ["item_id", "item_th"])
-            .select("_id", "_th", "item_id", first.alias("share"))
+            .select("_id", "_th", "item_id", F.greatest(first, F.col("worded") / F.col("all")).alias("share"))
             .filter(F.col("share") >= coverage))
 
 

@@ -219,3 +219,19 @@ def test_decontamination_finds_copies_in_other_case(spark):
     ], "doc_id long, text string")
     got = {r["doc_id"]: r["share"] for r in contaminated(docs, bench).collect()}
     assert set(got) == {1, 2, 3, 4, 5} and got[1] == got[2] == got[3] == 1.0
+
+
+def test_decontamination_finds_short_and_all_slot_items(spark):
+    sums = "12 + 7 = 19, 8 + 5 = 13, 20 - 4 = 16, 9 + 9 = 18"
+    names = "ask Anna Berg, Carl Dahl, Eva Falk, Gustav Holm, Ida Jansson, Karl Lind and Maja Norberg"
+    bench = spark.createDataFrame([(1, "name the tallest bird"), (2, sums), (3, names), (4, "Who wrote Faust")],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, "in the quiz they had to name the tallest bird of all and nobody knew which one"),
+        (2, "the sheet says " + sums + " and no more than that was written on it"),
+        (3, "to learn more " + names + " who were all there on that day"),
+        (4, "the teacher said: who wrote Faust, and the class had no answer to that question"),
+        (5, "12 + 7 = 20, 8 + 5 = 14, 20 - 4 = 17, 9 + 9 = 19 is another sheet and the tallest bird"),
+        (6, "name the tallest bird"), (7, "name the tallest")], "doc_id long, text string")
+    got = {r["doc_id"]: r["item_ids"] for r in contaminated(docs, bench).collect()}
+    assert got == {1: [1], 2: [2], 3: [3], 4: [4], 6: [1]}
