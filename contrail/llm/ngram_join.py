@@ -359,6 +359,14 @@ def set_links(docs: DataFrame, setting: Setting = Setting()) -> tuple[DataFrame,
     return sets, links
 
 
+def set_groups(docs: DataFrame, setting: Setting = Setting()) -> DataFrame:
+    """``_id, _th, n, group`` of every row: rows of linked or equal sets
+    share the group, whatever their ids; null for empty sets."""
+    sets, links = set_links(docs, setting)
+    comp = components(links).withColumnRenamed("node", "sid")
+    return sets.join(comp, "sid", "left").select("_id", "_th", "n", F.coalesce("comp", "sid").alias("group"))
+
+
 def ngram_components(docs: DataFrame, setting: Setting = Setting()) -> DataFrame:
     """``_id, _th, n, component`` of every row, see :func:`ngram_groups`."""
     sets, links = set_links(docs, setting)

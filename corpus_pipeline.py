@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from contrail.llm.common import identity, stored, table
 from contrail.llm.decontaminate import without_leaks
 from contrail.llm.mixing import mixture
-from contrail.llm.ngram_join import ngram_components
+from contrail.llm.ngram_join import set_groups
 from contrail.llm.quality import scored, train
 from contrail.llm.substring_dedup import substring_dedup
 
@@ -24,11 +24,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of linked documents: the one with
-    the smallest id. Documents without words are in no group and stay. Of
-    repeated rows of the kept document one stays."""
-    groups = ngram_components(docs)
-    keep = groups.filter("n = 0 OR _id = component").groupBy("component", "_id").agg(
-        F.min("_th").alias("_th")).select(F.col("_id").alias("__id"), F.col("_th").alias("__th"))
+    the smallest id, of rows with that id the one with the least text hash.
+    Groups are of texts: rows that share an id, or have none, are linked by
+    what they say only. Documents without words are in no group and stay. Of
+    repeated rows of a kept document one stays."""
+    groups = set_groups(docs)
+    first = groups.filter("n > 0").groupBy("group").agg(F.min(F.struct("_id", "_th")).alias("r")).select("r._id", "r._th")
+    keep = first.unionByName(groups.filter("n = 0").select("_id", "_th")).select(
+        F.col("_id").alias("__id"), F.col("_th").alias("__th"))
     i, t = identity(docs)
     rows = docs.withColumns({"__i": i, "__t": t})
     return (rows.join(keep, (rows["__i"] == keep["__id"]) & (rows["__t"] == keep["__th"]), "left_semi")

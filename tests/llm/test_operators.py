@@ -235,3 +235,18 @@ def test_decontamination_finds_short_and_all_slot_items(spark):
         (6, "name the tallest bird"), (7, "name the tallest")], "doc_id long, text string")
     got = {r["doc_id"]: r["item_ids"] for r in contaminated(docs, bench).collect()}
     assert got == {1: [1], 2: [2], 3: [3], 4: [4], 6: [1]}
+
+
+def test_near_duplicates_keeps_different_texts_of_null_and_repeated_ids(spark):
+    from corpus_pipeline import near_duplicates
+    said = ["the harbour was quiet when the last ferry left for the islands that night",
+            "bread needs flour water salt and more patience than most people want to give",
+            "old maps of the valley show a river where the road to the mill runs now",
+            "she counted nine herons on the bank and wrote the number in a small green book"]
+    near = "zero " + " ".join(f"w{i}" for i in range(60))
+    rows = [(None, said[0]), (None, said[1]), (5, said[2]), (5, said[3]), (5, said[3]), (7, near), (8, near + " end"),
+            (None, near), (9, None), (9, "  "), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA).repartition(3)
+    got = sorted(((r["doc_id"], r["text"]) for r in near_duplicates(spark, docs, "").collect()), key=str)
+    want = [(None, said[0]), (None, said[1]), (5, said[2]), (5, said[3]), (7, near), (9, None), (9, "  "), (None, "")]
+    assert got == sorted(want, key=str)
