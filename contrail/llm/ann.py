@@ -7,7 +7,9 @@ ordering by key (equal keys stay in order by point); counts per partition
 give every point its place. A query looks at the ``reach`` of all places
 before and after its own on each curve; places are dealt in blocks, the
 query goes to every block its window touches, the blocks return their
-nearest, and the lists of all windows merge by exact distance.
+nearest, and the lists of all windows merge by exact distance. The queries
+of a block are dealt in chunks of about ``chunk``, each with the block's
+points, so a task holds a bounded table however many queries there are.
 
 ``reach`` is a share of the points. Where near points share few directions
 (vectors spread evenly in many dimensions) no curve keeps neighbours
@@ -33,6 +35,7 @@ CURVES = 3
 DIMS, BITS = 6, 10
 REACH = 0.3           # of all points, on each side
 BLOCK = 4_096         # places a task compares at once
+CHUNK = 4_096         # queries a task compares with a block, about
 SAMPLE = 2_000        # vectors that set the range of the grid
 
 
@@ -144,8 +147,23 @@ def _nearest(k: int):
     return run
 
 
+def dealt(spots: DataFrame, asked: DataFrame, total: int, span: int, chunk: int = CHUNK) -> DataFrame:
+    """Queries (``ask``) and points by the group (curve, block, chunk) they
+    meet in. ``spots``: point, curve, place, v; ``asked``: point, each once."""
+    chunks = max(1, -(-asked.count() // chunk))
+    blocks = spots.withColumn("block", F.floor(F.col("place") / BLOCK)).withColumn(
+        "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
+    low, high = F.greatest(F.lit(0), F.col("place") - span), F.least(F.lit(total - 1), F.col("place") + span)
+    who = spots.join(asked, "point", "left_semi").withColumn("chunk", F.pmod(F.xxhash64("point"), F.lit(chunks).cast("long")))
+    sent = who.withColumns({"low": low, "high": high}).withColumn(
+        "block", F.explode(F.sequence(F.floor(F.col("low") / BLOCK), F.floor(F.col("high") / BLOCK))))
+    cols = ["curve", "block", "chunk", "point", "place", "v", "low", "high", "ask"]
+    return sent.withColumn("ask", F.lit(True)).select(cols).unionByName(
+        blocks.withColumns({"low": F.lit(0).cast("long"), "high": F.lit(0).cast("long"), "ask": F.lit(False)}).select(cols))
+
+
 def nearest_neighbours(vectors: DataFrame, k: int = K, every: int = 100, curves: int = CURVES, dims: int = DIMS,
-                       bits: int = BITS, reach: float = REACH, seed: int = 17) -> DataFrame:
+                       bits: int = BITS, reach: float = REACH, seed: int = 17, chunk: int = CHUNK) -> DataFrame:
     """query_id, rank, vec_id, score (Euclidean distance) of the ``k`` nearest
     found for each row whose vec_id is divisible by ``every``. ``vectors``:
     vec_id, embedding (array of one length).
@@ -178,15 +196,8 @@ def nearest_neighbours(vectors: DataFrame, k: int = K, every: int = 100, curves:
     spots = stored(places(points, curves, dims, bits, seed).join(points, "point"), "places")
     total = points.count()
     span = max(int(total * reach), 8 * k)
-    blocks = spots.withColumn("block", F.floor(F.col("place") / BLOCK))
-    low, high = F.greatest(F.lit(0), F.col("place") - span), F.least(F.lit(total - 1), F.col("place") + span)
-    who = spots.join(asked.select("point").distinct(), "point", "left_semi")
-    sent = who.withColumns({"low": low, "high": high}).withColumn(
-        "block", F.explode(F.sequence(F.floor(F.col("low") / BLOCK), F.floor(F.col("high") / BLOCK))))
-    cols = ["curve", "block", "point", "place", "v", "low", "high", "ask"]
-    both = sent.withColumn("ask", F.lit(True)).select(cols).unionByName(
-        blocks.withColumns({"low": F.lit(0).cast("long"), "high": F.lit(0).cast("long"), "ask": F.lit(False)}).select(cols))
-    found = both.groupBy("curve", "block").applyInArrow(_nearest(k), "q long, point long, dist double")
+    both = dealt(spots, asked.select("point").distinct(), total, span, chunk)
+    found = both.groupBy("curve", "block", "chunk").applyInArrow(_nearest(k), "q long, point long, dist double")
     merged = found.groupBy("q", "point").agg(F.min("dist").alias("score"))
     # the nearest k + 1 points hold the nearest k ids of any query of the point
     best = merged.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy("score", "point"))).filter(

@@ -250,3 +250,17 @@ def test_near_duplicates_keeps_different_texts_of_null_and_repeated_ids(spark):
     got = sorted(((r["doc_id"], r["text"]) for r in near_duplicates(spark, docs, "").collect()), key=str)
     want = [(None, said[0]), (None, said[1]), (5, said[2]), (5, said[3]), (7, near), (9, None), (9, "  "), (None, "")]
     assert got == sorted(want, key=str)
+
+
+def test_neighbour_queries_are_dealt_in_bounded_chunks(spark):
+    from contrail.llm.ann import dealt
+    r = np.random.default_rng(6)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(r.normal(size=(400, 8)))],
+                               "vec_id long, embedding array<float>")
+    spots = df.selectExpr("vec_id AS point", "0 AS curve", "vec_id AS place", "embedding AS v")
+    got = dealt(spots, df.selectExpr("vec_id AS point"), 400, 400, chunk=50)
+    groups = got.filter("ask").groupBy("curve", "block", "chunk").count().toPandas()
+    assert groups["count"].sum() == 400 and groups["count"].max() <= 100
+    assert set(got.filter("NOT ask").groupBy("chunk").count().toPandas()["count"]) == {400}
+    one, many = (sorted(map(tuple, nearest_neighbours(df, every=4, chunk=c).collect())) for c in (1000, 10))
+    assert one == many and len(one) == 1000
