@@ -89,11 +89,13 @@ def cycle_graph_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reset_state_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-1, SNK-11: state vectors written, reset, and written again by two
     upserts that overlap: the table holds each key once, with its newest
-    write, and nothing of before the reset is counted twice."""
+    write. Before the reset it also holds aircraft, on the same days, that
+    no later upsert writes: they must be gone."""
     raw, _ = fixture_tables(spark, sf_dir)
     path = scratch_dir(spark, "reset")
     rows = raw.withColumnRenamed("event_id", "ingest_seq")
-    upsert_state_vectors(rows, path)
+    gone = rows.withColumn("icao24", F.concat(F.lit("gone-"), "icao24"))
+    upsert_state_vectors(rows.unionByName(gone), path)
     reset_derived(spark, {"state_vectors": path})
     upsert_state_vectors(rows.filter(F.col("ingest_seq") % 2 == 0), path)
     upsert_state_vectors(rows, path)

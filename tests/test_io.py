@@ -292,3 +292,11 @@ def test_flight_event_retention(spark):
     upsert_flight_events(ev, path)
     assert expire_flight_events(spark, path, today=dt.date(2024, 2, 15)) == ["2024-01-01"]
     assert [r.event_type for r in spark.read.parquet(path).collect()] == ["LANDING"]
+
+
+def test_reset_round_trip_shows_a_reset_that_does_nothing(spark, monkeypatch):
+    from contrail.plans import roundtrips as R
+    sf = "/root/testdata/sf0.001"
+    assert R.reset_state_vectors(spark, sf).filter("icao24 LIKE 'gone-%'").count() == 0
+    monkeypatch.setattr(R, "reset_derived", lambda *a, **k: None)
+    assert R.reset_state_vectors(spark, sf).filter("icao24 LIKE 'gone-%'").count() > 0
