@@ -77,14 +77,11 @@ def with_previous_state(pos: DataFrame, split_unit: str | None = "day") -> DataF
             .drop("_ghost", "_bucket"))
 
 
-@in_utc
-def detect_flight_events(clean: DataFrame, batch_id: str = "manual",
-                         split_unit: str | None = "day") -> DataFrame:
-    """TAKEOFF (True -> False) / LANDING (False -> True); position and time
-    from the later row; ``gap_seconds`` truncates each side to whole
-    seconds before subtracting (P-9). The first row per aircraft yields
-    nothing (F-3)."""
-    prev = with_previous_state(positioned_snapshots(clean), split_unit)
+def transitions(prev: DataFrame, batch_id: str) -> DataFrame:
+    """TAKEOFF (True -> False) / LANDING (False -> True) of rows with their
+    previous state; position and time from the later row; ``gap_seconds``
+    truncates each side to whole seconds before subtracting (P-9). A row
+    without a previous one yields nothing (F-3)."""
     return (
         prev.filter(F.col("on_ground_prev").isNotNull()
                     & (F.col("on_ground") != F.col("on_ground_prev")))
@@ -101,6 +98,33 @@ def detect_flight_events(clean: DataFrame, batch_id: str = "manual",
     )
 
 
+@in_utc
+def detect_flight_events(clean: DataFrame, batch_id: str = "manual",
+                         split_unit: str | None = "day") -> DataFrame:
+    """The transitions of all positioned snapshots."""
+    return transitions(with_previous_state(positioned_snapshots(clean), split_unit), batch_id)
+
+
+@in_utc
+def events_inside_dates(clean: DataFrame, batch_id: str) -> DataFrame:
+    """Transitions between two snapshots of one date."""
+    w = Window.partitionBy("icao24", F.to_date("snapshot_time")).orderBy("snapshot_time")
+    prev = positioned_snapshots(clean).withColumns({
+        "on_ground_prev": F.lag("on_ground", 1).over(w), "snapshot_time_prev": F.lag("snapshot_time", 1).over(w)})
+    return transitions(prev, batch_id)
+
+
+@in_utc
+def date_boundaries(clean: DataFrame) -> DataFrame:
+    """First and last positioned snapshot of each aircraft and date: what
+    another date's events need to know of this one."""
+    t = "snapshot_time"
+    return positioned_snapshots(clean).groupBy("icao24", F.to_date(t).alias("snapshot_date")).agg(
+        F.min(t).alias("head_time"), F.min_by("on_ground", t).alias("head_ground"),
+        F.min_by("latitude", t).alias("head_lat"), F.min_by("longitude", t).alias("head_lon"),
+        F.max(t).alias("tail_time"), F.max_by("on_ground", t).alias("tail_ground")).drop("snapshot_date")
+
+
 def event_type_counts(events: DataFrame) -> DataFrame:
     """A-7: totals by event type in one pass."""
     return events.agg(

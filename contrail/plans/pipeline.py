@@ -10,14 +10,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.constants import AIRPORT_RADIUS_KM, BATCH_ID_FORMAT, FLIGHT_EVENT_TTL_DAYS, NEAR_RADIUS_KM
-from contrail.operators.clean import clean_and_enrich
+from contrail.constants import AIRPORT_RADIUS_KM, BATCH_ID_FORMAT, NEAR_RADIUS_KM
+from contrail.operators.clean import clean_and_enrich, latest_per_aircraft
 from contrail.operators.events import detect_flight_events
 from contrail.operators.graph import Graph, build_graph, operates_edges
 from contrail.operators.match import match_airports, match_both
 from contrail.operators.near import near_pairs
-from contrail.session import apply_scale_settings, cut_lineage, delete_path, in_utc, scratch_path
-from contrail.sinks.tables import expire_partitions, merge_table, retained, upsert, upsert_flight_events
+from contrail.schema import AIRCRAFT_PROPS
+from contrail.session import cut_lineage, delete_path, in_utc, scratch_path
+from contrail.sinks.versions import Parts, bucketed, dated, merge_rows, read_version, replace_parts
 from contrail.sources.fixtures import fixture_tables
 
 # Batch id used by the registered queries, so results are repeatable.
@@ -62,51 +63,73 @@ def graph_from_dir(spark: SparkSession, sf_dir: str, **kw) -> Graph:
     return pipeline_from_dir(spark, sf_dir, **kw).graph
 
 
-# Keys of the written tables. Tables with a time are kept in date partitions
-# and only the dates of the new rows are rewritten, ordered by (date, keys)
-# over all files; node tables and pairs are merged as a whole. Earlier
-# cycles' rows stay.
-_KEYS = {
-    "country": ["name"],
-    "aircraft": ["icao24"],
-    "airport": ["icao"],
-    "snapshot": ["id"],
-    "operates": ["country", "icao24"],
-    "snapshot_edge": ["icao24", "snapshot_id"],
-    "flight_edge": ["icao24", "event_time", "rel_type", "airport_icao"],
-}
-_DATED = {"snapshot": ("snapshot_time", "snapshot_date"), "snapshot_edge": ("snapshot_time", "snapshot_date"),
-          "flight_edge": ("event_time", "event_date")}
+# Buckets of the tables without a time; a table keeps those of its first write.
+ENTITY_BUCKETS = 16
+
+
+def table_layout(name: str, near_grain: str = "pair") -> tuple[list[str], Parts]:
+    """Keys and layout of a written table. Tables with a time lie in dates,
+    entities in buckets of their key, catalogues in one."""
+    if name == "near" and near_grain == "observation":
+        return ["icao24_a", "icao24_b", "snapshot_time"], dated("snapshot_time", "snapshot_date")
+    return {
+        "country": (["name"], bucketed(["name"], 1)),
+        "airport": (["icao"], bucketed(["icao"], 1)),
+        "aircraft": (["icao24"], bucketed(["icao24"], ENTITY_BUCKETS)),
+        "operates": (["icao24"], bucketed(["icao24"], ENTITY_BUCKETS)),
+        "near": (["icao24_a", "icao24_b"], bucketed(["icao24_a", "icao24_b"], ENTITY_BUCKETS)),
+        "snapshot": (["id"], dated("snapshot_time", "snapshot_date")),
+        "snapshot_edge": (["icao24", "snapshot_id"], dated("snapshot_time", "snapshot_date")),
+        "flight_edge": (["icao24", "event_time", "rel_type", "airport_icao"], dated("event_time", "event_date")),
+        "flight_events": (["icao24", "event_time", "event_type"], dated("event_time", "event_date")),
+        "matched_events": (["icao24", "event_time", "event_type", "airport_icao"], dated("event_time", "event_date")),
+        "boundaries": (["icao24"], dated("head_time", "snapshot_date")),
+    }[name]
+
+
+def seen_aircraft(clean: DataFrame) -> DataFrame:
+    """Aircraft nodes with the time they are from."""
+    return latest_per_aircraft(clean).select("icao24", *AIRCRAFT_PROPS, F.col("snapshot_time").alias("seen_at"))
+
+
+@in_utc
+def write_entities(aircraft: DataFrame, country: DataFrame, airport: DataFrame, near: DataFrame, out_dir: str,
+                   near_grain: str = "pair") -> None:
+    """SNK-4, SNK-5, SNK-7 and NEAR, merged by key with what is there. An
+    aircraft and a pair keep the values of their newest snapshot, whichever
+    run saw it; rows are never removed. OPERATES is derived from the
+    aircraft buckets that were touched."""
+    spark = aircraft.sparkSession
+    if "seen_at" not in aircraft.columns:
+        aircraft = aircraft.withColumn("seen_at", F.lit(None).cast("timestamp_ntz"))
+    for name, rows, order in (("country", country, []), ("airport", airport, []),
+                              ("near", near, [F.col("snapshot_time").desc()]),
+                              ("aircraft", aircraft, [F.col("seen_at").desc_nulls_last()])):
+        keys, layout = table_layout(name, near_grain)
+        touched = merge_rows(rows, os.path.join(out_dir, name), keys, layout, order, unique=True)
+    keys, layout = table_layout("operates")
+    operates = operates_edges(read_version(spark, os.path.join(out_dir, "aircraft"), touched))
+    replace_parts(operates, os.path.join(out_dir, "operates"), keys, layout, touched)
 
 
 @in_utc
 def write_graph(graph: Graph, out_dir: str, near_grain: str = "pair") -> dict[str, str]:
-    """SNK-4..9: every node / edge table as parquet under ``out_dir``, merged
-    by key with what is there. Aircraft nodes are written first and OPERATES
-    is derived from the written table."""
-    spark = graph.aircraft.sparkSession
-    paths = {name: os.path.join(out_dir, name) for name in graph.tables()}
-    keys = _KEYS | {"near": ["icao24_a", "icao24_b"] + (["snapshot_time"] if near_grain == "observation" else [])}
-    merge_table(graph.aircraft, paths["aircraft"], keys["aircraft"])
-    tables = graph.tables() | {
-        "operates": operates_edges(spark.read.parquet(paths["aircraft"])),
-        "snapshot": graph.snapshot_edge.select(F.col("snapshot_id").alias("id"), "snapshot_time"),
-    }
-    for name, df in tables.items():
-        if name == "operates":  # a function of the merged aircraft
-            df.write.mode("overwrite").parquet(paths[name])
-        elif name in _DATED:
-            time_col, part_col = _DATED[name]
-            upsert(df, paths[name], keys[name], time_col, part_col)
-        elif name != "aircraft":
-            merge_table(df, paths[name], keys[name])
-    return paths
+    """SNK-4..9: every node / edge table under ``out_dir``, merged by key
+    with what is there. Each table is a versioned one: a write that fails
+    leaves what earlier runs wrote."""
+    write_entities(graph.aircraft, graph.country, graph.airport, graph.near, out_dir, near_grain)
+    timed = {"snapshot": graph.snapshot_edge.select(F.col("snapshot_id").alias("id"), "snapshot_time"),
+             "snapshot_edge": graph.snapshot_edge, "flight_edge": graph.flight_edge}
+    for name, df in timed.items():
+        merge_rows(df, os.path.join(out_dir, name), *table_layout(name), unique=True)
+    return {name: os.path.join(out_dir, name) for name in graph.tables()}
 
 
 def read_graph(spark: SparkSession, out_dir: str) -> Graph:
+    """The newest version of every table."""
     def rd(name):
-        df = spark.read.parquet(os.path.join(out_dir, name)).drop("snapshot_date", "event_date")
-        return df.select("id") if name == "snapshot" else df
+        df = read_version(spark, os.path.join(out_dir, name))
+        return df.select("id") if name == "snapshot" else df.drop("seen_at")
     return Graph(**{name: rd(name) for name in Graph.__dataclass_fields__})
 
 
@@ -122,7 +145,8 @@ def run_batch(spark: SparkSession, raw: DataFrame, airports: DataFrame, out_dir:
     The much smaller events and match candidates are read whole by two
     consumers each and get a reliable checkpoint. Events and graph tables are
     merged by key into what earlier runs wrote: nothing of theirs is lost,
-    and running a batch again changes nothing.
+    and running a batch again changes nothing. (``plans/cycle.py`` has the
+    scheduled form, which knows the dates that changed.)
     """
     batch_id = batch_id or new_batch_id(spark)
     timings = {} if timings is None else timings
@@ -139,48 +163,18 @@ def run_batch(spark: SparkSession, raw: DataFrame, airports: DataFrame, out_dir:
     clean = stage("clean", lambda: cut_lineage(clean_and_enrich(raw), "clean", base=run_dir))
     events = stage("events", lambda: cut_lineage(detect_flight_events(clean, batch_id), "events",
                                                  columnar=False))
-    matched_path = os.path.join(out_dir, "matched_events")
     matched_all, keyed = stage("airport_match_plan", lambda: match_both(
         events, airports, mode=match_mode, materialize=lambda d: cut_lineage(d, "match", columnar=False)))
-    stage("airport_match", lambda: upsert(
-        matched_all, matched_path, ["icao24", "event_time", "event_type", "airport_icao"], "event_time", "event_date"))
-    stage("flight_events_table", lambda: upsert_flight_events(keyed, os.path.join(out_dir, "flight_events")))
-    matched = matched_all
+    stage("airport_match", lambda: merge_rows(
+        matched_all, os.path.join(out_dir, "matched_events"), *table_layout("matched_events"), unique=True))
+    stage("flight_events_table", lambda: merge_rows(
+        keyed, os.path.join(out_dir, "flight_events"), *table_layout("flight_events"), unique=True))
     near = near_pairs(clean, grain=near_grain)
-    graph = build_graph(clean, matched, airports, near)
+    graph = build_graph(clean, matched_all, airports, near)
+    graph.aircraft = seen_aircraft(clean)
     try:
         paths = stage("graph_write", lambda: write_graph(graph, os.path.join(out_dir, "graph"), near_grain))
     finally:
         delete_path(spark, run_dir)
     return {"batch_id": batch_id, "paths": paths, "timings": timings,
             "graph_dir": os.path.join(out_dir, "graph")}
-
-
-@in_utc
-def run_cycle(spark: SparkSession, landing_dir: str, state_vectors_path: str, airports: DataFrame,
-              out_dir: str, checkpoint_location: str, retention_days: int | None = None,
-              now=None, batch_id: str | None = None, size_session: bool = False) -> dict:
-    """ST-3 / ST-4: one scheduled cycle. Ingest whatever snapshots have
-    landed (availableNow, idempotent upsert), then recompute everything
-    over the retained window of state vectors (7 days by default; any row
-    inside it is seen by the next cycle). Scheduling every 5 minutes is the
-    caller's (cron, workflow tool, or a streaming trigger). With
-    ``size_session`` the shuffle partitions, scan splits and skew thresholds
-    are sized from the bytes of the state-vector table first."""
-    from contrail.constants import STATE_VECTOR_TTL_DAYS
-    from contrail.streaming.ingest import start_ingest
-
-    q = start_ingest(spark, landing_dir, state_vectors_path, checkpoint_location, trigger="availableNow")
-    q.awaitTermination()
-    if size_session:
-        apply_scale_settings(spark, [state_vectors_path])
-    days = STATE_VECTOR_TTL_DAYS if retention_days is None else retention_days
-    # append-only table: clean_and_enrich keeps the newest write per key
-    sv = retained(spark.read.parquet(state_vectors_path), "snapshot_time", days, now, "snapshot_date").drop("snapshot_date")
-    result = run_batch(spark, sv, airports, out_dir, batch_id=batch_id)
-    # SNK-10: whole days beyond their retention go
-    today = now.date() if now is not None else None
-    expire_partitions(spark, state_vectors_path, "snapshot_date", days, today)
-    expire_partitions(spark, os.path.join(out_dir, "flight_events"), "event_date",
-                      max(days, FLIGHT_EVENT_TTL_DAYS), today)
-    return result

@@ -19,6 +19,7 @@ from contrail.session import (
     cut_lineage, ensure_checkpoint_dir, input_bytes, session_conf, stateful_settings,
 )
 from contrail.sinks.tables import reset_derived, upsert_state_vectors
+from contrail.sinks.versions import read_version
 from contrail.sources.airports_csv import load_airports
 from contrail.sources.fixtures import fixture_tables, padded
 from contrail.sources.snapshots import parse_snapshots, snapshots_from_state_vectors
@@ -73,7 +74,7 @@ def cycle_dir(spark: SparkSession, sf_dir: str) -> str:
 
 def cycle_flight_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-2, ST-3: the flight events table as two cycles have left it."""
-    return spark.read.parquet(os.path.join(cycle_dir(spark, sf_dir), "flight_events")).drop("event_date")
+    return read_version(spark, os.path.join(cycle_dir(spark, sf_dir), "flight_events"))
 
 
 def cycle_flight_edges(spark: SparkSession, sf_dir: str) -> DataFrame:

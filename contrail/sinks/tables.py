@@ -1,17 +1,21 @@
-"""Table sinks: keyed upsert into date-partitioned parquet (SNK-1, SNK-2),
-catalogue overwrite (SNK-3), retention (SNK-10) and reset (SNK-11).
+"""Table sinks in plain date-partitioned parquet: keyed upsert (SNK-1,
+SNK-2), catalogue overwrite (SNK-3), retention (SNK-10) and reset (SNK-11).
+The batch job's own tables are versioned (``sinks/versions.py``).
 
 The upsert reads only the partitions the new rows touch, keeps the newest
 row per key (new rows beat stored rows, then the higher ingest order),
-materializes the merge in a scratch folder under the shared checkpoint
-folder (deleted afterwards) and rewrites just those partitions (dynamic
-partition overwrite). Re-running the same batch gives the same table, so a
-retried micro-batch is harmless. The append path writes only new rows.
+stages the merge in the table's ``_pending`` folder and rewrites just those
+partitions (dynamic partition overwrite). The staged copy goes only when the
+rewrite is complete: a writer that was lost in between is redone from it by
+the next one (:func:`recover`). Re-running the same batch gives the same
+table, so a retried micro-batch is harmless. The append path writes only new
+rows.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +23,9 @@ from pyspark.sql import types as T
 
 from contrail import constants as K
 from contrail.operators.clean import keep_top_per_key
-from contrail.session import cut_lineage, delete_path, in_utc, scratch_path
+from contrail.session import delete_path, in_utc
+from contrail.sinks import versions as V
+from contrail.sinks.versions import names_in
 
 STATE_VECTOR_KEYS = ["icao24", "snapshot_time"]
 FLIGHT_EVENT_KEYS = ["icao24", "event_time", "event_type"]
@@ -39,11 +45,12 @@ def upsert(new_rows: DataFrame, path: str, keys: list[str], time_col: str,
     touched partitions."""
     spark = new_rows.sparkSession
     order = order or []
+    recover(spark, path, keys, part_col)
     fresh = new_rows.withColumn(part_col, F.to_date(time_col)).withColumn("_src", F.lit(1))
     touched = [r[0] for r in fresh.select(part_col).distinct().collect()]  # a handful of dates
     if not touched:
         return 0  # ST-5: an empty batch is a no-op
-    if _exists(spark, path):
+    if _partitions(spark, path):
         stored = (spark.read.parquet(path).filter(F.col(part_col).isin(touched))
                        .withColumn("_src", F.lit(0)))
         fresh = fresh.unionByName(stored, allowMissingColumns=True)
@@ -52,21 +59,48 @@ def upsert(new_rows: DataFrame, path: str, keys: list[str], time_col: str,
     return len(touched)
 
 
+PENDING = "_pending"
+
+
+def _rewrite(staged: DataFrame, path: str, keys: list[str], part_col: str) -> None:
+    """Range-partitioned on (date, keys): sampled boundaries split a hot date
+    over many tasks, and every file holds a narrow sorted key range, so a
+    lookup by icao24 skips files and row groups by their min/max statistics."""
+    (staged.repartitionByRange(part_col, *keys).sortWithinPartitions(part_col, *keys)
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(part_col).parquet(path))
+
+
 def _overwrite_partitions(merged: DataFrame, path: str, keys: list[str], part_col: str, name: str) -> None:
-    """Materialize ``merged`` (we overwrite what we read), rewrite its
-    partitions, then drop the scratch copy. Range-partitioned on (date,
-    keys): sampled boundaries split a hot date over many tasks, and every
-    file holds a narrow sorted key range, so a lookup by icao24 skips files
-    and row groups by their min/max statistics."""
+    """Stage ``merged`` (we overwrite what we read) in the table's pending
+    folder, rewrite its partitions, then drop the staged copy. If the rewrite
+    fails, the copy stays for :func:`recover`."""
     spark = merged.sparkSession
-    scratch = scratch_path(spark, name)
+    staged_path = f"{path}/{PENDING}/{name}-{uuid.uuid4().hex}"
     try:
-        staged = cut_lineage(merged, "rows", base=scratch)
-        (staged.repartitionByRange(part_col, *keys).sortWithinPartitions(part_col, *keys)
-               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(part_col).parquet(path))
-    finally:
-        delete_path(spark, scratch)
+        merged.write.parquet(staged_path)
+    except BaseException:
+        delete_path(spark, staged_path)  # nothing of the table has changed
+        raise
+    staged = spark.read.schema(merged.schema).parquet(staged_path)
+    _rewrite(staged, path, keys, part_col)
+    delete_path(spark, staged_path)
+
+
+@in_utc
+def recover(spark: SparkSession, path: str, keys: list[str], part_col: str) -> int:
+    """Redo the rewrites whose writer was lost after staging; drop what was
+    staged in part. Every upsert and compaction begins with it; a reader that
+    must not see a rewrite cut short calls it first. Returns the number
+    redone."""
+    done = 0
+    for name in names_in(spark, f"{path}/{PENDING}"):
+        staged_path = f"{path}/{PENDING}/{name}"
+        if "_SUCCESS" in names_in(spark, staged_path):
+            _rewrite(spark.read.parquet(staged_path), path, keys, part_col)
+            done += 1
+        delete_path(spark, staged_path)
+    return done
 
 
 @in_utc
@@ -85,6 +119,9 @@ def compact(spark: SparkSession, path: str, keys: list[str], part_col: str,
     wins), e.g. once a day for closed days of an append-only table."""
     if not values or not _exists(spark, path):
         return 0
+    recover(spark, path, keys, part_col)
+    if not _partitions(spark, path):
+        return 0
     stored = spark.read.parquet(path).filter(F.col(part_col).isin(values))
     _overwrite_partitions(keep_top_per_key(stored, keys, order), path, keys, part_col, "compact")
     return len(values)
@@ -130,23 +167,6 @@ def retained(df: DataFrame, time_col: str, days: int, now: dt.datetime | None =
     return df.filter(F.col(time_col) >= oldest)
 
 
-@in_utc
-def merge_table(new_rows: DataFrame, path: str, keys: list[str]) -> None:
-    """Insert-or-replace by ``keys`` into an unpartitioned table (node
-    tables, one row per entity); new rows beat stored ones."""
-    spark = new_rows.sparkSession
-    rows = new_rows.withColumn("_src", F.lit(1))
-    if _exists(spark, path):
-        rows = rows.unionByName(spark.read.parquet(path).withColumn("_src", F.lit(0)), allowMissingColumns=True)
-    merged = keep_top_per_key(rows, keys, [F.col("_src").desc()]).drop("_src")
-    scratch = scratch_path(spark, "merge")
-    try:
-        staged = cut_lineage(merged, "rows", base=scratch)
-        staged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
-    finally:
-        delete_path(spark, scratch)
-
-
 def expire_partitions(spark: SparkSession, path: str, part_col: str, days: int,
                       today: dt.date | None = None) -> list[str]:
     """SNK-10: delete whole date partitions older than ``days`` (state
@@ -174,10 +194,7 @@ def expire_partitions(spark: SparkSession, path: str, part_col: str, days: int,
 
 def _partitions(spark: SparkSession, path: str) -> list[str]:
     """Names of the ``column=value`` folders of a table, in order."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
-    return sorted(n for n in found if "=" in n)
+    return [n for n in names_in(spark, path) if "=" in n]
 
 
 def expire_state_vectors(spark: SparkSession, path: str, today: dt.date | None = None) -> list[str]:
@@ -196,6 +213,10 @@ def reset_derived(spark: SparkSession, paths: dict[str, str], keep: tuple[str, .
     for name, path in paths.items():
         if name in keep or not _exists(spark, path):
             continue
+        if V.exists(spark, path):
+            V.drop_parts(spark, path, lambda part: False)
+            done.append(name)
+            continue
         schema = spark.read.parquet(path).schema
         parts = _partitions(spark, path)
         for part in parts[:-1]:

@@ -191,7 +191,8 @@ def test_load_test_report(spark):
 
 def test_run_cycle_ingests_then_recomputes(spark):
     import datetime as dt
-    from contrail.plans.pipeline import read_graph, run_cycle
+    from contrail.plans.cycle import run_cycle
+    from contrail.plans.pipeline import read_graph
     from contrail.plans import queries as Q
     root = scratch()
     raw, airports = fixture_tables(spark, SF0001)
