@@ -32,7 +32,7 @@ from contrail.operators.events import date_boundaries, events_inside_dates, tran
 from contrail.operators.graph import airport_nodes, country_nodes, flight_edges, snapshot_edges
 from contrail.operators.match import match_both
 from contrail.operators.near import near_pairs
-from contrail.plans.pipeline import new_batch_id, seen_aircraft, table_layout, write_entities
+from contrail.plans.pipeline import at_once, new_batch_id, seen_aircraft, table_layout, write_entities
 from contrail.session import apply_scale_settings, cut_lineage, delete_path, in_utc, scratch_path
 from contrail.sinks import versions as V
 from contrail.sinks.tables import STATE_VECTOR_KEYS, compact_state_vectors, expire_partitions, recover
@@ -120,17 +120,25 @@ def recompute_dates(spark: SparkSession, state_vectors_path: str, dates: list[st
         matched, keyed = match_both(events, airports, mode=match_mode,
                                     materialize=lambda d: cut_lineage(d, "match", columnar=False))
         airport = airport_nodes(airports)
-        for name, rows, folder in (("matched_events", matched, out_dir), ("flight_events", keyed, out_dir),
-                                   ("flight_edge", flight_edges(matched, airport), graph_dir)):
-            _write_events(rows, os.path.join(folder, name), name, dates, heads, more)
         edges = snapshot_edges(clean)
-        for name, rows in (("snapshot", edges.select(F.col("snapshot_id").alias("id"), "snapshot_time")), ("snapshot_edge", edges)):
-            V.replace_parts(rows, os.path.join(graph_dir, name), *table_layout(name), dates)
         near = near_pairs(clean, grain=near_grain)
+
+        def event_table(name, rows, folder):
+            _write_events(rows, os.path.join(folder, name), name, dates, heads, more)
+
+        def dated_table(name, rows):
+            V.replace_parts(rows, os.path.join(graph_dir, name), *table_layout(name, near_grain), dates)
+
+        jobs = [lambda: event_table("matched_events", matched, out_dir), lambda: event_table("flight_events", keyed, out_dir),
+                lambda: event_table("flight_edge", flight_edges(matched, airport), graph_dir),
+                lambda: dated_table("snapshot", edges.select(F.col("snapshot_id").alias("id"), "snapshot_time")),
+                lambda: dated_table("snapshot_edge", edges)]
+        pairs = near
         if near_grain == "observation":
-            V.replace_parts(near, os.path.join(graph_dir, "near"), *table_layout("near", near_grain), dates)
-            near = near.limit(0)
-        write_entities(seen_aircraft(clean), country_nodes(clean), airport, near, graph_dir, near_grain)
+            jobs.append(lambda: dated_table("near", near))
+            pairs = None
+        jobs.append(lambda: write_entities(seen_aircraft(clean), country_nodes(clean), airport, pairs, graph_dir, near_grain))
+        at_once(jobs)
     finally:
         delete_path(spark, run_dir)
     return {"batch_id": batch_id, "graph_dir": graph_dir, "dates": dates, "rewritten": sorted({*dates, *more})}

@@ -5,8 +5,10 @@ from __future__ import annotations
 
 import os
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,7 +95,7 @@ def seen_aircraft(clean: DataFrame) -> DataFrame:
 
 
 @in_utc
-def write_entities(aircraft: DataFrame, country: DataFrame, airport: DataFrame, near: DataFrame, out_dir: str,
+def write_entities(aircraft: DataFrame, country: DataFrame, airport: DataFrame, near: DataFrame | None, out_dir: str,
                    near_grain: str = "pair") -> None:
     """SNK-4, SNK-5, SNK-7 and NEAR, merged by key with what is there. An
     aircraft and a pair keep the values of their newest snapshot, whichever
@@ -102,14 +104,26 @@ def write_entities(aircraft: DataFrame, country: DataFrame, airport: DataFrame,
     spark = aircraft.sparkSession
     if "seen_at" not in aircraft.columns:
         aircraft = aircraft.withColumn("seen_at", F.lit(None).cast("timestamp_ntz"))
-    for name, rows, order in (("country", country, []), ("airport", airport, []),
-                              ("near", near, [F.col("snapshot_time").desc()]),
-                              ("aircraft", aircraft, [F.col("seen_at").desc_nulls_last()])):
-        keys, layout = table_layout(name, near_grain)
-        touched = merge_rows(rows, os.path.join(out_dir, name), keys, layout, order, unique=True)
-    keys, layout = table_layout("operates")
-    operates = operates_edges(read_version(spark, os.path.join(out_dir, "aircraft"), touched))
-    replace_parts(operates, os.path.join(out_dir, "operates"), keys, layout, touched)
+
+    def merge(name, rows, order):
+        return merge_rows(rows, os.path.join(out_dir, name), *table_layout(name, near_grain), order, unique=True)
+
+    def aircraft_and_operates():
+        touched = merge("aircraft", aircraft, [F.col("seen_at").desc_nulls_last()])
+        operates = operates_edges(read_version(spark, os.path.join(out_dir, "aircraft"), touched))
+        replace_parts(operates, os.path.join(out_dir, "operates"), *table_layout("operates"), touched)
+
+    pairs = [lambda: merge("near", near, [F.col("snapshot_time").desc()])] if near is not None else []
+    at_once([*pairs, aircraft_and_operates, lambda: merge("country", country, []), lambda: merge("airport", airport, [])])
+
+
+def at_once(jobs: list) -> None:
+    """Run independent table writes side by side, so that the tail of one
+    does not leave the executors idle. All end before the first error is
+    raised."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(inheritable_thread_target(job)) for job in jobs]:
+            done.result()
 
 
 @in_utc
@@ -117,11 +131,14 @@ def write_graph(graph: Graph, out_dir: str, near_grain: str = "pair") -> dict[st
     """SNK-4..9: every node / edge table under ``out_dir``, merged by key
     with what is there. Each table is a versioned one: a write that fails
     leaves what earlier runs wrote."""
-    write_entities(graph.aircraft, graph.country, graph.airport, graph.near, out_dir, near_grain)
     timed = {"snapshot": graph.snapshot_edge.select(F.col("snapshot_id").alias("id"), "snapshot_time"),
              "snapshot_edge": graph.snapshot_edge, "flight_edge": graph.flight_edge}
-    for name, df in timed.items():
-        merge_rows(df, os.path.join(out_dir, name), *table_layout(name), unique=True)
+
+    def merge(name):
+        merge_rows(timed[name], os.path.join(out_dir, name), *table_layout(name), unique=True)
+
+    at_once([lambda: write_entities(graph.aircraft, graph.country, graph.airport, graph.near, out_dir, near_grain),
+             *[lambda n=n: merge(n) for n in timed]])
     return {name: os.path.join(out_dir, name) for name in graph.tables()}
 
 
