@@ -33,12 +33,12 @@ def _bucket(ts: Column, unit: str) -> Column:
     raise ValueError(f"unknown split unit {unit!r} (use one of {_SPLIT_UNITS} or None)")
 
 
-def positioned_snapshots(clean: DataFrame) -> DataFrame:
+def positioned_snapshots(clean: DataFrame, *more: str) -> DataFrame:
     """F-2: on_ground, latitude and longitude known. Null rows go first, so
-    a transition can span them."""
+    a transition can span them. ``more``: further columns to keep."""
     return (clean.filter(F.col("on_ground").isNotNull() & F.col("latitude").isNotNull()
                          & F.col("longitude").isNotNull())
-                 .select("icao24", "snapshot_time", "on_ground", "latitude", "longitude"))
+                 .select("icao24", "snapshot_time", "on_ground", "latitude", "longitude", *more))
 
 
 def with_previous_state(pos: DataFrame, split_unit: str | None = "day") -> DataFrame:

@@ -138,7 +138,7 @@ def recompute_dates(spark: SparkSession, state_vectors_path: str, dates: list[st
             jobs.append(lambda: dated_table("near", near))
             pairs = None
         jobs.append(lambda: write_entities(seen_aircraft(clean), country_nodes(clean), airport, pairs, graph_dir, near_grain))
-        at_once(jobs)
+        at_once(spark, jobs)
     finally:
         delete_path(spark, run_dir)
     return {"batch_id": batch_id, "graph_dir": graph_dir, "dates": dates, "rewritten": sorted({*dates, *more})}

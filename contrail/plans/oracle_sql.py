@@ -335,6 +335,10 @@ SELECT a.icao_code, a.iata_code, a.name, a.city, a.country, a.latitude, a.longit
 FROM f_airports a JOIN supplier s ON a.icao_code = concat('A', lpad(CAST(s.s_suppkey AS VARCHAR), CAST(greatest(3, length(CAST(s.s_suppkey AS VARCHAR))) AS INT), '0'))
 WHERE length(a.icao_code) = 4""",
     "stream_flight_events": "SELECT * FROM f_events",
+    # the first two days once more, for other aircraft, in the fifth batch
+    "stream_late_rows": """
+SELECT concat('late-', icao24) AS icao24, snapshot_time, on_ground, latitude, longitude, CAST(4 AS BIGINT) AS epoch
+FROM f_clean WHERE day(snapshot_time) <= 2 AND on_ground IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL""",
     "edge_integrity": """
 SELECT 'operates.country' AS edge_end, count(*) AS missing FROM f_operates o WHERE o.country NOT IN (SELECT name FROM f_country)
 UNION ALL SELECT 'operates.aircraft', count(*) FROM f_operates o WHERE o.icao24 NOT IN (SELECT icao24 FROM f_aircraft)
@@ -352,7 +356,10 @@ ORDER BY snapshot_time DESC LIMIT 1""",
 
 # what was written must read back as the stage gives it
 BODIES |= {"cycle_flight_events": BODIES["flight_events_table"], "cycle_flight_edges": BODIES["flight_edges"],
-           "cycle_graph_stats": BODIES["graph_stats"], "reset_state_vectors": BODIES["dedup_latest"]}
+           "cycle_graph_stats": BODIES["graph_stats"], "reset_state_vectors": BODIES["dedup_latest"],
+           "incremental_flight_events": BODIES["flight_events_table"], "incremental_flight_edges": BODIES["flight_edges"],
+           "incremental_aircraft": BODIES["aircraft_latest"], "incremental_near": BODIES["near_pairs"],
+           "incremental_graph_stats": BODIES["graph_stats"], "incremental_state_vectors": BODIES["stream_ingest"]}
 
 
 def oracle_queries() -> dict[str, str]:

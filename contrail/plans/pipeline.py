@@ -114,15 +114,15 @@ def write_entities(aircraft: DataFrame, country: DataFrame, airport: DataFrame,
         replace_parts(operates, os.path.join(out_dir, "operates"), *table_layout("operates"), touched)
 
     pairs = [lambda: merge("near", near, [F.col("snapshot_time").desc()])] if near is not None else []
-    at_once([*pairs, aircraft_and_operates, lambda: merge("country", country, []), lambda: merge("airport", airport, [])])
+    at_once(spark, [*pairs, aircraft_and_operates, lambda: merge("country", country, []), lambda: merge("airport", airport, [])])
 
 
-def at_once(jobs: list) -> None:
+def at_once(spark: SparkSession, jobs: list) -> None:
     """Run independent table writes side by side, so that the tail of one
     does not leave the executors idle. All end before the first error is
     raised."""
     with ThreadPoolExecutor(len(jobs)) as pool:
-        for done in [pool.submit(inheritable_thread_target(job)) for job in jobs]:
+        for done in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
             done.result()
 
 
@@ -137,7 +137,7 @@ def write_graph(graph: Graph, out_dir: str, near_grain: str = "pair") -> dict[st
     def merge(name):
         merge_rows(timed[name], os.path.join(out_dir, name), *table_layout(name), unique=True)
 
-    at_once([lambda: write_entities(graph.aircraft, graph.country, graph.airport, graph.near, out_dir, near_grain),
+    at_once(graph.aircraft.sparkSession, [lambda: write_entities(graph.aircraft, graph.country, graph.airport, graph.near, out_dir, near_grain),
              *[lambda n=n: merge(n) for n in timed]])
     return {name: os.path.join(out_dir, name) for name in graph.tables()}
 

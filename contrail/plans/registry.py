@@ -20,7 +20,7 @@ from contrail.operators.match import confidence_counts, flight_events_table, mat
 from contrail.operators.near import near_pairs
 from contrail.plans import queries as Q
 from contrail.plans import roundtrips as R
-from contrail.plans.pipeline import FIXED_BATCH_ID, pipeline_from_dir
+from contrail.plans.pipeline import pipeline_from_dir
 from contrail.sources.fixtures import fixture_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,5 +101,14 @@ QUERIES: dict[str, Query] = {
     "cycle_flight_events": R.cycle_flight_events,
     "cycle_flight_edges": R.cycle_flight_edges,
     "cycle_graph_stats": R.cycle_graph_stats,
-    "stream_flight_events": lambda spark, sf_dir: R.stream_transitions(spark, sf_dir, FIXED_BATCH_ID),
+    # tables three scheduled cycles have left, dates landing out of order
+    "incremental_flight_events": R.incremental_flight_events,
+    "incremental_flight_edges": lambda spark, sf_dir: R._ntz(R.incremental_graph(spark, sf_dir).flight_edge, "event_time"),
+    "incremental_aircraft": lambda spark, sf_dir: R.incremental_graph(spark, sf_dir).aircraft,
+    "incremental_near": lambda spark, sf_dir: R._ntz(R.incremental_graph(spark, sf_dir).near, "snapshot_time"),
+    "incremental_graph_stats": lambda spark, sf_dir: Q.graph_stats(R.incremental_graph(spark, sf_dir)),
+    "incremental_state_vectors": R.incremental_state_vectors,
+    # positions out of order, and too late
+    "stream_flight_events": R.stream_flight_events,
+    "stream_late_rows": R.stream_late_rows,
 }

@@ -6,6 +6,7 @@ streaming transition detector (ST-6)."""
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import uuid
 
@@ -13,18 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.operators.clean import clean_and_enrich, dedup_latest_write
+from contrail.plans.cycle import run_cycle
 from contrail.plans.pipeline import FIXED_BATCH_ID, read_graph, run_batch
 from contrail.plans.queries import graph_stats
-from contrail.session import (
-    cut_lineage, ensure_checkpoint_dir, input_bytes, session_conf, stateful_settings,
-)
+from contrail.session import cut_lineage, ensure_checkpoint_dir
 from contrail.sinks.tables import reset_derived, upsert_state_vectors
 from contrail.sinks.versions import read_version
 from contrail.sources.airports_csv import load_airports
 from contrail.sources.fixtures import fixture_tables, padded
 from contrail.sources.snapshots import parse_snapshots, snapshots_from_state_vectors
 from contrail.streaming.ingest import start_ingest
-from contrail.streaming.transitions import EVENT_SCHEMA, detect_transitions_stream
+from contrail.streaming.ordered import drain, late_rows, start_ordered_transitions, stream_events
 
 
 def scratch_dir(spark: SparkSession, what: str) -> str:
@@ -60,16 +60,65 @@ def airport_catalogue_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_airports(spark, path)
 
 
+_WRITTEN: dict[tuple, str] = {}
+
+
+def _written(spark: SparkSession, sf_dir: str, what: str, write) -> str:
+    """Folder of tables that several queries read: written once for each
+    application and input."""
+    key = (spark.sparkContext.applicationId, sf_dir, what)
+    if key not in _WRITTEN:
+        out = scratch_dir(spark, what)
+        write(out)
+        _WRITTEN[key] = out
+    return _WRITTEN[key]
+
+
 def cycle_dir(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the tables two cycles of the batch job have written: one
     over all days and, after it, one that sees the second half only. The
     second must keep what the first wrote."""
-    raw, airports = fixture_tables(spark, sf_dir)
-    out = scratch_dir(spark, "cycles")
-    second = raw.filter(F.col("snapshot_time") >= F.lit("2024-01-15").cast("timestamp_ntz"))
-    for days in (raw, second):
-        run_batch(spark, days, airports, out, batch_id=FIXED_BATCH_ID)
-    return out
+    def write(out):
+        raw, airports = fixture_tables(spark, sf_dir)
+        second = raw.filter(F.col("snapshot_time") >= F.lit("2024-01-15").cast("timestamp_ntz"))
+        for days in (raw, second):
+            run_batch(spark, days, airports, out, batch_id=FIXED_BATCH_ID)
+    return _written(spark, sf_dir, "cycles", write)
+
+
+def incremental_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the tables three scheduled cycles have written: snapshot
+    documents of the middle days land first, then the days before them, then
+    the rest; each landing is followed by a cycle (ingest, recompute of the
+    changed dates, expiry, compaction)."""
+    def write(out):
+        raw, airports = fixture_tables(spark, sf_dir)
+        day = F.dayofmonth("snapshot_time")
+        for days in (day.between(11, 20), day < 11, day > 20):
+            snapshots_from_state_vectors(raw.filter(days)).write.mode("append").json(os.path.join(out, "landing"))
+            run_cycle(spark, os.path.join(out, "landing"), os.path.join(out, "state_vectors"), airports,
+                      os.path.join(out, "job"), os.path.join(out, "checkpoint"), retention_days=40,
+                      now=dt.datetime(2024, 2, 1), batch_id=FIXED_BATCH_ID)
+    return os.path.join(_written(spark, sf_dir, "incremental", write), "job")
+
+
+def incremental_flight_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST-3, SNK-2: the flight events table after three cycles."""
+    return _ntz(read_version(spark, os.path.join(incremental_dir(spark, sf_dir), "flight_events")), "event_time")
+
+
+def incremental_graph(spark: SparkSession, sf_dir: str):
+    """ST-3, PL-8: the graph after three cycles."""
+    return read_graph(spark, os.path.join(incremental_dir(spark, sf_dir), "graph"))
+
+
+def incremental_state_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-1, SNK-10: the state vectors after three cycles; the dates that
+    were closed by then are compacted to one row per key, the others are
+    read with the newest write per key."""
+    path = os.path.join(os.path.dirname(incremental_dir(spark, sf_dir)), "state_vectors")
+    table = spark.read.parquet(path).drop("snapshot_date")
+    return _ntz(dedup_latest_write(table).drop("ingest_seq"), "snapshot_time")
 
 
 def cycle_flight_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,35 +166,39 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(dedup_latest_write(table).drop("ingest_seq"), "snapshot_time")
 
 
-def stream_transitions(spark: SparkSession, sf_dir: str, batch_id: str, chunks: int = 4) -> DataFrame:
-    """ST-6: positions of the cleaned state vectors landed in ``chunks``
-    consecutive time ranges; after each landing the stateful detector runs
-    again from its checkpoint (availableNow), so every micro-batch is one
-    complete time range and the per-aircraft state carries across
-    micro-batches and restarts. The appended events are read back."""
-    raw, _ = fixture_tables(spark, sf_dir)
-    clean = clean_and_enrich(raw).withColumn("snapshot_time", F.col("snapshot_time").cast("timestamp"))
-    pos = cut_lineage(clean.select("icao24", "snapshot_time", "on_ground", "latitude", "longitude"), "positions")
-    root = scratch_dir(spark, "stream-events")
-    landing, out, ckpt = (os.path.join(root, x) for x in ("landing", "events", "checkpoint"))
-    lo, hi = pos.agg(F.min("snapshot_time"), F.max("snapshot_time")).first()
-    if lo is None:
-        return spark.createDataFrame([], EVENT_SCHEMA)
-    step = (hi - lo) / chunks
-    bounds = [lo + step * i for i in range(1, chunks)]
-    settings = stateful_settings(spark, input_bytes(spark, [os.path.join(sf_dir, "events.parquet")]))
-    for i in range(chunks):
-        part = pos
-        if i > 0:
-            part = part.filter(F.col("snapshot_time") >= F.lit(bounds[i - 1]))
-        if i < chunks - 1:
-            part = part.filter(F.col("snapshot_time") < F.lit(bounds[i]))
-        part.write.parquet(os.path.join(landing, f"chunk={i:04d}"))
-        stream = (spark.readStream.schema(pos.schema).option("recursiveFileLookup", True)
-                       .parquet(landing))
-        with session_conf(spark, settings):  # captured by the query at its first start
-            q = (detect_transitions_stream(stream, batch_id, lateness="0 seconds").writeStream.format("parquet")
-                 .option("path", out).option("checkpointLocation", ckpt)
-                 .trigger(availableNow=True).start())
-        q.awaitTermination()  # to the end of what has landed, or its error
-    return _ntz(spark.read.schema(EVENT_SCHEMA).parquet(out), "event_time")
+LATE_DAYS = 2  # the first days' rows, of other aircraft, that land when they are late
+
+
+def _stream_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the ordered transitions of all positions. Five days land at
+    a time, but half of the rows of the last two of them (by a hash) land with
+    the next five days: out of order, within the default lateness of seven
+    days. The fifth landing also brings rows of the first days that are too
+    late. The detector runs after each landing from its checkpoint; at the end
+    all rows are final."""
+    def write(root):
+        raw, _ = fixture_tables(spark, sf_dir)
+        clean = clean_and_enrich(raw).withColumn("snapshot_time", F.col("snapshot_time").cast("timestamp"))
+        pos = cut_lineage(clean.select("icao24", "snapshot_time", "on_ground", "latitude", "longitude"), "positions")
+        day = F.dayofmonth("snapshot_time") - 1
+        delayed = (day % 5 >= 3) & (F.xxhash64("icao24", "snapshot_time") % 2 == 0)
+        lands = F.floor(day / 5) + delayed.cast("int")
+        late = pos.filter(day < LATE_DAYS).withColumn("icao24", F.concat(F.lit("late-"), "icao24"))
+        landing = os.path.join(root, "landing")
+        for i in range(7):
+            part = pos.filter(lands == i)
+            (part.unionByName(late) if i == 4 else part).write.parquet(os.path.join(landing, f"part={i:04d}"))
+            stream = spark.readStream.schema(pos.schema).option("recursiveFileLookup", True).parquet(landing)
+            start_ordered_transitions(stream, root, os.path.join(root, "checkpoint"), FIXED_BATCH_ID).awaitTermination()
+        drain(spark, root, FIXED_BATCH_ID)
+    return _written(spark, sf_dir, "stream-events", write)
+
+
+def stream_flight_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST-6: take-offs and landings of rows that arrive out of order."""
+    return _ntz(stream_events(spark, _stream_dir(spark, sf_dir)), "event_time")
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST-4: the rows that came after the watermark, with their batch."""
+    return _ntz(late_rows(spark, _stream_dir(spark, sf_dir)).drop("seq"), "snapshot_time")
