@@ -34,8 +34,35 @@ def airborne_positions(clean: DataFrame) -> DataFrame:
                  .select("icao24", "snapshot_time", "latitude", "longitude"))
 
 
-def near_observations(clean: DataFrame, radius_km: float = NEAR_RADIUS_KM) -> DataFrame:
-    """One row per (pair, snapshot_time) within ``radius_km``."""
+DENSE_CELL = 2_000  # aircraft of one cell and snapshot that one task compares
+
+
+def _cell_of(air: DataFrame, radius_km: float) -> list:
+    key = radius_key(F.col("latitude"), F.col("longitude"), radius_km)
+    return ["snapshot_time", key["gy"].alias("gy"), key["gx"].alias("gx")]
+
+
+def dense_cells(clean: DataFrame, radius_km: float = NEAR_RADIUS_KM, bound: int = DENSE_CELL) -> DataFrame:
+    """Cells of one snapshot with more than ``bound`` aircraft, and the
+    number of ``parts`` to compare them in: (snapshot_time, gy, gx, parts)."""
+    air = airborne_positions(clean)
+    return (air.groupBy(*_cell_of(air, radius_km)).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > bound)
+               .select("snapshot_time", "gy", "gx", F.ceil(F.col("n") / bound).cast("int").alias("parts")))
+
+
+def _in_parts(rows: DataFrame, dense: DataFrame, keys: list[str], part) -> DataFrame:
+    """``rows`` with ``part``, made from the number of parts of their cell."""
+    cells = dense.toDF("_t", "_gy", "_gx", "_parts")
+    t, gy, gx = keys
+    return (rows.join(cells, (rows[t] == cells["_t"]) & (rows[gy] == cells["_gy"]) & (rows[gx] == cells["_gx"]), "left")
+                .withColumn(part[0], part[1](F.coalesce("_parts", F.lit(1)))).drop("_t", "_gy", "_gx", "_parts"))
+
+
+def near_observations(clean: DataFrame, radius_km: float = NEAR_RADIUS_KM, dense: DataFrame | None = None) -> DataFrame:
+    """One row per (pair, snapshot_time) within ``radius_km``. ``dense``:
+    cells to compare in parts (:func:`dense_cells`); the probing aircraft of
+    such a cell are dealt to its parts, the others go to each of them, so that
+    a crowded hub is spread over tasks. The rows are the same."""
     air = airborne_positions(clean)
     key = radius_key(F.col("latitude"), F.col("longitude"), radius_km)
     # narrow shuffle rows: the time string is derived after the join
@@ -46,7 +73,13 @@ def near_observations(clean: DataFrame, radius_km: float = NEAR_RADIUS_KM) -> Da
         air.select(F.col("icao24").alias("icao24_b"), F.col("snapshot_time").alias("t_b"),
                    F.col("latitude").alias("lat_b"), F.col("longitude").alias("lon_b")),
         "lat_b", "lon_b", radius_km, "gy_b", "gx_b")
-    cond = ((probe["snapshot_time"] == build["t_b"]) & (probe["gy"] == build["gy_b"])
+    if dense is not None:
+        probe = _in_parts(probe, dense, ["snapshot_time", "gy", "gx"],
+                          ("part", lambda n: F.pmod(F.xxhash64("icao24_a"), n).cast("int")))
+        build = _in_parts(build, dense, ["t_b", "gy_b", "gx_b"], ("part_b", lambda n: F.explode(F.sequence(F.lit(0), n - 1))))
+    else:
+        probe, build = probe.withColumn("part", F.lit(0)), build.withColumn("part_b", F.lit(0))
+    cond = ((probe["snapshot_time"] == build["t_b"]) & (probe["part"] == build["part_b"]) & (probe["gy"] == build["gy_b"])
             & (probe["gx"] == build["gx_b"]) & (probe["icao24_a"] < build["icao24_b"]))
     dist = haversine_km(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b"),
                         NEAR_DIST_DECIMALS)
@@ -57,10 +90,11 @@ def near_observations(clean: DataFrame, radius_km: float = NEAR_RADIUS_KM) -> Da
                  .filter(F.col("dist_km") <= radius_km))
 
 
-def near_pairs(clean: DataFrame, radius_km: float = NEAR_RADIUS_KM, grain: str = "pair") -> DataFrame:
+def near_pairs(clean: DataFrame, radius_km: float = NEAR_RADIUS_KM, grain: str = "pair",
+               dense: DataFrame | None = None) -> DataFrame:
     """NEAR edges. ``grain="pair"``: one row per pair with the values of its
     latest snapshot; ``grain="observation"``: one row per pair and snapshot."""
-    obs = near_observations(clean, radius_km)
+    obs = near_observations(clean, radius_km, dense)
     if grain == "observation":
         return obs
     if grain != "pair":
@@ -72,11 +106,3 @@ def near_pairs(clean: DataFrame, radius_km: float = NEAR_RADIUS_KM, grain: str =
                     F.max_by("dist_km", "snapshot_time").alias("dist_km"))
                .select("icao24_a", "icao24_b", "snapshot_time",
                        time_string(F.col("snapshot_time")).alias("snapshot_time_str"), "dist_km"))
-
-
-def both_orientations(near: DataFrame) -> DataFrame:
-    """U-4: an undirected edge seen from both ends: (src, dst, ...) rows."""
-    rest = [c for c in near.columns if c not in ("icao24_a", "icao24_b")]
-    fwd = near.select(F.col("icao24_a").alias("src"), F.col("icao24_b").alias("dst"), *rest)
-    rev = near.select(F.col("icao24_b").alias("src"), F.col("icao24_a").alias("dst"), *rest)
-    return fwd.unionByName(rev)

@@ -325,6 +325,30 @@ UNION ALL SELECT 'airport_catalogue', icao_code, count(*) FROM f_airports WHERE
 SELECT icao24, snapshot_time, callsign, origin_country, time_position, last_contact, longitude, latitude,
        baro_altitude, on_ground, velocity, true_track, vertical_rate, geo_altitude, squawk, spi,
        position_source, category FROM f_raw""",
+    "snapshot_parse_region": """
+SELECT icao24, snapshot_time, callsign, origin_country, time_position, last_contact, longitude, latitude,
+       CASE WHEN event_id % 3 <> 0 THEN baro_altitude END AS baro_altitude,
+       CASE WHEN event_id % 3 <> 0 THEN on_ground END AS on_ground,
+       CASE WHEN event_id % 3 <> 0 AND event_id % 7 <> 0 THEN velocity END AS velocity,
+       CASE WHEN event_id % 3 <> 0 THEN true_track END AS true_track,
+       CASE WHEN event_id % 3 <> 0 THEN vertical_rate END AS vertical_rate,
+       CASE WHEN event_id % 3 <> 0 THEN geo_altitude END AS geo_altitude,
+       CASE WHEN event_id % 3 <> 0 THEN squawk END AS squawk, CASE WHEN event_id % 3 <> 0 THEN spi END AS spi,
+       CASE WHEN event_id % 3 <> 0 THEN position_source END AS position_source,
+       CASE WHEN event_id % 3 <> 0 THEN category END AS category
+FROM f_raw WHERE latitude BETWEEN 40 AND 60 AND longitude BETWEEN -10 AND 20""",
+    "airport_catalogue_rejects": """
+SELECT icao_code, iata_code, name, CASE WHEN k % 3 = 0 THEN NULL ELSE city END AS city, country, latitude, longitude,
+       CASE WHEN k % 4 = 0 THEN NULL ELSE altitude_ft END AS altitude_ft, type
+FROM (SELECT *, CAST(substr(icao_code, 2) AS BIGINT) AS k FROM f_airports)
+WHERE length(icao_code) = 4 AND k % 11 <> 0 AND k % 5 <> 0 AND k % 7 <> 0 AND k % 6 <> 0
+  AND latitude BETWEEN 34 AND 72 AND longitude BETWEEN -25 AND 45""",
+    "stream_ingest_twice": """
+SELECT s.icao24, s.snapshot_time, s.callsign, s.origin_country, s.time_position, s.last_contact, s.longitude, s.latitude,
+       s.baro_altitude, s.on_ground, s.velocity, s.true_track, s.vertical_rate, s.geo_altitude, s.squawk, s.spi,
+       s.position_source, s.category, 2 * d.n AS deliveries
+FROM f_sv s JOIN (SELECT icao24, snapshot_time, count(*) AS n FROM f_raw GROUP BY ALL) d
+  ON s.icao24 = d.icao24 AND s.snapshot_time = d.snapshot_time""",
     "stream_ingest": """
 SELECT icao24, snapshot_time, callsign, origin_country, time_position, last_contact, longitude, latitude,
        baro_altitude, on_ground, velocity, true_track, vertical_rate, geo_altitude, squawk, spi,

@@ -17,7 +17,7 @@ from contrail.operators.clean import clean_and_enrich, latest_per_aircraft
 from contrail.operators.events import detect_flight_events
 from contrail.operators.graph import Graph, build_graph, operates_edges
 from contrail.operators.match import match_airports, match_both
-from contrail.operators.near import near_pairs
+from contrail.operators.near import dense_cells, near_pairs
 from contrail.schema import AIRCRAFT_PROPS
 from contrail.session import cut_lineage, delete_path, in_utc, scratch_path
 from contrail.sinks.versions import Parts, bucketed, dated, merge_rows, read_version, replace_parts
@@ -150,6 +150,13 @@ def read_graph(spark: SparkSession, out_dir: str) -> Graph:
     return Graph(**{name: rd(name) for name in Graph.__dataclass_fields__})
 
 
+def crowded(clean: DataFrame, base: str) -> DataFrame | None:
+    """The cells that NEAR compares in parts, written once; None if there
+    are none."""
+    cells = cut_lineage(dense_cells(clean), "crowded", base=base)
+    return None if cells.isEmpty() else cells
+
+
 @in_utc
 def run_batch(spark: SparkSession, raw: DataFrame, airports: DataFrame, out_dir: str,
               batch_id: str | None = None, near_grain: str = "pair",
@@ -186,7 +193,7 @@ def run_batch(spark: SparkSession, raw: DataFrame, airports: DataFrame, out_dir:
         matched_all, os.path.join(out_dir, "matched_events"), *table_layout("matched_events"), unique=True))
     stage("flight_events_table", lambda: merge_rows(
         keyed, os.path.join(out_dir, "flight_events"), *table_layout("flight_events"), unique=True))
-    near = near_pairs(clean, grain=near_grain)
+    near = near_pairs(clean, grain=near_grain, dense=crowded(clean, run_dir))
     graph = build_graph(clean, matched_all, airports, near)
     graph.aircraft = seen_aircraft(clean)
     try:

@@ -9,7 +9,7 @@ they are broadcast joins of a proven-small side.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail import constants as K
@@ -67,22 +67,28 @@ def q2_top_speed(g: Graph, limit: int | None = None,
 # Q3 proximity hubs
 # --------------------------------------------------------------------------
 
-def _near_by_aircraft(near: DataFrame) -> DataFrame:
+def _near_by_aircraft(near: DataFrame, one_row_per_pair: bool) -> DataFrame:
     """Per aircraft, over its undirected NEAR edges: distinct neighbours,
-    sum and count of distances. Pairs are combined first, then each pair is
-    credited to both ends (no Expand-based distinct count)."""
-    per_pair = near.groupBy("icao24_a", "icao24_b").agg(
-        F.sum("dist_km").alias("_s"), F.count(F.lit(1)).alias("_c"))
+    sum and count of distances. Pairs are combined first (unless each is one
+    row already), then each pair is credited to both ends (no Expand-based
+    distinct count)."""
+    if one_row_per_pair:
+        per_pair = near.select("icao24_a", "icao24_b", F.col("dist_km").alias("_s"), F.lit(1).cast("long").alias("_c"))
+    else:
+        per_pair = near.groupBy("icao24_a", "icao24_b").agg(
+            F.sum("dist_km").alias("_s"), F.count(F.lit(1)).alias("_c"))
     ends = per_pair.select(F.col("icao24_a").alias("icao24"), "_s", "_c").unionByName(
         per_pair.select(F.col("icao24_b").alias("icao24"), "_s", "_c"))
     return ends.groupBy("icao24").agg(F.count(F.lit(1)).alias("near_count"),
                                       F.sum("_s").alias("_s"), F.sum("_c").alias("_c"))
 
 
-def q3_proximity_hubs(g: Graph, limit: int | None = None) -> DataFrame:
+def q3_proximity_hubs(g: Graph, limit: int | None = None, one_row_per_pair: bool = False) -> DataFrame:
+    """``one_row_per_pair``: the graph holds NEAR at the pair grain, so the
+    pairs need no grouping before they are credited to their ends."""
     n = _lim(limit, "q3")
     order = [F.col("near_count").desc(), F.col("icao24").asc()]
-    top = (_near_by_aircraft(g.near)
+    top = (_near_by_aircraft(g.near, one_row_per_pair)
            .select("icao24", "near_count", _round2(F.col("_s") / F.col("_c")).alias("avg_dist_km"))
            .orderBy(*order).limit(n))
     return (g.aircraft.select("icao24", "callsign").join(F.broadcast(top), "icao24", "right")
@@ -190,50 +196,57 @@ def q8_arrival_hotspots(g: Graph, limit: int | None = None) -> DataFrame:
 # Q9 top routes
 # --------------------------------------------------------------------------
 
+# seconds of a time block and levels of halving over all blocks
+_SPLITS = {"day": (86_400, 18), "hour": (3_600, 23), "minute": (60, 28)}
+
+
 @in_utc
 def route_counts(g: Graph, split_unit: str = "day") -> DataFrame:
     """flights(origin, dest) = number of (departure, arrival) pairs of the
     same aircraft with departure time < arrival time and origin <> dest
     (every departure pairs with every later arrival, not only the next).
 
-    Counted without listing the pairs: events are bucketed by (aircraft,
-    day). Pairs inside one bucket come from a join bounded by one
-    aircraft-day. Pairs across buckets are counts: for each arrival bucket,
-    the running number of departures per origin in earlier buckets (a
-    window over per-(aircraft, origin) bucket counts) times the arrivals
-    per destination in that bucket.
+    Counted without listing the pairs, from one scan. Events are gathered by
+    (aircraft, time block). Pairs inside a block are listed from its two
+    arrays. Two different blocks part ways at exactly one level of a binary
+    tree over time: the earlier one lies in the left half of a node, the later
+    one in the right half. So each block's departures are counted once for
+    every level where it is a left half, its arrivals where it is a right
+    half, and the counts meet at the (aircraft, node): two lists with each
+    airport at most once, so there is no join at all.
     """
-    def bucket(c):
-        return F.to_date(c) if split_unit == "day" else F.date_trunc(split_unit, c)
-
-    deps = (_good(g.flight_edge, K.DEPARTED_FROM)
-            .select("icao24", F.col("airport_icao").alias("origin"), F.col("event_time").alias("t_dep"))
-            .withColumn("b", bucket(F.col("t_dep"))))
-    arrs = (_good(g.flight_edge, K.ARRIVED_AT)
-            .select("icao24", F.col("airport_icao").alias("dest"), F.col("event_time").alias("t_arr"))
-            .withColumn("b", bucket(F.col("t_arr"))))
-
-    # pairs inside one (aircraft, bucket)
-    within = (deps.join(arrs, ["icao24", "b"])
-                  .filter((F.col("t_dep") < F.col("t_arr")) & (F.col("origin") != F.col("dest")))
-                  .groupBy("origin", "dest").agg(F.count(F.lit(1)).alias("flights")))
-
-    # pairs across buckets, from counts
-    dep_b = deps.groupBy("icao24", "origin", "b").agg(F.count(F.lit(1)).alias("nd"))
-    arr_b = arrs.groupBy("icao24", "dest", "b").agg(F.count(F.lit(1)).alias("na"))
-    arr_buckets = arr_b.select("icao24", "b").distinct()
-    origins = dep_b.select("icao24", "origin").distinct()
-    probes = origins.join(arr_buckets, "icao24").select(
-        "icao24", "origin", "b", F.lit(0).cast("long").alias("nd"), F.lit(0).alias("kind"))
-    w = (Window.partitionBy("icao24", "origin").orderBy("b", "kind")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    before = (dep_b.withColumn("kind", F.lit(1)).unionByName(probes)
-                   .withColumn("earlier", F.sum("nd").over(w))
-                   .filter((F.col("kind") == 0) & (F.col("earlier") > 0))
-                   .select("icao24", "origin", "b", "earlier"))
-    across = (before.join(arr_b, ["icao24", "b"])
-                    .filter(F.col("origin") != F.col("dest"))
-                    .groupBy("origin", "dest").agg(F.sum(F.col("earlier") * F.col("na")).alias("flights")))
+    seconds, levels = _SPLITS[split_unit]
+    edges = g.flight_edge.filter(F.col("rel_type").isin(K.DEPARTED_FROM, K.ARRIVED_AT)
+                                 & F.col("confidence").isin(*K.GOOD_CONFIDENCES))
+    block = F.floor(F.unix_seconds(F.col("event_time").cast("timestamp")) / seconds) + (1 << (levels - 1))
+    seen = F.struct(F.col("event_time").alias("t"), F.col("airport_icao").alias("airport"))
+    per = edges.groupBy("icao24", block.cast("long").alias("b")).agg(
+        F.collect_list(F.when(F.col("rel_type") == K.DEPARTED_FROM, seen)).alias("deps"),
+        F.collect_list(F.when(F.col("rel_type") == K.ARRIVED_AT, seen)).alias("arrs"))
+
+    # pairs inside one (aircraft, block)
+    pairs = (per.filter((F.size("deps") > 0) & (F.size("arrs") > 0))
+                .select("arrs", F.explode("deps").alias("d")).select("d", F.explode("arrs").alias("a"))
+                .filter((F.col("d.t") < F.col("a.t")) & (F.col("d.airport") != F.col("a.airport"))))
+    within = (pairs.groupBy(F.col("d.airport").alias("origin"), F.col("a.airport").alias("dest"))
+                   .agg(F.count(F.lit(1)).alias("flights")))
+
+    # pairs across blocks, from counts at the nodes where they part
+    def side(events: str, half: int) -> Column:
+        return F.transform(events, lambda e: F.struct(F.lit(half).alias("half"), e["airport"].alias("airport")))
+
+    one = per.select("icao24", "b", F.explode(F.concat(side("deps", 0), side("arrs", 1))).alias("e"))
+    at = one.select("icao24", "b", "e.half", "e.airport", F.explode(F.expr(
+        f"filter(sequence(0, {levels - 1}), l -> shiftright(b, l) % 2 = e.half)")).alias("level"))
+    counts = at.groupBy("icao24", "level", F.expr("shiftright(b, level + 1)").alias("node"), "half", "airport").agg(
+        F.count(F.lit(1)).alias("n"))
+    tally = F.struct("airport", "n")
+    nodes = counts.groupBy("icao24", "level", "node").agg(
+        F.collect_list(F.when(F.col("half") == 0, tally)).alias("deps"), F.collect_list(F.when(F.col("half") == 1, tally)).alias("arrs"))
+    across = (nodes.select("arrs", F.explode("deps").alias("d")).select("d", F.explode("arrs").alias("a"))
+              .filter(F.col("d.airport") != F.col("a.airport"))
+              .groupBy(F.col("d.airport").alias("origin"), F.col("a.airport").alias("dest"))
+              .agg(F.sum(F.col("d.n") * F.col("a.n")).alias("flights")))
     return (within.unionByName(across).groupBy("origin", "dest")
                   .agg(F.sum("flights").alias("flights")))
 

@@ -75,7 +75,7 @@ QUERIES: dict[str, Query] = {
     # analytical queries
     "q1_top_countries": _g(Q.q1_top_countries),
     "q2_top_speed": _g(Q.q2_top_speed),
-    "q3_proximity_hubs": _g(Q.q3_proximity_hubs),
+    "q3_proximity_hubs": _g(lambda g: Q.q3_proximity_hubs(g, one_row_per_pair=True)),
     "q3_proximity_hubs_obs": _g(Q.q3_proximity_hubs, near_grain="observation"),
     "q4_most_tracked": _g(Q.q4_most_tracked),
     "q4_trajectory": _g(Q.q4_trajectory_of_most_tracked),
@@ -94,6 +94,9 @@ QUERIES: dict[str, Query] = {
     "latest_state_point_read": _p(_point_read),
     # ingest side, end to end on data derived from the tables
     "snapshot_parse": R.snapshot_parse,
+    "snapshot_parse_region": R.snapshot_parse_region,
+    "airport_catalogue_rejects": R.airport_catalogue_rejects,
+    "stream_ingest_twice": R.stream_ingest_twice,
     "airport_catalogue_csv": R.airport_catalogue_csv,
     "stream_ingest": R.stream_ingest,
     "reset_state_vectors": R.reset_state_vectors,

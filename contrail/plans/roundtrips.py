@@ -13,12 +13,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.constants import STATE_VECTOR_FIELDS
 from contrail.operators.clean import clean_and_enrich, dedup_latest_write
 from contrail.plans.cycle import run_cycle
 from contrail.plans.pipeline import FIXED_BATCH_ID, read_graph, run_batch
 from contrail.plans.queries import graph_stats
 from contrail.session import cut_lineage, ensure_checkpoint_dir
-from contrail.sinks.tables import reset_derived, upsert_state_vectors
+from contrail.sinks.tables import reset_derived, upsert_state_vectors, write_airports
 from contrail.sinks.versions import read_version
 from contrail.sources.airports_csv import load_airports
 from contrail.sources.fixtures import fixture_tables, padded
@@ -41,6 +42,61 @@ def snapshot_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(parse_snapshots(snapshots_from_state_vectors(raw)), "snapshot_time")
 
 
+REGION = (40.0, -10.0, 60.0, 20.0)
+
+
+def snapshot_parse_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PL-1, SRC-3: documents read back inside a region box. Of every third
+    state only the first seven values are sent, of every seventh the speed is
+    no number: what is missing or unparsable is null."""
+    raw, _ = fixture_tables(spark, sf_dir)
+    docs = snapshots_from_state_vectors(raw.filter("event_id % 3 <> 0 AND event_id % 7 <> 0"))
+    short = snapshots_from_state_vectors(raw.filter("event_id % 3 = 0")).withColumn(
+        "states", F.transform("states", lambda s: F.slice(s, 1, 7)))
+    speed = STATE_VECTOR_FIELDS.index("velocity")
+    bad = snapshots_from_state_vectors(raw.filter("event_id % 3 <> 0 AND event_id % 7 = 0")).withColumn(
+        "states", F.transform("states", lambda s: F.transform(s, lambda v, i: F.when(i == speed, F.lit("fast")).otherwise(v))))
+    return _ntz(parse_snapshots(docs.unionByName(short).unionByName(bad), bbox=REGION), "snapshot_time")
+
+
+def airport_catalogue_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-9, SNK-3: a catalogue with small airports, five-letter idents, bad
+    coordinates and airports outside the region; what the filter leaves is
+    written as the catalogue, twice, and read back."""
+    _, airports = fixture_tables(spark, sf_dir)
+    k = F.regexp_extract("icao_code", "[0-9]+", 0).cast("long")
+    csv_rows = airports.select(
+        F.when(k % 11 == 0, F.concat("icao_code", F.lit("X"))).otherwise(F.concat(F.lit(" "), "icao_code")).alias("ident"),
+        F.when(k % 5 == 0, F.lit("small_airport")).otherwise(F.col("type")).alias("type"),
+        F.concat(F.lit("  "), "name", F.lit(" ")).alias("name"),
+        F.when(k % 7 == 0, F.lit("north")).otherwise(F.col("latitude").cast("string")).alias("latitude_deg"),
+        F.when(k % 6 == 0, F.lit(120.5)).otherwise(F.col("longitude")).cast("string").alias("longitude_deg"),
+        F.when(k % 4 == 0, F.lit("high")).otherwise(F.col("altitude_ft").cast("string")).alias("elevation_ft"),
+        F.col("country").alias("iso_country"), F.when(k % 3 == 0, F.lit(" ")).otherwise(F.col("city")).alias("municipality"),
+        "iata_code")
+    path = scratch_dir(spark, "airports-rejects")
+    csv_rows.write.option("header", True).csv(f"{path}/csv")
+    for _ in range(2):  # replaced as a whole
+        write_airports(load_airports(spark, f"{path}/csv"), f"{path}/catalogue")
+    return spark.read.parquet(f"{path}/catalogue")
+
+
+def stream_ingest_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST-2: the same documents land twice, in two micro-batches, the second
+    time in other files; the table read with the newest write per key is as
+    after one. ``deliveries``: rows stored for the key's snapshot."""
+    raw, _ = fixture_tables(spark, sf_dir)
+    root = scratch_dir(spark, "stream-twice")
+    landing, table = os.path.join(root, "landing"), os.path.join(root, "table")
+    docs = snapshots_from_state_vectors(raw)
+    for part in range(2):
+        docs.repartition(part + 1).write.mode("append").json(landing)
+        start_ingest(spark, landing, table, os.path.join(root, "checkpoint"), trigger="availableNow").awaitTermination()
+    stored = spark.read.parquet(table).drop("snapshot_date")
+    times = stored.groupBy("icao24", "snapshot_time").agg(F.count(F.lit(1)).alias("deliveries"))
+    return _ntz(dedup_latest_write(stored).join(times, ["icao24", "snapshot_time"]).drop("ingest_seq"), "snapshot_time")
+
+
 def airport_catalogue_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PL-2: the derived airports written in the catalogue's CSV layout
     (elevation as the raw decimal balance), then loaded with the filter

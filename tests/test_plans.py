@@ -68,3 +68,44 @@ def test_at_scale_plans_without_broadcast(spark, pipe001):
         m = plan(match_airports(pipe001.events, pipe001.airports, broadcast_rows=0))
         assert ("SortMergeJoin" in m or "ShuffledHashJoin" in m) and "rank(" in m
         assert "BroadcastNestedLoopJoin" not in m and "CartesianProduct" not in m
+
+
+def test_routes_scan_the_edges_once_and_join_nothing(spark, tmp_path, pipe001):
+    """One scan of the flight edges, counts gathered by aircraft and node."""
+    import dataclasses
+    path = str(tmp_path / "edges")
+    pipe001.graph.flight_edge.write.parquet(path)
+    g = dataclasses.replace(pipe001.graph, flight_edge=spark.read.parquet(path))
+    df = Q.route_counts(g)
+    df.collect()
+    p = plan(df)
+    final = p[p.index("Final Plan"):p.index("Initial Plan")] if "Initial Plan" in p else p
+    reads = [x for x in final.splitlines() if "FileScan parquet" in x]
+    assert len(reads) == 1 and "ReusedExchange" in final
+    assert "Window" not in final and "Join" not in final
+
+
+def test_crowded_cells_are_compared_in_parts(spark):
+    """A hub of 3,000 aircraft in one cell: as many rows as pairwise, dealt
+    to many parts of the cell."""
+    import datetime as dt
+
+    from contrail.operators.near import airborne_positions, dense_cells, near_observations
+    from pyspark.sql import functions as F
+    n = 3000
+    hub = spark.range(n + 400).select(
+        F.format_string("a%05d", F.col("id")).alias("icao24"), F.lit(dt.datetime(2024, 1, 1)).alias("snapshot_time"),
+        (F.when(F.col("id") < n, F.lit(50.0)).otherwise(F.lit(50.02)) + (F.col("id") * 7919 % n) / n * 0.04).alias("latitude"),
+        (F.lit(8.0) + (F.col("id") * 104729 % n) / n * 0.06).alias("longitude"), F.lit(False).alias("on_ground"))
+    cells = dense_cells(hub, 1.0, 200)
+    assert cells.agg(F.max("parts")).first()[0] >= 3 and dense_cells(hub, 1.0, 100_000).isEmpty()
+    plain = near_observations(hub, 1.0)
+    parted = near_observations(hub, 1.0, cells)
+    assert "part" in plan(parted)
+    key = ["icao24_a", "icao24_b", "dist_km"]
+    assert parted.count() == plain.count() > n and parted.select(key).exceptAll(plain.select(key)).isEmpty()
+    air = airborne_positions(hub)
+    from contrail.functions.geo import haversine_km
+    a, b = air.toDF("a", "ta", "la", "lo"), air.toDF("b", "tb", "lb", "ob")
+    pairs = a.join(b, a["a"] < b["b"]).filter(haversine_km(a["la"], a["lo"], b["lb"], b["ob"], 2) <= 1.0)
+    assert pairs.count() == parted.count()

@@ -41,10 +41,17 @@ def test_q9_counting_equals_pairwise(pipe001):
     top = {(r.origin, r.dest): r.flights for r in full.collect()}
     for r in pair.collect():
         assert top[(r.origin_icao, r.dest_icao)] == r.flights
+    minute = {(r.origin, r.dest): r.flights for r in Q.route_counts(g, "minute").collect()}
+    assert minute == top
     hour = {(r.origin, r.dest): r.flights for r in Q.route_counts(g, "hour").collect()}
     assert hour == top
 
 
+def test_hubs_at_the_pair_grain_need_no_grouping(pipe001):
+    g = pipe001.graph
+    assert rows(Q.q3_proximity_hubs(g, one_row_per_pair=True)) == rows(Q.q3_proximity_hubs(g))
+
+
 def test_near_grains_in_queries(pipe001):
     from contrail.operators.near import near_pairs
     obs = near_pairs(pipe001.clean, grain="observation")
