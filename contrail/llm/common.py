@@ -44,6 +44,24 @@ def identified(docs: DataFrame) -> DataFrame:
     return docs.select(*identity(docs), docs["text"].cast("string").alias("text"))
 
 
+#: Columns of documents that operators read by name.
+_READ = ("doc_id", "text", "source", "n_chars")
+
+
+def with_plain_names(docs: DataFrame, step) -> DataFrame:
+    """``step(docs)`` with the columns that no operator reads under names
+    that clash with nothing, and called as before in its result."""
+    plain = docs.toDF(*[c if c in _READ else f"column_{i}" for i, c in enumerate(docs.columns)])
+    names = dict(zip(plain.columns, docs.columns, strict=True))
+    out = step(plain)
+    return out.toDF(*[names.get(c, c) for c in out.columns])
+
+
+def without_columns(docs: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """``docs`` without the columns of these names, in any case."""
+    return docs.select(*[docs[f"`{c}`"] for c in docs.columns if c.lower() not in names])
+
+
 def doc_id_of(col: str = "_id"):
     return F.when(F.col(col) != NULL_ID, F.col(col)).alias("doc_id")
 

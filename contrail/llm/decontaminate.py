@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import BASE, RangeHash, Words, batch_of, doc_id_of, identified, identity, stored, text_chunks
+from contrail.llm.common import BASE, RangeHash, Words, batch_of, doc_id_of, identified, identity, stored, text_chunks, with_plain_names
 
 WINDOW = 8
 LITERALS = 5          # of a window; fewer leave too little to tell
@@ -184,8 +184,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **setting) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **setting) -> DataFrame:
-    """The rows of ``docs`` that repeat no benchmark item."""
-    bad = leaks(docs, benchmark, **setting).select("_id", "_th").distinct()
-    i, t = identity(docs)
-    rows = docs.withColumns({"__id": i, "__th": t})
-    return rows.join(bad, (rows["__id"] == bad["_id"]) & (rows["__th"] == bad["_th"]), "left_anti").drop("__id", "__th")
+    """The rows of ``docs`` that repeat no benchmark item, with all their
+    columns, whatever their names. Null and empty texts stay, and so does
+    every row if the benchmark is empty; repeated rows stay or go together."""
+    def clean(d: DataFrame) -> DataFrame:
+        bad = leaks(d, benchmark, **setting).select("_id", "_th").distinct()
+        rows = d.select(*[d[c] for c in d.columns], *identity(d))
+        return rows.join(bad, ["_id", "_th"], "left_anti").select(*d.columns)
+    return with_plain_names(docs, clean)

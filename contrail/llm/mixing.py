@@ -11,7 +11,7 @@ node of a binary tree hands its left half a multivariate-hypergeometric
 share of its per-source draws, so every shard holds a fair sample of the
 mixture and the shards together hold exactly the quotas. A shard takes the
 next draws of each source's permuted order; draws are disjoint by
-construction, and rows of a shard are ordered by hash.
+construction; ``place``, a hash, orders the rows of a shard.
 
 Only one row per source reaches the driver: the mixture itself.
 """
@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.common import doc_id_of, identity, stored
+from contrail.llm.common import doc_id_of, identity, stored, with_plain_names, without_columns
 
 BLOCKS = 2048
 SHARDS = 16
@@ -141,20 +141,24 @@ def mix_sizes(docs: DataFrame, **setting) -> DataFrame:
 
 def mixture(docs: DataFrame, seed: int = SEED, **setting) -> DataFrame:
     """The mixed corpus: the columns of ``docs`` and ``copy``, ``words``,
-    ``shard``, ``place`` (order inside the shard), one row per copy. A copy in
-    part holds the first ``words`` words of its text."""
-    plan = mixed(docs, seed=seed, **setting).dropDuplicates(["_id", "_th"]).select(
-        F.col("_id").alias("__id"), F.col("_th").alias("__th"), F.col("size").alias("__size"),
-        F.col("taken").alias("__taken"), F.col("shards").alias("__shards"))
-    i, t = identity(docs)
-    rows = docs.withColumns({"__i": i, "__t": t})
-    both = rows.join(plan, (rows["__i"] == plan["__id"]) & (rows["__t"] == plan["__th"]))
-    one = both.select(*[docs[c] for c in docs.columns], "__id", "__th", "__size", "__taken",
-                      F.posexplode("__shards").alias("copy", "shard"))
-    words = F.least("__size", F.col("__taken") - F.col("copy") * F.col("__size"))
-    out = one.withColumn("words", words).withColumn("place", _hash(seed + 3, "__id", "__th", "copy"))
-    short = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({_WORD})")), 1, F.col("words").cast("int")), " ")
-    cols = [F.when(F.col("words") < F.col("__size"), short).otherwise(F.col("text")).alias("text") if c == "text"
-            else F.col(c) for c in docs.columns]
-    return out.select(*cols, "copy", "words", "shard", "place")
-
+    ``shard``, ``place`` (a hash; the order inside the shard), one row per
+    copy. A copy in part holds the first ``words`` words of its text.
+
+    Rows without words and null sources take part as :func:`mix_sizes` says;
+    of exactly repeated rows each is mixed for itself. An empty table gives no
+    rows. Input columns named like the four added ones are left out, others
+    are kept, whatever their names."""
+    docs = without_columns(docs, ("copy", "words", "shard", "place"))
+
+    def mix(d: DataFrame) -> DataFrame:
+        plan = mixed(d, seed=seed, **setting).dropDuplicates(["_id", "_th"]).select("_id", "_th", "size", "taken", "shards")
+        rows = d.select(*[d[c] for c in d.columns], *identity(d))
+        one = rows.join(plan, ["_id", "_th"]).select(*d.columns, "_id", "_th", "size", "taken",
+                                                     F.posexplode("shards").alias("copy", "shard"))
+        words = F.least("size", F.col("taken") - F.col("copy") * F.col("size"))
+        out = one.withColumn("words", words).withColumn("place", _hash(seed + 3, "_id", "_th", "copy"))
+        short = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({_WORD})")), 1, F.col("words").cast("int")), " ")
+        cols = [F.when(F.col("words") < F.col("size"), short).otherwise(F.col("text")).alias("text") if c == "text"
+                else F.col(c) for c in d.columns]
+        return out.select(*cols, "copy", "words", "shard", "place")
+    return with_plain_names(docs, mix)

@@ -9,9 +9,8 @@ sigmoid branch) gives it a weight inside its document, and the weighted sum
 of the embeddings is scored. The weights are learned from document labels
 only. Inputs are the text and nothing else.
 
-The model is fitted on the driver from at most about ``train_rows`` labelled
-documents outside the held-out fold, chosen by hash, and at most
-``train_passages`` evenly spaced passages of each: a bounded sample.
+The model is fitted on the driver from all passages of about ``train_rows``
+labelled documents at most, outside the held-out fold and chosen by hash.
 Scoring uses every passage of every document, in one pass without a shuffle.
 """
 
@@ -29,7 +28,6 @@ from contrail.session import ship_code
 
 PASSAGE = 64
 TRAIN_ROWS = 6_000
-TRAIN_PASSAGES = 24
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 4, 2
 _CLASSES, _PAIRS, _SHAPES = 14, 64, 11
@@ -159,38 +157,39 @@ class Model:
                 "c": z.T @ dy + 1e-4 * p["c"], "d": np.array([dy.sum()])}
 
 
-_BAG = pa.schema([("doc_id", pa.int64()), ("quality", pa.int32()), ("n", pa.int32()), ("x", pa.binary())])
+_BAG = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("quality", pa.int32()), ("n", pa.int32()), ("x", pa.binary())])
 
 
-def _bags(most: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_chunks(batches):
-            x, n = features(texts)
-            start = np.cumsum(n) - n
-            pick = [s + np.unique(np.linspace(0, k - 1, min(k, most)).astype(int)) for s, k in zip(start, n, strict=True)]
-            yield batch_of(_BAG, doc_id=batch.column("doc_id"), quality=batch.column("quality"),
-                           n=[len(p) for p in pick], x=[x[p].astype("<f4").tobytes() for p in pick])
-    return run
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch, texts in text_chunks(batches):
+        x, n = features(texts)
+        ends = np.cumsum(n)
+        yield batch_of(_BAG, doc_id=batch.column("doc_id"), th=batch.column("th"), quality=batch.column("quality"), n=n,
+                       x=[x[e - k:e].astype("<f4").tobytes() for e, k in zip(ends, n, strict=True)])
 
 
 def held_out(doc_id):
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(FOLDS)) == HELD_OUT, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS,
-          train_passages: int = TRAIN_PASSAGES) -> Model:
-    """Model from labelled documents that are not held out. Null labels and
-    null ids are left out; of repeated labels of an id the smallest counts."""
+def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
+    """Model from all passages of labelled documents that are not held out,
+    of about ``train_rows`` ids (by a hash of the id, if more are labelled).
+    Null labels and null ids are left out; of repeated labels of an id the
+    smallest counts, of rows that repeat an id the one with the least text
+    hash."""
     ship_code()
     use = (labels.filter(labels["doc_id"].isNotNull() & labels["quality"].isNotNull() & ~held_out(labels["doc_id"]))
            .groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality")))
     share = min(1.0, train_rows / max(1, use.count()))
     cut = int(share * (1 << 32))
     some = use.filter(F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(1 << 32)) < cut)  # bounded by train_rows
-    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    bags = (texts.join(F.broadcast(some), "doc_id").select("doc_id", "quality", "text")
-            .mapInArrow(_bags(train_passages), "doc_id long, quality int, n int, x binary")
-            .orderBy("doc_id").collect())
+    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"),
+                        F.coalesce(F.xxhash64(docs["text"]), F.lit(0).cast("long")).alias("th"))
+    # one row of each id before the features are taken, so that the driver gets train_rows of them
+    first = texts.join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(
+        F.min(F.struct("th", "quality", "text")).alias("r")).select("doc_id", "r.th", "r.quality", "r.text")
+    bags = first.mapInArrow(_bags, "doc_id long, th long, quality int, n int, x binary").orderBy("doc_id").collect()
     n = np.array([b["n"] for b in bags], dtype=np.int64)
     x = np.frombuffer(b"".join(b["x"] for b in bags), "<f4").reshape(-1, DIM).astype(np.float64)
     return Model().fit(x, n, np.array([b["quality"] for b in bags], dtype=np.float64))

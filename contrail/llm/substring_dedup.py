@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import doc_id_of, identity
+from contrail.llm.common import NULL_ID, doc_id_of, identity, with_plain_names, without_columns
 from contrail.llm.repeats import Rule, ranges_where, remove_repeats
 
 WINDOW = 50       # words
@@ -36,7 +36,7 @@ class SuffixAutomaton:
         self.next: list[dict] = [{}]
         self.link = [-1]
         self.length = [0]
-        self.owner: list[int] = [1 << 63]
+        self.owner: list[int] = [NULL_ID]
 
     def _state(self, length: int, edges: dict, link: int, owner: int) -> int:
         self.next.append(edges)
@@ -48,7 +48,7 @@ class SuffixAutomaton:
     def _split(self, p: int, c, q: int) -> int:
         """Copy of ``q`` for the strings up to one longer than ``p``'s."""
         nxt, link = self.next, self.link
-        twin = self._state(self.length[p] + 1, nxt[q].copy(), link[q], 1 << 63)
+        twin = self._state(self.length[p] + 1, nxt[q].copy(), link[q], NULL_ID)
         while p >= 0 and nxt[p].get(c) == q:
             nxt[p][c] = twin
             p = link[p]
@@ -98,8 +98,9 @@ class SuffixAutomaton:
                 owner[p] = owner[v]
 
     def first_owner(self, items: list, window: int) -> list[int]:
-        """Least owner of each window of ``items``; 1 << 63 where the
-        matching statistics stay below the window length."""
+        """Least owner of each window of ``items``; NULL_ID, which no
+        document's id is greater than, where the matching statistics stay
+        below the window length."""
         nxt, link, length, owner = self.next, self.link, self.length, self.owner
         out, v, matched = [], 0, 0
         for i, c in enumerate(items):
@@ -113,7 +114,7 @@ class SuffixAutomaton:
                 v = link[v]
                 matched = length[v]
             if i >= window - 1:
-                out.append(owner[v] if matched >= window else 1 << 63)
+                out.append(owner[v] if matched >= window else NULL_ID)
         return out
 
 
@@ -130,13 +131,13 @@ def match_words(bodies: list[bytes], places: dict, window: int):
         gc.enable()
     sam.finish()
     for body, items in zip(bodies, lists, strict=True):
-        first = np.array(sam.first_owner(items, window), dtype=np.uint64)
+        first = np.array(sam.first_owner(items, window), dtype=np.int64)
         known: dict[int, tuple] = {}
         verdicts = []
         for place in places[body]:
             doc = place[0]
             if doc not in known:
-                gone = first < np.uint64(doc) if doc >= 0 else np.zeros(len(first), bool)
+                gone = first < doc
                 known[doc] = (*ranges_where(gone), np.flatnonzero(~gone).tolist() if place[3] else ())
             verdicts.append((place, known[doc]))
         yield verdicts
@@ -150,21 +151,21 @@ def substring_dedup(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     ``n_removed``, ``kept_text`` (null where nothing was removed) added.
 
     A word goes if a window of ``rule.window`` words that covers it also
-    starts in a document with a smaller id. Null and empty texts have no
-    words. Rows that repeat a ``doc_id`` never remove from each other; a
-    null id counts as larger than all others. Input columns named like the
-    added ones are replaced."""
-    summary, changed = remove_repeats(docs, rule)
-    return _joined(docs, summary, changed)
+    starts in a document with a smaller id; ids may be negative. Null and
+    empty texts have no words. Rows that repeat a ``doc_id`` never remove from
+    each other; a null id counts as larger than all others. An empty table
+    gives no rows. Input columns named like the added ones are replaced, other
+    columns are kept, whatever their names."""
+    docs = without_columns(docs, ("n_words", "n_removed", "kept_text"))
+    return with_plain_names(docs, lambda d: _joined(d, *remove_repeats(d, rule)))
 
 
 def _joined(docs: DataFrame, summary: DataFrame, changed: DataFrame) -> DataFrame:
     added = changed.select("_id", "_th", "n_removed", F.col("kept").cast("string").alias("kept_text"))
     counts = summary.select("_id", "_th", F.col("n").alias("n_words")).dropDuplicates(["_id", "_th"])
-    keep = [c for c in docs.columns if c.lower() not in ("n_words", "n_removed", "kept_text", "_id", "_th")]
-    rows = docs.select(*[docs[c] for c in keep], *identity(docs))
+    rows = docs.select(*[docs[c] for c in docs.columns], *identity(docs))
     return (rows.join(counts, ["_id", "_th"]).join(added, ["_id", "_th"], "left")
-            .select(*keep, "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
+            .select(*docs.columns, "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
                     "kept_text"))
 
 
