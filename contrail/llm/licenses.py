@@ -26,21 +26,50 @@ from contrail.session import ship_code
 #: Base phrases and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Notices of common licenses with markup; their label comes first.
+#: Notices and whole texts of common licenses, with markup for what
+#: may be missing or differ; their label comes first.
 TEMPLATES = [
     ("mit-notice", "released under the <<opt terms of the>> mit license"),
     ("mit-notice", "licensed under the <<opt terms of the>> mit license"),
     ("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of this <<software|work>> "
-                 "and associated documentation files <<opt the software>> to deal in the software without restriction"),
+                 "and associated documentation files <<opt the software>> to deal in the software without restriction "
+                 "including without limitation the rights to use copy modify merge publish distribute sublicense and or "
+                 "sell copies of the software and to permit persons to whom the software is furnished to do so subject "
+                 "to the following conditions the above copyright notice and this permission notice <<opt including the "
+                 "next paragraph>> shall be included in all copies or substantial portions of the software the software "
+                 "is provided as is without warranty of any kind express or implied including but not limited to the "
+                 "warranties of merchantability fitness for a particular purpose and noninfringement in no event shall "
+                 "<<the authors or copyright holders|<<var 12>>>> be liable for any claim damages or other liability "
+                 "whether in an action of contract tort or otherwise arising from out of or in connection with the "
+                 "software or the use or other dealings in the software"),
     ("apache-2.0-notice", "licensed under the apache license version 2 0 <<opt the license>>"),
     ("gpl-notice", "licensed under the <<opt terms of the>> gnu general public license <<opt version <<var 1>>>>"),
     ("gpl-notice", "under the terms of the gnu <<opt lesser>> general public license as published by the free software "
                    "foundation either version <<var 2>> of the license or <<opt at your option>> any later version"),
     ("cc-by-notice", "licensed under <<opt a>> <<cc|creative commons>> by <<opt nc>> <<opt sa|nd>> <<opt 4 0>>"),
     ("bsd-text", "redistribution and use in source and binary forms with or without modification are permitted "
-                 "provided that the following conditions are met"),
+                 "provided that the following conditions are met <<opt 1>> redistributions of source code must retain "
+                 "the above copyright notice this list of conditions and the following disclaimer <<opt 2>> "
+                 "redistributions in binary form must reproduce the above copyright notice this list of conditions and "
+                 "the following disclaimer in the documentation and or other materials provided with the distribution "
+                 "<<opt <<opt 3>> neither the name of <<var 12>> nor the names of <<its|any|<<var 4>>>> contributors may "
+                 "be used to endorse or promote products derived from this software without specific prior written "
+                 "permission>> this software is provided by <<the copyright holders and contributors|<<var 12>>>> as is "
+                 "and any express or implied warranties including but not limited to the implied warranties of "
+                 "merchantability and fitness for a particular purpose are disclaimed in no event shall <<the copyright "
+                 "<<holder|holders|owner>> or contributors|<<var 12>>>> be liable for any direct indirect incidental "
+                 "special exemplary or consequential damages including but not limited to procurement of substitute "
+                 "goods or services loss of use data or profits or business interruption however caused and on any "
+                 "theory of liability whether in contract strict liability or tort including negligence or otherwise "
+                 "arising in any way out of the use of this software even if advised of the possibility of such damage"),
     ("isc-text", "permission to use copy modify and <<opt or>> distribute this software for any purpose with or "
-                 "without fee is hereby granted"),
+                 "without fee is hereby granted provided that the above copyright notice and this permission notice "
+                 "appear in all copies the software is provided as is and <<the author|<<var 8>>>> disclaims all "
+                 "warranties with regard to this software including all implied warranties of merchantability and "
+                 "fitness in no event shall <<the author|<<var 8>>>> be liable for any special direct indirect or "
+                 "consequential damages or any damages whatsoever resulting from loss of use data or profits whether in "
+                 "an action of contract negligence or other tortious action arising out of or in connection with the "
+                 "use or performance of this software"),
     ("mpl-2.0-notice", "this source code form is subject to the terms of the mozilla public license <<opt v 2 0>>"),
     ("copyright-notice", "copyright <<opt c>> <<var 6>> all rights reserved"),
 ]

@@ -237,6 +237,33 @@ def test_decontamination_finds_short_and_all_slot_items(spark):
     assert got == {1: [1], 2: [2], 3: [3], 4: [4], 6: [1]}
 
 
+MIT = """Copyright (c) 2020 Jo Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+
+def test_whole_license_texts_are_accepted_and_altered_ones_refused(spark):
+    upto = MIT.index("without restriction") + len("without restriction")
+    texts = {
+        1: "x " * 30 + MIT + " int main() {}", 2: MIT.replace("THE AUTHORS OR\nCOPYRIGHT HOLDERS", "ACME SOFTWARE LTD"),
+        3: MIT[:upto] + " but only for non commercial purposes" + MIT[upto:], 4: MIT[:upto] + ".",
+        5: MIT.replace("sublicense, ", ""), 6: MIT.replace('(the "Software"), ', ""), 7: MIT + "\n" + MIT}
+    got = {r["doc_id"]: r for r in license_scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert {k for k, r in got.items() if "mit-text" in r["labels"].split(",")} == {1, 2, 6, 7}
+    assert got[3]["score"] == got[4]["score"] == got[5]["score"] == 0.0 and got[7]["spans"].count("mit-text") == 2
+
+
 def test_near_duplicates_keeps_different_texts_of_null_and_repeated_ids(spark):
     from corpus_pipeline import near_duplicates
     said = ["the harbour was quiet when the last ferry left for the islands that night",
