@@ -12,8 +12,10 @@ window by window.
 
 A key with more than ``group_limit`` stretches is split into several
 shards by a salt. Inside each, the matcher works as always; the windows it
-found only once there are then compared across the shards by a 128-bit
-content hash. No stretch is dropped, whatever the size of the group.
+leaves open there are then compared across the shards, by a 128-bit content
+hash (words) or dealt once more by a longer run (bytes, see
+:mod:`contrail.llm.suffix_dedup`). No stretch is dropped, whatever the size
+of the group.
 
 Three tables go to the shared checkpoint folder: the stretches of all
 texts, the texts that have candidates, and what the matchers found.
@@ -44,8 +46,11 @@ _CUT = pa.schema([("key", pa.int64()), ("salt", pa.int64()), ("hot", pa.bool_())
                   ("_th", pa.int64()), ("a", pa.int64()), ("body", pa.binary())])
 _CUT_DDL = "key long, salt long, hot boolean, _id long, _th long, a long, body binary"
 _FOUND = pa.schema([("_id", pa.int64()), ("_th", pa.int64()), ("s", pa.int64()), ("e", pa.int64()),
-                    ("w1", pa.int64()), ("w2", pa.int64())])
-_FOUND_DDL = "_id long, _th long, s long, e long, w1 long, w2 long"
+                    ("w1", pa.int64()), ("w2", pa.int64()), ("body", pa.binary())])
+_FOUND_DDL = "_id long, _th long, s long, e long, w1 long, w2 long, body binary"
+_PIECE = pa.schema([("_id", pa.int64()), ("_th", pa.int64()), ("key", pa.int64()), ("a", pa.int64()),
+                    ("body", pa.binary())])
+_PIECE_DDL = "_id long, _th long, key long, a long, body binary"
 _KEPT = pa.schema([("_id", pa.int64()), ("_th", pa.int64()), ("n_removed", pa.int64()),
                    ("n_spans", pa.int64()), ("kept", pa.binary())])
 _KEPT_DDL = "_id long, _th long, n_removed long, n_spans long, kept binary"
@@ -63,6 +68,7 @@ class Rule:
     match: Callable  # (distinct stretches, shard) -> found rows, see the operators
     shard_items: int
     group_limit: int = GROUP_LIMIT
+    pieces: bool = False  # open windows of split keys go on as pieces of text, not one by one
 
 
 def _items(texts: list[bytes], rule: Rule):
@@ -76,6 +82,37 @@ def _items(texts: list[bytes], rule: Rule):
     return grams, first
 
 
+def _stretches(grams: np.ndarray, first: np.ndarray, rule: Rule):
+    """Text, place in it and key of each window that lies inside one text,
+    and the first and last window of each stretch of one key."""
+    least = sliding_min(grams, rule.window - rule.gram + 1)
+    room = np.maximum(np.diff(first) - rule.window + 1, 0)
+    doc = np.repeat(np.arange(len(room)), room)
+    offset = np.arange(len(doc)) - np.repeat(np.cumsum(room) - room, room)
+    keys = least[first[doc] + offset]
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])
+    at = np.flatnonzero(new)
+    return doc, offset, keys, at, np.append(at[1:], len(doc)) - 1
+
+
+def _split(rule: Rule):
+    """The stretches of pieces of text, with their content."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch, texts in text_chunks([whole.rename_columns(["_id", "_th", "s", "text"])]):
+                grams, first = _items(texts, rule)
+                doc, offset, keys, at, last = _stretches(grams, first, rule)
+                if len(at):
+                    who, lo = doc[at], offset[at]
+                    yield batch_of(_PIECE, _id=batch.column("_id").to_numpy()[who],
+                                   _th=batch.column("_th").to_numpy()[who], key=keys[at].view(np.int64),
+                                   a=batch.column("s").to_numpy()[who] + lo,
+                                   body=[texts[d][x:y + rule.window] for d, x, y
+                                         in zip(who.tolist(), lo.tolist(), offset[last].tolist(), strict=True)])
+    return run
+
+
 def _scan(rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches):
@@ -86,17 +123,9 @@ def _scan(rule: Rule):
             digests = [hashlib.sha256(b" ".join(t.split()) if rule.words else t).hexdigest() for t in texts]
             none = [None] * len(texts)
             yield batch_of(_SCAN, _id=ids, _th=ths, key=none, a=none, b=none, n=n, digest=digests)
-            least = sliding_min(grams, rule.window - rule.gram + 1)
-            # starts of windows that lie inside one text
-            room = np.maximum(n - rule.window + 1, 0)
-            doc = np.repeat(np.arange(len(texts)), room)
+            doc, offset, keys, at, last = _stretches(grams, first, rule)
             if not len(doc):
                 continue
-            offset = np.arange(len(doc)) - np.repeat(np.cumsum(room) - room, room)
-            keys = least[first[doc] + offset]
-            new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])])
-            at = np.flatnonzero(new)
-            last = np.concatenate([at[1:] - 1, [len(doc) - 1]])
             times = np.ones(len(at), dtype=np.int64)
             if not rule.across:  # a stretch can repeat in itself only if its least run turns up twice in it
                 lo = (first[doc[at]] + offset[at]).tolist()
@@ -159,7 +188,7 @@ def _copies(rule: Rule, group: dict[bytes, list[tuple]]) -> Iterator[tuple]:
     least = min(p[0] for p in where)
     for doc, th, a, _ in where:
         if not rule.across or doc > least:
-            yield doc, th, a, a + n, None, None
+            yield doc, th, a, a + n, None, None, None
 
 
 def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
@@ -201,25 +230,32 @@ def _shards(rule: Rule):
 
 
 def _found(rule: Rule, shard: Shard) -> Iterator[pa.RecordBatch]:
-    """Rows of one shard: removed ranges [s, e) of items, and for split
-    keys the windows not decided here: place s, hash (w1, w2)."""
+    """Rows of one shard: removed ranges [s, e) of items, and for split keys
+    the windows not decided here: place s and hash (w1, w2) of each, or s, e
+    and content of whole pieces of them."""
     rows: list[tuple] = []
+    size = 0
     bodies = list(shard.places)
     for body, verdicts in zip(bodies, rule.match(bodies, shard.places, rule.window), strict=True):
         items = None
         for (doc, th, a, hot), (starts, ends, once) in verdicts:
-            rows += [(doc, th, a + s, a + e + rule.window - 1, None, None)
+            rows += [(doc, th, a + s, a + e + rule.window - 1, None, None, None)
                      for s, e in zip(starts, ends, strict=True)]
-            if hot:
+            if hot and rule.pieces:
+                for s, e in once:
+                    piece = body[s:e + rule.window - 1]
+                    rows.append((doc, th, a + s, a + s + len(piece), None, None, piece))
+                    size += len(piece)
+            elif hot:
                 items = items or (body.split() if rule.words else body)
                 for i in once:
                     part = items[i:i + rule.window]
                     d = hashlib.blake2b(b" ".join(part) if rule.words else part, digest_size=16).digest()
                     rows.append((doc, th, a + i, a + i + rule.window,
-                                 *(int.from_bytes(d[j:j + 8], "little", signed=True) for j in (0, 8))))
-        if len(rows) > 50_000:
+                                 *(int.from_bytes(d[j:j + 8], "little", signed=True) for j in (0, 8)), None))
+        if len(rows) > 50_000 or size > 4 << 20:
             yield _rows(_FOUND, rows)
-            rows = []
+            rows, size = [], 0
     if rows:
         yield _rows(_FOUND, rows)
 
@@ -266,6 +302,30 @@ def merge_across(found: DataFrame, rule: Rule) -> DataFrame:
     return hit.select("_id", "_th", "s", "e")
 
 
+def matched(cut: DataFrame, rule: Rule) -> DataFrame:
+    """What the matcher finds on stretches dealt by ``key`` and ``salt``."""
+    # key and salt decide the partition; the sort brings groups together
+    dealt = cut.repartition(F.col("key"), F.col("salt")).sortWithinPartitions("key", "salt")
+    return stored(dealt.mapInArrow(_shards(rule), _FOUND_DDL), "found")
+
+
+def decided(found: DataFrame) -> DataFrame:
+    """The removed ranges of ``found``."""
+    return found.filter(F.col("w1").isNull() & F.col("body").isNull()).select("_id", "_th", "s", "e")
+
+
+def deal_again(pieces: DataFrame, rule: Rule) -> DataFrame:
+    """What the matcher finds on ``pieces`` (_id, _th, s, body: bytes that
+    hold no window twice), dealt by the least hash of the longer runs of
+    ``rule.gram`` bytes."""
+    stretches = stored(pieces.mapInArrow(_split(rule), _PIECE_DDL), "pieces")
+    counts = stretches.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1)
+    parts = F.ceil(F.col("c") / rule.group_limit)
+    return matched(stretches.join(counts, "key").select(
+        "key", F.pmod(F.xxhash64("_id", "_th", "a"), parts).alias("salt"),
+        (F.col("c") > rule.group_limit).alias("hot"), "_id", "_th", "a", "body"), rule)
+
+
 def remove_repeats(docs: DataFrame, rule: Rule, merge=merge_across) -> tuple[DataFrame, DataFrame]:
     """(summary, changed). Summary: ``_id, _th, n, digest`` of every row of
     ``docs`` (items, sha256 of the whole). Changed: ``_id, _th, n_removed,
@@ -285,10 +345,8 @@ def remove_repeats(docs: DataFrame, rule: Rule, merge=merge_across) -> tuple[Dat
              .groupBy("_id", "_th").agg(F.collect_set("x").alias("spots")))
     texts = stored(rows.join(spots, ["_id", "_th"]), "texts")
     cut = texts.mapInArrow(_cut(rule), _CUT_DDL)
-    # key and salt decide the partition; the sort brings groups together
-    dealt = cut.repartition(F.col("key"), F.col("salt")).sortWithinPartitions("key", "salt")
-    found = stored(dealt.mapInArrow(_shards(rule), _FOUND_DDL), "found")
-    removed = found.filter(F.col("w1").isNull()).select("_id", "_th", "s", "e").unionByName(merge(found, rule))
+    found = matched(cut, rule)
+    removed = decided(found).unionByName(merge(found, rule))
     spans = removed.groupBy("_id", "_th").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
     changed = (texts.select("_id", "_th", "text").dropDuplicates(["_id", "_th"])
                .join(spans, ["_id", "_th"]).mapInArrow(_keep(rule), _KEPT_DDL))

@@ -7,14 +7,23 @@ suffixes of its distinct stretches in numpy by Larsson-Sadakane refinement
 are sorted again, up to the window length), takes common-prefix lengths by
 Kasai's rule (the next suffix in text order loses at most one character),
 all stretches in step, and marks each window whose neighbour in suffix order
-agrees on the whole window. Keys split over several shards leave their
-windows that are single in the shard to a merge, which finds equal ones of
-other shards by binary search in sorted runs.
+agrees on the whole window.
+
+Keys split over several shards are merged by rounds. A shard hands on each
+different window it holds once, equal ones by their first place, as pieces
+of text: a group of near copies hands on one whole copy and the
+surroundings of each change. Pieces are dealt again by the least hash of a
+longer run and sorted in new shards; a window that stands in many thousand
+shards stands in a few after a round. What is split after the longest run,
+too, is compared window by window, by binary search in sorted runs of
+128-bit hashes.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm.common import batch_of, doc_id_of
-from contrail.llm.repeats import Rule, ranges_where, remove_repeats
+from contrail.llm.repeats import Rule, deal_again, decided, ranges_where, remove_repeats
 
 WINDOW = 400      # bytes
 GRAM = 64         # bytes hashed for a key
 SHARD_BYTES = 2 << 20
+ROUNDS = (0.4, 0.6, 0.8)  # longer runs that split keys are dealt by, as parts of the window
 
 
 def _eight(buf: np.ndarray) -> np.ndarray:
@@ -123,9 +133,9 @@ def common_prefixes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, pla
     return out
 
 
-def repeated_windows(bodies: list[bytes], window: int) -> list[np.ndarray]:
+def repeated_windows(bodies: list[bytes], window: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each text: which of its windows also start elsewhere in these
-    texts."""
+    texts, and which are the first of their kind in them."""
     lengths = np.array([len(b) for b in bodies])
     buf = np.frombuffer(b"".join(bodies) + bytes(8), dtype=np.uint8)
     ends = np.cumsum(lengths)
@@ -148,24 +158,30 @@ def repeated_windows(bodies: list[bytes], window: int) -> list[np.ndarray]:
     again = whole[1:][lcp[whole[1:]] >= window]
     hit[again] = True
     hit[before[again]] = True
-    return [hit[s:e - window + 1] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+    first = np.zeros(len(codes), dtype=bool)
+    if len(whole):
+        kinds = np.flatnonzero(np.concatenate([[True], lcp[whole[1:]] < window]))
+        first[np.minimum.reduceat(whole, kinds)] = True
+    return [(hit[s:e - window + 1], first[s:e - window + 1])
+            for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
 
 
 def match_bytes(bodies: list[bytes], places: dict, window: int):
-    """For each distinct stretch: (place, (starts, ends, sent)) of every
+    """For each distinct stretch: (place, (starts, ends, open)) of every
     place. A stretch with two places repeats as a whole. Of a split key the
-    first place sends all its windows to the merge, the decided ones too:
-    they may decide windows of other shards."""
-    for body, hit in zip(bodies, repeated_windows(bodies, window), strict=True):
+    first of each kind of window goes on, the decided ones too: they may
+    decide windows of other shards."""
+    for body, (hit, first) in zip(bodies, repeated_windows(bodies, window), strict=True):
         where = places[body]
         if len(where) > 1:
             hit = np.ones(len(hit), dtype=bool)
         ranges = ranges_where(hit)
-        yield [(place, (*ranges, range(len(hit)) if place[3] and n == 0 else ()))
-               for n, place in enumerate(where)]
+        open_ = list(zip(*ranges_where(first), strict=True)) if where[0][3] else ()
+        yield [(place, (*ranges, open_ if n == 0 else ())) for n, place in enumerate(where)]
 
 
 _SPAN = pa.schema([("_id", pa.int64()), ("_th", pa.int64()), ("s", pa.int64()), ("e", pa.int64())])
+_WINDOW = pa.schema([*_SPAN, ("w1", pa.int64()), ("w2", pa.int64())])
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,13 +209,36 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from t.select(_SPAN.names).filter(pa.array(hit)).cast(_SPAN).to_batches()
 
 
+def _windows(window: int):
+    """Place and 128-bit hash of each window of pieces."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, th, s, body in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                n = len(body) - window + 1
+                digests = b"".join(hashlib.blake2b(body[i:i + window], digest_size=16).digest() for i in range(n))
+                w = np.frombuffer(digests, dtype=np.int64).reshape(n, 2)
+                yield batch_of(_WINDOW, _id=np.full(n, doc), _th=np.full(n, th), s=np.arange(s, s + n),
+                               e=np.arange(s, s + n) + window, w1=w[:, 0], w2=w[:, 1])
+    return run
+
+
 def merge_shards(found: DataFrame, rule: Rule) -> DataFrame:
-    """Windows of split keys that start in more than one shard."""
-    return (found.filter(F.col("w1").isNotNull()).repartition(F.col("w1"), F.col("w2"))
-            .mapInArrow(_search, "_id long, _th long, s long, e long"))
+    """Removed ranges among the windows that shards of split keys hand on."""
+    removed = found.select("_id", "_th", "s", "e").limit(0)
+    for part in ROUNDS:
+        pieces = found.filter(F.col("body").isNotNull()).select("_id", "_th", "s", "body")
+        if pieces.isEmpty():
+            return removed
+        found = deal_again(pieces, replace(rule, gram=max(rule.gram, int(rule.window * part))))
+        removed = removed.unionByName(decided(found))
+    pieces = found.filter(F.col("body").isNotNull()).select("_id", "_th", "s", "body")
+    return removed.unionByName(
+        pieces.mapInArrow(_windows(rule.window), "_id long, _th long, s long, e long, w1 long, w2 long")
+        .repartition(F.col("w1"), F.col("w2")).mapInArrow(_search, "_id long, _th long, s long, e long"))
 
 
-RULE = Rule(window=WINDOW, gram=GRAM, words=False, across=False, match=match_bytes, shard_items=SHARD_BYTES)
+RULE = Rule(window=WINDOW, gram=GRAM, words=False, across=False, match=match_bytes, shard_items=SHARD_BYTES,
+            pieces=True)
 
 
 def suffix_dedup(docs: DataFrame, rule: Rule = RULE) -> DataFrame:

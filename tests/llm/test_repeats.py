@@ -93,6 +93,34 @@ def test_bytes_equal_brute_force(spark, seed, limit):
     assert got == brute_bytes(rows, 40)
 
 
+def near_copies(n, seed=9):
+    """Copies of one text, each with one changed byte, some of them twice."""
+    r = random.Random(seed)
+    text = "".join(r.choice("abcdefgh ") for _ in range(160))
+    out = []
+    for d in range(n):
+        at = r.randrange(160)
+        out.append((d, text[:at] + r.choice("XYZ") + text[at + 1:]))
+    return out
+
+
+@pytest.mark.parametrize("limit", [2, 7, 40])
+def test_near_copies_over_many_shards_equal_brute_force(spark, limit):
+    rows = near_copies(150)
+    rule = replace(B.RULE, window=40, gram=9, group_limit=limit, shard_items=1500)
+    got = sorted((tuple(r)[:5] for r in B.suffix_dedup(frame(spark, rows), rule).collect()), key=str)
+    assert got == brute_bytes(rows, 40)
+
+
+def test_a_shard_hands_on_each_window_once():
+    bodies = [b.encode() for _, b in near_copies(30)]
+    seen = set()
+    for body, (_, first) in zip(bodies, B.repeated_windows(bodies, 40), strict=True):
+        for i, new in enumerate(first):
+            assert new == (body[i:i + 40] not in seen)
+            seen.add(body[i:i + 40])
+
+
 def test_empty_tables_and_clashing_columns(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert S.substring_dedup_digest(empty).count() == 0
