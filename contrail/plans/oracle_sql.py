@@ -383,7 +383,10 @@ BODIES |= {"cycle_flight_events": BODIES["flight_events_table"], "cycle_flight_e
            "cycle_graph_stats": BODIES["graph_stats"], "reset_state_vectors": BODIES["dedup_latest"],
            "incremental_flight_events": BODIES["flight_events_table"], "incremental_flight_edges": BODIES["flight_edges"],
            "incremental_aircraft": BODIES["aircraft_latest"], "incremental_near": BODIES["near_pairs"],
-           "incremental_graph_stats": BODIES["graph_stats"], "incremental_state_vectors": BODIES["stream_ingest"]}
+           "incremental_graph_stats": BODIES["graph_stats"], "incremental_state_vectors": BODIES["stream_ingest"],
+           "incremental_point_read": f"""
+SELECT * FROM ({BODIES["stream_ingest"]}) s WHERE icao24 = (SELECT icao24 FROM ({_MOST_TRACKED}) t)
+ORDER BY snapshot_time DESC LIMIT 1"""}
 
 
 def oracle_queries() -> dict[str, str]:

@@ -111,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "incremental_near": lambda spark, sf_dir: R._ntz(R.incremental_graph(spark, sf_dir).near, "snapshot_time"),
     "incremental_graph_stats": lambda spark, sf_dir: Q.graph_stats(R.incremental_graph(spark, sf_dir)),
     "incremental_state_vectors": R.incremental_state_vectors,
+    "incremental_point_read": R.incremental_point_read,
     # positions out of order, and too late
     "stream_flight_events": R.stream_flight_events,
     "stream_late_rows": R.stream_late_rows,

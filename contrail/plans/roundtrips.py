@@ -17,12 +17,13 @@ from contrail.constants import STATE_VECTOR_FIELDS
 from contrail.operators.clean import clean_and_enrich, dedup_latest_write
 from contrail.plans.cycle import run_cycle
 from contrail.plans.pipeline import FIXED_BATCH_ID, read_graph, run_batch
-from contrail.plans.queries import graph_stats
+from contrail.plans.queries import graph_stats, q4_most_tracked
 from contrail.session import cut_lineage, ensure_checkpoint_dir
 from contrail.sinks.tables import reset_derived, upsert_state_vectors, write_airports
 from contrail.sinks.versions import read_version
 from contrail.sources.airports_csv import load_airports
 from contrail.sources.fixtures import fixture_tables, padded
+from contrail.sources.point_read import newest_state
 from contrail.sources.snapshots import parse_snapshots, snapshots_from_state_vectors
 from contrail.streaming.ingest import start_ingest
 from contrail.streaming.ordered import drain, late_rows, start_ordered_transitions, stream_events
@@ -177,6 +178,15 @@ def incremental_state_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(dedup_latest_write(table).drop("ingest_seq"), "snapshot_time")
 
 
+def incremental_point_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-5: the newest state vector of the most tracked aircraft, found by
+    its key in the tables that three cycles have written."""
+    job = incremental_dir(spark, sf_dir)
+    graph, table = os.path.join(job, "graph"), os.path.join(os.path.dirname(job), "state_vectors")
+    who = q4_most_tracked(read_graph(spark, graph)).first()["icao24"]
+    return _ntz(newest_state(spark, graph, table, who).drop("ingest_seq"), "snapshot_time")
+
+
 def cycle_flight_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-2, ST-3: the flight events table as two cycles have left it."""
     return read_version(spark, os.path.join(cycle_dir(spark, sf_dir), "flight_events"))

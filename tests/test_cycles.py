@@ -14,6 +14,7 @@ from contrail.sinks import tables as S
 from contrail.sinks import versions as V
 from contrail.sinks.tables import reset_derived, upsert
 from contrail.sinks.versions import read_version
+from contrail.sources import point_read as P
 from contrail.sources.fixtures import airports_from_suppliers, fixture_tables, padded
 
 
@@ -130,6 +131,41 @@ def test_cycles_equal_one_run_however_late_dates_land(spark, tmp_path):
         assert table and got[name] == table == want[name], name
 
 
+def test_point_reads_open_one_bucket_and_one_date(spark, tmp_path):
+    raw, airports = fixture_tables(spark, SF0001)
+    raw = _days(raw, 3, 4, 5).withColumn("last_contact", F.col("event_id")).drop("event_id")
+    sv, out = str(tmp_path / "sv"), str(tmp_path / "out")
+    _land(spark, raw, sv, 0)
+    C.recompute_dates(spark, sv, sorted(C.files_by_date(spark, sv)), airports, out, batch_id="b")
+    graph = out + "/graph"
+    newest = {}
+    for r in read_version(spark, graph + "/aircraft").collect():
+        newest[r["icao24"]] = r
+    keys = sorted(newest)[:3]
+    for key in keys:
+        one = P.newest_aircraft(spark, graph, f" {key.upper()} ")
+        folders = {f.split("/bucket=")[1].split("/")[0] for f in one.inputFiles()}
+        assert one.collect() == [newest[key]] and len(folders) == 1
+        state = P.newest_state(spark, graph, sv, key)
+        want = raw.filter(F.col("icao24") == key).orderBy(F.desc("snapshot_time"), F.desc("last_contact")).first()
+        (got,) = state.collect()
+        assert (got["snapshot_time"], got["last_contact"]) == (want["snapshot_time"], want["last_contact"])
+        assert {f.split("snapshot_date=")[1].split("/")[0] for f in state.inputFiles()} == {str(want["snapshot_time"].date())}
+        plan = state._jdf.queryExecution().executedPlan().toString()
+        assert f"EqualTo(icao24,{key})" in plan
+    assert P.newest_state(spark, graph, sv, "no such").count() == 0
+    schema = spark.read.parquet(sv).schema
+    assert P.newest_state(spark, graph, sv, keys[0], schema).count() == 1
+    S.expire_partitions(spark, sv, "snapshot_date", 1, dt.date(2024, 2, 1))
+    assert P.newest_state(spark, graph, sv, keys[0], schema).collect() == []
+
+
+def test_bucket_of_a_key_is_the_writers(spark):
+    for key in ("4b1805", "", "é", "x" * 100):
+        want = spark.range(1).select(F.pmod(F.xxhash64(F.lit(key)), F.lit(16))).first()[0]
+        assert P.bucket_of(spark, key, 16) == str(want)
+
+
 def test_a_cycle_scans_changed_dates_only(spark, tmp_path):
     raw, _ = fixture_tables(spark, SF0001)
     sv = str(tmp_path / "sv")
