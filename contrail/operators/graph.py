@@ -11,12 +11,9 @@ from pyspark.sql import functions as F
 from contrail.constants import CONF_NONE
 from contrail.functions.labels import rel_type_of
 from contrail.operators.clean import keep_top_per_key, latest_per_aircraft
-from contrail.plans.broadcast import broadcast_if_small
 from contrail.session import in_utc
 from contrail.schema import AIRCRAFT_PROPS, SNAPSHOT_EDGE_PROPS
 
-AIRPORT_NODE_BROADCAST_ROWS = 2_000_000
-
 
 @dataclass
 class Graph:
@@ -91,14 +88,13 @@ def flight_edges(matched: DataFrame, airports_nodes: DataFrame | None = None) ->
     """DEPARTED_FROM / ARRIVED_AT in one table with ``rel_type`` (F-7, F-17).
     Key (icao24, event_time, rel_type, airport_icao); equidistant airports
     give one edge each. With ``airports_nodes`` the airport end is checked
-    for existence (J-6) with a size-checked broadcast semi-join."""
+    for existence (J-6) with a semi-join that Spark plans by bytes."""
     edges = (matched.filter(F.col("airport_icao").isNotNull() & (F.col("confidence") != CONF_NONE))
                     .select("icao24", "airport_icao", rel_type_of(F.col("event_type")).alias("rel_type"),
                             "event_time", "confidence", "gap_seconds", "dist_km"))
     if airports_nodes is not None:
         keys = airports_nodes.select(F.col("icao").alias("airport_icao"))
-        small = broadcast_if_small(keys, AIRPORT_NODE_BROADCAST_ROWS)
-        edges = edges.join(F.broadcast(small) if small is not None else keys, "airport_icao", "left_semi")
+        edges = edges.join(keys, "airport_icao", "left_semi")
     return edges
 
 

@@ -13,18 +13,23 @@ Two modes:
   unmatched events are kept as NONE.
 
 Plan: the distance join becomes an equi-join on grid cells. Airports are
-replicated to the (at most 4) cells their reach touches and grouped per
-cell, the event looks up its one cell. With the airport side broadcast
-(after a size check) the match is row-local: the candidate list of each
-event is filtered, scored and reduced to its nearest airports with array
-functions, so no shuffle and no window over the events is needed. If the
-catalogue is too large to broadcast, the same cell join runs as a shuffle
-join on the cell key followed by a ``rank()`` window.
+replicated to the (at most 4) cells their reach touches and gathered per
+cell; the event looks up its one cell, and the candidate list is filtered,
+scored and reduced to its nearest airports with array functions, without a
+window over the events. No side is forced: Spark broadcasts the gathered cells
+when their bytes are under its threshold and shuffles on the cell otherwise
+(a hot cell of events is then split by AQE); the rows are the same.
+
+A cell with more than ``cell_airports`` airports is *dense*. Its airports
+are dealt by hash to parts of about that many, an event in it meets each part
+in a row of its own, and the best of the parts are put together per event.
+So no candidate list grows with the catalogue. Events elsewhere take no part
+in that step, and where no cell is dense AQE drops it at run time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.constants import AIRPORT_DIST_DECIMALS, AIRPORT_RADIUS_KM
@@ -34,15 +39,14 @@ from contrail.functions.geo import (
 )
 from contrail.functions.labels import confidence_band
 from contrail.operators.clean import keep_top_per_key
-from contrail.plans.broadcast import broadcast_if_small
 
 
-DEFAULT_AIRPORT_BROADCAST_ROWS = 2_000_000
+CELL_AIRPORTS = 1_000  # candidates of one event that one row holds
 
 
 def _airport_points(airports: DataFrame) -> DataFrame:
     """One point per airport code, the row the airport node keeps; so the
-    order by distance and code has no ties and both paths agree."""
+    order by distance and code has no ties."""
     order = [F.col(c).asc_nulls_last() for c in ("name", "iata_code") if c in airports.columns]
     one = keep_top_per_key(airports.filter(F.col("icao_code").isNotNull()), ["icao_code"],
                            [*order, F.col("latitude"), F.col("longitude")])
@@ -84,22 +88,36 @@ def _finish(df: DataFrame) -> DataFrame:
     )
 
 
-def airport_choices(events: DataFrame, airports: DataFrame, mode: str, radius_km: float) -> DataFrame:
-    """Broadcast path: each event with ``_choices``, the array of its
-    nearest airports (empty = the event is dropped; one null entry = no
-    candidate, confidence NONE). Row-local, no shuffle of the events.
+def _cells(airports: DataFrame, build_keys, cell_airports: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Airports gathered per grid cell: (_gy, _gx, _cands, _parts); the dense
+    cells: (_gy, _gx, _parts); and their airports gathered per part: (_gy,
+    _gx, _part, _cands). A dense cell has no candidates in the first."""
+    at = airports.select("*", F.explode(build_keys(F.col("ap_lat"), F.col("ap_lon"))).alias("_k"))
+    at = at.select(F.col("_k.gy").alias("_gy"), F.col("_k.gx").alias("_gx"),
+                   F.struct("ap_icao", "ap_name", "ap_lat", "ap_lon").alias("_ap"))
+    dense = (at.groupBy("_gy", "_gx").agg(F.ceil(F.count(F.lit(1)) / cell_airports).cast("int").alias("_parts"))
+               .filter("_parts > 1"))
+    whole = (at.join(dense, ["_gy", "_gx"], "left_anti").groupBy("_gy", "_gx").agg(F.collect_list("_ap").alias("_cands"))
+             .unionByName(dense, allowMissingColumns=True))
+    part = F.pmod(F.xxhash64("_ap.ap_icao"), F.col("_parts")).alias("_part")
+    parts = at.join(dense, ["_gy", "_gx"]).groupBy("_gy", "_gx", part).agg(F.collect_list("_ap").alias("_cands"))
+    return whole, dense, parts
+
+
+def _nearest(by_distance: str) -> Column:
+    """The entries of the least distance in a column of sorted entries. (A
+    minimum taken beside the filter would be put into its lambda by the
+    optimizer, and so be taken again for every entry.)"""
+    return F.filter(by_distance, lambda x: x["dist_km"] == F.get(by_distance, F.lit(0))["dist_km"])
+
+
+def _scored(joined: DataFrame, mode: str, radius_km: float) -> DataFrame:
+    """``joined`` with ``_any`` (a candidate was seen) and ``_best`` (the
+    nearest within the radius) in place of ``_cands``.
 
     The arrays are built in separate projections: Spark keeps a projection
     of a non-trivial expression that is referenced more than once, so each
     candidate's distance is computed once."""
-    probe_key, build_keys = _keys(mode, radius_km)
-    by_cell = (airports.select("*", F.explode(build_keys(F.col("ap_lat"), F.col("ap_lon"))).alias("_k"))
-                       .groupBy(F.col("_k.gy").alias("_gy"), F.col("_k.gx").alias("_gx"))
-                       .agg(F.collect_list(F.struct("ap_icao", "ap_name", "ap_lat", "ap_lon")).alias("_cands")))
-    key = probe_key(F.col("latitude"), F.col("longitude"))
-    ev = events.withColumns({"_gy": key["gy"], "_gx": key["gx"]})
-    joined = ev.join(F.broadcast(by_cell), ["_gy", "_gx"], "left").drop("_gy", "_gx")
-
     cands = F.coalesce(F.col("_cands"), F.array())
     if mode == "reference":
         m = box_margin_deg(radius_km)
@@ -109,55 +127,52 @@ def airport_choices(events: DataFrame, airports: DataFrame, mode: str, radius_km
     scored = F.transform(F.col("_cands"), lambda a: F.struct(
         _dist(a["ap_lat"], a["ap_lon"]).alias("dist_km"), a["ap_icao"].alias("ap_icao"),
         a["ap_name"].alias("ap_name")))
-    staged = staged.withColumn("_within", F.filter(scored, lambda x: x["dist_km"] <= radius_km))
-    staged = staged.withColumn("_nearest", F.array_min(F.transform(F.col("_within"), lambda x: x["dist_km"])))
-    best = F.filter(F.col("_within"), lambda x: x["dist_km"] == F.col("_nearest"))
+    staged = staged.withColumn("_within", F.sort_array(F.filter(scored, lambda x: x["dist_km"] <= radius_km)))
+    # reference: any airport in the box; geodesic: any within the radius
+    seen = F.size("_cands") > 0 if mode == "reference" else F.size("_within") > 0
+    return staged.withColumns({"_any": seen, "_best": _nearest("_within")}).drop("_cands", "_within")
+
+
+def airport_choices(events: DataFrame, airports: DataFrame, mode: str, radius_km: float,
+                    cell_airports: int = CELL_AIRPORTS) -> DataFrame:
+    """Each event with ``_choices``, the array of its nearest airports
+    (empty = the event is dropped; one null entry = no candidate, confidence
+    NONE). Repeated events stay repeated."""
+    probe_key, build_keys = _keys(mode, radius_km)
+    whole, dense, parts = _cells(airports, build_keys, cell_airports)
+    key = probe_key(F.col("latitude"), F.col("longitude"))
+    ev = events.withColumns({"_gy": key["gy"], "_gx": key["gx"]})
+
+    alone = _scored(ev.join(whole, ["_gy", "_gx"], "left").filter("_parts IS NULL"), mode, radius_km)
+    # events are dealt to parts only after those of dense cells are known
+    met = _scored(ev.join(dense, ["_gy", "_gx"], "left_semi").join(parts, ["_gy", "_gx"]), mode, radius_km)
+    # an event stands once in each part: more rows than parts are repeats
+    merged = met.groupBy(*events.columns).agg(
+        F.max("_any").alias("_any"), F.sort_array(F.flatten(F.collect_set("_best"))).alias("_found"),
+        (F.count(F.lit(1)) / F.size(F.collect_set("_part"))).cast("int").alias("_copies"))
+    merged = merged.withColumn("_best", _nearest("_found")).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    both = alone.select(*events.columns, "_any", "_best").unionByName(merged.select(*events.columns, "_any", "_best"))
     # reference: no box candidate -> NONE; candidates all beyond radius -> dropped
-    empty_test = F.size(F.col("_cands")) == 0 if mode == "reference" else F.size(F.col("_within")) == 0
-    return (staged.withColumn("_choices", F.when(empty_test, _null_choice()).otherwise(best))
-                  .drop("_cands", "_within", "_nearest"))
+    return both.withColumn("_choices", F.when(F.col("_any"), F.col("_best")).otherwise(_null_choice())).drop("_any", "_best")
 
 
+# Empty choices are dropped after an outer explode: a filter on the arrays
+# would be pushed below their projections and compute each of them again.
+
 def explode_choices(choices: DataFrame) -> DataFrame:
     """All nearest airports of each event (rank = 1 semantics)."""
-    return _finish(choices.withColumn("_m", F.explode("_choices")))
+    return _finish(choices.withColumn("_m", F.explode_outer("_choices")).filter("_m IS NOT NULL"))
 
 
 def lowest_choice(choices: DataFrame) -> DataFrame:
     """One row per event: the nearest airport with the lowest code."""
-    return _finish(choices.filter(F.size("_choices") > 0)
-                          .withColumn("_m", F.array_min("_choices")))
-
-
-def _match_shuffle(events: DataFrame, ap: DataFrame, mode: str, radius_km: float,
-                   ties: str) -> DataFrame:
-    probe_key, build_keys = _keys(mode, radius_km)
-    ap_cells = ap.select("*", F.explode(build_keys(F.col("ap_lat"), F.col("ap_lon"))).alias("_k")) \
-                 .select("*", F.col("_k.gy").alias("_agy"), F.col("_k.gx").alias("_agx")).drop("_k")
-    key = probe_key(F.col("latitude"), F.col("longitude"))
-    ev = events.withColumns({"_gy": key["gy"], "_gx": key["gx"]})
-    cond = (ev["_gy"] == ap_cells["_agy"]) & (ev["_gx"] == ap_cells["_agx"])
-    if mode == "reference":
-        cond = cond & in_box(ap_cells["ap_lat"], ap_cells["ap_lon"], ev["latitude"], ev["longitude"],
-                             box_margin_deg(radius_km))
-    else:
-        cond = cond & (_dist(ap_cells["ap_lat"], ap_cells["ap_lon"]) <= radius_km)
-    cand = (ev.join(ap_cells, cond, "left")
-              .withColumn("dist_km", _dist(F.col("ap_lat"), F.col("ap_lon")))
-              .filter(F.col("dist_km").isNull() | (F.col("dist_km") <= radius_km)))
-    w = Window.partitionBy("icao24", "event_time", "event_type")
-    if ties == "lowest_icao":
-        ranked = cand.withColumn("_r", F.row_number().over(
-            w.orderBy(F.col("dist_km").asc_nulls_last(), F.col("ap_icao").asc_nulls_last())))
-    else:
-        ranked = cand.withColumn("_r", F.rank().over(w.orderBy(F.col("dist_km").asc_nulls_last())))
-    top = ranked.filter(F.col("_r") == 1)
-    return _finish(top.withColumn("_m", F.struct("dist_km", "ap_icao", "ap_name")))
+    lowest = F.slice(F.sort_array("_choices"), 1, 1)
+    return _finish(choices.withColumn("_m", F.explode_outer(lowest)).filter("_m IS NOT NULL"))
 
 
 def match_airports(events: DataFrame, airports: DataFrame, radius_km: float = AIRPORT_RADIUS_KM,
-                   mode: str = "reference", ties: str = "all",
-                   broadcast_rows: int = DEFAULT_AIRPORT_BROADCAST_ROWS) -> DataFrame:
+                   mode: str = "reference", ties: str = "all", cell_airports: int = CELL_AIRPORTS) -> DataFrame:
     """Events x airports -> matched events: the event columns plus
     airport_icao, airport_name, dist_km and confidence.
 
@@ -167,32 +182,17 @@ def match_airports(events: DataFrame, airports: DataFrame, radius_km: float = AI
     """
     if ties not in ("all", "lowest_icao"):
         raise ValueError(f"ties must be 'all' or 'lowest_icao', got {ties!r}")
-    _keys(mode, radius_km)
-    ap = _airport_points(airports)
-    small = broadcast_if_small(ap, broadcast_rows)
-    if small is not None:
-        choices = airport_choices(events, small, mode, radius_km)
-        return explode_choices(choices) if ties == "all" else lowest_choice(choices)
-    return _match_shuffle(events, ap, mode, radius_km, ties)
+    choices = airport_choices(events, _airport_points(airports), mode, radius_km, cell_airports)
+    return explode_choices(choices) if ties == "all" else lowest_choice(choices)
 
 
 def match_both(events: DataFrame, airports: DataFrame, radius_km: float = AIRPORT_RADIUS_KM,
-               mode: str = "reference", broadcast_rows: int = DEFAULT_AIRPORT_BROADCAST_ROWS,
+               mode: str = "reference", cell_airports: int = CELL_AIRPORTS,
                materialize=None) -> tuple[DataFrame, DataFrame]:
     """(matched rows with all ties, keyed flight-event rows) from one
     candidate computation; ``materialize`` (e.g. a checkpoint) is applied
-    to the shared per-event choices, or to the matched rows of the shuffle
-    join."""
-    _keys(mode, radius_km)
-    ap = _airport_points(airports)
-    small = broadcast_if_small(ap, broadcast_rows)
-    if small is None:
-        matched = _match_shuffle(events, ap, mode, radius_km, "all")
-        if materialize is not None:
-            matched = materialize(matched)
-        return matched, _keyed(keep_top_per_key(matched, ["icao24", "event_time", "event_type"],
-                                                [F.col("airport_icao").asc_nulls_last()]))
-    choices = airport_choices(events, small, mode, radius_km)
+    to the shared per-event choices."""
+    choices = airport_choices(events, _airport_points(airports), mode, radius_km, cell_airports)
     if materialize is not None:
         choices = materialize(choices)
     return explode_choices(choices), _keyed(lowest_choice(choices))

@@ -108,9 +108,9 @@ def recompute_dates(spark: SparkSession, state_vectors_path: str, dates: list[st
     batch_id = batch_id or new_batch_id(spark)
     graph_dir = os.path.join(out_dir, "graph")
     bounds = os.path.join(out_dir, "boundaries")
-    airports = cut_lineage(airports, "airports", columnar=False)
     run_dir = scratch_path(spark, "cycle")
     try:
+        airports = cut_lineage(airports, "airports", base=run_dir)  # written: joins are planned by its bytes
         clean = cut_lineage(clean_and_enrich(rows_of_dates(spark, state_vectors_path, dates)), "clean", base=run_dir)
         old = V.current(spark, bounds)
         V.replace_parts(date_boundaries(clean), bounds, *table_layout("boundaries"), dates)

@@ -182,8 +182,8 @@ def run_batch(spark: SparkSession, raw: DataFrame, airports: DataFrame, out_dir:
         timings[name] = round(time.perf_counter() - t0, 3)
         return out
 
-    airports = cut_lineage(airports, "airports", columnar=False)  # small; match, nodes, edge checks
     run_dir = scratch_path(spark, "run")  # this run's intermediates, deleted at the end
+    airports = cut_lineage(airports, "airports", base=run_dir)  # written: joins are planned by its bytes
     clean = stage("clean", lambda: cut_lineage(clean_and_enrich(raw), "clean", base=run_dir))
     events = stage("events", lambda: cut_lineage(detect_flight_events(clean, batch_id), "events",
                                                  columnar=False))

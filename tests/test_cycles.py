@@ -67,14 +67,14 @@ def test_long_keys_keep_their_digits(spark):
     assert spark.range(1).select(padded(F.lit("abcdef1"), 6)).first()[0] == "abcdef1"
 
 
-def test_repeated_airport_codes_match_alike_on_both_paths(spark):
+def test_repeated_airport_codes_match_alike_in_whole_cells_and_parts(spark):
     ap = spark.createDataFrame([("AAAA", "z", 40.0, 2.0), ("AAAA", "a", 40.0, 2.0), ("BBBB", "b", 40.0, 2.0)],
                                "icao_code string, name string, latitude double, longitude double")
     ev = spark.createDataFrame([("x", dt.datetime(2024, 1, 1), "TAKEOFF", 40.01, 2.0, 60, "b")],
                                "icao24 string, event_time timestamp_ntz, event_type string, latitude double, "
                                "longitude double, gap_seconds int, batch_id string")
-    for n in (0, 100):
-        both = match_both(ev, ap, broadcast_rows=n)
+    for n in (1, 100):
+        both = match_both(ev, ap, cell_airports=n)
         assert sorted((r["airport_icao"], r["airport_name"]) for r in both[0].collect()) == [("AAAA", "a"), ("BBBB", "b")]
         assert [(r["airport_icao"], r["airport_name"]) for r in both[1].collect()] == [("AAAA", "a")]
 

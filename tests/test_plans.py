@@ -16,8 +16,11 @@ def test_dedup_limits_rows_before_the_shuffle(pipe001):
     assert p.index("Partial") > p.index("Exchange hashpartitioning(icao24")
 
 
-def test_match_is_broadcast_and_row_local(pipe001):
-    p = plan(match_airports(pipe001.events, pipe001.airports))
+def test_match_is_broadcast_and_row_local(spark, tmp_path, pipe001):
+    # the batch job writes the catalogue first, so its bytes are known
+    path = str(tmp_path / "airports")
+    pipe001.airports.write.parquet(path)
+    p = plan(match_airports(pipe001.events, spark.read.parquet(path)))
     assert "BroadcastHashJoin" in p
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
     # no window over the events after the join (the nearest airport is an array reduction)
@@ -25,6 +28,41 @@ def test_match_is_broadcast_and_row_local(pipe001):
     assert "Window" not in after_join
 
 
+def test_match_plans_nothing_by_running_it(spark, pipe001):
+    """Building the plan starts no job; a catalogue without dense cells
+    leaves no trace of the step that puts parts together."""
+    sc = spark.sparkContext
+    sc.setJobGroup("plan-only", "plan of the match")
+    df = match_airports(pipe001.events, pipe001.airports)
+    assert list(sc.statusTracker().getJobIdsForGroup("plan-only")) == []
+    df.collect()
+    p = plan(df)
+    final = p[p.index("Final Plan"):p.index("Initial Plan")]
+    assert "collect_set" not in final and "collect_set" in p[p.index("Initial Plan"):]
+
+
+def test_dense_cells_are_matched_in_parts(spark):
+    """1,000 airports around one hub, half of them with a twin in the same
+    place: parts of about 100 give the rows of one list, repeats included."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+    n = 1000
+    place = F.col("id") - F.col("id") % 2 * F.when(F.col("id") < n // 2, 1).otherwise(0)
+    ap = spark.range(n).select(
+        F.format_string("P%05d", "id").alias("icao_code"), F.lit("p").alias("name"),
+        (F.lit(50.0) + (place * 7919 % n) / n * 0.1).alias("latitude"),
+        (F.lit(8.0) + (place * 104729 % n) / n * 0.1).alias("longitude"))
+    ev = spark.range(300).select(
+        F.format_string("e%04d", F.col("id") % 250).alias("icao24"), F.lit(dt.datetime(2024, 1, 1)).alias("event_time"),
+        F.lit("TAKEOFF").alias("event_type"), (F.lit(49.8) + F.col("id") % 250 * 0.002).alias("latitude"),
+        F.lit(8.05).alias("longitude"), F.lit(10).alias("gap_seconds"), F.lit("b").alias("batch_id"))
+    for mode in ("reference", "geodesic"):
+        one, parted = (sorted(map(str, match_airports(ev, ap, mode=mode, cell_airports=k).collect())) for k in (10 * n, 100))
+        assert one == parted and len(set(one)) < len(one)
+        assert sum("NONE" not in r for r in one) > 150
+
+
 def test_split_lag_window_keys(pipe001):
     p = plan(detect_flight_events(pipe001.clean, "b"))
     assert "_bucket" in p and "Window [lag" in p
@@ -65,8 +103,9 @@ def test_at_scale_plans_without_broadcast(spark, pipe001):
         assert "SortMergeJoin" in near or "ShuffledHashJoin" in near
         assert "BroadcastNestedLoopJoin" not in near and "CartesianProduct" not in near
         assert "hashpartitioning(snapshot_time" in near
-        m = plan(match_airports(pipe001.events, pipe001.airports, broadcast_rows=0))
-        assert ("SortMergeJoin" in m or "ShuffledHashJoin" in m) and "rank(" in m
+        m = plan(match_airports(pipe001.events, pipe001.airports))
+        assert "SortMergeJoin" in m or "ShuffledHashJoin" in m
+        assert "BroadcastHashJoin" not in m and "rank(" not in m
         assert "BroadcastNestedLoopJoin" not in m and "CartesianProduct" not in m
 
 

@@ -103,34 +103,34 @@ def _events(spark, pts):
                                        "latitude DOUBLE, longitude DOUBLE, gap_seconds INT, batch_id STRING")
 
 
-@pytest.mark.parametrize("rows_limit", [10_000, 0])  # broadcast path, shuffle fallback
-def test_item7_8_box_without_cos_and_vanishing_events(spark, rows_limit):
+@pytest.mark.parametrize("cell_airports", [1_000, 1])  # whole cells, cells in parts
+def test_item7_8_box_without_cos_and_vanishing_events(spark, cell_airports):
     ap = _airports(spark, [dict(icao_code="EAST", name="e", latitude=50.0, longitude=50.0 + 12 / 71.5)])
     # 12 km due east at 50N is 0.168 deg of longitude > 0.135 margin: missed -> NONE
     ev = _events(spark, [(50.0, 50.0)])
-    m = match_airports(ev, ap, broadcast_rows=rows_limit).collect()
+    m = match_airports(ev, ap, cell_airports=cell_airports).collect()
     assert [(r.airport_icao, r.confidence) for r in m] == [(None, "NONE")]
     # geodesic mode finds it
-    g = match_airports(ev, ap, mode="geodesic", broadcast_rows=rows_limit).collect()
+    g = match_airports(ev, ap, mode="geodesic", cell_airports=cell_airports).collect()
     assert g[0].airport_icao == "EAST" and g[0].confidence == "LOW"
     # box corner: inside the box, beyond 15 km -> the event disappears
     ap2 = _airports(spark, [dict(icao_code="CORN", name="c", latitude=10.13, longitude=10.13)])
     ev2 = _events(spark, [(10.0, 10.0)])
-    assert match_airports(ev2, ap2, broadcast_rows=rows_limit).count() == 0
+    assert match_airports(ev2, ap2, cell_airports=cell_airports).count() == 0
     # geodesic keeps it as NONE
     assert [r.confidence for r in match_airports(ev2, ap2, mode="geodesic",
-                                                 broadcast_rows=rows_limit).collect()] == ["NONE"]
+                                                 cell_airports=cell_airports).collect()] == ["NONE"]
 
 
-@pytest.mark.parametrize("rows_limit", [10_000, 0])
-def test_item9_rank_ties_keep_both_event_table_keeps_lowest(spark, rows_limit):
+@pytest.mark.parametrize("cell_airports", [1_000, 1])
+def test_item9_rank_ties_keep_both_event_table_keeps_lowest(spark, cell_airports):
     ap = _airports(spark, [dict(icao_code="B2", name="b", latitude=45.05, longitude=7.0),
                            dict(icao_code="A1", name="a", latitude=45.05, longitude=7.0),
                            dict(icao_code="C3", name="c", latitude=45.09, longitude=7.0)])
     ev = _events(spark, [(45.0, 7.0)])
-    m = match_airports(ev, ap, broadcast_rows=rows_limit)
+    m = match_airports(ev, ap, cell_airports=cell_airports)
     assert sorted(r.airport_icao for r in m.collect()) == ["A1", "B2"]
-    fe = flight_events_table(ev, ap, broadcast_rows=rows_limit).collect()
+    fe = flight_events_table(ev, ap, cell_airports=cell_airports).collect()
     assert [r.airport_icao for r in fe] == ["A1"]
 
 
