@@ -14,16 +14,27 @@ formed. Both sides shuffle on the same key; AQE splits hot keys.
 Grains: ``"observation"`` is one row per pair and snapshot; ``"pair"``
 (the stored graph, one edge per pair) keeps the values of the pair's
 latest snapshot, via a map-side-combined ``max_by`` aggregate.
+
+:func:`near_by_blocks` has the rows of a pair without shuffling any pair:
+aircraft are dealt to blocks, a task gets the tracks of two blocks and sees
+all snapshots of each pair of theirs. What is shuffled are positions, once
+for each other block.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.constants import NEAR_DIST_DECIMALS, NEAR_RADIUS_KM
+from contrail.constants import EARTH_RADIUS_KM, NEAR_DIST_DECIMALS, NEAR_RADIUS_KM
 from contrail.functions.geo import explode_radius_keys, haversine_km, radius_key
 from contrail.functions.labels import time_string
+from contrail.session import ship_code
 
 
 
@@ -106,3 +117,157 @@ def near_pairs(clean: DataFrame, radius_km: float = NEAR_RADIUS_KM, grain: str =
                     F.max_by("dist_km", "snapshot_time").alias("dist_km"))
                .select("icao24_a", "icao24_b", "snapshot_time",
                        time_string(F.col("snapshot_time")).alias("snapshot_time_str"), "dist_km"))
+
+
+MIN_BLOCKS = 16       # of aircraft; more with more shuffle partitions
+CANDIDATES = 500_000  # pairs of positions that a task compares at a time
+
+_TALLY = ["icao24_a", "icao24_b", "snapshot_time", "dist_km", "observations", "dist_sum"]
+
+
+def _sines(lat1, lon1, cos1, lat2, lon2, cos2) -> np.ndarray:
+    """The squared half chord under the root of :func:`haversine_km`."""
+    s_phi = np.sin(np.radians(lat2 - lat1) / 2.0)
+    s_lam = np.sin(np.radians(lon2 - lon1) / 2.0)
+    return s_phi * s_phi + cos1 * cos2 * s_lam * s_lam
+
+
+def _distance(a: np.ndarray) -> np.ndarray:
+    """Kilometres of :func:`_sines`, rounded half up to 2 decimals."""
+    scale = 10.0 ** NEAR_DIST_DECIMALS
+    return np.floor(EARTH_RADIUS_KM * 2.0 * np.arctan2(np.sqrt(a), np.sqrt(1.0 - a)) * scale + 0.5) / scale
+
+
+def _within(a: np.ndarray, radius_km: float) -> np.ndarray:
+    """Which of :func:`_sines` round to at most ``radius_km``; only those
+    about the radius are rounded."""
+    slack = 10.0 ** -NEAR_DIST_DECIMALS
+    surely, maybe = (math.sin(min(max(r, 0.0) / (2.0 * EARTH_RADIUS_KM), math.pi / 2)) ** 2
+                     for r in (radius_km - slack, radius_km + slack))
+    near = a < surely
+    edge = np.flatnonzero(~near & (a <= maybe))
+    near[edge] = _distance(a[edge]) <= radius_km
+    return near
+
+
+def _positions(batch: pa.RecordBatch, side: int):
+    """Names, and of each position: number of the name, time, lat, lon, cell."""
+    rows = batch.filter(pa.array(batch.column("side").to_numpy() == side))
+    track = rows.column("track")
+    owner = np.repeat(np.arange(rows.num_rows), np.diff(track.offsets.to_numpy()))
+    t, lat, lon, cell = track.flatten().flatten()
+    return (rows.column("icao24").to_pylist(), owner, t.cast(pa.int64()).to_numpy(), lat.to_numpy(), lon.to_numpy(),
+            cell.to_numpy(), t.type)
+
+
+def _meet(radius_km: float, tally: bool):
+    """Pairs of the probing tracks (side 0) and the others (side 1) of two
+    blocks: the rows of :func:`near_by_blocks`."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both = pa.Table.from_batches(list(batches)).combine_chunks().to_batches()[0]
+        same_block = both.column("i")[0] == both.column("j")[0]
+        names_p, own_p, t_p, lat_p, lon_p, cell_p, t_type = _positions(both, 0)
+        names_q, own_q, t_q, lat_q, lon_q, cell_q, _ = _positions(both, 1)
+        if not len(own_p) or not len(own_q):
+            return
+        names = sorted({*names_p, *names_q})
+        at = {name: k for k, name in enumerate(names)}
+        rank_p, rank_q = (np.array([at[name] for name in of]) for of in (names_p, names_q))
+        names = pa.array(names, pa.string())
+        _, t_all = np.unique(np.concatenate([t_p, t_q]), return_inverse=True)
+        cells, cell_all = np.unique(np.concatenate([cell_p, cell_q]), return_inverse=True)
+        place = t_all * len(cells) + cell_all
+        order = np.lexsort((t_p, own_p))  # a track in order of time
+        place_p, own_p, t_p, lat_p, lon_p = (c[order] for c in (place[:len(t_p)], own_p, t_p, lat_p, lon_p))
+        place_q = place[len(t_p):]
+        order = np.argsort(place_q, kind="stable")
+        place_q, own_q, lat_q, lon_q = (c[order] for c in (place_q, own_q, lat_q, lon_q))
+        cos_p, cos_q = np.cos(np.radians(lat_p)), np.cos(np.radians(lat_q))
+        first = np.searchsorted(place_q, place_p, side="left")
+        found = np.searchsorted(place_q, place_p, side="right") - first
+        # whole aircraft at a time, so that a pair is in one step
+        last_of = np.flatnonzero(np.concatenate([own_p[1:] != own_p[:-1], [True]]))
+        done = np.cumsum(found)[last_of]
+        lo = seen = 0
+        while lo < len(own_p):
+            k = max(np.searchsorted(done, seen + CANDIDATES, side="right") - 1, np.searchsorted(last_of, lo))
+            base, hi, seen = own_p[lo], int(last_of[k]) + 1, int(done[k])
+            n = found[lo:hi]
+            p = np.repeat(np.arange(lo, hi), n)
+            q = np.arange(len(p)) + np.repeat(first[lo:hi] - (np.cumsum(n) - n), n)
+            lo = hi
+            if same_block:  # both orders are there
+                keep = rank_p[own_p[p]] < rank_q[own_q[q]]
+                p, q = p[keep], q[keep]
+            with np.errstate(invalid="ignore"):
+                a = _sines(lat_p[p], lon_p[p], cos_p[p], lat_q[q], lon_q[q], cos_q[q])
+                near = np.flatnonzero(_within(a, radius_km))
+            if not len(near):
+                continue
+            p, q, a = p[near], q[near], a[near]
+            pair = (own_p[p] - base) * len(names_q) + own_q[q]
+            size = int(own_p[hi - 1] - base + 1) * len(names_q)
+            if size <= 8 * len(pair):  # the last one written stays
+                last = np.zeros(size, dtype=np.int64)
+                last[pair] = np.arange(1, len(pair) + 1)
+                kinds = np.flatnonzero(last)
+                newest = last[kinds] - 1
+            else:
+                order = np.argsort(pair, kind="stable")
+                newest = order[np.append(pair[order][1:] != pair[order][:-1], True)]
+                kinds = slice(None)
+                pair = np.unique(pair, return_inverse=True)[1] if tally else pair
+            x, y = rank_p[own_p[p[newest]]], rank_q[own_q[q[newest]]]
+            out = [names.take(pa.array(np.minimum(x, y))), names.take(pa.array(np.maximum(x, y))),
+                   pa.array(t_p[p[newest]]).cast(t_type), pa.array(_distance(a[newest]))]
+            if tally:
+                out += [pa.array(np.bincount(pair)[kinds]), pa.array(np.bincount(pair, _distance(a))[kinds])]
+            yield pa.RecordBatch.from_arrays(out, _TALLY[:len(out)])
+    return run
+
+
+def near_by_blocks(clean: DataFrame, radius_km: float = NEAR_RADIUS_KM, tally: bool = False,
+                   blocks: int | None = None) -> DataFrame:
+    """One row per pair within ``radius_km`` at some snapshot: time and
+    distance of its latest one; with ``tally`` also the number of its
+    observations and the sum of their distances.
+
+    Aircraft are dealt to ``blocks`` by a hash of their key; each two blocks
+    (and each with itself) are one group, which holds the tracks of both.
+    Positions meet by snapshot and grid cell as in :func:`near_observations`,
+    a bounded number at a time."""
+    ship_code()
+    if blocks is None:
+        parts = int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        blocks = max(MIN_BLOCKS, math.ceil(math.sqrt(2 * parts)))
+    air = airborne_positions(clean).filter("icao24 IS NOT NULL AND snapshot_time IS NOT NULL")
+    key = radius_key(F.col("latitude"), F.col("longitude"), radius_km)
+
+    def tracks(rows: DataFrame, gy, gx) -> DataFrame:
+        at = F.struct("snapshot_time", "latitude", "longitude", (F.shiftleft(gy, 32) + gx).alias("cell"))
+        return (rows.groupBy("icao24").agg(F.collect_list(at).alias("track"))
+                    .withColumn("block", F.pmod(F.xxhash64("icao24"), F.lit(blocks)).cast("int")))
+
+    probe = tracks(air, key["gy"], key["gx"]).select(
+        F.col("block").alias("i"), F.explode(F.sequence(F.col("block"), F.lit(blocks - 1))).alias("j"),
+        F.lit(0).alias("side"), "icao24", "track")
+    build = tracks(explode_radius_keys(air, "latitude", "longitude", radius_km), F.col("gy"), F.col("gx")).select(
+        F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"),
+        F.lit(1).alias("side"), "icao24", "track")
+    time_type = clean.schema["snapshot_time"].dataType.simpleString()
+    return probe.unionByName(build).groupBy("i", "j").applyInArrow(
+        _meet(radius_km, tally), f"icao24_a string, icao24_b string, snapshot_time {time_type}, dist_km double"
+        + (", observations long, dist_sum double" if tally else ""))
+
+
+def near_edges(clean: DataFrame, radius_km: float = NEAR_RADIUS_KM, grain: str = "pair",
+               dense: DataFrame | None = None) -> DataFrame:
+    """The NEAR edges of a graph: :func:`near_pairs`, at the pair grain by
+    blocks; ``grain="tally"`` adds each pair's number of observations and
+    the sum of their distances."""
+    if grain not in ("pair", "tally"):
+        return near_pairs(clean, radius_km, grain, dense)
+    tally = ["observations", "dist_sum"] if grain == "tally" else []
+    return near_by_blocks(clean, radius_km, bool(tally)).select(
+        "icao24_a", "icao24_b", "snapshot_time", time_string(F.col("snapshot_time")).alias("snapshot_time_str"),
+        "dist_km", *tally)

@@ -17,7 +17,7 @@ from contrail.operators.clean import clean_and_enrich, latest_per_aircraft
 from contrail.operators.events import detect_flight_events
 from contrail.operators.graph import Graph, build_graph, operates_edges
 from contrail.operators.match import match_airports, match_both
-from contrail.operators.near import dense_cells, near_pairs
+from contrail.operators.near import dense_cells, near_edges
 from contrail.schema import AIRCRAFT_PROPS
 from contrail.session import cut_lineage, delete_path, in_utc, scratch_path
 from contrail.sinks.versions import Parts, bucketed, dated, merge_rows, read_version, replace_parts
@@ -52,7 +52,7 @@ def build_pipeline(raw: DataFrame, airports: DataFrame, batch_id: str = FIXED_BA
     clean = clean if clean is not None else clean_and_enrich(raw)
     events = detect_flight_events(clean, batch_id)
     matched = match_airports(events, airports, airport_radius_km, match_mode)
-    near = near_pairs(clean, near_radius_km, near_grain)
+    near = near_edges(clean, near_radius_km, near_grain)
     return Pipeline(clean, events, matched, build_graph(clean, matched, airports, near), airports)
 
 
@@ -193,7 +193,7 @@ def run_batch(spark: SparkSession, raw: DataFrame, airports: DataFrame, out_dir:
         matched_all, os.path.join(out_dir, "matched_events"), *table_layout("matched_events"), unique=True))
     stage("flight_events_table", lambda: merge_rows(
         keyed, os.path.join(out_dir, "flight_events"), *table_layout("flight_events"), unique=True))
-    near = near_pairs(clean, grain=near_grain, dense=crowded(clean, run_dir))
+    near = near_edges(clean, grain=near_grain, dense=crowded(clean, run_dir) if near_grain == "observation" else None)
     graph = build_graph(clean, matched_all, airports, near)
     graph.aircraft = seen_aircraft(clean)
     try:
