@@ -31,7 +31,7 @@ from contrail.operators.clean import clean_and_enrich
 from contrail.operators.events import date_boundaries, events_inside_dates, transitions
 from contrail.operators.graph import airport_nodes, country_nodes, flight_edges, snapshot_edges
 from contrail.operators.match import match_both
-from contrail.operators.near import near_pairs
+from contrail.operators.near import near_edges
 from contrail.plans.pipeline import at_once, crowded, new_batch_id, seen_aircraft, table_layout, write_entities
 from contrail.session import apply_scale_settings, cut_lineage, delete_path, in_utc, scratch_path
 from contrail.sinks import versions as V
@@ -121,7 +121,7 @@ def recompute_dates(spark: SparkSession, state_vectors_path: str, dates: list[st
                                     materialize=lambda d: cut_lineage(d, "match", columnar=False))
         airport = airport_nodes(airports)
         edges = snapshot_edges(clean)
-        near = near_pairs(clean, grain=near_grain, dense=crowded(clean, run_dir))
+        near = near_edges(clean, grain=near_grain, dense=crowded(clean, run_dir) if near_grain == "observation" else None)
 
         def event_table(name, rows, folder):
             _write_events(rows, os.path.join(folder, name), name, dates, heads, more)
