@@ -90,8 +90,9 @@ def stream_ingest_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "stream-twice")
     landing, table = os.path.join(root, "landing"), os.path.join(root, "table")
     docs = snapshots_from_state_vectors(raw)
-    for part in range(2):
-        docs.repartition(part + 1).write.mode("append").json(landing)
+    # as scanned, then dealt by their content: no task holds a fixed share of the documents
+    for files in (docs, docs.repartition(F.xxhash64("time", "states"))):
+        files.write.mode("append").json(landing)
         start_ingest(spark, landing, table, os.path.join(root, "checkpoint"), trigger="availableNow").awaitTermination()
     stored = spark.read.parquet(table).drop("snapshot_date")
     times = stored.groupBy("icao24", "snapshot_time").agg(F.count(F.lit(1)).alias("deliveries"))
