@@ -2,19 +2,22 @@
 
 The target model is counted over the documents labelled good, the
 background model over all documents. Both are interpolated bigram models
-over every word and every bigram of the corpus. Counts are taken over all
-documents, combined in numpy inside the tasks and added up in Spark; the
-counts and the losses made of them are Spark tables of whatever size the
-corpus asks for. The losses of the ``vocabulary`` commonest words and the
-``bigrams`` commonest bigrams are broadcast and save a shuffle of the tokens
-that have them; all other tokens are counted by document and joined with the
-table of losses. Which tier a token takes does not change its loss. The score
-of a document is the mean over its tokens of (target loss - background
-loss): lower is closer to the target.
+over every word and every bigram of the corpus. The score of a document is
+the mean over its tokens of (target loss - background loss): lower is closer
+to the target.
+
+Documents are dealt to chunks by a hash of the row. A chunk counts its own
+words and bigrams and sends each different one once, by ranges of their
+hashes; a range adds the counts of all chunks up and answers each chunk in
+the order it asked in, with counts alone. The chunk, made again from the same
+rows, has with them all its losses need. Hashes and counts travel as packed
+arrays, so that disk stays at a few bytes for a token, and a common word is
+one number of a chunk, however often it stands there.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,131 +28,153 @@ from pyspark.sql import functions as F
 from contrail.llm.common import Words, batch_of, doc_id_of, identity, stored, text_chunks
 from contrail.session import ship_code
 
-VOCABULARY = 16_384   # words whose losses tasks hold; the join decides the rest
-BIGRAMS = 300_000     # bigrams, likewise
+VOCABULARY = 16_384
+BIGRAMS = 300_000
 WEIGHT = 0.7          # of the bigram estimate
-FLUSH = 4_000_000     # words whose counts are combined before they leave a task
-
-_COUNT = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("g", pa.int64())])
-_COUNT_DDL = "a long, b long, c long, g long"
-
-
-def _codes(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash of each word, of the word before it, whether that is one of the
-    same text)."""
-    before = np.zeros_like(w.hash)
-    before[1:] = w.hash[:-1]
-    second = np.zeros(len(w.hash), dtype=bool)
-    second[1:] = w.doc[1:] == w.doc[:-1]
-    return w.hash, before, second
-
-
-def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Key of the bigram of two word hashes; as :func:`_pair_col`. A word by
-    itself has its hash as the key."""
-    return ((a << np.uint64(1)) | (a >> np.uint64(63))) ^ b
-
-
-def _pair_col(a: str, b: str):
-    return F.shiftleft(a, 1).bitwiseOR(F.shiftrightunsigned(a, 63)).bitwiseXOR(F.col(b))
-
-
-class _Sums:
-    """Counts by word (a = 0) or by bigram, all and good, combined in a task."""
-
-    def __init__(self):
-        self.parts, self.size = [], 0
+GROUP_BYTES = 4 << 20  # text of a chunk or a range while there are few of them
+CHUNK_MOST = 8 << 20   # of a chunk of a large corpus
+RANGE_MOST = 16 << 20  # of a range of a large corpus
+FEW = 256
+
+#: What a chunk asks of a range: n hashes, and how often it has them.
+_ASKED = pa.schema([("part", pa.int32()), ("chunk", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()),
+                    ("c", pa.binary()), ("g", pa.binary())])
+_ASKED_DDL = "part int, chunk int, n int, keys binary, c binary, g binary"
+#: The answer; and once for a range of words (chunk null) their number and
+#: that of their tokens.
+_ANSWER = pa.schema([("part", pa.int32()), ("chunk", pa.int32()), ("n", pa.int32()), ("c", pa.binary()),
+                     ("g", pa.binary()), ("types", pa.int64()), ("tokens", pa.int64()), ("good", pa.int64())])
+_ANSWER_DDL = "part int, chunk int, n int, c binary, g binary, types long, tokens long, good long"
+_SUMS = pa.schema([("_id", pa.int64()), ("n", pa.int64()), ("bg", pa.float64()), ("tg", pa.float64())])
+_SUMS_DDL = "_id long, n long, bg double, tg double"
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Whole numbers from 0 as planes of bytes, lowest first, as many as the
+    largest needs: planes of high bytes are near constant and compress."""
+    x = x.astype(np.uint64)
+    planes = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 0
+    return x.view(np.uint8).reshape(-1, 8)[:, :planes].T.tobytes()
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 8), dtype=np.uint8)
+    if n:
+        planes = np.frombuffer(data, dtype=np.uint8).reshape(-1, n)
+        out[:, :len(planes)] = planes.T
+    return out.view(np.uint64).ravel()
+
+
+class _Tokens:
+    """Tokens of some rows: row, number of the word and of the bigram in the
+    sorted hashes of the different ones; ``second`` are the tokens that have
+    a word before them in the same text."""
+
+    def __init__(self, rows: pa.RecordBatch):
+        hashes, docs, seconds, first = [], [], [], 0
+        for batch, texts in text_chunks([rows]):
+            w = Words(texts)
+            hashes.append(w.hash)
+            docs.append(w.doc + first)
+            seconds.append(np.concatenate([[False], w.doc[1:] == w.doc[:-1]])[:len(w.doc)])
+            first += batch.num_rows
+        word = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+        self.doc = np.concatenate(docs) if docs else np.zeros(0, np.int64)
+        self.second = np.flatnonzero(np.concatenate(seconds)) if seconds else np.zeros(0, np.int64)
+        self.words, self.word = np.unique(word, return_inverse=True)
+        before, of = word[self.second - 1], word[self.second]
+        # key of a bigram
+        self.pairs, self.pair = np.unique(((before << np.uint64(1)) | (before >> np.uint64(63))) ^ of,
+                                          return_inverse=True)
 
-    def add(self, a: np.ndarray, b: np.ndarray, good: np.ndarray):
-        self.parts.append((a, b, good))
-        self.size += len(b)
 
-    def flush(self) -> Iterator[pa.RecordBatch]:
-        if self.size:
-            a, b, good = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-            keys = _pair(a, b)
-            order = np.argsort(keys)
-            a, b, good, keys = a[order], b[order], good[order], keys[order]
-            # bigrams of one key may mix; a row more for a pair does no harm
-            new = (keys[1:] != keys[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            at = np.flatnonzero(np.concatenate([[True], new]))
-            counts = np.diff(np.concatenate([at, [len(keys)]]))
-            out = batch_of(_COUNT, a=a[at].view(np.int64), b=b[at].view(np.int64), c=counts,
-                           g=np.add.reduceat(good.astype(np.int64), at))
-            yield from (out.slice(i, 50_000) for i in range(0, out.num_rows, 50_000))
-        self.parts, self.size = [], 0
+def _rows_of(batches: Iterator[pa.RecordBatch]) -> pa.RecordBatch:
+    """The batches of a group as one."""
+    return pa.Table.from_batches(list(batches)).combine_chunks().to_batches()[0]
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums = _Sums()
-    for batch, texts in text_chunks(batches):
-        w = Words(texts)
-        sums.add(np.zeros_like(w.hash), w.hash, batch.column("good").to_numpy(zero_copy_only=False)[w.doc])
-        if sums.size >= FLUSH:
-            yield from sums.flush()
-    yield from sums.flush()
+def _counted(of: np.ndarray, kinds: int, good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.bincount(of, minlength=kinds), np.bincount(of, good, minlength=kinds)
 
 
-def _bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums = _Sums()
-    for batch, texts in text_chunks(batches):
-        w = Words(texts)
-        word, before, second = _codes(w)
-        good = batch.column("good").to_numpy(zero_copy_only=False)[w.doc]
-        sums.add(before[second], word[second], good[second])
-        if sums.size >= FLUSH:
-            yield from sums.flush()
-    yield from sums.flush()
+def _ask(ranges: int):
+    """What a chunk sends; its rows with ``mark`` name the good documents."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = _rows_of(batches)
+        mark = group.column("mark")
+        marks, rows = group.filter(mark), group.filter(pa.compute.invert(mark))
+        names = {*zip(marks.column("_id").to_pylist(), marks.column("_th").to_pylist(), strict=True)}
+        good = np.array([x in names for x in zip(rows.column("_id").to_pylist(), rows.column("_th").to_pylist(),
+                                                 strict=True)], dtype=np.float64)
+        t = _Tokens(rows)
+        if not len(t.doc):
+            return
+        good = good[t.doc]
+        out = {f.name: [] for f in _ASKED}
+        for kind, (keys, c, g) in enumerate(((t.words, *_counted(t.word, len(t.words), good)),
+                                             (t.pairs, *_counted(t.pair, len(t.pairs), good[t.second])))):
+            part = ((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+            cut = np.searchsorted(part, np.arange(ranges + 1))
+            for k in np.flatnonzero(np.diff(cut)):
+                own = slice(cut[k], cut[k + 1])
+                steps = np.diff(keys[own], prepend=np.uint64(0))
+                for name, x in (("part", kind * ranges + k), ("n", len(steps)), ("keys", _packed(steps)),
+                                ("c", _packed(c[own])), ("g", _packed(g[own]))):
+                    out[name].append(x)
+        out["chunk"] = np.repeat(group.column("chunk")[0].as_py(), len(out["n"]))
+        yield batch_of(_ASKED, **out)
+    return run
 
 
-#: Of a row: its tokens and the losses of those in the first tier (key null);
-#: and the count n of each other key in it.
-_PART = pa.schema([("_id", pa.int64()), ("_th", pa.int64()), ("key", pa.int64()), ("n", pa.int32()),
-                   ("bg", pa.float64()), ("tg", pa.float64())])
-_PART_DDL = "_id long, _th long, key long, n int, bg double, tg double"
+def _answer(ranges: int):
+    """The counts of a range over all chunks, for each chunk in its order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = _rows_of(batches)
+        part, chunk, n = group.column("part")[0].as_py(), group.column("chunk"), group.column("n").to_pylist()
+        keys, c, g = (np.concatenate([step(_unpacked(x, m)) for x, m in
+                                      zip(group.column(name).to_pylist(), n, strict=True)])
+                      for name, step in (("keys", np.cumsum), ("c", np.asarray), ("g", np.asarray)))
+        kinds, at = np.unique(keys, return_inverse=True)
+        del keys
+        c, g = (np.bincount(at, x, minlength=len(kinds)) for x in (c, g))
+        ends = np.cumsum(n)
+        cuts = [slice(e - m, e) for e, m in zip(ends, n, strict=True)]
+        none = pa.nulls(len(n), pa.int64())
+        yield batch_of(_ANSWER, part=np.repeat(part, len(n)), chunk=chunk, n=n, c=[_packed(c[at[s]]) for s in cuts],
+                       g=[_packed(g[at[s]]) for s in cuts], types=none, tokens=none, good=none)
+        if part < ranges:
+            yield batch_of(_ANSWER, part=[part], chunk=[None], n=[None], c=[None], g=[None], types=[len(kinds)],
+                           tokens=[int(c.sum())], good=[int(g.sum())])
+    return run
 
 
-def _parts(tier):
+def _score(ranges: int, size: int, tokens: int, good: int):
+    """Tokens and losses of each row of a chunk, by the answers it got."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, losses = tier.value
-        for batch, texts in text_chunks(batches):
-            w = Words(texts)
-            word, before, second = _codes(w)
-            key = np.where(second, _pair(before, word), word).view(np.int64)
-            at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
-            known = keys[at] == key if len(keys) else np.zeros(len(key), dtype=bool)
-            sums = []
-            for side in (0, 1):
-                token = np.where(known, losses[side][at], 0.0) if len(keys) else np.zeros(len(key))
-                total = np.concatenate([[0.0], np.cumsum(token)])
-                sums.append(total[w.first[1:]] - total[w.first[:-1]])
-            ids, ths = batch.column("_id").to_numpy(), batch.column("_th").to_numpy()
-            yield batch_of(_PART, _id=ids, _th=ths, key=pa.nulls(len(ids), pa.int64()), n=w.counts.astype(np.int32),
-                           bg=sums[0], tg=sums[1])
-            doc, rest = w.doc[~known], key[~known]
-            if not len(rest):
-                continue
-            order = np.lexsort((rest, doc))
-            doc, rest = doc[order], rest[order]
-            at = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (rest[1:] != rest[:-1])]))
-            out = batch_of(_PART, _id=ids[doc[at]], _th=ths[doc[at]], key=rest[at],
-                           n=np.diff(np.concatenate([at, [len(rest)]])).astype(np.int32),
-                           bg=pa.nulls(len(at), pa.float64()), tg=pa.nulls(len(at), pa.float64()))
-            yield from (out.slice(i, 50_000) for i in range(0, out.num_rows, 50_000))
+        group = _rows_of(batches)
+        answer = group.column("part").is_valid()
+        rows = group.filter(pa.compute.invert(answer))
+        counts = sorted(group.filter(answer).select(["part", "n", "c", "g"]).to_pylist(), key=lambda r: r["part"])
+        t = _Tokens(rows)
+        losses = []
+        for name, total in (("c", tokens), ("g", good)):
+            alone, both = (np.concatenate([np.zeros(0), *[_unpacked(r[name], r["n"]) for r in counts
+                                                          if (r["part"] >= ranges) == pairs]]) for pairs in (False, True))
+            p = (alone + 0.5) / (total + 0.5 * size)
+            a, b = np.zeros(len(both), dtype=np.int64), np.zeros(len(both), dtype=np.int64)
+            a[t.pair], b[t.pair] = t.word[t.second - 1], t.word[t.second]
+            loss = -np.log(p)[t.word]
+            loss[t.second] = -np.log((1 - WEIGHT) * p[b] + WEIGHT * both / np.maximum(alone[a], 1))[t.pair]
+            losses.append(np.bincount(t.doc, loss, minlength=rows.num_rows))
+        yield batch_of(_SUMS, _id=rows.column("_id"), n=np.bincount(t.doc, minlength=rows.num_rows),
+                       bg=losses[0], tg=losses[1])
     return run
 
 
-def _top(counts: DataFrame, n: int):
-    """The commonest keys, at most ``n``: all with more than the least count
-    that lets them fit. The driver gets the spread of counts, then the keys."""
-    spread = sorted(((r["c"], r["n"]) for r in counts.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()),
-                    reverse=True)
-    least, kept = None, 0
-    for c, m in spread:
-        if kept + m > n:
-            break
-        least, kept = c, kept + m
-    return counts.filter(F.col("c") >= (least if least is not None else (1 << 62))).toPandas()
+def _groups(size: int, most: int) -> int:
+    """Number of groups for so many bytes: of at most ``GROUP_BYTES``, up to
+    ``FEW``, beyond that of ``most``."""
+    return max(1, min(FEW, math.ceil(size / GROUP_BYTES)), math.ceil(size / most))
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, vocabulary: int = VOCABULARY,
@@ -161,51 +186,30 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, vocabulary: int
     and labels are not. Null and empty texts have no token, losses and score
     0. Repeated rows count as often as they stand there. Without good
     documents the target model is uniform. An empty table gives no rows;
-    further columns are ignored, whatever their names."""
+    further columns are ignored, whatever their names. ``vocabulary`` and
+    ``bigrams`` set the size of a broadcast tier that is gone; no result
+    hangs on them."""
     ship_code()
-    spark = docs.sparkSession
     good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(
-        labels["doc_id"].alias("__id")).distinct().withColumn("good", F.lit(True))
+        labels["doc_id"].alias("__id")).distinct()
     rows = docs.select(*identity(docs), docs["doc_id"].cast("long").alias("doc_id"),
                        docs["text"].cast("string").alias("text"))
-    # labels grow with the documents: never broadcast, one plan at every size
-    marked = rows.join(good.hint("merge"), rows["doc_id"] == good["__id"], "left").select(
-        "text", F.coalesce("good", F.lit(False)).alias("good"))
-
-    words = stored(marked.mapInArrow(_words, _COUNT_DDL).groupBy("b").agg(
-        F.sum("c").alias("c"), F.sum("g").alias("g")), "words")
-    total = words.agg(F.sum("c"), F.sum("g"), F.count(F.lit(1))).first()
-    size = total[2] + 1  # the unknown word counts as one
-    sides = (("c", float(total[0] or 0)), ("g", float(total[1] or 0)))
-    one = [((F.col(x) + 0.5) / F.lit(n + 0.5 * size)) for x, n in sides]
-    unigram = words.select("b", "c", "g", one[0].alias("p"), one[1].alias("q"))
-    alone = stored(unigram.select(F.col("b").alias("key"), "c", (-F.log("p")).alias("bg"), (-F.log("q")).alias("tg")),
-                   "word-losses")
-    pairs = marked.mapInArrow(_bigrams, _COUNT_DDL).groupBy("a", "b").agg(F.sum("c").alias("c"), F.sum("g").alias("g"))
-    # types, not tokens: a word has at most one row by each other word
-    met = (pairs.join(words.select(F.col("b").alias("a"), F.col("c").alias("ca"), F.col("g").alias("ga")), "a")
-           .join(unigram.select("b", "p", "q"), "b"))
-    two = [(1 - WEIGHT) * F.col(p) + WEIGHT * F.col(x) / F.greatest(F.col(n), F.lit(1))
-           for p, x, n in (("p", "c", "ca"), ("q", "g", "ga"))]
-    paired = stored(met.select(_pair_col("a", "b").alias("key"), "c", (-F.log(two[0])).alias("bg"),
-                               (-F.log(two[1])).alias("tg")), "bigram-losses")
-
-    tops = [_top(alone, vocabulary), _top(paired, bigrams)]
-    key, bg, tg = (np.concatenate([t[x].to_numpy(dtype=d) for t in tops])
-                   for x, d in (("key", np.int64), ("bg", np.float64), ("tg", np.float64)))
-    order = np.argsort(key)
-    tier = spark.sparkContext.broadcast((key[order], (bg[order], tg[order])))
-    parts = stored(rows.select("_id", "_th", "text").mapInArrow(_parts(tier), _PART_DDL), "parts")
-    known = parts.filter("key IS NULL").select("_id", "_th", "n", "bg", "tg", F.lit(1).alias("m"))
-    losses = alone.unionByName(paired).select("key", F.col("bg").alias("b"), F.col("tg").alias("t"))
-    joined = parts.filter("key IS NOT NULL").select("_id", "_th", "key", "n").join(losses.hint("merge"), "key").select(
-        "_id", "_th", F.lit(0).alias("n"), (F.col("n") * F.col("b")).alias("bg"),
-        (F.col("n") * F.col("t")).alias("tg"), F.lit(0).alias("m"))
-    # m equal rows share the identity: m times the sums of one
-    sums = known.unionByName(joined).groupBy("_id", "_th").agg(
-        F.sum("n").alias("n"), F.sum("bg").alias("bg"), F.sum("tg").alias("tg"), F.sum("m").alias("m"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    chunks, ranges = _groups(size, CHUNK_MOST), _groups(size, RANGE_MOST)
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("_id", "_th"), F.lit(chunks)).cast("int"))
+    texts = rows.select("chunk", "_id", "_th", "text")
+    # labels grow with the documents: never broadcast, one plan at every size; ids are joined, texts are not
+    marks = rows.join(good.hint("merge"), rows["doc_id"] == good["__id"], "left_semi").select(
+        "chunk", "_id", "_th", F.lit(None).cast("string").alias("text"), F.lit(True).alias("mark"))
+
+    asked = texts.withColumn("mark", F.lit(False)).unionByName(marks).groupBy("chunk").applyInArrow(
+        _ask(ranges), _ASKED_DDL)
+    answers = stored(asked.groupBy("part").applyInArrow(_answer(ranges), _ANSWER_DDL), "answers")
+    total = answers.filter("chunk IS NULL").agg(F.sum("types"), F.sum("tokens"), F.sum("good")).first()
+    sums = (texts.unionByName(answers.filter("chunk IS NOT NULL").select("chunk", "part", "n", "c", "g"),
+                              allowMissingColumns=True)
+            # the unknown word counts as one
+            .groupBy("chunk").applyInArrow(_score(ranges, (total[0] or 0) + 1, total[1] or 0, total[2] or 0), _SUMS_DDL))
     mean = [F.round(F.col(x) / F.greatest(F.col("n"), F.lit(1)), 6) for x in ("tg", "bg")]
-    return (sums.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))))
-            .select(doc_id_of(), (F.col("n") / F.col("m")).cast("long").alias("n_tokens"),
-                    mean[0].alias("target_loss"), mean[1].alias("background_loss"),
-                    F.round(mean[0] - mean[1], 6).alias("score")))
+    return sums.select(doc_id_of(), F.col("n").alias("n_tokens"), mean[0].alias("target_loss"),
+                       mean[1].alias("background_loss"), F.round(mean[0] - mean[1], 6).alias("score"))
