@@ -10,14 +10,17 @@ Documents are dealt to chunks by a hash of the row. A chunk counts its own
 words and bigrams and sends each different one once, by ranges of their
 hashes; a range adds the counts of all chunks up and answers each chunk in
 the order it asked in, with counts alone. The chunk, made again from the same
-rows, has with them all its losses need. Hashes and counts travel as packed
-arrays, so that disk stays at a few bytes for a token, and a common word is
-one number of a chunk, however often it stands there.
+rows, has with them all its losses need. Texts are dealt once: both passes
+over a chunk read the same shuffle, in one plan, and nothing is stored beside
+it. Hashes and counts travel as pressed arrays, so that disk stays at a few
+bytes for a token, and a common word is one number of a chunk, however often
+it stands there.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import Words, batch_of, doc_id_of, identity, stored, text_chunks
+from contrail.llm.common import Words, batch_of, doc_id_of, identity, text_chunks
 from contrail.session import ship_code
 
 VOCABULARY = 16_384
@@ -40,8 +43,8 @@ FEW = 256
 _ASKED = pa.schema([("part", pa.int32()), ("chunk", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()),
                     ("c", pa.binary()), ("g", pa.binary())])
 _ASKED_DDL = "part int, chunk int, n int, keys binary, c binary, g binary"
-#: The answer; and once for a range of words (chunk null) their number and
-#: that of their tokens.
+#: The answer; of a range of words also their number and that of their tokens,
+#: to every chunk, whether it asked or not (n = 0).
 _ANSWER = pa.schema([("part", pa.int32()), ("chunk", pa.int32()), ("n", pa.int32()), ("c", pa.binary()),
                      ("g", pa.binary()), ("types", pa.int64()), ("tokens", pa.int64()), ("good", pa.int64())])
 _ANSWER_DDL = "part int, chunk int, n int, c binary, g binary, types long, tokens long, good long"
@@ -65,14 +68,45 @@ def _unpacked(data: bytes, n: int) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
+def _pressed(x: np.ndarray) -> bytes:
+    """``_packed`` with its high planes deflated, each after its length, from
+    the highest down to the first that gains nothing by it: in steps between
+    hashes the low planes are noise, counts are nearly all 1 or 0."""
+    data, n, out = _packed(x), len(x), []
+    gains = True
+    for at in range(len(data) - n, -1, -n) if n else ():
+        plane = data[at:at + n]
+        if gains:
+            small = zlib.compress(plane, 1, -zlib.MAX_WBITS)
+            gains = len(small) < n
+            plane = small if gains else plane
+        out += [len(plane).to_bytes(4, "little"), plane]
+    return b"".join(out)
+
+
+def _unpressed(data: bytes, n: int) -> np.ndarray:
+    planes, at = [], 0
+    while at < len(data):
+        size = int.from_bytes(data[at:at + 4], "little")
+        plane = data[at + 4:at + 4 + size]
+        planes.append(plane if size == n else zlib.decompress(plane, -zlib.MAX_WBITS))
+        at += 4 + size
+    return _unpacked(b"".join(reversed(planes)), n)
+
+
+def _lowest(k: int, ranges: int) -> np.uint64:
+    """The smallest hash of range ``k``."""
+    return np.uint64(-((-k << 32) // ranges) << 32)
+
+
 class _Tokens:
     """Tokens of some rows: row, number of the word and of the bigram in the
     sorted hashes of the different ones; ``second`` are the tokens that have
     a word before them in the same text."""
 
-    def __init__(self, rows: pa.RecordBatch):
+    def __init__(self, rows: pa.Table):
         hashes, docs, seconds, first = [], [], [], 0
-        for batch, texts in text_chunks([rows]):
+        for batch, texts in text_chunks(rows.to_batches()):
             w = Words(texts)
             hashes.append(w.hash)
             docs.append(w.doc + first)
@@ -98,17 +132,14 @@ def _counted(of: np.ndarray, kinds: int, good: np.ndarray) -> tuple[np.ndarray,
 
 
 def _ask(ranges: int):
-    """What a chunk sends; its rows with ``mark`` name the good documents."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group = _rows_of(batches)
-        mark = group.column("mark")
-        marks, rows = group.filter(mark), group.filter(pa.compute.invert(mark))
-        names = {*zip(marks.column("_id").to_pylist(), marks.column("_th").to_pylist(), strict=True)}
+    """What a chunk sends; its rows and the names of the good documents."""
+    def run(rows: pa.Table, marks: pa.Table) -> pa.Table:
+        names = {*zip(marks.column("good_id").to_pylist(), marks.column("good_th").to_pylist(), strict=True)}
         good = np.array([x in names for x in zip(rows.column("_id").to_pylist(), rows.column("_th").to_pylist(),
                                                  strict=True)], dtype=np.float64)
         t = _Tokens(rows)
         if not len(t.doc):
-            return
+            return _ASKED.empty_table()
         good = good[t.doc]
         out = {f.name: [] for f in _ASKED}
         for kind, (keys, c, g) in enumerate(((t.words, *_counted(t.word, len(t.words), good)),
@@ -117,48 +148,56 @@ def _ask(ranges: int):
             cut = np.searchsorted(part, np.arange(ranges + 1))
             for k in np.flatnonzero(np.diff(cut)):
                 own = slice(cut[k], cut[k + 1])
-                steps = np.diff(keys[own], prepend=np.uint64(0))
-                for name, x in (("part", kind * ranges + k), ("n", len(steps)), ("keys", _packed(steps)),
-                                ("c", _packed(c[own])), ("g", _packed(g[own]))):
+                steps = np.diff(keys[own], prepend=_lowest(int(k), ranges))
+                for name, x in (("part", kind * ranges + k), ("n", len(steps)), ("keys", _pressed(steps)),
+                                ("c", _pressed(c[own])), ("g", _pressed(g[own]))):
                     out[name].append(x)
-        out["chunk"] = np.repeat(group.column("chunk")[0].as_py(), len(out["n"]))
-        yield batch_of(_ASKED, **out)
+        out["chunk"] = np.repeat(rows.column("chunk")[0].as_py(), len(out["n"]))
+        return pa.Table.from_batches([batch_of(_ASKED, **out)])
     return run
 
 
-def _answer(ranges: int):
+def _answer(ranges: int, chunks: int):
     """The counts of a range over all chunks, for each chunk in its order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = _rows_of(batches)
         part, chunk, n = group.column("part")[0].as_py(), group.column("chunk"), group.column("n").to_pylist()
-        keys, c, g = (np.concatenate([step(_unpacked(x, m)) for x, m in
+        low = _lowest(part % ranges, ranges)
+        keys, c, g = (np.concatenate([step(_unpressed(x, m)) for x, m in
                                       zip(group.column(name).to_pylist(), n, strict=True)])
-                      for name, step in (("keys", np.cumsum), ("c", np.asarray), ("g", np.asarray)))
+                      for name, step in (("keys", lambda x: low + np.cumsum(x)), ("c", np.asarray), ("g", np.asarray)))
         kinds, at = np.unique(keys, return_inverse=True)
         del keys
         c, g = (np.bincount(at, x, minlength=len(kinds)) for x in (c, g))
         ends = np.cumsum(n)
         cuts = [slice(e - m, e) for e, m in zip(ends, n, strict=True)]
-        none = pa.nulls(len(n), pa.int64())
-        yield batch_of(_ANSWER, part=np.repeat(part, len(n)), chunk=chunk, n=n, c=[_packed(c[at[s]]) for s in cuts],
-                       g=[_packed(g[at[s]]) for s in cuts], types=none, tokens=none, good=none)
+        total = (len(kinds), int(c.sum()), int(g.sum())) if part < ranges else (None,) * 3
+
+        def rows(chunk, n, c, g):
+            return batch_of(_ANSWER, part=np.repeat(part, len(n)), chunk=chunk, n=n, c=c, g=g,
+                            **{x: pa.array([v] * len(n), pa.int64())
+                               for x, v in zip(("types", "tokens", "good"), total, strict=True)})
+
+        yield rows(chunk, n, [_pressed(c[at[s]]) for s in cuts], [_pressed(g[at[s]]) for s in cuts])
         if part < ranges:
-            yield batch_of(_ANSWER, part=[part], chunk=[None], n=[None], c=[None], g=[None], types=[len(kinds)],
-                           tokens=[int(c.sum())], good=[int(g.sum())])
+            others = np.setdiff1d(np.arange(chunks), chunk.to_numpy())
+            none = [b""] * len(others)
+            yield rows(others, np.zeros(len(others), np.int32), none, none)
     return run
 
 
-def _score(ranges: int, size: int, tokens: int, good: int):
+def _score(ranges: int):
     """Tokens and losses of each row of a chunk, by the answers it got."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group = _rows_of(batches)
-        answer = group.column("part").is_valid()
-        rows = group.filter(pa.compute.invert(answer))
-        counts = sorted(group.filter(answer).select(["part", "n", "c", "g"]).to_pylist(), key=lambda r: r["part"])
+    def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return _SUMS.empty_table()
+        size, tokens, good = (pa.compute.sum(answers.column(x)).as_py() or 0 for x in ("types", "tokens", "good"))
+        size += 1  # the unknown word counts as one
+        counts = sorted(answers.select(["part", "n", "c", "g"]).to_pylist(), key=lambda r: r["part"])
         t = _Tokens(rows)
         losses = []
         for name, total in (("c", tokens), ("g", good)):
-            alone, both = (np.concatenate([np.zeros(0), *[_unpacked(r[name], r["n"]) for r in counts
+            alone, both = (np.concatenate([np.zeros(0), *[_unpressed(r[name], r["n"]) for r in counts
                                                           if (r["part"] >= ranges) == pairs]]) for pairs in (False, True))
             p = (alone + 0.5) / (total + 0.5 * size)
             a, b = np.zeros(len(both), dtype=np.int64), np.zeros(len(both), dtype=np.int64)
@@ -166,8 +205,9 @@ def _score(ranges: int, size: int, tokens: int, good: int):
             loss = -np.log(p)[t.word]
             loss[t.second] = -np.log((1 - WEIGHT) * p[b] + WEIGHT * both / np.maximum(alone[a], 1))[t.pair]
             losses.append(np.bincount(t.doc, loss, minlength=rows.num_rows))
-        yield batch_of(_SUMS, _id=rows.column("_id"), n=np.bincount(t.doc, minlength=rows.num_rows),
-                       bg=losses[0], tg=losses[1])
+        return pa.Table.from_batches([batch_of(
+            _SUMS, _id=rows.column("_id").combine_chunks(), n=np.bincount(t.doc, minlength=rows.num_rows),
+            bg=losses[0], tg=losses[1])])
     return run
 
 
@@ -197,19 +237,15 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, vocabulary: int
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks, ranges = _groups(size, CHUNK_MOST), _groups(size, RANGE_MOST)
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("_id", "_th"), F.lit(chunks)).cast("int"))
-    texts = rows.select("chunk", "_id", "_th", "text")
+    # the same columns in both passes, so that Spark deals the texts once and reads that shuffle again
+    texts = rows.select("chunk", "_id", "_th", "text").groupBy("chunk")
     # labels grow with the documents: never broadcast, one plan at every size; ids are joined, texts are not
     marks = rows.join(good.hint("merge"), rows["doc_id"] == good["__id"], "left_semi").select(
-        "chunk", "_id", "_th", F.lit(None).cast("string").alias("text"), F.lit(True).alias("mark"))
-
-    asked = texts.withColumn("mark", F.lit(False)).unionByName(marks).groupBy("chunk").applyInArrow(
-        _ask(ranges), _ASKED_DDL)
-    answers = stored(asked.groupBy("part").applyInArrow(_answer(ranges), _ANSWER_DDL), "answers")
-    total = answers.filter("chunk IS NULL").agg(F.sum("types"), F.sum("tokens"), F.sum("good")).first()
-    sums = (texts.unionByName(answers.filter("chunk IS NOT NULL").select("chunk", "part", "n", "c", "g"),
-                              allowMissingColumns=True)
-            # the unknown word counts as one
-            .groupBy("chunk").applyInArrow(_score(ranges, (total[0] or 0) + 1, total[1] or 0, total[2] or 0), _SUMS_DDL))
+        *[F.col(x).alias(f"good{x}") for x in ("chunk", "_id", "_th")])
+
+    asked = texts.cogroup(marks.groupBy("goodchunk")).applyInArrow(_ask(ranges), _ASKED_DDL)
+    answers = asked.groupBy("part").applyInArrow(_answer(ranges, chunks), _ANSWER_DDL)
+    sums = texts.cogroup(answers.groupBy("chunk")).applyInArrow(_score(ranges), _SUMS_DDL)
     mean = [F.round(F.col(x) / F.greatest(F.col("n"), F.lit(1)), 6) for x in ("tg", "bg")]
     return sums.select(doc_id_of(), F.col("n").alias("n_tokens"), mean[0].alias("target_loss"),
                        mean[1].alias("background_loss"), F.round(mean[0] - mean[1], 6).alias("score"))

@@ -3,7 +3,8 @@ import os
 
 import numpy as np
 
-from contrail.llm.lm_score import _groups, _packed, _unpacked, cross_entropy_difference
+from contrail.llm.lm_score import (_groups, _lowest, _packed, _pressed, _unpacked, _unpressed,
+                                   cross_entropy_difference)
 from contrail.session import ensure_checkpoint_dir
 
 
@@ -48,3 +49,45 @@ def test_a_score_of_chunks_and_ranges_equals_one_of_a_single_group(spark, monkey
     many = sorted(map(tuple, cross_entropy_difference(docs, lab).collect()), key=str)
     assert len(one) == len(rows) and [x[:2] for x in one] == [x[:2] for x in many]
     assert np.allclose([x[2:] for x in one], [x[2:] for x in many], atol=3e-6)
+
+
+def test_pressed_numbers_come_back():
+    r = np.random.default_rng(7)
+    for x in ([], [0], [3], [0] * 50, [1] * 500, [1, 256, 70_000], [2**64 - 1, 0], np.diff(np.sort(
+            r.integers(0, 2**63, 3_000).astype(np.uint64)), prepend=np.uint64(0)), r.zipf(1.3, 2_000) % 100_000):
+        x = np.array(x, dtype=np.uint64)
+        assert (_unpressed(_pressed(x), len(x)) == x).all()
+    # one count in ten differs from 1
+    assert len(_pressed(np.where(np.arange(2_000) % 10, 1, 2))) < 400
+
+
+def test_the_lowest_hash_of_a_range():
+    for ranges in (1, 3, 7, 204, 3_000):
+        for k in {0, 1 % ranges, ranges // 2, ranges - 1}:
+            low = int(_lowest(k, ranges))
+            assert (low >> 32) * ranges >> 32 == k
+            assert not low or (low - 1 >> 32) * ranges >> 32 == k - 1
+
+
+def test_texts_are_dealt_once_and_nothing_is_stored(spark, tmp_path):
+    rows = [(i, f"one two w{i} w{i % 9} three") for i in range(200)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    lab = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    top = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = {*os.listdir(top)}
+    df = cross_entropy_difference(spark.read.parquet(f"{tmp_path}/docs"), lab)
+    assert len(df.collect()) == 200
+    assert {*os.listdir(top)} == before
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    reused = [line for line in plan.splitlines() if "ReusedExchange" in line]
+    assert len(reused) == 1 and "text#" in reused[0]
+
+
+def test_chunks_that_ask_few_ranges_know_all_totals(spark, monkeypatch):
+    from contrail.llm import lm_score
+    rows = [(i, f"w{i // 2}") for i in range(40)] + [(40, None), (41, " "), (None, "w3 w3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lab = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(40)], "doc_id long, quality int")
+    one = sorted(map(tuple, cross_entropy_difference(docs, lab).collect()), key=str)
+    monkeypatch.setattr(lm_score, "_groups", lambda size, most: 19 if most == lm_score.CHUNK_MOST else 6)
+    assert sorted(map(tuple, cross_entropy_difference(docs, lab).collect()), key=str) == one
