@@ -28,7 +28,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.constants import EARTH_RADIUS_KM, NEAR_DIST_DECIMALS, NEAR_RADIUS_KM
@@ -168,8 +170,11 @@ def near_pairs(clean: DataFrame, radius_km: float = NEAR_RADIUS_KM, grain: str =
 
 MIN_BLOCKS = 16       # of aircraft; more with more shuffle partitions
 CANDIDATES = 500_000  # pairs of positions that a task compares at a time
+ROUNDS = 3            # in which only the newest open meeting of a pair is looked at
+BATCH = 100_000       # rows of merged pairs handed on at a time
 
-_TALLY = ["icao24_a", "icao24_b", "snapshot_time", "dist_km", "observations", "dist_sum"]
+_TRACK = ["snapshot_time", "latitude", "longitude", "cell"]
+_PAIR = ["icao24_a", "icao24_b", "snapshot_time", "dist_km"]
 
 
 def _sines(lat1, lon1, cos1, lat2, lon2, cos2) -> np.ndarray:
@@ -185,134 +190,268 @@ def _distance(a: np.ndarray) -> np.ndarray:
     return np.floor(EARTH_RADIUS_KM * 2.0 * np.arctan2(np.sqrt(a), np.sqrt(1.0 - a)) * scale + 0.5) / scale
 
 
-def _within(a: np.ndarray, radius_km: float) -> np.ndarray:
-    """Which of :func:`_sines` round to at most ``radius_km``; only those
-    about the radius are rounded."""
-    surely, maybe = _half_chords(radius_km)
-    near = a < surely
-    edge = np.flatnonzero(~near & (a <= maybe))
-    near[edge] = _distance(a[edge]) <= radius_km
-    return near
-
-
-def _positions(batch: pa.RecordBatch, side: int):
-    """Names, and of each position: number of the name, time, lat, lon, cell."""
-    rows = batch.filter(pa.array(batch.column("side").to_numpy() == side))
-    track = rows.column("track")
-    owner = np.repeat(np.arange(rows.num_rows), np.diff(track.offsets.to_numpy()))
-    t, lat, lon, cell = track.flatten().flatten()
-    return (rows.column("icao24").to_pylist(), owner, t.cast(pa.int64()).to_numpy(), lat.to_numpy(), lon.to_numpy(),
-            cell.to_numpy(), t.type)
-
-
-def _meet(radius_km: float, tally: bool):
+def _latest(pair: np.ndarray, within) -> np.ndarray:
+    """Of the places of each ``pair`` (in order of time) the last one that is
+    ``within``. Most pairs are settled by their newest meetings."""
+    if not len(pair):
+        return pair
+    if pair.max() >= 8 * len(pair):
+        pair = np.unique(pair, return_inverse=True)[1]
+    size, left, found = int(pair.max()) + 1, np.arange(len(pair)), []
+    for turn in range(ROUNDS + 1):
+        if turn == ROUNDS:
+            left = left[within(left)]
+        last = np.full(size, -1)
+        last[pair[left]] = left  # the last one written stays
+        newest = last[last >= 0]
+        near = within(newest) if turn < ROUNDS else np.ones(len(newest), dtype=bool)
+        found.append(newest[near])
+        if near.all():
+            break
+        unsettled = np.zeros(size, dtype=bool)
+        unsettled[pair[newest[~near]]] = True
+        left = left[unsettled[pair[left]] & (last[pair[left]] != left)]
+    return np.concatenate(found)
+
+
+class _Side:
+    """Positions of the tracks of one block."""
+
+    def __init__(self, rows: pa.RecordBatch):
+        t, lat, lon, cell = (rows.column(c) for c in _TRACK)
+        self.names, self.labels = rows.column("icao24").to_pylist(), rows.column("label") if "label" in rows.schema.names else None
+        self.own = np.repeat(np.arange(rows.num_rows), np.diff(t.offsets.to_numpy()))
+        self.t, self.lat, self.lon, self.cell = t.flatten().cast(pa.int64()).to_numpy(), *(c.flatten().to_numpy() for c in (lat, lon, cell))
+
+    def arrange(self, order: np.ndarray) -> None:
+        self.own, self.t, self.lat, self.lon = (c[order] for c in (self.own, self.t, self.lat, self.lon))
+        lat, lon = np.radians(self.lat), np.radians(self.lon)
+        self.cos = np.cos(lat)
+        self.vector = self.cos * np.cos(lon), self.cos * np.sin(lon), np.sin(lat)
+
+
+class _Meeting:
+    """Positions ``p`` of the probing side and ``q`` of the other."""
+
+    def __init__(self, one: _Side, two: _Side, p: np.ndarray, q: np.ndarray, radius_km: float):
+        self.one, self.two, self.p, self.q, self.radius_km = one, two, p, q, radius_km
+
+    def distance(self, at=slice(None)) -> np.ndarray:
+        x, y, p, q = self.one, self.two, self.p[at], self.q[at]
+        return _distance(_sines(x.lat[p], x.lon[p], x.cos[p], y.lat[q], y.lon[q], y.cos[q]))
+
+    def within(self, at=slice(None)) -> np.ndarray:
+        """Whether the rounded distance is at most the radius: by the
+        vectors, and about the radius by the distance itself."""
+        surely, maybe = _half_chords(self.radius_km)
+        p, q = self.p[at], self.q[at]
+        a = np.zeros(len(p))
+        for u, v in zip(self.one.vector, self.two.vector, strict=True):
+            d = u[p] - v[q]
+            a += d * d
+        a /= 4.0
+        near = a < surely
+        edge = np.flatnonzero(~near & (a <= maybe))
+        near[edge] = self.distance(np.arange(len(self.p))[at][edge]) <= self.radius_km
+        return near
+
+
+def _stored_pairs(files: list) -> pa.Table:
+    """The pairs of table files (their bytes), names as dictionaries."""
+    tables = [pq.read_table(pa.BufferReader(f.as_buffer()), columns=_PAIR, read_dictionary=_PAIR[:2],
+                            coerce_int96_timestamp_unit="us") for f in files]
+    tables = [t.set_column(2, _PAIR[2], t[_PAIR[2]].cast(pa.int64())) for t in tables]
+    return pa.concat_tables(tables).unify_dictionaries().combine_chunks()
+
+
+def _newest_of(stored: pa.Table, new: list[tuple], names: list[str]) -> Iterator[tuple]:
+    """``new`` rows (rank a, rank b, time, distance) and stored ones, by
+    key; of two rows of a pair the newer, without a difference the new one."""
+    rank = {name: k for k, name in enumerate(names)}
+    key, t, dist = [], [], []
+    if stored is not None:
+        x, y = (np.array([rank[v] for v in c.dictionary.to_pylist()], dtype=np.int64)[c.indices.to_numpy()]
+                for c in (stored[side].chunk(0) for side in _PAIR[:2]))
+        key.append(x * len(names) + y)
+        t.append(stored[_PAIR[2]].to_numpy())
+        dist.append(stored[_PAIR[3]].to_numpy())
+    for x, y, time, km in new:
+        key.append(x * len(names) + y)
+        t.append(time)
+        dist.append(km)
+    key, t, dist = (np.concatenate(c) if c else np.zeros(0, dtype=np.int64) for c in (key, t, dist))
+    order = np.argsort(key, kind="stable")  # stored before new
+    same = key[order[1:]] == key[order[:-1]]
+    older = t[order[1:]] < t[order[:-1]]
+    keep = np.ones(len(order), dtype=bool)
+    keep[:-1] &= ~(same & ~older)
+    keep[1:] &= ~(same & older)
+    order = order[keep]
+    for lo in range(0, len(order), BATCH):
+        at = order[lo:lo + BATCH]
+        yield key[at] // len(names), key[at] % len(names), t[at], dist[at]
+
+
+def _meet(radius_km: float, grain: str, merged: bool, columns: list[str]):
     """Pairs of the probing tracks (side 0) and the others (side 1) of two
-    blocks: the rows of :func:`near_by_blocks`."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = pa.Table.from_batches(list(batches)).combine_chunks().to_batches()[0]
-        same_block = both.column("i")[0] == both.column("j")[0]
-        names_p, own_p, t_p, lat_p, lon_p, cell_p, t_type = _positions(both, 0)
-        names_q, own_q, t_q, lat_q, lon_q, cell_q, _ = _positions(both, 1)
-        if not len(own_p) or not len(own_q):
-            return
-        names = sorted({*names_p, *names_q})
-        at = {name: k for k, name in enumerate(names)}
-        rank_p, rank_q = (np.array([at[name] for name in of]) for of in (names_p, names_q))
-        names = pa.array(names, pa.string())
-        _, t_all = np.unique(np.concatenate([t_p, t_q]), return_inverse=True)
-        cells, cell_all = np.unique(np.concatenate([cell_p, cell_q]), return_inverse=True)
+    blocks: the rows of :func:`near_by_blocks`. ``merged``: in order, with the
+    stored pairs of these blocks (side 2)."""
+    def met(one: _Side, two: _Side, rank_p, rank_q, same_block: bool) -> Iterator[tuple]:
+        _, t_all = np.unique(np.concatenate([one.t, two.t]), return_inverse=True)
+        cells, cell_all = np.unique(np.concatenate([one.cell, two.cell]), return_inverse=True)
         place = t_all * len(cells) + cell_all
-        order = np.lexsort((t_p, own_p))  # a track in order of time
-        place_p, own_p, t_p, lat_p, lon_p = (c[order] for c in (place[:len(t_p)], own_p, t_p, lat_p, lon_p))
-        place_q = place[len(t_p):]
+        place_p, place_q = place[:len(one.t)], place[len(one.t):]
+        order = np.lexsort((one.t, one.own))  # a track in order of time
+        place_p = place_p[order]
+        one.arrange(order)
         order = np.argsort(place_q, kind="stable")
-        place_q, own_q, lat_q, lon_q = (c[order] for c in (place_q, own_q, lat_q, lon_q))
-        cos_p, cos_q = np.cos(np.radians(lat_p)), np.cos(np.radians(lat_q))
+        place_q = place_q[order]
+        two.arrange(order)
         first = np.searchsorted(place_q, place_p, side="left")
         found = np.searchsorted(place_q, place_p, side="right") - first
         # whole aircraft at a time, so that a pair is in one step
-        last_of = np.flatnonzero(np.concatenate([own_p[1:] != own_p[:-1], [True]]))
+        last_of = np.flatnonzero(np.concatenate([one.own[1:] != one.own[:-1], [True]]))
         done = np.cumsum(found)[last_of]
         lo = seen = 0
-        while lo < len(own_p):
+        while lo < len(one.own):
             k = max(np.searchsorted(done, seen + CANDIDATES, side="right") - 1, np.searchsorted(last_of, lo))
-            base, hi, seen = own_p[lo], int(last_of[k]) + 1, int(done[k])
+            base, hi, seen = one.own[lo], int(last_of[k]) + 1, int(done[k])
             n = found[lo:hi]
             p = np.repeat(np.arange(lo, hi), n)
             q = np.arange(len(p)) + np.repeat(first[lo:hi] - (np.cumsum(n) - n), n)
             lo = hi
             if same_block:  # both orders are there
-                keep = rank_p[own_p[p]] < rank_q[own_q[q]]
+                keep = rank_p[one.own[p]] < rank_q[two.own[q]]
                 p, q = p[keep], q[keep]
+            meeting = _Meeting(one, two, p, q, radius_km)
+            pair = (one.own[p] - base) * len(two.names) + two.own[q]
             with np.errstate(invalid="ignore"):
-                a = _sines(lat_p[p], lon_p[p], cos_p[p], lat_q[q], lon_q[q], cos_q[q])
-                near = np.flatnonzero(_within(a, radius_km))
-            if not len(near):
-                continue
-            p, q, a = p[near], q[near], a[near]
-            pair = (own_p[p] - base) * len(names_q) + own_q[q]
-            size = int(own_p[hi - 1] - base + 1) * len(names_q)
-            if size <= 8 * len(pair):  # the last one written stays
-                last = np.zeros(size, dtype=np.int64)
-                last[pair] = np.arange(1, len(pair) + 1)
-                kinds = np.flatnonzero(last)
-                newest = last[kinds] - 1
-            else:
-                order = np.argsort(pair, kind="stable")
-                newest = order[np.append(pair[order][1:] != pair[order][:-1], True)]
-                kinds = slice(None)
-                pair = np.unique(pair, return_inverse=True)[1] if tally else pair
-            x, y = rank_p[own_p[p[newest]]], rank_q[own_q[q[newest]]]
-            out = [names.take(pa.array(np.minimum(x, y))), names.take(pa.array(np.maximum(x, y))),
-                   pa.array(t_p[p[newest]]).cast(t_type), pa.array(_distance(a[newest]))]
-            if tally:
-                out += [pa.array(np.bincount(pair)[kinds]), pa.array(np.bincount(pair, _distance(a))[kinds])]
-            yield pa.RecordBatch.from_arrays(out, _TALLY[:len(out)])
+                if grain == "pair":
+                    newest, tallies = _latest(pair, meeting.within), []
+                else:
+                    near = np.flatnonzero(meeting.within())
+                    pair = np.unique(pair[near], return_inverse=True)[1] if pair.size and pair.max() >= 8 * len(pair) else pair[near]
+                    last = np.full(int(pair.max()) + 1 if len(pair) else 0, -1)
+                    last[pair] = near  # the last one written stays
+                    kinds = np.flatnonzero(last >= 0)
+                    newest, tallies = last[kinds], [np.bincount(pair)[kinds]]
+                    if grain == "tally":
+                        tallies.append(np.bincount(pair, meeting.distance(near))[kinds])
+            if len(newest):
+                yield one.own[p[newest]], two.own[q[newest]], one.t[p[newest]], meeting.distance(newest), tallies
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches))
+        t_type = rows.schema.field(_TRACK[0]).type.value_type
+        same_block = rows["i"][0] == rows["j"][0]
+        one, two = (_Side(rows.filter(pc.equal(rows["side"], side)).combine_chunks().to_batches()[0]) if n else None
+                    for side, n in ((s, pc.sum(pc.equal(rows["side"], s)).as_py()) for s in (0, 1)))
+        files = [f for f in rows["content"] if f.is_valid] if "content" in rows.column_names else []
+        stored = _stored_pairs(files) if files else None
+        names = {*(one.names if one else []), *(two.names if two else [])}
+        if stored is not None:
+            names.update(*(stored[side].chunk(0).dictionary.to_pylist() for side in _PAIR[:2]))
+        names = sorted(names)
+        del rows, files
+        text = pa.array(names, pa.string())
+
+        def batch(x, y, t, dist, *more) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([text.take(pa.array(x)), text.take(pa.array(y)), pa.array(t).cast(t_type), pa.array(dist),
+                                               *more], names=columns)
+
+        new = []
+        if one and two and len(one.own) and len(two.own):
+            at = {name: k for k, name in enumerate(names)}
+            rank_p, rank_q = (np.array([at[name] for name in side.names]) for side in (one, two))
+            for own_p, own_q, t, dist, tallies in met(one, two, rank_p, rank_q, same_block):
+                x, y = rank_p[own_p], rank_q[own_q]
+                if merged:
+                    new.append((np.minimum(x, y), np.maximum(x, y), t, dist))
+                    continue
+                labels = []
+                if one.labels is not None:
+                    p, q = one.labels.take(pa.array(own_p)), two.labels.take(pa.array(own_q))
+                    labels = [pc.if_else(pa.array(x < y), p, q), pc.if_else(pa.array(x < y), q, p)]
+                yield batch(np.minimum(x, y), np.maximum(x, y), t, dist, *labels, *map(pa.array, tallies))
+        if merged:
+            for part in _newest_of(stored, new, names):
+                yield batch(*part)
     return run
 
 
-def near_by_blocks(clean: DataFrame, radius_km: float = NEAR_RADIUS_KM, tally: bool = False,
-                   blocks: int | None = None) -> DataFrame:
+def blocks_of(spark: SparkSession) -> int:
+    """Number of blocks that aircraft are dealt to. A track is sent to one
+    group more than there are blocks, so they grow slowly."""
+    return max(MIN_BLOCKS, math.ceil(math.sqrt(int(spark.conf.get("spark.sql.shuffle.partitions")))))
+
+
+def block(icao24: str, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(icao24), F.lit(blocks)).cast("int")
+
+
+def near_by_blocks(clean: DataFrame, radius_km: float = NEAR_RADIUS_KM, tally: bool = False, blocks: int | None = None,
+                   sums: bool = True, labels: DataFrame | None = None, stored: DataFrame | None = None,
+                   ordered: bool = False) -> DataFrame:
     """One row per pair within ``radius_km`` at some snapshot: time and
     distance of its latest one; with ``tally`` also the number of its
-    observations and the sum of their distances.
+    observations and (unless ``sums`` is false) the sum of their distances.
 
     Aircraft are dealt to ``blocks`` by a hash of their key; each two blocks
     (and each with itself) are one group, which holds the tracks of both.
     Positions meet by snapshot and grid cell as in :func:`near_observations`,
-    a bounded number at a time."""
+    a bounded number at a time.
+
+    ``labels`` (icao24, label; one row per aircraft) go along with the tracks
+    and come out as ``label_a`` and ``label_b`` of the pair, null without one.
+
+    ``stored`` (i, j, content): files of pairs found before, as they lie in a
+    table, of the groups (i, j). They are merged with the new pairs of their
+    group, the newest of each pair stays. ``ordered``: the rows of a group
+    come in order of their keys (with ``stored`` always)."""
     ship_code()
-    if blocks is None:
-        parts = int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        blocks = max(MIN_BLOCKS, math.ceil(math.sqrt(2 * parts)))
+    blocks = blocks_of(clean.sparkSession) if blocks is None else blocks
     air = airborne_positions(clean).filter("icao24 IS NOT NULL AND snapshot_time IS NOT NULL")
     key = radius_key(F.col("latitude"), F.col("longitude"), radius_km)
+    label = ["label"] if labels is not None else []
 
     def tracks(rows: DataFrame, gy, gx) -> DataFrame:
         at = F.struct("snapshot_time", "latitude", "longitude", (F.shiftleft(gy, 32) + gx).alias("cell"))
-        return (rows.groupBy("icao24").agg(F.collect_list(at).alias("track"))
-                    .withColumn("block", F.pmod(F.xxhash64("icao24"), F.lit(blocks)).cast("int")))
+        made = rows.groupBy("icao24").agg(F.collect_list(at).alias("track")).select(
+            "icao24", *[f"track.{c}" for c in _TRACK], block("icao24", blocks).alias("block"))
+        return made if labels is None else made.join(labels.select("icao24", "label"), "icao24", "left")
 
     probe = tracks(air, key["gy"], key["gx"]).select(
         F.col("block").alias("i"), F.explode(F.sequence(F.col("block"), F.lit(blocks - 1))).alias("j"),
-        F.lit(0).alias("side"), "icao24", "track")
+        F.lit(0).alias("side"), "icao24", *_TRACK, *label)
     build = tracks(explode_radius_keys(air, "latitude", "longitude", radius_km), F.col("gy"), F.col("gx")).select(
         F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"),
-        F.lit(1).alias("side"), "icao24", "track")
+        F.lit(1).alias("side"), "icao24", *_TRACK, *label)
+    both = probe.unionByName(build)
+    if stored is not None:
+        both = both.unionByName(stored.select("i", "j", F.lit(2).alias("side"), "content"), allowMissingColumns=True)
+    # a group makes many more rows than it reads: tasks are not put together by what they read
+    tasks = min(blocks * (blocks + 1) // 2, int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     time_type = clean.schema["snapshot_time"].dataType.simpleString()
-    return probe.unionByName(build).groupBy("i", "j").applyInArrow(
-        _meet(radius_km, tally), f"icao24_a string, icao24_b string, snapshot_time {time_type}, dist_km double"
-        + (", observations long, dist_sum double" if tally else ""))
-
-
-def near_edges(clean: DataFrame, radius_km: float = NEAR_RADIUS_KM, grain: str = "pair",
-               dense: DataFrame | None = None) -> DataFrame:
+    grain = "pair" if not tally else "tally" if sums else "count"
+    columns = {"icao24_a": "string", "icao24_b": "string", "snapshot_time": time_type, "dist_km": "double"}
+    if labels is not None:
+        columns |= {"label_a": "string", "label_b": "string"}
+    if tally:
+        columns |= {"observations": "long"} | ({"dist_sum": "double"} if sums else {})
+    return both.repartition(tasks, "i", "j").groupBy("i", "j").applyInArrow(
+        _meet(radius_km, grain, ordered or stored is not None, list(columns)), ", ".join(f"{c} {kind}" for c, kind in columns.items()))
+
+
+def near_edges(clean: DataFrame, radius_km: float = NEAR_RADIUS_KM, grain: str = "pair", dense: DataFrame | None = None,
+               labels: DataFrame | None = None, **blocks) -> DataFrame:
     """The NEAR edges of a graph: :func:`near_pairs`, at the pair grain by
     blocks; ``grain="tally"`` adds each pair's number of observations and
-    the sum of their distances."""
-    if grain not in ("pair", "tally"):
+    the sum of their distances, ``"count"`` the number alone. ``labels`` and
+    ``blocks``: see :func:`near_by_blocks`."""
+    if grain not in ("pair", "tally", "count"):
         return near_pairs(clean, radius_km, grain, dense)
-    tally = ["observations", "dist_sum"] if grain == "tally" else []
-    return near_by_blocks(clean, radius_km, bool(tally)).select(
+    more = {"pair": [], "tally": ["observations", "dist_sum"], "count": ["observations"]}[grain]
+    more += ["label_a", "label_b"] if labels is not None else []
+    return near_by_blocks(clean, radius_km, grain != "pair", sums=grain == "tally", labels=labels, **blocks).select(
         "icao24_a", "icao24_b", "snapshot_time", time_string(F.col("snapshot_time")).alias("snapshot_time_str"),
-        "dist_km", *tally)
+        "dist_km", *more)

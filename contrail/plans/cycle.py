@@ -33,7 +33,7 @@ from contrail.operators.graph import airport_nodes, country_nodes, flight_edges,
 from contrail.operators.match import match_both
 from contrail.operators.near import near_edges
 from contrail.plans.pipeline import at_once, crowded, new_batch_id, seen_aircraft, table_layout, write_entities
-from contrail.session import apply_scale_settings, cut_lineage, delete_path, in_utc, scratch_path
+from contrail.session import apply_scale_settings, cut_lineage, delete_path, in_utc, release, scratch_path
 from contrail.sinks import versions as V
 from contrail.sinks.tables import STATE_VECTOR_KEYS, compact_state_vectors, expire_partitions, recover
 
@@ -133,14 +133,17 @@ def recompute_dates(spark: SparkSession, state_vectors_path: str, dates: list[st
                 lambda: event_table("flight_edge", flight_edges(matched, airport), graph_dir),
                 lambda: dated_table("snapshot", edges.select(F.col("snapshot_id").alias("id"), "snapshot_time")),
                 lambda: dated_table("snapshot_edge", edges)]
-        pairs = near
+        pairs, positions = near, clean if near_grain == "pair" else None
         if near_grain == "observation":
             jobs.append(lambda: dated_table("near", near))
             pairs = None
-        jobs.append(lambda: write_entities(seen_aircraft(clean), country_nodes(clean), airport, pairs, graph_dir, near_grain))
+        jobs.append(lambda: write_entities(seen_aircraft(clean), country_nodes(clean), airport, pairs, graph_dir, near_grain,
+                                           positions))
         at_once(spark, jobs)
     finally:
         delete_path(spark, run_dir)
+    del clean, first, heads, events, matched, keyed, edges, near, pairs, positions, jobs
+    release(spark)
     return {"batch_id": batch_id, "graph_dir": graph_dir, "dates": dates, "rewritten": sorted({*dates, *more})}
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 import os
 import time
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 from contrail.constants import AIRPORT_RADIUS_KM, BATCH_ID_FORMAT, NEAR_RADIUS_KM
 from contrail.operators.clean import clean_and_enrich, latest_per_aircraft
 from contrail.operators.events import detect_flight_events
-from contrail.operators.graph import Graph, build_graph, operates_edges
+from contrail.operators.graph import Graph, aircraft_nodes, build_graph, operates_edges
 from contrail.operators.match import match_airports, match_both
-from contrail.operators.near import dense_cells, near_edges
+from contrail.operators.near import airborne_positions, block, blocks_of, dense_cells, near_edges
 from contrail.schema import AIRCRAFT_PROPS
-from contrail.session import cut_lineage, delete_path, in_utc, scratch_path
-from contrail.sinks.versions import Parts, bucketed, dated, merge_rows, read_version, replace_parts
+from contrail.session import cut_lineage, delete_path, in_utc, release, scratch_path
+from contrail.sinks.versions import Parts, bucketed, current, dated, merge_rows, paired, read_version, replace_parts, stored_files
 from contrail.sources.fixtures import fixture_tables
 
 # Batch id used by the registered queries, so results are repeatable.
@@ -47,12 +47,17 @@ def build_pipeline(raw: DataFrame, airports: DataFrame, batch_id: str = FIXED_BA
                    near_grain: str = "pair", match_mode: str = "reference",
                    airport_radius_km: float = AIRPORT_RADIUS_KM,
                    near_radius_km: float = NEAR_RADIUS_KM,
-                   clean: DataFrame | None = None) -> Pipeline:
-    """Lazy plans for every stage; nothing runs until an action."""
+                   clean: DataFrame | None = None, near_countries: bool = False) -> Pipeline:
+    """Lazy plans for every stage; nothing runs until an action.
+    ``near_countries``: NEAR also has ``label_a`` and ``label_b``, the
+    countries that operate its ends."""
     clean = clean if clean is not None else clean_and_enrich(raw)
     events = detect_flight_events(clean, batch_id)
     matched = match_airports(events, airports, airport_radius_km, match_mode)
-    near = near_edges(clean, near_radius_km, near_grain)
+    labels = None
+    if near_countries:
+        labels = operates_edges(aircraft_nodes(clean)).select("icao24", F.col("country").alias("label"))
+    near = near_edges(clean, near_radius_km, near_grain, labels=labels)
     return Pipeline(clean, events, matched, build_graph(clean, matched, airports, near), airports)
 
 
@@ -67,6 +72,7 @@ def graph_from_dir(spark: SparkSession, sf_dir: str, **kw) -> Graph:
 
 # Buckets of the tables without a time; a table keeps those of its first write.
 ENTITY_BUCKETS = 16
+PAIR_BLOCKS = 5  # of a NEAR table whose first rows are given; made from positions, it has their blocks
 
 
 def table_layout(name: str, near_grain: str = "pair") -> tuple[list[str], Parts]:
@@ -79,7 +85,7 @@ def table_layout(name: str, near_grain: str = "pair") -> tuple[list[str], Parts]
         "airport": (["icao"], bucketed(["icao"], 1)),
         "aircraft": (["icao24"], bucketed(["icao24"], ENTITY_BUCKETS)),
         "operates": (["icao24"], bucketed(["icao24"], ENTITY_BUCKETS)),
-        "near": (["icao24_a", "icao24_b"], bucketed(["icao24_a", "icao24_b"], ENTITY_BUCKETS)),
+        "near": (["icao24_a", "icao24_b"], paired(["icao24_a", "icao24_b"], PAIR_BLOCKS)),
         "snapshot": (["id"], dated("snapshot_time", "snapshot_date")),
         "snapshot_edge": (["icao24", "snapshot_id"], dated("snapshot_time", "snapshot_date")),
         "flight_edge": (["icao24", "event_time", "rel_type", "airport_icao"], dated("event_time", "event_date")),
@@ -89,6 +95,33 @@ def table_layout(name: str, near_grain: str = "pair") -> tuple[list[str], Parts]
     }[name]
 
 
+@in_utc
+def write_pairs(clean: DataFrame, path: str) -> None:
+    """NEAR at the pair grain, made from the positions ``clean`` and merged
+    with what is there, the newest snapshot of a pair wins. A part of the
+    table holds the pairs of two blocks of aircraft and is made by one task
+    from their tracks and its stored files, so no pair is shuffled."""
+    spark, (keys, layout) = clean.sparkSession, table_layout("near")
+    base = current(spark, path)
+    if base is not None and base.part_col != layout.part_col:  # a table of before this layout
+        merge_rows(near_edges(clean), path, keys, bucketed(keys, base.buckets), [F.col("snapshot_time").desc()], unique=True)
+        return
+    layout = paired(keys, blocks_of(spark)) if base is None else replace(layout, buckets=base.buckets)
+    seen, stored = range(layout.blocks), None
+    if base is not None:
+        seen = sorted(r[0] for r in airborne_positions(clean).filter("icao24 IS NOT NULL").select(
+            block("icao24", layout.blocks)).distinct().collect())  # at most ``blocks``
+        if not seen:
+            return
+    pairs = {str(int(layout.pair(i, j))): (i, j) for i in seen for j in seen if i <= j}
+    if base is not None and (files := stored_files(spark, path, base, list(pairs))) is not None:
+        ends = F.create_map(*[F.lit(x) for part, ij in pairs.items() for x in (part, f"{ij[0]} {ij[1]}")])
+        of = F.split(ends[F.col("part")], " ")
+        stored = files.select(of[0].cast("int").alias("i"), of[1].cast("int").alias("j"), "content")
+    near = near_edges(clean, blocks=layout.blocks, stored=stored, ordered=True)
+    replace_parts(near, path, keys, layout, list(pairs), grouped=True)
+
+
 def seen_aircraft(clean: DataFrame) -> DataFrame:
     """Aircraft nodes with the time they are from."""
     return latest_per_aircraft(clean).select("icao24", *AIRCRAFT_PROPS, F.col("snapshot_time").alias("seen_at"))
@@ -96,11 +129,12 @@ def seen_aircraft(clean: DataFrame) -> DataFrame:
 
 @in_utc
 def write_entities(aircraft: DataFrame, country: DataFrame, airport: DataFrame, near: DataFrame | None, out_dir: str,
-                   near_grain: str = "pair") -> None:
+                   near_grain: str = "pair", positions: DataFrame | None = None) -> None:
     """SNK-4, SNK-5, SNK-7 and NEAR, merged by key with what is there. An
     aircraft and a pair keep the values of their newest snapshot, whichever
     run saw it; rows are never removed. OPERATES is derived from the
-    aircraft buckets that were touched."""
+    aircraft buckets that were touched. ``positions``: the snapshots that
+    NEAR is made of, in place of ``near`` (:func:`write_pairs`)."""
     spark = aircraft.sparkSession
     if "seen_at" not in aircraft.columns:
         aircraft = aircraft.withColumn("seen_at", F.lit(None).cast("timestamp_ntz"))
@@ -114,6 +148,8 @@ def write_entities(aircraft: DataFrame, country: DataFrame, airport: DataFrame,
         replace_parts(operates, os.path.join(out_dir, "operates"), *table_layout("operates"), touched)
 
     pairs = [lambda: merge("near", near, [F.col("snapshot_time").desc()])] if near is not None else []
+    if positions is not None:
+        pairs = [lambda: write_pairs(positions, os.path.join(out_dir, "near"))]
     at_once(spark, [*pairs, aircraft_and_operates, lambda: merge("country", country, []), lambda: merge("airport", airport, [])])
 
 
@@ -127,17 +163,18 @@ def at_once(spark: SparkSession, jobs: list) -> None:
 
 
 @in_utc
-def write_graph(graph: Graph, out_dir: str, near_grain: str = "pair") -> dict[str, str]:
+def write_graph(graph: Graph, out_dir: str, near_grain: str = "pair", positions: DataFrame | None = None) -> dict[str, str]:
     """SNK-4..9: every node / edge table under ``out_dir``, merged by key
     with what is there. Each table is a versioned one: a write that fails
-    leaves what earlier runs wrote."""
+    leaves what earlier runs wrote. ``positions``: see :func:`write_entities`."""
     timed = {"snapshot": graph.snapshot_edge.select(F.col("snapshot_id").alias("id"), "snapshot_time"),
              "snapshot_edge": graph.snapshot_edge, "flight_edge": graph.flight_edge}
 
     def merge(name):
         merge_rows(timed[name], os.path.join(out_dir, name), *table_layout(name), unique=True)
 
-    at_once(graph.aircraft.sparkSession, [lambda: write_entities(graph.aircraft, graph.country, graph.airport, graph.near, out_dir, near_grain),
+    at_once(graph.aircraft.sparkSession, [lambda: write_entities(
+        graph.aircraft, graph.country, graph.airport, graph.near, out_dir, near_grain, positions),
              *[lambda n=n: merge(n) for n in timed]])
     return {name: os.path.join(out_dir, name) for name in graph.tables()}
 
@@ -197,8 +234,11 @@ def run_batch(spark: SparkSession, raw: DataFrame, airports: DataFrame, out_dir:
     graph = build_graph(clean, matched_all, airports, near)
     graph.aircraft = seen_aircraft(clean)
     try:
-        paths = stage("graph_write", lambda: write_graph(graph, os.path.join(out_dir, "graph"), near_grain))
+        paths = stage("graph_write", lambda: write_graph(
+            graph, os.path.join(out_dir, "graph"), near_grain, clean if near_grain == "pair" else None))
     finally:
         delete_path(spark, run_dir)
+    del clean, events, matched_all, keyed, near, graph
+    release(spark)
     return {"batch_id": batch_id, "paths": paths, "timings": timings,
             "graph_dir": os.path.join(out_dir, "graph")}

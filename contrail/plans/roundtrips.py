@@ -153,7 +153,8 @@ def incremental_dir(spark: SparkSession, sf_dir: str) -> str:
         raw, airports = fixture_tables(spark, sf_dir)
         day = F.dayofmonth("snapshot_time")
         for days in (day.between(11, 20), day < 11, day > 20):
-            snapshots_from_state_vectors(raw.filter(days)).write.mode("append").json(os.path.join(out, "landing"))
+            snapshots_from_state_vectors(raw.filter(days)).write.mode("append").options(
+                compression="gzip", maxRecordsPerFile=100_000).json(os.path.join(out, "landing"))
             run_cycle(spark, os.path.join(out, "landing"), os.path.join(out, "state_vectors"), airports,
                       os.path.join(out, "job"), os.path.join(out, "checkpoint"), retention_days=40,
                       now=dt.datetime(2024, 2, 1), batch_id=FIXED_BATCH_ID)

@@ -10,21 +10,24 @@ Parts without new rows are neither read nor written, so a write costs the
 parts it touches. One writer at a time; a second one's pointer is refused.
 
 The rows are written once: AQE's rebalance cuts a hot date into files of
-the advisory size and puts small buckets together.
+the advisory size and puts small buckets together. Rows that come part by part
+are written as they come (``grouped``), without a shuffle or a sort.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-from dataclasses import dataclass
+import math
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail.operators.clean import keep_top_per_key
-from contrail.session import cut_lineage, delete_path, in_utc, scratch_path
+from contrail.operators.near import block
+from contrail.session import cut_lineage, delete_path, in_utc, scratch_path, session_conf
 
 POINTERS = "_versions"
 FOLDER = "version"
@@ -43,19 +46,33 @@ class Version:
 @dataclass(frozen=True)
 class Parts:
     """How rows are laid out: by the date of ``time_col``, or in
-    ``buckets`` by the hash of ``by``."""
+    ``buckets`` by the hash of ``by``; ``paired``: one for each two of some
+    blocks that the two columns ``by`` fall in, in either order."""
 
     part_col: str
     time_col: str | None = None
     by: tuple[str, ...] = ()
     buckets: int = 0
+    paired: bool = False
 
     def of(self) -> Column:
         if self.time_col is not None:
             return F.to_date(self.time_col)
+        if self.paired:
+            one, two = (block(c, self.blocks) for c in self.by)
+            return self.pair(F.least(one, two), F.greatest(one, two)).cast("int")
         return F.pmod(F.xxhash64(*self.by), F.lit(self.buckets)).cast("int")
 
 
+    @property
+    def blocks(self) -> int:
+        return (math.isqrt(8 * self.buckets + 1) - 1) // 2
+
+    def pair(self, one, two):
+        """Part of two blocks, ``one`` at most ``two``."""
+        return one * self.blocks - one * (one - 1) / 2 + two - one
+
+
 def dated(time_col: str, part_col: str) -> Parts:
     return Parts(part_col, time_col=time_col)
 
@@ -65,6 +82,11 @@ def bucketed(by: list[str], buckets: int) -> Parts:
     return Parts("bucket", by=tuple(by), buckets=buckets)
 
 
+def paired(by: list[str], blocks: int) -> Parts:
+    """The number of blocks of a table is fixed by its first write."""
+    return Parts("pair_block", by=tuple(by), buckets=blocks * (blocks + 1) // 2, paired=True)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
@@ -117,7 +139,7 @@ def read_version(spark: SparkSession, path: str, parts: list[str] | None = None,
     v = current(spark, path) if number is None else _version(spark, path, number)
     if v is None:
         raise FileNotFoundError(f"no table at {path}")
-    held = [f"{path}/{FOLDER}={n}/{v.part_col}={p}" for p, n in sorted(v.parts.items()) if parts is None or p in parts]
+    held = _folders(path, v, parts)
     if held:
         # the part column is the last; nullability as files have it
         df = spark.read.schema(v.schema).option("basePath", path).parquet(*held).select(*v.schema.names)
@@ -126,13 +148,42 @@ def read_version(spark: SparkSession, path: str, parts: list[str] | None = None,
     return df if part_column else df.drop(v.part_col)
 
 
+def _folders(path: str, v: Version, parts: list[str] | None) -> list[str]:
+    return [f"{path}/{FOLDER}={n}/{v.part_col}={p}" for p, n in sorted(v.parts.items()) if parts is None or p in parts]
+
+
+def stored_files(spark: SparkSession, path: str, v: Version, parts: list[str]) -> DataFrame | None:
+    """The files of the given parts as they lie there: (part, content); None
+    if there are none."""
+    held = _folders(path, v, parts)
+    if not held:
+        return None
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(held)
+    return files.select(F.regexp_extract("path", f"{v.part_col}=([^/]*)", 1).alias("part"), "content")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     return current(spark, path) is not None
 
 
-def _write(rows: DataFrame, path: str, number: int, part_col: str, keys: list[str]) -> list[str]:
-    """Writes the parts of ``rows`` and names them."""
+OPEN_FILES = 64         # that a task writes side by side, before it sorts its rows by part
+FILE_ROWS = 2_000_000  # of a grouped part; such files are read as a whole
+PAGE_ROWS = 200_000    # compressed at a time
+
+
+def _write(rows: DataFrame, path: str, number: int, part_col: str, keys: list[str], grouped: bool = False) -> list[str]:
+    """Writes the parts of ``rows`` and names them. ``grouped``: a part's rows
+    come from one task, in order of the keys. Each value of the first key then
+    has much the same list of the last, which zstd finds in plain texts but
+    not in packed dictionary codes."""
     folder = f"{path}/{FOLDER}={number}"
+    if grouped:
+        with session_conf(rows.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)}):
+            rows.write.mode("overwrite").options(**{
+                "compression": "zstd", f"parquet.enable.dictionary#{keys[-1]}": "false", "maxRecordsPerFile": FILE_ROWS,
+                "parquet.page.row.count.limit": PAGE_ROWS, "parquet.page.size": 16 * PAGE_ROWS,
+            }).partitionBy(part_col).parquet(folder)
+        return _parts_in(rows.sparkSession, folder, part_col)
     rows.hint("rebalance", part_col).sortWithinPartitions(part_col, *keys).write.mode("overwrite").partitionBy(
         part_col).parquet(folder)
     return _parts_in(rows.sparkSession, folder, part_col)
@@ -159,7 +210,7 @@ def _laid_out(new_rows: DataFrame, path: str, layout: Parts, base: Version | Non
     if base is not None:
         if (base.buckets > 0) != (layout.buckets > 0) or base.part_col != layout.part_col:
             raise ValueError(f"{path} is laid out by {base.part_col}, not by {layout.part_col}")
-        layout = Parts(layout.part_col, layout.time_col, layout.by, base.buckets)
+        layout = replace(layout, buckets=base.buckets)
     return new_rows.withColumn(layout.part_col, layout.of()), layout
 
 
@@ -203,14 +254,15 @@ def merge_rows(new_rows: DataFrame, path: str, keys: list[str], layout: Parts, o
 
 
 @in_utc
-def replace_parts(new_rows: DataFrame, path: str, keys: list[str], layout: Parts, parts: list[str]) -> None:
+def replace_parts(new_rows: DataFrame, path: str, keys: list[str], layout: Parts, parts: list[str], grouped: bool = False) -> None:
     """``new_rows`` hold everything that ``parts`` shall hold from now on;
-    no stored row is read. A part without rows goes."""
+    no stored row is read. A part without rows goes. ``grouped``: see
+    :func:`_write`."""
     spark = new_rows.sparkSession
     base = current(spark, path)
     rows, layout = _laid_out(new_rows, path, layout, base)
     number = base.number + 1 if base is not None else 1
-    written = _write(rows, path, number, layout.part_col, keys)
+    written = _write(rows, path, number, layout.part_col, keys, grouped)
     if not set(written) <= set(parts):
         raise ValueError(f"{path}: rows of {sorted(set(written) - set(parts))} stand outside the parts to replace")
     rest = {p: n for p, n in base.parts.items() if p not in parts} if base is not None else {}
