@@ -3,10 +3,11 @@
 A document's set holds its distinct 5-word shingles. Two documents link when
 their sets' Jaccard similarity reaches 0.8 (exact integer test). Steps:
 
-1. Count all shingles of all documents into a fixed number of hash cells.
-   Cells give the global order: rare cell first, hash second. Its size is
-   the same for any corpus, so it may be broadcast; it steers work, never
-   results.
+1. Count all shingles of all documents into hash cells, more of them for
+   more text (crowded cells tell rare shingles from common ones no more, and
+   each set would meet in more and more blocks), up to a fixed number. Cells
+   give the global order: rare cell first, hash second. A byte of each, its
+   count's logarithm, is broadcast; it steers work, never results.
 2. Equal sets become one set (128-bit content hash); the rest works on one
    document of each.
 3. Prefix filter: two linked sets share a shingle among the first
@@ -27,8 +28,9 @@ their sets' Jaccard similarity reaches 0.8 (exact integer test). Steps:
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +45,12 @@ from contrail.llm.components import components
 
 WORDS = 5
 PERCENT = 80
-CELLS = 1 << 18
+CELLS = 1 << 18      # at least
+MOST_CELLS = 1 << 24  # of one byte in the broadcast table
+CELL_BYTES = 200     # of text for each cell, some 30 shingles
 BLOCK_LIMIT = 1_000
-_PARTS, _MIDDLE = 16, 256  # pieces of the cell table; partial sums of a piece
+_PIECE, _MIDDLE = 1 << 16, 32  # cells of a piece of the table; partial sums of a piece
+_AT_ONCE = 1 << 22   # shingles gathered before they are counted
 
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
@@ -55,7 +60,7 @@ FOLD[65:91] += 32
 class Setting:
     words: int = WORDS
     percent: int = PERCENT
-    cells: int = CELLS
+    cells: int | None = None  # by the size of the texts
     block_limit: int = BLOCK_LIMIT
 
 
@@ -75,32 +80,69 @@ def _sets(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
     return doc[new], h[new]
 
 
+def with_cells(rows: DataFrame, setting: Setting) -> Setting:
+    """``setting`` with the number of cells for the texts of ``rows``."""
+    if setting.cells is not None:
+        return setting
+    size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    cells = CELLS
+    while cells < MOST_CELLS and cells * CELL_BYTES < size:
+        cells *= 2
+    return replace(setting, cells=cells)
+
+
+def _deflated(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs, deflated."""
+    width = 1 if counts.max() < 1 << 8 else 2 if counts.max() < 1 << 16 else 8
+    return bytes([width]) + zlib.compress(counts.astype(f"<u{width}").tobytes(), 1)
+
+
+def _inflated(counts: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(memoryview(counts)[1:]), f"<u{counts[0]}").astype(np.int64)
+
+
 def _count(setting: Setting):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(setting.cells, dtype="<i8")
+        total, some, size = np.zeros(setting.cells, dtype="<i8"), [], 0
         for _, texts in text_chunks(batches):
             _, h = _sets(texts, setting.words)
-            total += np.bincount((h % np.uint64(setting.cells)).astype(np.int64), minlength=setting.cells)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(_PARTS), pa.int32()), pa.array([TaskContext.get().partitionId() % _MIDDLE] * _PARTS, pa.int32()),
-             pa.array([p.tobytes() for p in np.split(total, _PARTS)], pa.binary())], names=["part", "middle", "counts"])
+            some.append((h % np.uint64(setting.cells)).astype(np.int32))
+            size += len(h)
+            if size > _AT_ONCE:
+                total += np.bincount(np.concatenate(some), minlength=setting.cells)
+                some, size = [], 0
+        if some:
+            total += np.bincount(np.concatenate(some), minlength=setting.cells)
+        middle = pa.array([TaskContext.get().partitionId() % _MIDDLE], pa.int32())
+        for part, lo in enumerate(range(0, setting.cells, _PIECE)):
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), middle, pa.array(
+                [_deflated(total[lo:lo + _PIECE])], pa.binary())], names=["part", "middle", "counts"])
     return run
 
 
+def _summed(table: pa.Table) -> np.ndarray:
+    return sum((_inflated(c.as_py()) for c in table["counts"]), start=np.int64(0))
+
+
 def _total(key: tuple, table: pa.Table) -> pa.Table:
-    total = sum((np.frombuffer(c.as_py(), "<i8") for c in table["counts"]), start=np.int64(0))
-    return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
+    return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([_deflated(_summed(table))], pa.binary())})
+
+
+def _ranks(key: tuple, table: pa.Table) -> pa.Table:
+    rank = np.minimum(8 * np.log2(1.0 + _summed(table)), 255).astype(np.uint8)
+    return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "ranks": pa.array([_deflated(rank)], pa.binary())})
 
 
-def cell_counts(rows: DataFrame, setting: Setting) -> np.ndarray:
-    """Shingles per hash cell over all documents: a fixed-size summary of
-    each task, added up in two levels in Spark."""
+def cell_ranks(rows: DataFrame, setting: Setting) -> np.ndarray:
+    """A byte for each hash cell, that grows with the logarithm of the number
+    of shingles in it over all documents. Each task sends its counts,
+    deflated; they are added up piece by piece, in two levels in Spark."""
     parts = rows.mapInArrow(_count(setting), "part int, middle int, counts binary")
     half = parts.groupBy("part", "middle").applyInArrow(_total, "part int, counts binary")
-    found = {r["part"]: r["counts"] for r in half.groupBy("part").applyInArrow(_total, "part int, counts binary").collect()}
+    found = {r["part"]: r["ranks"] for r in half.groupBy("part").applyInArrow(_ranks, "part int, ranks binary").collect()}
     if not found:
-        return np.zeros(setting.cells, dtype=np.int64)
-    return np.concatenate([np.frombuffer(found[i], "<i8") for i in range(_PARTS)])
+        return np.zeros(setting.cells, dtype=np.uint8)
+    return np.concatenate([_inflated(found[i]).astype(np.uint8) for i in range(len(found))])
 
 
 _SUM = pa.schema([("_id", pa.int64()), ("_th", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()),
@@ -309,7 +351,8 @@ def set_links(docs: DataFrame, setting: Setting = Setting()) -> tuple[DataFrame,
     empty sets), and links (a, b) of different sets that connect what
     similarity connects."""
     rows = identified(docs)
-    cells = docs.sparkSession.sparkContext.broadcast(cell_counts(rows, setting))
+    setting = with_cells(rows, setting)
+    cells = docs.sparkSession.sparkContext.broadcast(cell_ranks(rows, setting))
     made = stored(rows.mapInArrow(_prefixes(setting, cells), _SUM_DDL), "sets")
     reps = stored(made.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min(F.struct("_id", "_th")).alias("r"))
                   .select("s1", "s2", "n", "r"), "reps")

@@ -67,3 +67,31 @@ def test_empty_table_and_clashing_columns(spark):
     assert ngram_groups(spark.createDataFrame([], SCHEMA)).count() == 0
     odd = spark.createDataFrame([(1, "a b", 5, 1), (2, "A  b", 6, 2)], "doc_id long, text string, sid int, token int")
     assert sorted(map(tuple, ngram_groups(odd).collect())) == [(1, 1, 1), (2, 1, 1)]
+
+
+def test_more_text_has_more_cells_and_the_same_groups(spark, monkeypatch):
+    from contrail.llm import ngram_join as J
+    monkeypatch.setattr(J, "CELLS", 1 << 4)
+    monkeypatch.setattr(J, "MOST_CELLS", 1 << 12)
+    monkeypatch.setattr(J, "_PIECE", 1 << 3)
+    monkeypatch.setattr(J, "_AT_ONCE", 100)
+    rows = corpus(5)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    size = sum(len((t or "").encode()) for _, t in rows)
+    cells = J.with_cells(docs, J.Setting()).cells
+    assert cells / 2 * J.CELL_BYTES < size <= cells * J.CELL_BYTES and cells > 1 << 4
+    assert J.with_cells(docs.limit(0), J.Setting()).cells == 1 << 4
+    monkeypatch.setattr(J, "CELL_BYTES", 1)
+    assert J.with_cells(docs, J.Setting()).cells == 1 << 12
+    assert J.with_cells(docs, J.Setting(cells=7)).cells == 7
+    for cells in (None, 1, 7, 1 << 12):  # crowded cells cost work, no rows
+        assert sorted(((r[0], r[1], r[2]) for r in ngram_groups(docs, J.Setting(cells=cells)).collect()), key=str) == brute(rows)
+
+
+def test_cell_counts_of_any_size_are_packed_and_read_back():
+    import numpy as np
+
+    from contrail.llm import ngram_join as J
+    for top in (0, 255, 256, 65_535, 65_536, 1 << 40):
+        counts = np.array([0, 1, top], dtype=np.int64)
+        assert J._inflated(J._deflated(counts)).tolist() == counts.tolist()
