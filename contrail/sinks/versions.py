@@ -1,8 +1,8 @@
 """Keyed tables in versions (SNK-2, SNK-4 to SNK-8): a write never touches
 what readers see until its last step.
 
-A table's rows lie in parts: dates of a time column, or hash buckets of the
-keys. A write puts the parts it changes under ``version=<n>/``, then
+A table's rows lie in parts: dates of a time column, hash buckets of the keys,
+or pairs of blocks of two keys. A write puts the parts it changes under ``version=<n>/``, then
 publishes ``_versions/<n>.json``, which names the version that holds each
 part. Readers follow the newest pointer. A write that fails at any point
 leaves the table as it was; its folder is overwritten by the next try.
